@@ -29,3 +29,182 @@ def cln_clean_test(spark, sf):
 @query("fe_all_rowwise", with_fixture("SELECT * FROM train_fe"))
 def fe_all_rowwise(spark, sf):
     return inputs.engineered(spark, sf)[0]
+
+
+# ---------------------------------------------------------------- reference
+REF_CTES = """
+ref_hotel AS (SELECT hotel_id, median(prix_moyen_nuit_eur) AS prix_ref_hotel
+              FROM train_fe WHERE hotel_id IS NOT NULL GROUP BY hotel_id),
+ref_season AS (SELECT region_hotel, mois_arrivee, median(prix_moyen_nuit_eur) AS prix_ref_saison
+               FROM train_fe WHERE region_hotel IS NOT NULL AND mois_arrivee IS NOT NULL
+               GROUP BY region_hotel, mois_arrivee),
+ref_global AS (SELECT median(prix_moyen_nuit_eur) AS prix_ref_global FROM train_fe),
+ref_cats AS (
+  SELECT DISTINCT colonne, valeur FROM (
+    SELECT 'type_acompte' AS colonne, cast(type_acompte AS varchar) AS valeur FROM train_fe UNION ALL
+    SELECT 'tarif_remboursable', cast(tarif_remboursable AS varchar) FROM train_fe UNION ALL
+    SELECT 'canal_reservation', cast(canal_reservation AS varchar) FROM train_fe UNION ALL
+    SELECT 'segment_client', cast(segment_client AS varchar) FROM train_fe UNION ALL
+    SELECT 'marche_origine', cast(marche_origine AS varchar) FROM train_fe UNION ALL
+    SELECT 'moyen_transport', cast(moyen_transport AS varchar) FROM train_fe UNION ALL
+    SELECT 'formule_repas', cast(formule_repas AS varchar) FROM train_fe UNION ALL
+    SELECT 'client_type', cast(client_type AS varchar) FROM train_fe UNION ALL
+    SELECT 'region_hotel', cast(region_hotel AS varchar) FROM train_fe UNION ALL
+    SELECT 'categorie_hotel', cast(categorie_hotel AS varchar) FROM train_fe)
+),
+test_rel AS (
+  SELECT t.*,
+    t.prix_moyen_nuit_eur / nullif(coalesce(h.prix_ref_hotel, g.prix_ref_global), 0) AS prix_relatif_hotel,
+    t.prix_moyen_nuit_eur / nullif(coalesce(s.prix_ref_saison, g.prix_ref_global), 0) AS prix_relatif_saison
+  FROM test_fe t
+  LEFT JOIN ref_hotel h ON t.hotel_id = h.hotel_id
+  LEFT JOIN ref_season s ON t.region_hotel = s.region_hotel AND t.mois_arrivee = s.mois_arrivee
+  CROSS JOIN ref_global g
+),
+test_ref AS (
+  SELECT * REPLACE (
+""" + ",\n".join(
+    f"    CASE WHEN cast({c} AS varchar) IN (SELECT valeur FROM ref_cats WHERE colonne = '{c}') "
+    f"THEN cast({c} AS varchar) ELSE 'AUTRE' END AS {c}"
+    for c in ["type_acompte", "tarif_remboursable", "canal_reservation", "segment_client", "marche_origine",
+              "moyen_transport", "formule_repas", "client_type", "region_hotel", "categorie_hotel"]
+) + """)
+  FROM test_rel
+)
+"""
+
+
+def _ref(spark, sf):
+    from ..operators.reference import fit_reference
+
+    tr, te = inputs.engineered(spark, sf)
+    return fit_reference(tr), tr, te
+
+
+@query("ref1_median_price_by_hotel", with_fixture("SELECT * FROM ref_hotel", REF_CTES))
+def ref1(spark, sf):
+    from ..operators.reference import hotel_medians
+
+    return hotel_medians(inputs.engineered(spark, sf)[0])
+
+
+@query("ref2_median_price_by_region_month", with_fixture("SELECT * FROM ref_season", REF_CTES))
+def ref2(spark, sf):
+    from ..operators.reference import season_medians
+
+    return season_medians(inputs.engineered(spark, sf)[0])
+
+
+@query("ref3_global_median", with_fixture("SELECT * FROM ref_global", REF_CTES))
+def ref3(spark, sf):
+    from ..operators.reference import global_median
+
+    return global_median(inputs.engineered(spark, sf)[0])
+
+
+@query("ref4_known_categories", with_fixture("SELECT * FROM ref_cats", REF_CTES))
+def ref4(spark, sf):
+    from ..operators.reference import known_categories
+
+    return known_categories(inputs.engineered(spark, sf)[0])
+
+
+@query("ref5_price_vs_hotel", with_fixture(
+    "SELECT reservation_id, prix_relatif_hotel FROM test_rel", REF_CTES))
+def ref5(spark, sf):
+    from ..operators.reference import relative_prices
+
+    ref, _, te = _ref(spark, sf)
+    return relative_prices(te, ref).select("reservation_id", "prix_relatif_hotel")
+
+
+@query("ref6_price_vs_season", with_fixture(
+    "SELECT reservation_id, prix_relatif_saison FROM test_rel", REF_CTES))
+def ref6(spark, sf):
+    from ..operators.reference import relative_prices
+
+    ref, _, te = _ref(spark, sf)
+    return relative_prices(te, ref).select("reservation_id", "prix_relatif_saison")
+
+
+@query("ref7_unseen_to_autre", with_fixture(
+    "SELECT reservation_id, canal_reservation, region_hotel, categorie_hotel, client_type, marche_origine "
+    "FROM test_ref", REF_CTES))
+def ref7(spark, sf):
+    from ..operators.reference import remap_unseen
+
+    ref, _, te = _ref(spark, sf)
+    return remap_unseen(te, ref).select(
+        "reservation_id", "canal_reservation", "region_hotel", "categorie_hotel", "client_type", "marche_origine")
+
+
+@query("ref8_fit_apply_test", with_fixture("SELECT * FROM test_ref", REF_CTES))
+def ref8(spark, sf):
+    from ..operators.reference import apply_reference
+
+    ref, _, te = _ref(spark, sf)
+    return apply_reference(te, ref)
+
+
+# ---------------------------------------------------------------- folds
+FOLD_CTES = """
+pos_t AS (SELECT *, row_number() OVER (ORDER BY date_reservation, reservation_id) - 1 AS pos,
+                 count(*) OVER () AS n_all FROM train_clean),
+bounds AS (
+  SELECT i + 1 AS fold,
+         cast(floor(n * (1 - 0.15E0 * (3 - i))) AS bigint) - cast(floor(n * 0.15E0) AS bigint) AS start_pos,
+         cast(floor(n * (1 - 0.15E0 * (3 - i))) AS bigint) AS end_pos
+  FROM (SELECT count(*) AS n FROM train_clean), range(4) r(i)
+),
+assigned AS (
+  SELECT p.*, b.fold, CASE WHEN p.pos < b.start_pos THEN 'train' ELSE 'val' END AS role
+  FROM pos_t p JOIN bounds b ON p.pos < b.end_pos
+)
+"""
+
+
+@query("fld1_temporal_folds", with_fixture(
+    "SELECT reservation_id, pos, fold, role FROM assigned", FOLD_CTES))
+def fld1(spark, sf):
+    from ..operators.folds import temporal_folds
+
+    return temporal_folds(inputs.cleaned(spark, sf)[0]).select("reservation_id", "pos", "fold", "role")
+
+
+@query("fld2_fold_bounds", with_fixture("""
+SELECT fold AS pli,
+  min(CASE WHEN role='train' THEN date_reservation END) AS train_debut,
+  max(CASE WHEN role='train' THEN date_reservation END) AS train_fin,
+  count(CASE WHEN role='train' THEN 1 END) AS n_train,
+  min(CASE WHEN role='val' THEN date_reservation END) AS val_debut,
+  max(CASE WHEN role='val' THEN date_reservation END) AS val_fin,
+  count(CASE WHEN role='val' THEN 1 END) AS n_val,
+  round_even(avg(CASE WHEN role='val' THEN reservation_annulee END) * 1E4, 0) / 1E4 AS taux_annulation_val
+FROM assigned GROUP BY fold""", FOLD_CTES))
+def fld2(spark, sf):
+    from ..operators.folds import fold_dates, temporal_folds
+
+    return fold_dates(temporal_folds(inputs.cleaned(spark, sf)[0]))
+
+
+@query("fld3_stratified_fold_counts", with_fixture("""
+SELECT fold, y, count(*) AS n FROM (
+  SELECT reservation_annulee AS y,
+         cast((row_number() OVER (PARTITION BY reservation_annulee ORDER BY reservation_id) - 1) % 5 + 1 AS int) AS fold
+  FROM train_clean) GROUP BY fold, y"""))
+def fld3(spark, sf):
+    from ..operators.folds import stratified_folds
+
+    tr = inputs.cleaned(spark, sf)[0]
+    return (stratified_folds(tr).groupBy("fold", F.col("reservation_annulee").alias("y"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("fld4_order_check", with_fixture("""
+SELECT count(*) AS n_rows, count(CASE WHEN date_reservation < prev THEN 1 END) AS n_violations,
+       count(CASE WHEN date_reservation < prev THEN 1 END) = 0 AS monotone
+FROM (SELECT date_reservation, lag(date_reservation) OVER (ORDER BY reservation_id) AS prev FROM train_clean)"""))
+def fld4(spark, sf):
+    from ..operators.folds import order_violations
+
+    return order_violations(inputs.cleaned(spark, sf)[0])
