@@ -18,3 +18,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     broadcast at runtime from measured (not estimated) sizes.
     """
     return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def join_groups(left: DataFrame, right: DataFrame, group_cols, how: str = "inner", broadcast_right: bool = False) -> DataFrame:
+    """Equi join on ``group_cols``; with no group column, join a one-row-per-group table on a constant key."""
+    group_cols = list(group_cols)
+    r = F.broadcast(right) if broadcast_right else right
+    if group_cols:
+        return left.join(r, group_cols, how)
+    return left.withColumn("__g", F.lit(0)).join(r.withColumn("__g", F.lit(0)), "__g", how).drop("__g")
