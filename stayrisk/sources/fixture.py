@@ -13,12 +13,14 @@ operator can be checked without fitting a model.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.joins import bounded_broadcast
 from ..functions.prefix import running_sums
+from ..session import ensure_checkpoint_dir
 from .schema import RESERVATION_SCHEMA, TARGET
 
 # --------------------------------------------------------------------------
@@ -116,8 +118,35 @@ def _permille() -> F.Column:
     return base + adjust
 
 
+FIXTURE_VERSION = "v1"
+
+
 def reservations(spark: SparkSession, sf_dir: str, with_proba: bool = True) -> DataFrame:
-    """All derived bookings (train and test periods), target included, plus ``proba``."""
+    """All derived bookings as a written table (derived once per checkpoint folder, then scanned).
+
+    The derivation (joins + running sums over the raw tables) is written as
+    parquet under the session's checkpoint folder and read back: later queries
+    get a plain scan with filter pushdown and column pruning, and the lineage
+    is cut, so a lost executor does not replay the whole derivation.
+    """
+    root = ensure_checkpoint_dir(spark)
+    tag = hashlib.sha1(f"{FIXTURE_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    path = f"{root.rstrip('/')}/stayrisk-reservations/{tag}"
+    if not _written(spark, path):
+        derive_reservations(spark, sf_dir).write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    return out if with_proba else out.drop("proba")
+
+
+def _written(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return p.getFileSystem(conf).exists(p)
+
+
+def derive_reservations(spark: SparkSession, sf_dir: str, with_proba: bool = True) -> DataFrame:
+    """All derived bookings (train and test periods), target included, plus ``proba`` (lazy plan)."""
     key = F.col("o_orderkey")
     tgt = (
         _base(spark, sf_dir)
