@@ -27,6 +27,16 @@ from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
 
+# Ship this module's per-partition code by value: executors need no installed copy of the package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: the package must then be on the executors
+    pass
+
 _PID = "__pid"
 _RI = "__ri"
 

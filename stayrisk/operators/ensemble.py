@@ -8,6 +8,7 @@ Weights are renormalised over the members actually present.
 
 from __future__ import annotations
 
+from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,3 +39,51 @@ def ensemble_proba(scored: DataFrame, weights: DataFrame, id_col: str = ID_COL,
     kept = [F.first(c).alias(c) for c in keep if c in scored.columns]
     return j.groupBy(id_col).agg(
         (F.sum(F.col("poids") * F.col("proba")) / F.sum("poids")).alias("proba"), *kept)
+
+
+class EnsembleModel(Model):
+    """ENS3 fitted: member models + normalised weights + decision threshold; row-wise scoring.
+
+    ``transform`` works on batch and streaming DataFrames alike: every member adds
+    its probability column, the ensemble is their weighted mean, ``prediction``
+    is ``proba >= threshold``.
+    """
+
+    def __init__(self, members: dict | None = None, weights: dict | None = None, threshold: float = 0.5):
+        super().__init__()
+        self.members = members or {}
+        self.weights = weights or {}
+        self.threshold = threshold
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        cols = dataset.columns
+        d = dataset
+        member_cols = {}
+        for i, (name, model) in enumerate(self.members.items()):
+            model.out = f"__m{i}"
+            d = model.transform(d)
+            member_cols[name] = f"__m{i}"
+        total = sum(self.weights[n] for n in member_cols)
+        proba = None
+        for n, c in member_cols.items():
+            term = F.col(c) * F.lit(self.weights[n] / total)
+            proba = term if proba is None else proba + term
+        return d.select(*cols, proba.alias("proba"),
+                        (proba >= F.lit(float(self.threshold))).cast("int").alias("prediction"))
+
+
+class EnsembleEstimator(Estimator):
+    """ENS3: fit the weighted members on one training table; missing members renormalise the weights."""
+
+    def __init__(self, members: dict | None = None, raw_weights: dict[str, float] = ENSEMBLE_RAW_WEIGHTS,
+                 threshold: float = 0.5):
+        super().__init__()
+        self.members = members or {}
+        self.raw_weights = raw_weights
+        self.threshold = threshold
+
+    def _fit(self, dataset: DataFrame) -> EnsembleModel:
+        fitted = {n: est.fit(dataset) for n, est in self.members.items() if n in self.raw_weights}
+        total = sum(self.raw_weights[n] for n in fitted)
+        weights = {n: self.raw_weights[n] / total for n in fitted}
+        return EnsembleModel(fitted, weights, self.threshold)

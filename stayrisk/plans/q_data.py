@@ -208,3 +208,61 @@ def fld4(spark, sf):
     from ..operators.folds import order_violations
 
     return order_violations(inputs.cleaned(spark, sf)[0])
+
+
+# ---------------------------------------------------------------- sources and sinks
+def _io_path(spark, sf, name):
+    import hashlib
+
+    from ..session import ensure_checkpoint_dir
+
+    tag = hashlib.sha1(f"io-v1:{sf.rstrip('/')}".encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stayrisk-io/{tag}/{name}"
+
+
+def _csv_copies(spark, sf):
+    """Raw train/test written as CSV (SNK1) once per checkpoint folder; returns their paths."""
+    from ..sources.fixture import _written
+    from ..sources.sinks import write_table
+
+    tr, te = inputs.raw(spark, sf)
+    paths = {}
+    for name, df in (("train_csv", tr), ("test_csv", te)):
+        p = _io_path(spark, sf, name)
+        if not _written(spark, p):
+            write_table(df, p, fmt="csv")
+        paths[name] = p
+    return paths
+
+
+@query("src1_csv_scan", with_fixture("SELECT * FROM train_raw"))
+def src1_csv(spark, sf):
+    from ..sources.readers import read_csv
+
+    return read_csv(spark, _csv_copies(spark, sf)["train_csv"])
+
+
+@query("src2_load_train_test", with_fixture("SELECT * EXCLUDE (n_all) FROM pos_t", FOLD_CTES))
+def src2(spark, sf):
+    from ..sources.readers import load_train_test
+
+    p = _csv_copies(spark, sf)
+    return load_train_test(spark, p["train_csv"], p["test_csv"])[0]
+
+
+@query("src3_template_scan", with_fixture(
+    "SELECT reservation_id, 0.5E0 AS probabilite_annulation, 0 AS reservation_annulee FROM test_raw"))
+def src3(spark, sf):
+    from ..sources.fixture import _written
+    from ..sources.readers import read_template
+    from ..sources.sinks import write_ordered
+
+    p = _io_path(spark, sf, "template_csv")
+    if not _written(spark, p):
+        te = inputs.raw(spark, sf)[1]
+        from ..functions.prefix import row_positions
+
+        tpl = row_positions(te, ["date_reservation", "reservation_id"]).select(
+            "reservation_id", F.lit(0.5).alias("probabilite_annulation"), F.lit(0).alias("reservation_annulee"), "pos")
+        write_ordered(tpl, p)
+    return read_template(spark, p)
