@@ -1 +1,195 @@
-"""Registered queries."""
+"""Registered queries: preprocessing (PRE1-5), models (MOD1-8), CV / ablation / final fit (ENS3-7, SUB1)."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.columns import np_round
+from ..operators import encoding as ENC
+from ..operators import metrics as M
+from ..operators import models as MOD
+from ..operators.folds import temporal_folds
+from ..operators.reference import apply_reference, fit_reference
+from ..oracle_sql import r, with_fixture
+from ..registry import query
+from ..sources.schema import CATEGORICAL, MODEL_ENSEMBLE, MODEL_NUMERIC, RELATIVE_PRICE
+from . import inputs, store, validation
+
+PROFILE = "fast"
+# numeric columns available without a fitted reference (PRE checks run on row features)
+ROW_NUMERIC = [c for c in MODEL_NUMERIC if c not in RELATIVE_PRICE]
+
+
+# ------------------------------------------------------------------ preprocessing (oracle-checked)
+@query("pre1_median_imputation", with_fixture(" UNION ALL ".join(
+    f"SELECT '{c}' AS colonne, median(cast({c} AS double)) AS mediane FROM train_fe" for c in ROW_NUMERIC)))
+def pre1(spark, sf):
+    return ENC.column_medians(inputs.engineered(spark, sf)[0], ROW_NUMERIC)
+
+
+def _pre2_sql() -> str:
+    parts = []
+    for c in ROW_NUMERIC:
+        x = f"coalesce(cast({c} AS double), (SELECT median(cast({c} AS double)) FROM train_fe))"
+        parts.append(f"SELECT '{c}' AS colonne, {r(f'avg({x})', 9)} AS moyenne, "
+                     f"{r(f'CASE WHEN stddev_pop({x}) = 0 THEN 1.0E0 ELSE stddev_pop({x}) END', 9)} AS echelle FROM train_fe")
+    return with_fixture(" UNION ALL ".join(parts))
+
+
+@query("pre2_standardisation", _pre2_sql())
+def pre2(spark, sf):
+    tr = inputs.engineered(spark, sf)[0]
+    model = ENC.NumericScaler(ROW_NUMERIC).fit(tr)
+    rows = [(c, model.means[c], model.scales[c]) for c in ROW_NUMERIC]  # one value pair per column
+    schema = T.StructType([T.StructField("colonne", T.StringType()), T.StructField("moyenne", T.DoubleType()),
+                           T.StructField("echelle", T.DoubleType())])
+    df = spark.createDataFrame(rows, schema)
+    return df.select("colonne", np_round("moyenne", 9).alias("moyenne"), np_round("echelle", 9).alias("echelle"))
+
+
+def _layout_sql(drop_first: bool) -> str:
+    parts = []
+    for c in CATEGORICAL:
+        cond = f"WHERE v <> (SELECT min(cast({c} AS varchar)) FROM train_fe)" if drop_first else ""
+        parts.append(f"SELECT concat('{c}_', v) AS variable FROM (SELECT DISTINCT cast({c} AS varchar) AS v "
+                     f"FROM train_fe WHERE {c} IS NOT NULL) {cond}")
+    return with_fixture(" UNION ALL ".join(parts))
+
+
+def _layout(spark, sf, drop_first: bool):
+    tr = inputs.engineered(spark, sf)[0]
+    names = ENC.OneHot(CATEGORICAL, drop_first=drop_first).fit(tr).slot_names
+    return spark.createDataFrame([(n,) for n in names], "variable string")
+
+
+@query("pre3_linear_onehot_layout", _layout_sql(True))
+def pre3(spark, sf):
+    return _layout(spark, sf, True)
+
+
+@query("pre4_tree_onehot_layout", _layout_sql(False))
+def pre4(spark, sf):
+    return _layout(spark, sf, False)
+
+
+@query("pre5_assembled_features")
+def pre5(spark, sf):
+    tr, te = inputs.engineered(spark, sf)
+    model = ENC.linear_preprocessor(ROW_NUMERIC, CATEGORICAL).fit(tr)
+    out = model.transform(te)
+    v = vector_to_array("features")
+    return out.select("reservation_id", F.size(v).alias("n_variables"),
+                      F.size(F.filter(v, lambda x: x != 0)).alias("n_non_nuls"))
+
+
+# ------------------------------------------------------------------ last-fold fits (rows-only)
+def _last_fold(spark, sf):
+    tr = inputs.cleaned(spark, sf)[0]
+    a = temporal_folds(tr)
+    trn = a.where((F.col("fold") == 4) & (F.col("role") == "train")).drop("fold", "role")
+    val = a.where((F.col("fold") == 4) & (F.col("role") == "val")).drop("fold", "role")
+    ref = fit_reference(trn)
+    return apply_reference(trn, ref), apply_reference(val, ref)
+
+
+@query("mod7_logreg_coefficients")
+def mod7(spark, sf):
+    TR, _ = _last_fold(spark, sf)
+    model = MOD.build_logreg().fit(TR)
+    return MOD.coefficients(model, spark)
+
+
+@query("mod8_top12_coefficients")
+def mod8(spark, sf):
+    TR, _ = _last_fold(spark, sf)
+    return MOD.top_coefficients(MOD.coefficients(MOD.build_logreg().fit(TR), spark), 12)
+
+
+@query("mod1_6_last_fold_model_metrics")
+def mod1_6(spark, sf):
+    """Every model family of the registry fitted on the last fold, metric row at its best threshold."""
+    TR, VA = _last_fold(spark, sf)
+    tasks = [(lambda n=n, e=e: validation._long(e.fit(TR).transform(VA), n, 4).checkpoint(eager=True))
+             for n, e in MOD.build_all(PROFILE).items()]
+    scored = validation.parallel(tasks)
+    from functools import reduce
+
+    oof = reduce(lambda a, b: a.unionByName(b), scored)
+    return M.best_metrics(oof, ["model"]).withColumnRenamed("model", "modele")
+
+
+@query("ens3_ensemble_scoring")
+def ens3(spark, sf):
+    TR, VA = _last_fold(spark, sf)
+    members = {n: e for n, e in MOD.build_all(PROFILE).items() if n in validation.ENSEMBLE_MEMBERS}
+    from ..operators.ensemble import EnsembleEstimator
+
+    model = EnsembleEstimator(members, threshold=0.5).fit(TR)
+    return model.transform(VA).select("reservation_id", "proba", "prediction")
+
+
+# ------------------------------------------------------------------ cross-validation (written once)
+def oof_scores(spark, sf):
+    """ENS4: out-of-fold scores of all models + ensemble, written once per checkpoint folder."""
+    def build():
+        return validation.cross_validate(inputs.cleaned(spark, sf)[0], profile=PROFILE)
+    return store.written(spark, "oof", f"oof-v1:{PROFILE}:{sf.rstrip('/')}", build)
+
+
+@query("ens4_cv_fold_results")
+def ens4_folds(spark, sf):
+    return validation.fold_report(oof_scores(spark, sf))
+
+
+@query("ens4_cv_summary")
+def ens4_summary(spark, sf):
+    return M.summarize_folds(validation.fold_report(oof_scores(spark, sf)))
+
+
+@query("ens4_cv_pooled_comparison")
+def ens4_pooled(spark, sf):
+    return validation.pooled_report(oof_scores(spark, sf))
+
+
+@query("ens4_cv_cost_curve")
+def ens4_cost(spark, sf):
+    oof = oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE)
+    return M.cost_curve(M.sweep(oof))
+
+
+@query("ens4_cv_calibration_deciles")
+def ens4_deciles(spark, sf):
+    oof = oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE)
+    return M.deciles(oof)
+
+
+@query("ens5_6_ablation")
+def ens5(spark, sf):
+    def build():
+        return validation.ablation(inputs.cleaned(spark, sf)[0])
+    return store.written(spark, "ablation", f"ablation-v1:{sf.rstrip('/')}", build)
+
+
+def _final(spark, sf):
+    oof = oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE)
+    t = M.best_threshold(M.sweep(oof)).first()["seuil"]  # frozen pooled threshold (scalar)
+    tr, te = inputs.cleaned(spark, sf)
+    ref, model = validation.final_model(tr, t, PROFILE)
+    return ref, model, te, t
+
+
+@query("sub1_final_submission")
+def sub1(spark, sf):
+    from ..functions.prefix import row_positions
+    from ..operators.submission import submission
+
+    ref, model, te, t = _final(spark, sf)
+    scored = validation.score(row_positions(te, ["date_reservation", "reservation_id"]), ref, model)
+    return submission(scored, t).drop("pos")
+
+
+@query("fld3_random_cv_f1")
+def fld3_random(spark, sf):
+    return validation.random_cv_f1(inputs.cleaned(spark, sf)[0], profile=PROFILE)

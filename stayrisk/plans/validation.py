@@ -9,7 +9,8 @@ passes, and unpersisted afterwards. Scores are collected in long format
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -27,6 +28,12 @@ from ..sources.schema import (ABLATION_CONFIGS, CATEGORICAL, ENSEMBLE_RAW_WEIGHT
 ENSEMBLE_MEMBERS = (MODEL_LOGREG, MODEL_HGB, MODEL_LGBM)
 
 
+def parallel(tasks: Sequence[Callable[[], DataFrame]], threads: int = 4) -> list[DataFrame]:
+    """Run independent fit/score jobs concurrently (Spark schedules the concurrent jobs; order kept)."""
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        return list(pool.map(lambda f: f(), tasks))
+
+
 def _long(scored: DataFrame, model: str, fold: int) -> DataFrame:
     return scored.select(F.lit(model).alias("model"), F.lit(fold).cast("int").alias("fold"), ID_COL,
                          F.col(TARGET).cast("int").alias("y"), "proba")
@@ -51,7 +58,7 @@ def _ensemble_rows(parts: list[DataFrame], fold: int) -> DataFrame | None:
 
 
 def cross_validate(train: DataFrame, models: dict | None = None, profile: str = "fast",
-                   with_ensemble: bool = True, checkpoint: bool = True) -> DataFrame:
+                   with_ensemble: bool = True, checkpoint: bool = True, threads: int = 4) -> DataFrame:
     """ENS4: out-of-fold scores of every model (and the ensemble) on the 4 temporal folds.
 
     ``train`` is the cleaned training table. The result is checkpointed (lineage
@@ -62,13 +69,14 @@ def cross_validate(train: DataFrame, models: dict | None = None, profile: str =
     out = []
     for fold in sorted(r["fold"] for r in assigned.select("fold").distinct().collect()):  # <= 4 values
         TR, VA = _fold_tables(assigned, fold)
-        member_parts = []
-        for name, est in models.items():
-            scored = _long(est.fit(TR).transform(VA), name, fold)
-            scored = scored.checkpoint(eager=True)  # reliable checkpoint: lineage cut, survives executor loss
-            out.append(scored)
-            if name in ENSEMBLE_MEMBERS:
-                member_parts.append(scored)
+        def task(name, est, TR=TR, VA=VA, fold=fold):
+            # reliable checkpoint: lineage cut in the shared folder, survives executor loss
+            return lambda: _long(est.fit(TR).transform(VA), name, fold).checkpoint(eager=True)
+
+        names = list(models)
+        scored = parallel([task(n, models[n]) for n in names], threads)
+        out.extend(scored)
+        member_parts = [s for n, s in zip(names, scored) if n in ENSEMBLE_MEMBERS]
         if with_ensemble:
             e = _ensemble_rows(member_parts, fold)
             if e is not None:
@@ -92,7 +100,7 @@ def pooled_report(oof: DataFrame) -> DataFrame:
 
 
 def ablation(train: DataFrame, configs: Sequence[tuple[str, list[str]]] = ABLATION_CONFIGS,
-             categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
+             categorical: Sequence[str] = CATEGORICAL, threads: int = 4) -> DataFrame:
     """ENS5-7: logistic model on cumulative feature sets, pooled threshold metrics, gains.
 
     Folds and per-fold reference tables are built once and reused by all configurations.
@@ -100,13 +108,16 @@ def ablation(train: DataFrame, configs: Sequence[tuple[str, list[str]]] = ABLATI
     assigned = temporal_folds(train).persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r["fold"] for r in assigned.select("fold").distinct().collect())
     tables = {k: _fold_tables(assigned, k) for k in folds}
+    def task(name, numeric, k):
+        TR, VA = tables[k]
+        est = build_logreg(list(numeric), list(categorical))
+        return lambda: _long(est.fit(TR).transform(VA), name, k).checkpoint(eager=True)
+
+    jobs = [(order, name, numeric, k) for order, (name, numeric) in enumerate(configs) for k in folds]
+    scored = parallel([task(name, numeric, k) for _, name, numeric, k in jobs], threads)
     rows = []
     for order, (name, numeric) in enumerate(configs):
-        parts = []
-        for k in folds:
-            TR, VA = tables[k]
-            est = build_logreg(list(numeric), list(categorical))
-            parts.append(_long(est.fit(TR).transform(VA), name, k).checkpoint(eager=True))
+        parts = [s for (o, *_), s in zip(jobs, scored) if o == order]
         oof = reduce(DataFrame.unionByName, parts)
         m = M.best_metrics(oof, ["model"]).withColumn("ordre", F.lit(order)).withColumn(
             "n_variables", F.lit(len(numeric)))
