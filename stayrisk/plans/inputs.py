@@ -25,3 +25,13 @@ def engineered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.scored(spark, sf_dir)
+
+
+def fold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training bookings (with the stand-in score) + position, fold and role, written once and reused."""
+    from ..operators.folds import temporal_folds
+    from . import store
+
+    def build():
+        return temporal_folds(fixture.reservations(spark, sf_dir).filter(fixture.is_train()))
+    return store.written(spark, "folds", f"folds-v1:{sf_dir.rstrip('/')}", build)

@@ -11,7 +11,6 @@ from ..operators import metrics as M
 from ..operators import submission as S
 from ..operators.cleaning import clean
 from ..operators.features import engineer
-from ..operators.folds import temporal_folds
 from ..oracle_sql import r, with_fixture
 from ..registry import query
 from ..sources import fixture
@@ -26,9 +25,10 @@ def pooled_threshold(spark, sf) -> float:
 
 def error_rows(spark, sf):
     """Last-fold validation rows, engineered, annotated with the error type at the frozen threshold."""
-    res = fixture.reservations(spark, sf).filter(fixture.is_train())
-    val = temporal_folds(engineer(clean(res))).where((F.col("fold") == 4) & (F.col("role") == "val"))
-    return E.error_frame(val, pooled_threshold(spark, sf))
+    from .inputs import fold_table
+
+    val = fold_table(spark, sf).where((F.col("fold") == 4) & (F.col("role") == "val"))
+    return E.error_frame(engineer(clean(val)), pooled_threshold(spark, sf))
 
 
 def scored_test(spark, sf):

@@ -19,10 +19,9 @@ ENS_WEIGHTS = {"fixture": 0.50, BASELINE_MODEL: 0.25, "absent": 0.25}
 
 def scored_oof(spark, sf):
     """Validation rows of the 4 temporal folds with the stand-in score: (model, fold, reservation_id, y, proba)."""
-    from ..operators.folds import temporal_folds
+    from .inputs import fold_table
 
-    res = fixture.reservations(spark, sf).filter(fixture.is_train())
-    folds = temporal_folds(res).where(F.col("role") == "val")
+    folds = fold_table(spark, sf).where(F.col("role") == "val")
     return folds.select(F.lit("fixture").alias("model"), "fold", "reservation_id", F.col(TARGET).alias("y"), "proba")
 
 

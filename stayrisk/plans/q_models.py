@@ -10,7 +10,6 @@ from ..functions.columns import np_round
 from ..operators import encoding as ENC
 from ..operators import metrics as M
 from ..operators import models as MOD
-from ..operators.folds import temporal_folds
 from ..operators.reference import apply_reference, fit_reference
 from ..oracle_sql import r, with_fixture
 from ..registry import query
@@ -86,10 +85,12 @@ def pre5(spark, sf):
 
 # ------------------------------------------------------------------ last-fold fits (rows-only)
 def _last_fold(spark, sf):
-    tr = inputs.cleaned(spark, sf)[0]
-    a = temporal_folds(tr)
-    trn = a.where((F.col("fold") == 4) & (F.col("role") == "train")).drop("fold", "role")
-    val = a.where((F.col("fold") == 4) & (F.col("role") == "val")).drop("fold", "role")
+    from ..operators.cleaning import clean
+
+    a = inputs.fold_table(spark, sf)
+    last = a.where(F.col("fold") == 4).drop("proba")
+    trn = clean(last.where(F.col("role") == "train").drop("fold", "role"))
+    val = clean(last.where(F.col("role") == "val").drop("fold", "role"))
     ref = fit_reference(trn)
     return apply_reference(trn, ref), apply_reference(val, ref)
 
@@ -193,3 +194,18 @@ def sub1(spark, sf):
 @query("fld3_random_cv_f1")
 def fld3_random(spark, sf):
     return validation.random_cv_f1(inputs.cleaned(spark, sf)[0], profile=PROFILE)
+
+
+@query("ens3_stream_scoring")
+def ens3_stream(spark, sf):
+    """The final ensemble scoring the test bookings as a stream (availableNow), read back from the sink."""
+    from ..streaming.scoring import run_scoring
+
+    ref, model, _, _ = _final(spark, sf)
+    raw_test = inputs.raw(spark, sf)[1]
+    src = store.path_for(spark, "stream-src", f"src-v1:{sf}")
+    if not store.exists(spark, src):
+        raw_test.write.mode("overwrite").parquet(src)
+    base = store.path_for(spark, "stream-out", f"out-v1:{PROFILE}:{sf}")
+    run_scoring(spark, src, base + "/data", base + "/_checkpoint", ref, model)
+    return spark.read.parquet(base + "/data")
