@@ -206,3 +206,28 @@ def tree_preprocessor(numeric, categorical) -> FeatureAssembler:
 
 __all__ = ["FeatureAssembler", "FeatureAssemblerModel", "NumericScaler", "OneHot", "Pipeline",
            "column_medians", "column_moments", "linear_preprocessor", "tree_preprocessor"]
+
+
+class FoldPrep:
+    """Per-fold statistics shared by every model of the fold.
+
+    Medians, means, scales and category indexes are per column, so one fit on the
+    union of numeric columns serves every subset (baseline, enriched, ablation
+    configurations, linear or tree branch): one statistics job per fold instead of
+    one per model.
+    """
+
+    def __init__(self, dataset: DataFrame, numeric: Sequence[str], categorical: Sequence[str]):
+        self.numeric = list(dict.fromkeys(numeric))
+        self.scaler = NumericScaler(self.numeric, standardize=True).fit(dataset)
+        self.onehot_linear = OneHot(categorical, drop_first=True).fit(dataset)
+        self.onehot_tree = OneHot(categorical, drop_first=False).fit(dataset)
+        self.categorical = list(categorical)
+
+    def model(self, numeric: Sequence[str], categorical: Sequence[str], linear: bool,
+              output_col: str = "features") -> FeatureAssemblerModel:
+        if list(categorical) != self.categorical or not set(numeric) <= set(self.numeric):
+            raise ValueError("columns outside the prepared fold statistics")
+        s = self.scaler
+        num = NumericScalerModel(list(numeric), s.medians, s.means, s.scales, standardize=linear)
+        return FeatureAssemblerModel(num, self.onehot_linear if linear else self.onehot_tree, output_col)

@@ -89,8 +89,18 @@ class ScoringEstimator(Estimator):
         self.name, self.numeric, self.categorical = name, list(numeric), list(categorical)
         self.linear, self.make_clf, self.label = linear, make_clf, label
 
+    prepared = None  # optional encoding.FoldPrep shared by the models of one fold
+
+    def with_prep(self, prepared) -> "ScoringEstimator":
+        self.prepared = prepared
+        return self
+
     def _fit(self, dataset: DataFrame) -> ScoringModel:
-        prep = FeatureAssembler(self.numeric, self.categorical, linear=self.linear, output_col="__features").fit(dataset)
+        if self.prepared is not None:
+            prep = self.prepared.model(self.numeric, self.categorical, self.linear, output_col="__features")
+        else:
+            prep = FeatureAssembler(self.numeric, self.categorical, linear=self.linear,
+                                    output_col="__features").fit(dataset)
         data = prep.transform(dataset).select("__features", F.col(self.label).cast("double").alias("__label"))
         n = data.count()
         clf = self.make_clf(n).setFeaturesCol("__features").setLabelCol("__label")

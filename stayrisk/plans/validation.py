@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ensemble as ens
 from ..operators import metrics as M
+from ..operators.encoding import FoldPrep
 from ..operators.folds import stratified_folds, temporal_folds
 from ..operators.models import build_all, build_hgb, build_lgbm, build_logreg
 from ..operators.reference import apply_reference, fit_reference
@@ -69,6 +70,10 @@ def cross_validate(train: DataFrame, models: dict | None = None, profile: str =
     out = []
     for fold in sorted(r["fold"] for r in assigned.select("fold").distinct().collect()):  # <= 4 values
         TR, VA = _fold_tables(assigned, fold)
+        prep = FoldPrep(TR, [c for e in models.values() for c in e.numeric], next(iter(models.values())).categorical)
+        for est in models.values():
+            est.with_prep(prep)
+
         def task(name, est, TR=TR, VA=VA, fold=fold):
             # reliable checkpoint: lineage cut in the shared folder, survives executor loss
             return lambda: _long(est.fit(TR).transform(VA), name, fold).checkpoint(eager=True)
@@ -108,9 +113,12 @@ def ablation(train: DataFrame, configs: Sequence[tuple[str, list[str]]] = ABLATI
     assigned = temporal_folds(train).persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r["fold"] for r in assigned.select("fold").distinct().collect())
     tables = {k: _fold_tables(assigned, k) for k in folds}
+    every = [c for _, numeric in configs for c in numeric]
+    preps = {k: FoldPrep(tables[k][0], every, categorical) for k in folds}
+
     def task(name, numeric, k):
         TR, VA = tables[k]
-        est = build_logreg(list(numeric), list(categorical))
+        est = build_logreg(list(numeric), list(categorical)).with_prep(preps[k])
         return lambda: _long(est.fit(TR).transform(VA), name, k).checkpoint(eager=True)
 
     jobs = [(order, name, numeric, k) for order, (name, numeric) in enumerate(configs) for k in folds]
@@ -159,6 +167,8 @@ def final_model(train: DataFrame, threshold: float, profile: str = "fast"):
     TR = apply_reference(train, ref).persist(StorageLevel.MEMORY_AND_DISK)
     members = {MODEL_LOGREG: build_logreg(profile=profile), MODEL_HGB: build_hgb(profile=profile),
                MODEL_LGBM: build_lgbm(profile=profile)}
+    prep = FoldPrep(TR, [c for e in members.values() for c in e.numeric], CATEGORICAL)
+    members = {n: e.with_prep(prep) for n, e in members.items()}
     model = ens.EnsembleEstimator(members, ENSEMBLE_RAW_WEIGHTS, threshold).fit(TR)
     TR.unpersist()
     return ref, model
@@ -181,6 +191,8 @@ def random_cv_f1(train: DataFrame, k: int = 5, profile: str = "fast") -> DataFra
         VA = apply_reference(va, ref)
         members = {MODEL_LOGREG: build_logreg(profile=profile), MODEL_HGB: build_hgb(profile=profile),
                    MODEL_LGBM: build_lgbm(profile=profile)}
+        prep = FoldPrep(TR, [c for e in members.values() for c in e.numeric], CATEGORICAL)
+        members = {n: e.with_prep(prep) for n, e in members.items()}
         m = ens.EnsembleEstimator(members, ENSEMBLE_RAW_WEIGHTS).fit(TR)
         parts.append(_long(m.transform(VA), MODEL_ENSEMBLE, fold).checkpoint(eager=True))
         TR.unpersist()
