@@ -43,21 +43,47 @@ class ReferenceStats:
     season_small: bool = True
 
 
-def hotel_medians(base: DataFrame) -> DataFrame:
-    """REF1: exact median price per hotel (null keys dropped, as pandas groupby does)."""
-    return (base.where(F.col("hotel_id").isNotNull())
-            .groupBy("hotel_id").agg(F.median(PRICE).alias("prix_ref_hotel")))
+def reference_medians(base: DataFrame) -> DataFrame:
+    """REF1-3 in one distributed job: exact median price per hotel, per (region, month) and overall.
+
+    The three groupings are stacked as (kind, k1, k2) keys and ranked with the
+    skew-safe running sums, so a hotel holding a third of the rows is split over
+    many tasks (a per-group value map would pin it to one). Null keys are dropped
+    as pandas groupby does.
+    """
+    price = F.col(PRICE).cast("double")
+    hotel_ok = F.col("hotel_id").isNotNull()
+    season_ok = F.col("region_hotel").isNotNull() & F.col("mois_arrivee").isNotNull()
+    keys = F.array(
+        F.when(hotel_ok, F.struct(F.lit("hotel").alias("kind"), F.col("hotel_id").cast("string").alias("k1"),
+                                  F.lit(0).alias("k2"))),
+        F.when(season_ok, F.struct(F.lit("season").alias("kind"), F.col("region_hotel").cast("string").alias("k1"),
+                                   F.col("mois_arrivee").cast("int").alias("k2"))),
+        F.struct(F.lit("global").alias("kind"), F.lit("").alias("k1"), F.lit(0).alias("k2")),
+    )
+    stacked = base.select(price.alias(PRICE), F.explode(F.filter(keys, lambda x: x.isNotNull())).alias("g")).select(
+        "g.kind", "g.k1", "g.k2", PRICE)
+    return exact_median(stacked, PRICE, ["kind", "k1", "k2"], name="mediane")
+
+
+def hotel_medians(base: DataFrame, meds: DataFrame | None = None) -> DataFrame:
+    """REF1: exact median price per hotel (null keys dropped)."""
+    meds = reference_medians(base) if meds is None else meds
+    return meds.where(F.col("kind") == "hotel").select(F.col("k1").alias("hotel_id"),
+                                                       F.col("mediane").alias("prix_ref_hotel"))
 
 
-def season_medians(base: DataFrame) -> DataFrame:
+def season_medians(base: DataFrame, meds: DataFrame | None = None) -> DataFrame:
     """REF2: exact median price per (region, arrival month)."""
-    return (base.where(F.col("region_hotel").isNotNull() & F.col("mois_arrivee").isNotNull())
-            .groupBy("region_hotel", "mois_arrivee").agg(F.median(PRICE).alias("prix_ref_saison")))
+    meds = reference_medians(base) if meds is None else meds
+    return meds.where(F.col("kind") == "season").select(
+        F.col("k1").alias("region_hotel"), F.col("k2").alias("mois_arrivee"), F.col("mediane").alias("prix_ref_saison"))
 
 
-def global_median(base: DataFrame) -> DataFrame:
-    """REF3: exact global median, computed distributed (no single-task value map)."""
-    return exact_median(base, PRICE, name="prix_ref_global")
+def global_median(base: DataFrame, meds: DataFrame | None = None) -> DataFrame:
+    """REF3: exact global median."""
+    meds = reference_medians(base) if meds is None else meds
+    return meds.where(F.col("kind") == "global").select(F.col("mediane").alias("prix_ref_global"))
 
 
 def known_categories(base: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
@@ -71,9 +97,11 @@ def known_categories(base: DataFrame, columns: Sequence[str] = CATEGORICAL) -> D
 def fit_reference(train: DataFrame, columns: Sequence[str] = CATEGORICAL) -> ReferenceStats:
     """REF8 fit: statistics of a cleaned training fold (row features are derived first)."""
     base = engineer(train) if "mois_arrivee" not in train.columns else train
-    hotel = hotel_medians(base)
-    season = season_medians(base)
-    gm = global_median(base).first()
+    # one job for the three median tables; the small result is checkpointed (lineage cut)
+    meds = reference_medians(base).checkpoint(eager=True)
+    hotel = hotel_medians(base, meds)
+    season = season_medians(base, meds)
+    gm = global_median(base, meds).first()
     cats = known_categories(base, columns)
     known = None
     if fits(cats, MAX_LITERAL_LEVELS):
