@@ -12,6 +12,9 @@ partitioned on ``(group, order)`` so a hot group spreads over many tasks:
    from earlier partitions;
 4. the carry table is broadcast (its size is the partition count) and added.
 
+The local pass is checkpointed (reliable, in the shared checkpoint folder) so
+its sampled range bounds are fixed once for both consumers and for recovery.
+
 Each step is a Spark stage; no group ever sits in one task.
 """
 
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 # Ship this module's per-partition code by value: executors need no installed copy of the package.
 try:
@@ -124,6 +127,12 @@ def running_sums(
         + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_RI, T.LongType(), False)]
     )
     local = ranged.mapInPandas(_local_pass(group_cols, sum_cols, out_cols), schema)
+    # The range bounds come from a sample of the input, whose row order after a shuffle is not
+    # fixed: two evaluations of ``local`` (summary branch, main branch, or a recomputation after
+    # a lost executor) could cut the partitions differently. Materialise it once with a reliable
+    # checkpoint in the shared folder; both branches then read the same rows and partition ids.
+    ensure_checkpoint_dir(spark)
+    local = local.checkpoint(eager=True)
 
     key = F.struct(*[F.col(g) for g in group_cols]) if group_cols else F.struct(F.lit(0).alias("k"))
     summary = local.groupBy(_PID).agg(

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.schema import (CATEGORICAL, MODEL_BASELINE, MODEL_HGB, MODEL_LGBM, MODEL_LOGREG, MODEL_NUMERIC,
+from ..sources.schema import (CATEGORICAL, ID_COL, MODEL_BASELINE, MODEL_HGB, MODEL_LGBM, MODEL_LOGREG, MODEL_NUMERIC,
                               MODEL_RF, RAW_NUMERIC, SEED, TARGET)
 from .encoding import FeatureAssembler, FeatureAssemblerModel
 
@@ -101,7 +101,13 @@ class ScoringEstimator(Estimator):
         else:
             prep = FeatureAssembler(self.numeric, self.categorical, linear=self.linear,
                                     output_col="__features").fit(dataset)
-        data = prep.transform(dataset).select("__features", F.col(self.label).cast("double").alias("__label"))
+        cols = [F.col(ID_COL)] if ID_COL in dataset.columns else []
+        data = prep.transform(dataset).select(*cols, "__features", F.col(self.label).cast("double").alias("__label"))
+        if cols:
+            # deterministic partition contents and row order: seeded row sampling (trees) and
+            # floating-point sums (logistic) no longer depend on shuffle fetch order (T19)
+            n_parts = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+            data = data.repartition(n_parts, ID_COL).sortWithinPartitions(ID_COL).drop(ID_COL)
         n = data.count()
         clf = self.make_clf(n).setFeaturesCol("__features").setLabelCol("__label")
         fitted = clf.fit(data)

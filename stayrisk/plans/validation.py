@@ -59,33 +59,36 @@ def _ensemble_rows(parts: list[DataFrame], fold: int) -> DataFrame | None:
 
 
 def cross_validate(train: DataFrame, models: dict | None = None, profile: str = "fast",
-                   with_ensemble: bool = True, checkpoint: bool = True, threads: int = 4) -> DataFrame:
+                   with_ensemble: bool = True, checkpoint: bool = True, threads: int = 6) -> DataFrame:
     """ENS4: out-of-fold scores of every model (and the ensemble) on the 4 temporal folds.
 
-    ``train`` is the cleaned training table. The result is checkpointed (lineage
-    cut in the shared checkpoint folder) so reports do not refit anything.
+    ``train`` is the cleaned training table. Fold tables and their shared
+    preprocessing statistics are built first; then every (fold, model) fit runs
+    as an independent job from a thread pool. Each score table is checkpointed
+    (lineage cut in the shared folder), so reports never refit anything.
     """
     models = models if models is not None else build_all(profile)
     assigned = temporal_folds(train).persist(StorageLevel.MEMORY_AND_DISK)  # reused by every fold
-    out = []
-    for fold in sorted(r["fold"] for r in assigned.select("fold").distinct().collect()):  # <= 4 values
-        TR, VA = _fold_tables(assigned, fold)
-        prep = FoldPrep(TR, [c for e in models.values() for c in e.numeric], next(iter(models.values())).categorical)
-        for est in models.values():
-            est.with_prep(prep)
-
-        def task(name, est, TR=TR, VA=VA, fold=fold):
-            # reliable checkpoint: lineage cut in the shared folder, survives executor loss
-            return lambda: _long(est.fit(TR).transform(VA), name, fold).checkpoint(eager=True)
-
-        names = list(models)
-        scored = parallel([task(n, models[n]) for n in names], threads)
-        out.extend(scored)
-        member_parts = [s for n, s in zip(names, scored) if n in ENSEMBLE_MEMBERS]
-        if with_ensemble:
-            e = _ensemble_rows(member_parts, fold)
+    folds = sorted(r["fold"] for r in assigned.select("fold").distinct().collect())  # <= 4 values
+    tables = {k: _fold_tables(assigned, k) for k in folds}
+    numeric = [c for e in models.values() for c in e.numeric]
+    categorical = next(iter(models.values())).categorical
+    preps = {k: FoldPrep(tables[k][0], numeric, categorical) for k in folds}
+
+    def task(name, k):
+        TR, VA = tables[k]
+        est = _fresh(models[name]).with_prep(preps[k])
+        return lambda: _long(est.fit(TR).transform(VA), name, k).checkpoint(eager=True)
+
+    jobs = [(k, name) for k in folds for name in models]
+    scored = dict(zip(jobs, parallel([task(name, k) for k, name in jobs], threads)))
+    out = [scored[j] for j in jobs]
+    if with_ensemble:
+        for k in folds:
+            e = _ensemble_rows([scored[(k, n)] for n in models if n in ENSEMBLE_MEMBERS], k)
             if e is not None:
                 out.append(e.checkpoint(eager=True))
+    for TR, VA in tables.values():
         TR.unpersist()
         VA.unpersist()
     assigned.unpersist()
@@ -93,6 +96,13 @@ def cross_validate(train: DataFrame, models: dict | None = None, profile: str =
     return result.checkpoint(eager=True) if checkpoint else result
 
 
+def _fresh(est):
+    """A copy of a model builder, so concurrent fits of different folds never share state."""
+    import copy
+
+    return copy.copy(est)
+
+
 def fold_report(oof: DataFrame) -> DataFrame:
     """Per (model, fold): best-F1 threshold and the metric row (reference 'results by fold')."""
     return M.best_metrics(oof, ["model", "fold"]).withColumnRenamed("model", "modele")

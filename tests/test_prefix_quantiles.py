@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from stayrisk.functions.prefix import row_positions, running_sums
 from stayrisk.operators.quantiles import exact_median, exact_quantiles
@@ -43,3 +44,14 @@ def test_exact_quantiles_match_numpy(spark):
         assert np.allclose(q.loc[g, [f"q{i}" for i in range(len(probs))]].to_numpy(dtype=float), exp)
     med = exact_median(df, "v").first()["median"]
     assert np.isclose(med, np.nanmedian(pdf["v"]))
+
+
+def test_quantiles_of_shuffled_input_are_exact_and_repeatable(spark):
+    # input straight out of a shuffle: its row order (and the range sample) varies between evaluations
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame({"k": rng.integers(0, 5000, 20000), "v": rng.gamma(2.0, 300.0, 20000)})
+    shuffled = spark.createDataFrame(pdf).groupBy("k").agg(F.sum("v").alias("s"))
+    exp = np.percentile(pdf.groupby("k")["v"].sum().to_numpy(), [10, 50, 90])
+    for _ in range(2):
+        got = exact_quantiles(shuffled, "s", [0.1, 0.5, 0.9]).first()
+        assert np.allclose([got["q0"], got["q1"], got["q2"]], exp)
