@@ -139,8 +139,8 @@ FROM (
       montant_total_eur / nullif(nuits, 0) AS montant_par_nuit,
       cast(CASE type_acompte WHEN 'aucun' THEN 0 WHEN 'partiel' THEN 1 WHEN 'total' THEN 2 END AS double) AS acompte_ord,
       CASE WHEN coalesce(tarif_remboursable = 'oui', false) THEN 1 ELSE 0 END AS remboursable,
-      extract(month FROM date_arrivee) AS mois_arrivee,
-      extract(month FROM date_reservation) AS mois_reservation,
+      cast(extract(month FROM date_arrivee) AS int) AS mois_arrivee,
+      cast(extract(month FROM date_reservation) AS int) AS mois_reservation,
       ln(1 + delai_reservation_jours) AS log_delai,
       delai_reservation_jours / nullif(nuits, 0) AS delai_par_nuit,
       CASE WHEN coalesce(modifications_reservation > 0, false) THEN 1 ELSE 0 END AS a_modifie

@@ -135,7 +135,7 @@ def err7(spark, sf):
 SELECT sp.classe, sp.bin, sp.bin * ((sp.hi - sp.lo) / 30.0E0) + sp.lo AS borne_basse,
        CASE WHEN sp.bin + 1 = 30 THEN sp.hi ELSE (sp.bin + 1) * ((sp.hi - sp.lo) / 30.0E0) + sp.lo END AS borne_haute,
        coalesce(c.n, 0) AS n
-FROM (SELECT g.classe, g.lo, g.hi, b.bin FROM rng g, range(30) b(bin)) sp
+FROM (SELECT g.classe, g.lo, g.hi, cast(b.bin AS int) AS bin FROM rng g, range(30) b(bin)) sp
 LEFT JOIN (
   SELECT classe, i3 AS bin2, count(*) AS n FROM (
     SELECT *, CASE WHEN x >= (CASE WHEN i2 + 1 = 30 THEN hi ELSE (i2 + 1) * ((hi - lo) / 30.0E0) + lo END) AND i2 <> 29

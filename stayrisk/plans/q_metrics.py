@@ -48,7 +48,7 @@ models AS (
   UNION ALL
   SELECT 'baseline_taux', x.reservation_id, x.reservation_annulee, coalesce(rt.rate, 0.0E0)
   FROM res x LEFT JOIN rates rt ON x.type_acompte = rt.type_acompte AND x.tarif_remboursable = rt.tarif_remboursable),
-grid AS (SELECT i, CASE WHEN i = 180 THEN 0.95E0 ELSE i * ((0.95E0 - 0.05E0) / 180) + 0.05E0 END AS seuil
+grid AS (SELECT cast(i AS int) AS i, CASE WHEN i = 180 THEN 0.95E0 ELSE i * ((0.95E0 - 0.05E0) / 180) + 0.05E0 END AS seuil
          FROM range(181) r(i))
 """
 
@@ -243,7 +243,7 @@ def met14(spark, sf):
 SELECT decile, n, {r('pm', 3)} AS proba_moyenne, {r('rate', 3)} AS taux_reel,
        {r('rate / (sum(pos) OVER () / sum(n) OVER ())', 2)} AS lift,
        {r('pos / sum(pos) OVER ()', 3)} AS part_annulations
-FROM (SELECT greatest(len(list_distinct(list_filter(e, lambda x: x < proba))), 1) AS decile, count(*) AS n,
+FROM (SELECT cast(greatest(len(list_distinct(list_filter(e, lambda x: x < proba))), 1) AS int) AS decile, count(*) AS n,
              avg(proba) AS pm, avg(y) AS rate, sum(y) AS pos
       FROM oof, (SELECT quantile_cont(proba, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM oof)
       GROUP BY 1)""", _ctes()))
