@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import ensure_checkpoint_dir
 
 # Ship this module's per-partition code by value: executors need no installed copy of the package.
 try:
@@ -114,12 +114,15 @@ def running_sums(
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
     out_cols = list(out_cols) if out_cols is not None else [f"{c}_cum" for c in sum_cols]
     spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
 
     sort_exprs = [F.col(c).asc_nulls_first() for c in group_cols] + [
         (F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()) for c in order_cols
     ]
-    ranged = df.repartitionByRange(n, *sort_exprs).sortWithinPartitions(*sort_exprs)
+    # Without an explicit count the range shuffle uses spark.sql.shuffle.partitions and AQE may
+    # coalesce adjacent (still ordered) partitions from measured sizes; the layout is frozen by
+    # the checkpoint below, so both consumers agree on it.
+    ranged = df.repartitionByRange(num_partitions, *sort_exprs) if num_partitions else df.repartitionByRange(*sort_exprs)
+    ranged = ranged.sortWithinPartitions(*sort_exprs)
 
     schema = T.StructType(
         list(df.schema.fields)

@@ -39,6 +39,10 @@ LGBM_PARAMS = dict(n_estimators=400, learning_rate=0.03, num_leaves=7, min_child
                    colsample_bytree=0.6, subsample=0.8, reg_lambda=10.0)
 
 
+# Training rows per partition for the fits (this library's sizing, not an original setting).
+ROWS_PER_PARTITION = 25_000
+
+
 @dataclass(frozen=True)
 class Profile:
     """Tree sizes: ``full`` follows the original settings, ``fast`` is for tests and local checks."""
@@ -103,12 +107,14 @@ class ScoringEstimator(Estimator):
                                     output_col="__features").fit(dataset)
         cols = [F.col(ID_COL)] if ID_COL in dataset.columns else []
         data = prep.transform(dataset).select(*cols, "__features", F.col(self.label).cast("double").alias("__label"))
+        n = data.count()
         if cols:
             # deterministic partition contents and row order: seeded row sampling (trees) and
-            # floating-point sums (logistic) no longer depend on shuffle fetch order (T19)
-            n_parts = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+            # floating-point sums (logistic) no longer depend on shuffle fetch order (T19);
+            # partitions sized by rows, capped by the session's shuffle partitions
+            cap = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+            n_parts = max(1, min(cap, -(-n // ROWS_PER_PARTITION)))
             data = data.repartition(n_parts, ID_COL).sortWithinPartitions(ID_COL).drop(ID_COL)
-        n = data.count()
         clf = self.make_clf(n).setFeaturesCol("__features").setLabelCol("__label")
         fitted = clf.fit(data)
         return ScoringModel(prep, fitted, self.name)
