@@ -209,3 +209,25 @@ def ens3_stream(spark, sf):
     base = store.path_for(spark, "stream-out", f"out-v1:{PROFILE}:{sf}")
     run_scoring(spark, src, base + "/data", base + "/_checkpoint", ref, model)
     return spark.read.parquet(base + "/data")
+
+
+@query("snk1_report_tables")
+def snk1_reports(spark, sf):
+    """Every report table of a run written as CSV (SNK1) plus the ordered submission (SNK2), read back."""
+    from functools import reduce
+
+    from ..sources.schema import SUBMISSION_SCHEMA
+    from . import reports
+
+    tr, te = inputs.cleaned(spark, sf)
+    out_dir = store.path_for(spark, "reports", f"reports-v1:{PROFILE}:{sf.rstrip('/')}")
+    if not store.exists(spark, out_dir + "/submission"):
+        tables, sub = reports.build_reports(tr, te, oof_scores(spark, sf), ens5(spark, sf), PROFILE)
+        reports.write_reports(tables, sub, out_dir)
+    names = reports.REPORTS + ["submission"]
+    counts = []
+    for n in names:
+        reader = spark.read.option("header", True)
+        df = reader.schema(SUBMISSION_SCHEMA).csv(f"{out_dir}/{n}") if n == "submission" else reader.csv(f"{out_dir}/{n}")
+        counts.append(df.agg(F.count(F.lit(1)).alias("lignes")).select(F.lit(n).alias("rapport"), "lignes"))
+    return reduce(lambda a, b: a.unionByName(b), counts)
