@@ -193,7 +193,21 @@ def sub1(spark, sf):
 
 @query("fld3_random_cv_f1")
 def fld3_random(spark, sf):
-    return validation.random_cv_f1(inputs.cleaned(spark, sf)[0], profile=PROFILE)
+    def build():
+        return validation.random_cv_f1(inputs.cleaned(spark, sf)[0], profile=PROFILE)
+    return store.written(spark, "random-cv", f"random-cv-v1:{PROFILE}:{sf.rstrip('/')}", build)
+
+
+@query("met19_temporal_minus_random_f1")
+def met19_random(spark, sf):
+    """MET19: pooled out-of-fold F1 of the ensemble (temporal folds) vs the random stratified 5-fold check."""
+    from ..functions.joins import join_groups
+
+    temporal = M.best_threshold(M.sweep(oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE))).select(
+        F.col("f1").alias("f1_temporel"))
+    rnd = fld3_random(spark, sf).select(F.col("f1").alias("f1_aleatoire"))
+    return join_groups(temporal, rnd, []).select(
+        "f1_temporel", "f1_aleatoire", (F.col("f1_aleatoire") - F.col("f1_temporel")).alias("ecart"))
 
 
 @query("ens3_stream_scoring")
