@@ -40,8 +40,10 @@ def right_closed_bin(c: str | Column, edges: Sequence[float], labels: Sequence |
 
 
 def interval_label(lo: float, hi: float) -> str:
-    """Text label of a right-closed interval, as printed by pandas."""
-    return f"({float(lo)}, {float(hi)}]" if isinstance(lo, float) or isinstance(hi, float) else f"({lo}, {hi}]"
+    """Text label of a right-closed interval as pandas prints it: integer edges stay integers."""
+    if isinstance(lo, int) and isinstance(hi, int):
+        return f"({lo}, {hi}]"
+    return f"({float(lo)}, {float(hi)}]"
 
 
 def left_closed_bin(c: str | Column, bounds: Sequence[tuple[str, float, float]]) -> Column:

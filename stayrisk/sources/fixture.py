@@ -139,10 +139,9 @@ def reservations(spark: SparkSession, sf_dir: str, with_proba: bool = True) -> D
 
 
 def _written(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    return p.getFileSystem(conf).exists(p)
+    from ..plans.store import exists
+
+    return exists(spark, path)
 
 
 def derive_reservations(spark: SparkSession, sf_dir: str, with_proba: bool = True) -> DataFrame:

@@ -55,3 +55,24 @@ def test_quantiles_of_shuffled_input_are_exact_and_repeatable(spark):
     for _ in range(2):
         got = exact_quantiles(shuffled, "s", [0.1, 0.5, 0.9]).first()
         assert np.allclose([got["q0"], got["q1"], got["q2"]], exp)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(sizes=st.lists(st.integers(1, 400), min_size=1, max_size=6), parts=st.integers(1, 13),
+       descending=st.booleans(), seed=st.integers(0, 10_000))
+def test_running_sums_property(spark, sizes, parts, descending, seed):
+    rng = np.random.default_rng(seed)
+    g = np.concatenate([np.full(s, i) for i, s in enumerate(sizes)])
+    pdf = pd.DataFrame({"g": g.astype("int64"), "o": rng.permutation(len(g)).astype("int64"),
+                        "x": rng.integers(-3, 4, len(g)).astype("int64")})
+    df = spark.createDataFrame(pdf).repartition(3)
+    out = running_sums(df, ["o"], ["x"], group_cols=["g"], out_cols=["c"], descending=descending,
+                       num_partitions=parts).toPandas()
+    exp = pdf.sort_values(["g", "o"], ascending=[True, not descending])
+    exp = exp.assign(c=exp.groupby("g")["x"].cumsum())
+    m = out.merge(exp, on=["g", "o", "x"], suffixes=("", "_e"))
+    assert len(m) == len(pdf) and np.allclose(m["c"], m["c_e"])
