@@ -83,7 +83,12 @@ class EnsembleEstimator(Estimator):
         self.threshold = threshold
 
     def _fit(self, dataset: DataFrame) -> EnsembleModel:
-        fitted = {n: est.fit(dataset) for n, est in self.members.items() if n in self.raw_weights}
+        from concurrent.futures import ThreadPoolExecutor
+
+        names = [n for n in self.members if n in self.raw_weights]
+        with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:  # members are independent jobs
+            models = list(pool.map(lambda n: self.members[n].fit(dataset), names))
+        fitted = dict(zip(names, models))
         total = sum(self.raw_weights[n] for n in fitted)
         weights = {n: self.raw_weights[n] / total for n in fitted}
         return EnsembleModel(fitted, weights, self.threshold)

@@ -189,23 +189,28 @@ def score(test: DataFrame, ref, model) -> DataFrame:
     return model.transform(apply_reference(test, ref))
 
 
-def random_cv_f1(train: DataFrame, k: int = 5, profile: str = "fast") -> DataFrame:
+def random_cv_f1(train: DataFrame, k: int = 5, profile: str = "fast", threads: int = 3) -> DataFrame:
     """FLD3 counter-check: ensemble on a stratified random k-fold; pooled best F1 (one row)."""
     folded = stratified_folds(train, k=k).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = []
-    for fold in range(1, k + 1):
-        tr = folded.where(F.col("fold") != fold).drop("fold")
-        va = folded.where(F.col("fold") == fold).drop("fold")
-        ref = fit_reference(tr)
-        TR = apply_reference(tr, ref).persist(StorageLevel.MEMORY_AND_DISK)
-        VA = apply_reference(va, ref)
-        members = {MODEL_LOGREG: build_logreg(profile=profile), MODEL_HGB: build_hgb(profile=profile),
-                   MODEL_LGBM: build_lgbm(profile=profile)}
-        prep = FoldPrep(TR, [c for e in members.values() for c in e.numeric], CATEGORICAL)
-        members = {n: e.with_prep(prep) for n, e in members.items()}
-        m = ens.EnsembleEstimator(members, ENSEMBLE_RAW_WEIGHTS).fit(TR)
-        parts.append(_long(m.transform(VA), MODEL_ENSEMBLE, fold).checkpoint(eager=True))
-        TR.unpersist()
+
+    def task(fold):
+        def run():
+            tr = folded.where(F.col("fold") != fold).drop("fold")
+            va = folded.where(F.col("fold") == fold).drop("fold")
+            ref = fit_reference(tr)
+            TR = apply_reference(tr, ref).persist(StorageLevel.MEMORY_AND_DISK)
+            VA = apply_reference(va, ref)
+            members = {MODEL_LOGREG: build_logreg(profile=profile), MODEL_HGB: build_hgb(profile=profile),
+                       MODEL_LGBM: build_lgbm(profile=profile)}
+            prep = FoldPrep(TR, [c for e in members.values() for c in e.numeric], CATEGORICAL)
+            members = {n: e.with_prep(prep) for n, e in members.items()}
+            m = ens.EnsembleEstimator(members, ENSEMBLE_RAW_WEIGHTS).fit(TR)
+            scored = _long(m.transform(VA), MODEL_ENSEMBLE, fold).checkpoint(eager=True)
+            TR.unpersist()
+            return scored
+        return run
+
+    parts = parallel([task(f) for f in range(1, k + 1)], threads)
     folded.unpersist()
     oof = reduce(DataFrame.unionByName, parts)
     return M.best_threshold(M.sweep(oof)).select("seuil", "f1")
