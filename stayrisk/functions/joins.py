@@ -21,9 +21,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
 
 
 def join_groups(left: DataFrame, right: DataFrame, group_cols, how: str = "inner", broadcast_right: bool = False) -> DataFrame:
-    """Equi join on ``group_cols``; with no group column, join a one-row-per-group table on a constant key."""
+    """Equi join on ``group_cols`` with a one-row-per-group table.
+
+    With no group column the right side is a single row: its values are fetched
+    (one row, a scalar-sized action) and added as literals, so no cross product
+    appears in the plan.
+    """
     group_cols = list(group_cols)
-    r = F.broadcast(right) if broadcast_right else right
     if group_cols:
+        r = F.broadcast(right) if broadcast_right else right
         return left.join(r, group_cols, how)
-    return left.withColumn("__g", F.lit(0)).join(r.withColumn("__g", F.lit(0)), "__g", how).drop("__g")
+    row = right.first()
+    if row is None:
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+        out = left.select("*", *nulls)
+        return out.where(F.lit(False)) if how == "inner" else out
+    return left.select("*", *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in right.schema.fields])

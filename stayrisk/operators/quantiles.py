@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_groups
 from ..functions.prefix import running_sums
 
 
@@ -25,10 +26,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
     counts = v.groupBy(*group_cols, "__v").agg(F.count(F.lit(1)).cast("double").alias("__c"))
     ranked = running_sums(counts, ["__v"], ["__c"], group_cols=group_cols, out_cols=["__cum"])
     totals = counts.groupBy(*group_cols).agg(F.sum("__c").alias("__n"))
-    if group_cols:
-        joined = ranked.join(totals, group_cols, "inner")
-    else:  # one total row, joined on a constant key
-        joined = ranked.withColumn("__k", F.lit(0)).join(F.broadcast(totals.withColumn("__k", F.lit(0))), "__k")
+    joined = join_groups(ranked, totals, group_cols)  # no group: the single total becomes a literal
     # Position window of each distinct value: [cum - c, cum - 1] (0-based).
     first = F.col("__cum") - F.col("__c")
     last = F.col("__cum") - F.lit(1.0)
