@@ -100,3 +100,22 @@ def test_histogram_matches_numpy(spark):
         got = out[out.classe == c].sort_values("bin")
         assert got["n"].tolist() == counts.tolist()
         assert np.allclose(got["borne_basse"], edges[:-1])
+
+
+def test_quarterly_spine_keeps_empty_quarters(spark):
+    import datetime as dt
+
+    from stayrisk.operators.eda import quarterly_rate
+
+    rows = [(dt.date(2023, 1, 5), 1), (dt.date(2023, 2, 1), 0), (dt.date(2023, 10, 3), 1)]
+    df = spark.createDataFrame(rows, "date_reservation date, reservation_annulee int")
+    out = {r["trimestre"]: (r["effectif"], r["taux_annulation"]) for r in quarterly_rate(df).collect()}
+    assert out == {dt.date(2023, 3, 31): (2, 0.5), dt.date(2023, 6, 30): (0, None),
+                   dt.date(2023, 9, 30): (0, None), dt.date(2023, 12, 31): (1, 1.0)}
+
+
+def test_median_lead_reindexed_with_missing_type(spark):
+    rows = [("vrai positif", 10), ("vrai positif", 20), ("faux négatif", 7)]
+    df = spark.createDataFrame(rows, "type_erreur string, delai_reservation_jours int")
+    out = {r["type_erreur"]: r["delai_median"] for r in E.median_lead_by_error(df).collect()}
+    assert out == {"vrai positif": 15.0, "faux positif": None, "faux négatif": 7.0, "vrai négatif": None}
