@@ -9,6 +9,7 @@ from ..oracle_sql import r, with_fixture
 from ..registry import query
 from ..sources.schema import TARGET
 from . import inputs
+from .q_data import REF_CTES
 
 
 def _rate_sql(key: str, src: str = "train_fe") -> str:
@@ -166,7 +167,7 @@ def eda16(spark, sf):
 
 @query("eda17_channel_counts_after_remap", with_fixture(
     "SELECT canal_reservation, count(*) AS effectif FROM test_ref GROUP BY canal_reservation",
-    __import__("stayrisk.plans.q_data", fromlist=["REF_CTES"]).REF_CTES))
+    REF_CTES))
 def eda17(spark, sf):
     from ..operators.reference import apply_reference, fit_reference
 
