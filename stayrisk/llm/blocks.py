@@ -25,9 +25,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .text import hashes, words
+
 BLOCK_CHARS = 4_000_000
 BLOB_SCHEMA = "part int, block int, keys binary, extra binary"
 REPLY_SCHEMA = "block int, part int, reply binary"
@@ -66,13 +69,13 @@ def unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def planes32(x: np.ndarray) -> bytes:
-    """uint32 values as byte planes."""
-    return np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
+def planes(x: np.ndarray) -> bytes:
+    """int64 values as byte planes."""
+    return np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def unplanes32(blob: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+def unplanes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
 
 
 def edges(keys: np.ndarray, n_parts: int) -> np.ndarray:
@@ -109,3 +112,38 @@ def union_reply(table: pa.Table) -> list[bytes]:
     order = np.argsort(table.column("part").to_numpy())
     replies = table.column("reply").to_pylist()
     return [replies[i] for i in order]
+
+
+def by_level(table: pa.Table, n: int) -> list[list[bytes]]:
+    """The replies to a block, for each of the levels 0 to ``n - 1``, in key order."""
+    return [union_reply(table.filter(pc.equal(table.column("level"), k))) for k in range(n)]
+
+
+def block_id(table: pa.Table) -> int:
+    return table.column("block")[0].as_py()
+
+
+class Tokens:
+    """The words of one block's documents in id order, as one array of hashes.
+
+    Rows with a null id are left out, or come last if ``every``.
+    """
+
+    def __init__(self, table: pa.Table, every: bool = False):
+        ids = table.column("doc_id").to_pylist()
+        texts = table.column("text")
+        self.order = sorted((i for i, d in enumerate(ids) if d is not None), key=lambda i: ids[i])
+        if every:
+            self.order += [i for i, d in enumerate(ids) if d is None]
+        self.ids = np.array([-1 if ids[i] is None else ids[i] for i in self.order], np.int64)
+        per = [hashes(words(texts[i].as_py())) for i in self.order]
+        n = np.array([len(x) for x in per], np.int64)
+        self.h = np.concatenate(per) if per else np.empty(0, np.uint64)
+        self.ends = np.cumsum(n)
+        self.starts = self.ends - n
+        self.end_of = np.repeat(self.ends, n)  # by word
+        self.doc_of = np.repeat(self.ids, n)
+
+    def fits(self, length: int) -> np.ndarray:
+        """Positions at which a window of ``length`` words ends inside the document."""
+        return np.flatnonzero(np.arange(len(self.h)) + length <= self.end_of)

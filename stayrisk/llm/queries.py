@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substring
+from . import lm, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,3 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("spans").cast("long").alias("n_spans"))
+
+
+@query
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")

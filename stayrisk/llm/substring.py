@@ -24,12 +24,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
-from .text import hashes, window_hashes, words
+from .text import window_hashes, words
 
 WINDOW = 13
 
@@ -42,26 +41,7 @@ def levels(window: int, base: int = 7) -> list[int]:
     return out[::-1]
 
 
-class _Block:
-    """The words of one block's documents in id order, as one array of hashes."""
-
-    def __init__(self, table: pa.Table):
-        ids = table.column("doc_id").to_pylist()
-        texts = table.column("text")
-        self.order = sorted((i for i, d in enumerate(ids) if d is not None), key=lambda i: ids[i])
-        self.ids = np.array([ids[i] for i in self.order], np.int64)
-        per = [hashes(words(texts[i].as_py())) for i in self.order]
-        n = np.array([len(x) for x in per], np.int64)
-        self.h = np.concatenate(per) if per else np.empty(0, np.uint64)
-        self.ends = np.cumsum(n)
-        self.starts = self.ends - n
-        self.end_of = np.repeat(self.ends, n)  # by word
-        self.doc_of = np.repeat(self.ids, n)
-
-    def fits(self, length: int) -> np.ndarray:
-        """Positions at which a window of ``length`` words ends inside the document."""
-        return np.flatnonzero(np.arange(len(self.h)) + length <= self.end_of)
-
+class _Block(blocks.Tokens):
     def extend(self, at: np.ndarray, alive: np.ndarray, shorter: int, longer: int) -> np.ndarray:
         """Positions of longer windows whose first and last ``shorter`` words are both repeated."""
         live = np.zeros(len(self.h), bool)
@@ -154,19 +134,11 @@ class _Passes:
         return np.cumsum(mark)[:-1] > 0
 
 
-def _by_level(table: pa.Table, n: int) -> list[list[bytes]]:
-    return [blocks.union_reply(table.filter(pc.equal(table.column("level"), k))) for k in range(n)]
-
-
-def _block_id(table: pa.Table) -> int:
-    return table.column("block")[0].as_py()
-
-
 def _later(passes: _Passes, k: int):
     """What a block sends at level ``k``, given the documents and the replies of the levels below."""
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
-        return passes.blobs(_block_id(left), _Block(left), _by_level(right, k))
+        return passes.blobs(blocks.block_id(left), _Block(left), blocks.by_level(right, k))
 
     return send
 
@@ -185,7 +157,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     schema = by_block.schema["rest"].dataType.simpleString() if keep else None
 
     def first(table: pa.Table) -> pa.Table:
-        return passes.blobs(_block_id(table), _Block(table), [])
+        return passes.blobs(blocks.block_id(table), _Block(table), [])
 
     replies = None
     for k in range(len(passes.lens)):
@@ -200,7 +172,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         n = left.num_rows
         b = _Block(left)
-        gone = passes.removed(b, _by_level(right, len(passes.lens))) if n else np.empty(0, bool)
+        gone = passes.removed(b, blocks.by_level(right, len(passes.lens))) if n else np.empty(0, bool)
         place = {i: j for j, i in enumerate(b.order)}
         texts = left.column("text").to_pylist()
         out = {"n_words": [], "n_removed": [], "spans": [], "text": [], "kept_sha256": []}
