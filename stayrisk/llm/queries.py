@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lm, repetition, simhash, substring
+from . import decontam, langid, lm, quality, repetition, simhash, substring, toxicity
+from .text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +49,27 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "covered_fraction", "longest_repeat")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, crc = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), learn=crc != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_sentences", F.size("offending").alias("n_offending"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, crc = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 4)
+    model = langid.train(docs, learn=crc != 2)
+    return langid.predict(docs, model).select("doc_id", (crc == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, crc = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 3)
+    model = quality.train(docs, table(spark, sf_dir, "labels"), learn=crc != 1)
+    return quality.score(docs, model).select(
+        "doc_id", (crc == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
