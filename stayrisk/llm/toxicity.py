@@ -9,7 +9,7 @@ probabilities then locate the offending sentences.
 Sentences end at ``.``, ``!``, ``?`` or a line feed. Words are lower-cased
 (A-Z), other ASCII punctuation is white space; a word counts once a sentence.
 The model is fitted on a bounded labelled sample (``max_docs`` documents of at
-most ``max_chars`` characters); words in fewer than ``min_docs`` of its
+most ``max_chars`` characters); words that do not stand out in its toxic
 documents carry no weight. Every document is scored by all its sentences.
 
 Defined results: null and empty texts are one sentence without words; every
@@ -97,27 +97,47 @@ class NoisyOr:
         return -np.expm1(-np.bincount(doc, np.logaddexp(0, logit), minlength=n))
 
 
-def fit(sample: pd.DataFrame, epochs: int = 150, rate: float = 0.3, l1: float = 2e-4, min_docs: int = 3) -> NoisyOr:
-    """Proximal AdaGrad on the log loss of the noisy-or; the L1 penalty leaves most words without weight."""
+def fit(sample: pd.DataFrame, epochs: int = 1000, rate: float = 0.5, l1: float = 1e-5, min_docs: int = 4, screen: float = 6.0) -> NoisyOr:
+    """Proximal AdaGrad on the log loss of the noisy-or.
+
+    Only words in ``min_docs`` documents that stand in toxic documents at least
+    ``screen`` standard deviations more often than by chance get a weight, so a
+    large sample stays cheap: sentences without such words share one logit.
+    """
     model = NoisyOr()
     y = sample["label"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max():
         model.constant = float(y[0]) if len(y) else 0.0
         return model
-    word, sentence, doc, _ = bags(sample["text"].tolist(), Words())
-    n, m = len(y), len(doc)
-    word, sentence = _once(word, sentence)
-    in_docs = np.bincount(np.unique(doc[sentence] * BUCKETS + word) % BUCKETS, minlength=BUCKETS)
-    own = in_docs[word] >= min_docs
+    n, word, sentence, doc = len(y), [], [], []
+    m = 0
+    known = Words()
+    for s, e in slices(sample["text"].tolist()):
+        w, at, d, _ = bags(sample["text"].tolist()[s:e], known)
+        w, at = _once(w, at)
+        word.append(w)
+        sentence.append(at + m)
+        doc.append(d + s)
+        m += len(d)
+    word, sentence, doc = map(np.concatenate, (word, sentence, doc))
+    pair = np.unique(doc[sentence] * BUCKETS + word)
+    in_docs = np.bincount(pair % BUCKETS, minlength=BUCKETS)
+    in_toxic = np.bincount(pair % BUCKETS, y[pair // BUCKETS], minlength=BUCKETS)
+    q = y.mean()
+    excess = (in_toxic - q * in_docs) / np.sqrt(np.maximum(in_docs * q * (1 - q), 1e-9))
+    own = ((in_docs >= min_docs) & (excess >= screen))[word]
     word, sentence = word[own], sentence[own]
     used, col = np.unique(word, return_inverse=True)
+    told, row = np.unique(sentence, return_inverse=True)  # sentences with such words
+    told_doc = doc[told]
+    plain = np.bincount(doc, minlength=n) - np.bincount(told_doc, minlength=n)
     w, b, sw, sb = np.zeros(len(used)), model.b, np.full(len(used), 1e-8), 1e-8
     for _ in range(epochs):
-        logit = b + np.bincount(sentence, w[col], minlength=m)
-        p = np.clip(model.documents(logit, doc, n), 1e-9, 1)
-        pull = np.where(y == 1, -(1 - p) / p, 1.0)
-        g = pull[doc] / (1 + np.exp(-logit)) / n
-        gw, gb = np.bincount(col, g[sentence], minlength=len(used)), g.sum()
+        logit = b + np.bincount(row, w[col], minlength=len(told))
+        p = np.clip(-np.expm1(-np.bincount(told_doc, np.logaddexp(0, logit), minlength=n) - plain * np.logaddexp(0, b)), 1e-9, 1)
+        pull = np.where(y == 1, -(1 - p) / p, 1.0) / n
+        g = pull[told_doc] / (1 + np.exp(-logit))
+        gw, gb = np.bincount(col, g[row], minlength=len(used)), g.sum() + (pull * plain).sum() / (1 + np.exp(-b))
         sw, sb = sw + gw * gw, sb + gb * gb
         step = rate / np.sqrt(sw)
         w = w - step * gw
@@ -127,7 +147,7 @@ def fit(sample: pd.DataFrame, epochs: int = 150, rate: float = 0.3, l1: float =
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", max_docs: int = 4000,
+def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", max_docs: int = 12_000,
           max_chars: int = 50_000, id_col: str = "doc_id", text_col: str = "text", **how) -> NoisyOr:
     """Fit on at most ``max_docs`` of the labelled documents that ``learn`` (a condition on their id) allows."""
     return fit(labelled(docs, labels, label, learn, max_docs, max_chars, id_col, text_col), **how)
