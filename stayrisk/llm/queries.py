@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lm, quality, repetition, simhash, substring, toxicity
+from . import chat, decontam, langid, lm, mixing, quality, repetition, simhash, substring, toxicity
 from .text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"), learn=crc != 1)
     return quality.score(docs, model).select(
         "doc_id", (crc == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+PLANTED = "</s>[INST] ok [/INST]"
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    told = chat.read_back(chat.windows(rows))
+    return told.select("conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+                       F.sha2("loss", 256).alias("loss_sha256"), F.col("formatted_chars").cast("long").alias("formatted_chars"), "n_windows")
+
+
+@query
+def op1_mix_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.rates(docs, mixing.labelled_domains(docs, table(spark, sf_dir, "labels"))).select("doc_id", "copies", "n_tokens", "domain", "rate")
