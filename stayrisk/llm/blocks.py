@@ -54,7 +54,7 @@ def blocked(docs: DataFrame, n_blocks: int, id_col: str, text_col: str, keep: li
     cols = [F.pmod(key, F.lit(n_blocks)).cast("int").alias("block"), F.col(id_col).cast("long").alias("doc_id"),
             F.col(text_col).cast("string").alias("text")]
     if keep:
-        cols.append(F.struct(*keep).alias("rest"))
+        cols.append(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("rest"))
     return docs.select(*cols)
 
 

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import MULT, hashes, mix, slices
@@ -132,6 +132,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
           max_subst: float = MAX_SUBST, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", bits: int = BITS) -> DataFrame:
     """One row per document and leaked item: ``doc_id, item_id, start, end`` (words), ``matched, substituted``."""
+    return _leaks(docs, benchmark, masks, min_words, max_subst, id_col, text_col, item_col, item_text_col, bits).drop("row")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` without a leak, with all their columns."""
+    found = leaked_rows(docs, benchmark, id_col=id_col, text_col=text_col, **how).toDF("leak_id", "leak_row").checkpoint()
+    own_id, own_text = docs[id_col].cast("long"), docs[text_col].cast("string")
+    same = (F.xxhash64(own_id, own_text) == found["leak_row"]) & own_id.eqNullSafe(found["leak_id"])
+    return docs.join(found, same, "left_anti")
+
+
+def leaked_rows(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS,
+                max_subst: float = MAX_SUBST, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                item_text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """``doc_id, row`` of the rows with a leak; ``row`` is a hash of id and text."""
+    return _leaks(docs, benchmark, masks, min_words, max_subst, id_col, text_col, item_col, item_text_col, bits).select("doc_id", "row").distinct()
+
+
+def _row(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], min_words: int, max_subst: float, id_col: str, text_col: str,
+           item_col: str, item_text_col: str, bits: int) -> DataFrame:
     spark = docs.sparkSession
     items = _items(benchmark, item_col, item_text_col, min_words)
     test = _test_hashes(items, masks).checkpoint()
@@ -158,8 +182,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
                     out.append((ids[s:e][of[at]], keys[at].view(np.int64), at - (ends - n)[of[at]]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["row", "key", "p"])
 
-    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string")))  # the text decides in the end
-    rows = docs.select(key.alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(_row(id_col, text_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = rows.select("row", "text").mapInArrow(candidates, "row long, key long, p long").distinct()
     hits = found.join(test, "key").select("row", "item_id", "words", (F.col("p") - F.col("q")).alias("diagonal")).distinct()
     by_row = hits.groupBy("row").agg(F.collect_list(F.struct("item_id", "words", "diagonal")).alias("hits"))
@@ -167,7 +190,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc_id, text, hits in zip(pdf["doc_id"], pdf["text"], pdf["hits"]):
+            for doc_id, row, text, hits in zip(pdf["doc_id"], pdf["row"], pdf["text"], pdf["hits"]):
                 doc, best = tokens(text), {}
                 for hit in hits:
                     item = np.frombuffer(hit["words"], np.uint64)
@@ -175,8 +198,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
                         rank = (got[2], -got[0])
                         if hit["item_id"] not in best or rank > best[hit["item_id"]][0]:
                             best[hit["item_id"]] = (rank, got)
-                out += [(doc_id, i, s, e, m, e - s - m) for i, (_, (s, e, m)) in sorted(best.items())]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "start", "end", "matched", "substituted"]).astype({"doc_id": "Int64"})
+                out += [(doc_id, row, i, s, e, m, e - s - m) for i, (_, (s, e, m)) in sorted(best.items())]
+            yield pd.DataFrame(out, columns=["doc_id", "row", "item_id", "start", "end", "matched", "substituted"]).astype({"doc_id": "Int64"})
 
-    return rows.join(by_row, "row").select("doc_id", "text", "hits").mapInPandas(
-        verify, "doc_id long, item_id long, start long, end long, matched long, substituted long")
+    return rows.join(by_row, "row").select("doc_id", "row", "text", "hits").mapInPandas(
+        verify, "doc_id long, row long, item_id long, start long, end long, matched long, substituted long")

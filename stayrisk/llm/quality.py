@@ -92,7 +92,9 @@ class ByteCNN:
         d = (1 / (1 + np.exp(-np.clip(f @ self.p["v"] + self.p["c"], -30, 30))) - y) / n
         top, mean = f[:, :FILTERS], f[:, FILTERS:]
         share = np.bincount(of, minlength=n)[of][:, None]
-        g = (act == top[of]) * (d[of, None] * self.p["v"][:FILTERS]) + d[of, None] * self.p["v"][FILTERS:] / share
+        first = act == top[of]  # equal chunks share the gradient of the maximum
+        first = first / np.add.reduceat(first.astype(np.int64), np.searchsorted(of, np.arange(n)))[of]
+        g = first * (d[of, None] * self.p["v"][:FILTERS]) + d[of, None] * self.p["v"][FILTERS:] / share
         g *= act > 0
         gt = np.zeros((WIDTH, PAD + 1, FILTERS))
         rows, filters = np.arange(len(x))[:, None], np.arange(FILTERS)
@@ -150,3 +152,17 @@ def score(docs: DataFrame, model: ByteCNN, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), pa.array(got, pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, score double")
+
+
+def keep(docs: DataFrame, model: ByteCNN, at_least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows whose text scores ``at_least``, with all their columns."""
+    tables = model.tables()
+    types = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
+            for s, e in slices(texts, 2_000_000):
+                yield b.slice(s, e - s).filter(pa.array(model.predict(texts[s:e], tables) >= at_least))
+
+    return docs.mapInArrow(run, types)

@@ -19,7 +19,7 @@ pairs. Components come from min-label propagation with pointer jumping, each
 round checkpointed in the shared folder.
 
 Defined results: null and empty texts have fingerprint zero and are linked
-like any other; rows that repeat an id keep one row each; a row with a null id
+like any other; rows that repeat an id are one document; a row with a null id
 makes no links and takes the component of its fingerprint (null if no row with
 an id has it). Other columns are ignored. An empty table gives an empty result.
 """
@@ -135,8 +135,11 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _tile(fp: np.ndarray, node: np.ndarray, role: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (node, smallest node it reaches) inside one tile; role: 1 home, 2 replica, 3 both."""
-    node, first, place = np.unique(node, return_index=True, return_inverse=True)
-    fp = fp[first]
+    fp, first, place = np.unique(fp, return_index=True, return_inverse=True)
+    order = np.argsort(node[first], kind="stable")  # the smallest index is the smallest node
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    fp, node, place = fp[order], node[first][order], rank[place]
     home = np.unique(place[role & 1 > 0])
     other = np.unique(place[role & 2 > 0])
     a, b = [], []
@@ -147,7 +150,7 @@ def _tile(fp: np.ndarray, node: np.ndarray, role: np.ndarray, bits: int) -> tupl
     if not a:
         return node[:0], node[:0]
     label = forest(len(node), np.concatenate(a), np.concatenate(b))
-    moved = np.flatnonzero(label != np.arange(len(node)))
+    moved = np.flatnonzero(node[label] != node)
     return node[moved], node[label[moved]]
 
 
@@ -189,7 +192,7 @@ def _tiles(cols: list[np.ndarray], cuts: np.ndarray, bits: int) -> Iterator[pa.R
 def links(nodes: DataFrame, bits: int = BITS) -> DataFrame:
     """Spanning links ``a, b`` (b < a) between nodes whose fingerprints differ in at most ``bits`` bits.
 
-    ``nodes``: ``fp long, node long``, both unique.
+    ``nodes``: ``fp long, node long``, each fingerprint once.
     """
     if not 0 <= bits <= 3:
         raise ValueError("the code covers distances up to 3")
