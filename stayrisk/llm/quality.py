@@ -106,8 +106,8 @@ class ByteCNN:
         return out
 
 
-def fit(sample: pd.DataFrame, epochs: int = 8, batch: int = 32, rate: float = 0.01, seed: int = 7) -> ByteCNN:
-    """Adam on the logistic loss."""
+def fit(sample: pd.DataFrame, epochs: int = 8, batch: int = 32, rate: float = 0.01, seed: int = 7, least_steps: int = 300) -> ByteCNN:
+    """Adam on the logistic loss; a small sample is gone through more often, for ``least_steps`` steps."""
     model = ByteCNN(seed)
     y = sample["label"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max():
@@ -120,7 +120,7 @@ def fit(sample: pd.DataFrame, epochs: int = 8, batch: int = 32, rate: float = 0.
     v = {k: np.zeros_like(a) for k, a in model.p.items()}
     model.p["c"][:] = np.log(y.mean() / (1 - y.mean()))
     t = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-least_steps * batch // len(y)))):
         turn = r.permutation(len(y))
         for s in range(0, len(y), batch):
             docs = turn[s : s + batch]
