@@ -28,6 +28,22 @@ def np_round(c: str | Column, digits: int) -> Column:
     return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
+def py_round(c: str | Column, digits: int) -> Column:
+    """Python's ``round``: the double's exact value decides, half to even only on exact ties.
+
+    ``x * 10**k`` is split into the rounded product and its exact error
+    (two-product by splitting x), which breaks apparent ties.
+    """
+    x, scale = col(c), float(10 ** digits)
+    p = x * F.lit(scale)
+    t = x * F.lit(134217729.0)
+    hi = t - (t - x)
+    error = (hi * F.lit(scale) - p) + (x - hi) * F.lit(scale)
+    tie = p - F.floor(p) == 0.5
+    r = F.when(tie & (error > 0), F.floor(p) + 1).when(tie & (error < 0), F.floor(p)).otherwise(F.rint(p))
+    return r / F.lit(scale)
+
+
 def right_closed_bin(c: str | Column, edges: Sequence[float], labels: Sequence | None = None) -> Column:
     """Index (or label) of the right-closed bin (e[i-1], e[i]] holding c; NULL outside."""
     x = col(c)

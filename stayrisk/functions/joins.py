@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""Join helpers; no broadcast hints, Spark and AQE choose by measured bytes."""
 
 from __future__ import annotations
 
@@ -6,21 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; the check reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only when the row bound is proven; otherwise leave the choice to AQE.
-
-    Above the bound the plan keeps a shuffle join, and AQE may still switch it to a
-    broadcast at runtime from measured (not estimated) sizes.
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def join_groups(left: DataFrame, right: DataFrame, group_cols, how: str = "inner", broadcast_right: bool = False) -> DataFrame:
+def join_groups(left: DataFrame, right: DataFrame, group_cols, how: str = "inner") -> DataFrame:
     """Equi join on ``group_cols`` with a one-row-per-group table.
 
     With no group column the right side is a single row: its values are fetched
@@ -29,8 +15,7 @@ def join_groups(left: DataFrame, right: DataFrame, group_cols, how: str = "inner
     """
     group_cols = list(group_cols)
     if group_cols:
-        r = F.broadcast(right) if broadcast_right else right
-        return left.join(r, group_cols, how)
+        return left.join(right, group_cols, how)
     row = right.first()
     if row is None:
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]

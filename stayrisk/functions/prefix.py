@@ -5,96 +5,30 @@ and a window without ``partitionBy`` sends the whole table to one task. Both
 break when one group holds a large share of the rows. Here the rows are range
 partitioned on ``(group, order)`` so a hot group spreads over many tasks:
 
-1. ``repartitionByRange`` + ``sortWithinPartitions`` on ``(group, order)``;
-2. one Arrow-batched pass per partition computes the local running sums;
-3. a per-partition summary (one row per partition, so bounded by the partition
-   count, never by the data) yields the carry of the group that continues
-   from earlier partitions;
-4. the carry table is broadcast (its size is the partition count) and added.
-
-The local pass is checkpointed (reliable, in the shared checkpoint folder) so
-its sampled range bounds are fixed once for both consumers and for recovery.
-
-Each step is a Spark stage; no group ever sits in one task.
+1. ``repartitionByRange`` on ``(group, order)``; the partition number becomes
+   a column;
+2. a window per (partition number, group) computes the local running sums;
+3. the totals per (partition number, group), summed over earlier partitions,
+   are the carry. Only the group that continues from an earlier partition has
+   one, so there are fewer carries than partitions and they are broadcast.
+
+The ranged rows are checkpointed (reliable, in the shared checkpoint folder):
+the range bounds come from a sample, and both consumers, or a recomputation
+after a lost executor, must see the same partition numbers. All steps are
+DataFrame operations; the columns carried along are not touched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-# Ship this module's per-partition code by value: executors need no installed copy of the package.
-try:
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cp
-
-    _cp.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle: the package must then be on the executors
-    pass
-
 _PID = "__pid"
-_RI = "__ri"
-
-
-def _same_key(a: tuple, b: tuple) -> bool:
-    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
-
-
-def _local_pass(group_cols: list[str], sum_cols: list[str], out_cols: list[str]):
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry_key = None
-        carry = np.zeros(len(sum_cols))
-        offset = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            vals = pdf[sum_cols].astype("float64").fillna(0.0).to_numpy()
-            if group_cols:
-                starts = np.zeros(n, dtype=bool)
-                for g in group_cols:
-                    s = pdf[g]
-                    prev = s.shift()
-                    same = (s == prev) | (s.isna() & prev.isna())
-                    starts |= ~same.to_numpy(dtype=bool)
-                starts[0] = True
-                first_key = tuple(pdf[g].iloc[0] for g in group_cols)
-                last_key = tuple(pdf[g].iloc[-1] for g in group_cols)
-                seg = np.cumsum(starts) - 1
-                cums = np.empty_like(vals)
-                for j in range(vals.shape[1]):
-                    c = np.cumsum(vals[:, j])
-                    first_idx = np.flatnonzero(starts)
-                    base = c[first_idx] - vals[first_idx, j]
-                    cums[:, j] = c - base[seg]
-                # The first segment continues the last group of the previous batch.
-                if carry_key is not None and _same_key(first_key, carry_key):
-                    cums[seg == 0] += carry
-                carry_key = last_key
-                carry = cums[-1].copy()
-            else:
-                cums = np.cumsum(vals, axis=0) + carry
-                carry = cums[-1].copy()
-            out = pdf.copy()
-            for j, name in enumerate(out_cols):
-                out[name] = cums[:, j]
-            out[_PID] = np.int32(pid)
-            out[_RI] = np.arange(offset, offset + n, dtype=np.int64)
-            offset += n
-            yield out
-
-    return run
 
 
 def running_sums(
@@ -105,71 +39,44 @@ def running_sums(
     out_cols: Sequence[str] | None = None,
     descending: bool = False,
     num_partitions: int | None = None,
+    total_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Add inclusive running sums of ``sum_cols`` within ``group_cols`` ordered by ``order_cols``.
 
     ``order_cols`` must make the order total inside a group (add an id as tie-break).
-    Output columns are doubles named ``out_cols`` (default ``<col>_cum``).
+    Output columns are doubles named ``out_cols`` (default ``<col>_cum``); nulls count as 0.
+    ``total_cols`` names columns for the group totals of the first ``sum_cols``; they are joined by
+    (partition number, group), so a hot group's rows do not meet in one task.
     """
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
     out_cols = list(out_cols) if out_cols is not None else [f"{c}_cum" for c in sum_cols]
-    spark = df.sparkSession
-
-    sort_exprs = [F.col(c).asc_nulls_first() for c in group_cols] + [
-        (F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()) for c in order_cols
-    ]
+    order = [(F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()) for c in order_cols]
+    keys = [F.col(c).asc_nulls_first() for c in group_cols] + order
     # Without an explicit count the range shuffle uses spark.sql.shuffle.partitions and AQE may
-    # coalesce adjacent (still ordered) partitions from measured sizes; the layout is frozen by
-    # the checkpoint below, so both consumers agree on it.
-    ranged = df.repartitionByRange(num_partitions, *sort_exprs) if num_partitions else df.repartitionByRange(*sort_exprs)
-    ranged = ranged.sortWithinPartitions(*sort_exprs)
-
-    schema = T.StructType(
-        list(df.schema.fields)
-        + [T.StructField(c, T.DoubleType(), True) for c in out_cols]
-        + [T.StructField(_PID, T.IntegerType(), False), T.StructField(_RI, T.LongType(), False)]
-    )
-    local = ranged.mapInPandas(_local_pass(group_cols, sum_cols, out_cols), schema)
-    # The range bounds come from a sample of the input, whose row order after a shuffle is not
-    # fixed: two evaluations of ``local`` (summary branch, main branch, or a recomputation after
-    # a lost executor) could cut the partitions differently. Materialise it once with a reliable
-    # checkpoint in the shared folder; both branches then read the same rows and partition ids.
-    ensure_checkpoint_dir(spark)
-    local = local.checkpoint(eager=True)
-
-    key = F.struct(*[F.col(g) for g in group_cols]) if group_cols else F.struct(F.lit(0).alias("k"))
-    summary = local.groupBy(_PID).agg(
-        F.min_by(key, F.col(_RI)).alias("first_key"),
-        F.max_by(key, F.col(_RI)).alias("last_key"),
-        F.max_by(F.struct(*[F.col(c) for c in out_cols]), F.col(_RI)).alias("last_cum"),
-    )
-    # Windows over the summary: one row per partition, bounded by the partition count.
-    w_key = Window.partitionBy("last_key").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
-    w_pid = Window.orderBy(_PID)
-    carries = summary
-    for c in out_cols:
-        carries = carries.withColumn(f"__run_{c}", F.sum(F.col("last_cum")[c]).over(w_key))
-    prev_last = F.lag("last_key").over(w_pid)
-    carries = carries.select(
-        _PID,
-        "first_key",
-        *[
-            F.when(prev_last.eqNullSafe(F.col("first_key")), F.lag(f"__run_{c}").over(w_pid))
-            .otherwise(F.lit(0.0))
-            .alias(f"__carry_{c}")
-            for c in out_cols
-        ],
-    )
-    joined = local.join(F.broadcast(carries), _PID, "left")
-    in_first = key.eqNullSafe(F.col("first_key"))
-    result = joined.select(
-        *[F.col(f.name) for f in df.schema.fields],
-        *[
-            (F.col(c) + F.when(in_first, F.coalesce(F.col(f"__carry_{c}"), F.lit(0.0))).otherwise(F.lit(0.0))).alias(c)
-            for c in out_cols
-        ],
-    )
-    return result
+    # coalesce adjacent (still ordered) partitions from measured sizes.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+
+    values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in sum_cols]
+    local = Window.partitionBy(_PID, *group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.select("*", *[F.sum(v).over(local).alias(o) for v, o in zip(values, out_cols)])
+
+    # one row per (partition, group); per group at most as many rows as partitions
+    earlier = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(_PID, *group_cols).agg(*[F.sum(v).alias(f"__t{i}") for i, v in enumerate(values)])
+    carry = totals.select(F.col(_PID).alias("__cpid"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group_cols)],
+                          *[F.sum(f"__t{i}").over(earlier).alias(f"__c{i}") for i in range(len(values))],
+                          *[F.sum(f"__t{i}").over(Window.partitionBy(*group_cols)).alias(t) for i, t in enumerate(total_cols)])
+    if not total_cols:
+        carry = F.broadcast(carry.where(F.col("__c0").isNotNull()))  # fewer rows than partitions
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group_cols)],
+                  F.col(_PID) == F.col("__cpid"))
+    joined = rows.join(carry, same, "left")
+    return joined.select(
+        *[F.col(c) for c in df.columns],
+        *[(F.col(o) + F.coalesce(F.col(f"__c{i}"), F.lit(0.0))).alias(o) for i, o in enumerate(out_cols)],
+        *[F.col(t) for t in total_cols])
 
 
 def row_positions(df: DataFrame, order_cols: Sequence[str], name: str = "pos",

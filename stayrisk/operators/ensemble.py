@@ -26,7 +26,7 @@ def ensemble_weights(available: DataFrame, raw: dict[str, float] = ENSEMBLE_RAW_
                      model_col: str = "model") -> DataFrame:
     """ENS1: (model, poids) for the available members with a raw weight, renormalised to sum 1."""
     w = weights_table(available.sparkSession, raw)
-    members = available.select(F.col(model_col).alias("model")).distinct().join(F.broadcast(w), "model")
+    members = available.select(F.col(model_col).alias("model")).distinct().join(w, "model")
     total = members.agg(F.sum("w").alias("__tw"))
     return join_groups(members, total, []).select("model", (F.col("w") / F.col("__tw")).alias("poids"))
 
@@ -35,7 +35,7 @@ def ensemble_proba(scored: DataFrame, weights: DataFrame, id_col: str = ID_COL,
                    keep: tuple[str, ...] = ("y",)) -> DataFrame:
     """ENS2: per row, sum(poids * proba) / sum(poids) over the members that scored it."""
     w = weights.select(F.col("model").alias(model_col), "poids")
-    j = scored.join(F.broadcast(w), model_col)  # one row per member model
+    j = scored.join(w, model_col)  # one row per member model
     kept = [F.first(c).alias(c) for c in keep if c in scored.columns]
     return j.groupBy(id_col).agg(
         (F.sum(F.col("poids") * F.col("proba")) / F.sum("poids")).alias("proba"), *kept)

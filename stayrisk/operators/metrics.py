@@ -62,20 +62,26 @@ def sweep(scored: DataFrame, group_cols: Sequence[str] = (), grid: Sequence[floa
 
     Output: group cols, i, seuil, vp, fp, fn, vn, precision, rappel, f1, taux_alerte.
     """
-    group_cols = list(group_cols)
+    return _sweep(scored, list(group_cols), grid, y, proba).drop("brier")
+
+
+def _sweep(scored: DataFrame, group_cols: list[str], grid: Sequence[float] | None, y: str, proba: str) -> DataFrame:
+    """The sweep and, in the same pass over the scores, the group's Brier score."""
     grid = grid or threshold_grid()
     num = len(grid)
     buckets = scored.groupBy(*group_cols, grid_bucket(F.col(proba), grid).alias("k")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("pos"))
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("pos"),
+        F.sum(F.pow(F.col(proba) - F.col(y), 2)).alias("sq"))
     # each bucket row (<= 182 per group) expands to the thresholds it passes.
     i = F.explode(F.sequence(F.lit(0), F.lit(num - 1))).alias("i")
-    expanded = buckets.select(*group_cols, "k", "n", "pos", i)
+    expanded = buckets.select(*group_cols, "k", "n", "pos", "sq", i)
     passed = F.col("k") > F.col("i")
     agg = expanded.groupBy(*group_cols, "i").agg(
         F.sum(F.when(passed, F.col("n")).otherwise(0)).alias("pp"),
         F.sum(F.when(passed, F.col("pos")).otherwise(0)).alias("vp"),
         F.sum("n").alias("total"),
         F.sum("pos").alias("p"),
+        F.sum("sq").alias("sq"),
     )
     return _from_counts(agg, group_cols, grid)
 
@@ -95,15 +101,22 @@ def _from_counts(agg: DataFrame, group_cols: list[str], grid: Sequence[float]) -
         F.coalesce(F.try_divide(vp.cast("double"), p.cast("double")), F.lit(0.0)).alias("rappel"),
         f1.alias("f1"),
         F.try_divide(pp.cast("double"), total.cast("double")).alias("taux_alerte"),
+        F.try_divide(F.col("sq"), total.cast("double")).alias("brier"),
     )
 
 
 def best_threshold(swept: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """MET9/MET10: argmax F1, the lowest threshold on ties. Output: group cols, i, seuil, f1."""
     group_cols = list(group_cols)
-    best = swept.groupBy(*group_cols).agg(F.max(F.struct(F.col("f1"), (-F.col("i")).alias("ni"))).alias("b"))
-    return best.select(*group_cols, (-F.col("b.ni")).alias("i"), F.col("b.f1").alias("f1")).join(
-        swept.select(*group_cols, "i", "seuil"), [*group_cols, "i"])
+    best = _best_row(swept, group_cols, ["seuil"])
+    return best.select(*group_cols, "i", "seuil", "f1")
+
+
+def _best_row(swept: DataFrame, group_cols: list[str], carried: Sequence[str]) -> DataFrame:
+    """The sweep row with the highest F1 (lowest threshold on ties) of each group, ``carried`` columns included."""
+    row = F.struct(F.col("f1"), (-F.col("i")).alias("ni"), *carried)
+    best = swept.groupBy(*group_cols).agg(F.max(row).alias("b"))
+    return best.select(*group_cols, (-F.col("b.ni")).alias("i"), F.col("b.f1").alias("f1"), *[F.col(f"b.{c}").alias(c) for c in carried])
 
 
 def cost_curve(swept: DataFrame, group_cols: Sequence[str] = (), cost_fn: float = COST_FN,
@@ -124,28 +137,32 @@ def _score_counts(scored: DataFrame, group_cols: list[str], y: str, proba: str)
 
 def roc_auc(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba: str = "proba") -> DataFrame:
     """MET4: ROC-AUC with tied scores counted half (trapezoid). NULL for a one-class group (T17)."""
-    group_cols = list(group_cols)
-    sc = _score_counts(scored, group_cols, y, proba)
-    cum = running_sums(sc, ["s"], ["neg"], group_cols=group_cols, out_cols=["neg_cum"])
-    contrib = F.col("pos") * (F.col("neg_cum") - F.col("neg") + F.lit(0.5) * F.col("neg"))
-    agg = cum.groupBy(*group_cols).agg(F.sum(contrib).alias("a"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return agg.select(*group_cols, F.try_divide(F.col("a"), F.col("P") * F.col("N")).alias("roc_auc"))
+    return rank_metrics(scored, group_cols, y, proba).select(*group_cols, "roc_auc")
 
 
-def _desc_cums(scored: DataFrame, group_cols: list[str], y: str, proba: str) -> DataFrame:
+def _desc_cums(scored: DataFrame, group_cols: list[str], y: str, proba: str, total_cols: Sequence[str] = ()) -> DataFrame:
     sc = _score_counts(scored, group_cols, y, proba).withColumn("cnt", F.col("pos") + F.col("neg"))
     return running_sums(sc, ["s"], ["pos", "cnt"], group_cols=group_cols, out_cols=["tp_cum", "pp_cum"],
-                        descending=True)
+                        descending=True, total_cols=total_cols)
 
 
 def average_precision(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y",
                       proba: str = "proba") -> DataFrame:
     """MET5: step-wise average precision sum((R_k - R_{k-1}) * P_k) over distinct scores (not trapezoid)."""
+    return rank_metrics(scored, group_cols, y, proba).select(*group_cols, "pr_auc")
+
+
+def rank_metrics(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba: str = "proba") -> DataFrame:
+    """MET4 and MET5 from one descending running sum of positives and rows."""
     group_cols = list(group_cols)
     cum = _desc_cums(scored, group_cols, y, proba)
+    above = F.col("tp_cum") - F.col("pos")
     agg = cum.groupBy(*group_cols).agg(
-        F.sum(F.col("pos") * F.col("tp_cum") / F.col("pp_cum")).alias("a"), F.sum("pos").alias("P"))
-    return agg.select(*group_cols, F.try_divide(F.col("a"), F.col("P")).alias("pr_auc"))
+        F.sum(F.col("neg") * (above + F.lit(0.5) * F.col("pos"))).alias("roc"),
+        F.sum(F.col("pos") * F.col("tp_cum") / F.col("pp_cum")).alias("ap"),
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return agg.select(*group_cols, F.try_divide(F.col("roc"), F.col("P") * F.col("N")).alias("roc_auc"),
+                      F.try_divide(F.col("ap"), F.col("P")).alias("pr_auc"))
 
 
 def brier(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba: str = "proba") -> DataFrame:
@@ -156,9 +173,8 @@ def brier(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba
 def pr_curve(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba: str = "proba") -> DataFrame:
     """MET18: precision / recall at each distinct score, plus the final (precision 1, recall 0) point."""
     group_cols = list(group_cols)
-    cum = _desc_cums(scored, group_cols, y, proba)
-    totals = cum.groupBy(*group_cols).agg(F.sum("pos").alias("P"))
-    pts = join_groups(cum, totals, group_cols)
+    pts = _desc_cums(scored, group_cols, y, proba, total_cols=["P"])
+    totals = pts.groupBy(*group_cols).agg(F.sum("pos").alias("P"))
     curve = pts.select(
         *group_cols, F.col("s").alias("seuil"),
         F.coalesce(F.try_divide(F.col("tp_cum"), F.col("pp_cum")), F.lit(0.0)).alias("precision"),
@@ -175,7 +191,7 @@ def metrics_at(scored: DataFrame, thresholds: DataFrame, group_cols: Sequence[st
     """MET8: the 12-column metric row per group at a given threshold (``thresholds``: group cols + seuil)."""
     group_cols = list(group_cols)
     t = thresholds.select(*group_cols, F.col("seuil").alias("__t"))
-    joined = join_groups(scored, t, group_cols, broadcast_right=True)  # one row per group
+    joined = join_groups(scored, t, group_cols)  # one row per group
     pred = (F.col(proba) >= F.col("__t")).cast("long")
     yy = F.col(y).cast("long")
     counts = joined.groupBy(*group_cols).agg(
@@ -194,16 +210,23 @@ def metrics_at(scored: DataFrame, thresholds: DataFrame, group_cols: Sequence[st
         "brier", "vp", "fp", "fn", "vn",
         ((vp + fp) / (vp + fp + fn + vn)).alias("taux_alerte"),
     )
-    out = join_groups(base, roc_auc(scored, group_cols, y, proba), group_cols, "left")
-    out = join_groups(out, average_precision(scored, group_cols, y, proba), group_cols, "left")
+    out = join_groups(base, rank_metrics(scored, group_cols, y, proba), group_cols, "left")
     return out.select(*group_cols, "seuil", "f1", "precision", "rappel", "roc_auc", "pr_auc", "brier",
                       "vp", "fp", "fn", "vn", "taux_alerte")
 
 
 def best_metrics(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba: str = "proba") -> DataFrame:
-    """Per group: best-F1 threshold on the grid, then the metric row at that threshold (MET8+MET9)."""
-    best = best_threshold(sweep(scored, group_cols, y=y, proba=proba), group_cols)
-    return metrics_at(scored, best.select(*group_cols, "seuil"), group_cols, y, proba)
+    """Per group: best-F1 threshold on the grid with its metric row (MET8+MET9).
+
+    Two passes over the scores: the sweep holds the counts and the Brier score,
+    one running sum gives both ranking metrics.
+    """
+    group_cols = list(group_cols)
+    carried = ["seuil", "precision", "rappel", "brier", "vp", "fp", "fn", "vn", "taux_alerte"]
+    best = _best_row(_sweep(scored, group_cols, None, y, proba), group_cols, carried)
+    out = join_groups(best.withColumn("seuil", np_round("seuil", 3)), rank_metrics(scored, group_cols, y, proba), group_cols, "left")
+    return out.select(*group_cols, "seuil", "f1", "precision", "rappel", "roc_auc", "pr_auc", "brier",
+                      "vp", "fp", "fn", "vn", "taux_alerte")
 
 
 def summarize_folds(per_fold: DataFrame, model_col: str = "modele",
@@ -250,12 +273,11 @@ def decile_edges(scored: DataFrame, group_cols: Sequence[str] = (), proba: str =
 def deciles(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba: str = "proba") -> DataFrame:
     """MET15: qcut-style deciles (right-closed, duplicate edges dropped), n, mean proba, rate, lift, share.
 
-    The edge table has one row per group; it is broadcast because its size is
-    bounded by the group count.
+    The edge table has one row per group.
     """
     group_cols = list(group_cols)
     edges = decile_edges(scored, group_cols, proba)
-    joined = join_groups(scored, edges, group_cols, broadcast_right=True)
+    joined = join_groups(scored, edges, group_cols)
     e = [F.col(f"e{j}") for j in range(len(DECILE_PROBS))]
     # bin = number of distinct edges strictly below proba (sorted edges: a duplicate
     # equals its predecessor), the lowest value falls in bin 1 (include_lowest).

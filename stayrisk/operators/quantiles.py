@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import join_groups
 from ..functions.prefix import running_sums
 
 
@@ -24,9 +23,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
     group_cols = list(group_cols)
     v = df.select(*group_cols, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     counts = v.groupBy(*group_cols, "__v").agg(F.count(F.lit(1)).cast("double").alias("__c"))
-    ranked = running_sums(counts, ["__v"], ["__c"], group_cols=group_cols, out_cols=["__cum"])
-    totals = counts.groupBy(*group_cols).agg(F.sum("__c").alias("__n"))
-    joined = join_groups(ranked, totals, group_cols)  # no group: the single total becomes a literal
+    ranked = running_sums(counts, ["__v"], ["__c"], group_cols=group_cols, out_cols=["__cum"], total_cols=["__n"])
     # Position window of each distinct value: [cum - c, cum - 1] (0-based).
     first = F.col("__cum") - F.col("__c")
     last = F.col("__cum") - F.lit(1.0)
@@ -39,7 +36,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group_col
         for side, pos in (("lo", lo), ("hi", hi)):
             hits.append(F.when((first <= pos) & (pos <= last),
                                F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), frac.alias("frac"))))
-    exploded = joined.select(*group_cols, "__v", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("h"))
+    exploded = ranked.select(*group_cols, "__v", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("h"))
     picked = exploded.groupBy(*group_cols, F.col("h.i").alias("i")).agg(
         F.max(F.when(F.col("h.side") == "lo", F.col("__v"))).alias("a"),
         F.max(F.when(F.col("h.side") == "hi", F.col("__v"))).alias("b"),

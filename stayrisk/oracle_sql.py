@@ -165,6 +165,14 @@ def with_fixture(body: str, extra_ctes: str = "") -> str:
     return "WITH " + ctes + "\n" + body
 
 
+def r_py(expr: str, digits: int) -> str:
+    """Python's ``round`` in DuckDB: the exact error of x * 10**k breaks apparent ties."""
+    scale = f"1E{digits}"
+    return (f"(SELECT CASE WHEN p - floor(p) = 0.5E0 AND e > 0 THEN floor(p) + 1 WHEN p - floor(p) = 0.5E0 AND e < 0 THEN floor(p) "
+            f"ELSE round_even(p, 0) END / {scale} FROM (SELECT p, (hi * {scale} - p) + (x - hi) * {scale} AS e FROM "
+            f"(SELECT x, x * {scale} AS p, x * 134217729E0 - (x * 134217729E0 - x) AS hi FROM (SELECT cast({expr} AS double) AS x))))")
+
+
 def r(expr: str, digits: int) -> str:
     """numpy-style rounding in DuckDB (half to even on x * 10**k)."""
     scale = f"1E{digits}"

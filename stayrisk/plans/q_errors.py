@@ -11,7 +11,7 @@ from ..operators import metrics as M
 from ..operators import submission as S
 from ..operators.cleaning import clean
 from ..operators.features import engineer
-from ..oracle_sql import r, with_fixture
+from ..oracle_sql import r, r_py, with_fixture
 from ..registry import query
 from ..sources import fixture
 from ..sources.schema import ERROR_COLUMNS
@@ -61,10 +61,10 @@ sub AS (
 
 def _group_body(col: str) -> str:
     return f"""
-SELECT {col}, effectif, {r('rate', 3)} AS taux_annulation_reel,
-  {r('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0E0)', 3)} AS f1,
-  {r('coalesce(tp / nullif(tp + fp, 0), 0.0E0)', 3)} AS precision,
-  {r('coalesce(tp / nullif(tp + fn, 0), 0.0E0)', 3)} AS rappel
+SELECT {col}, effectif, {r_py('rate', 3)} AS taux_annulation_reel,
+  {r_py('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0E0)', 3)} AS f1,
+  {r_py('coalesce(tp / nullif(tp + fp, 0), 0.0E0)', 3)} AS precision,
+  {r_py('coalesce(tp / nullif(tp + fn, 0), 0.0E0)', 3)} AS rappel
 FROM (SELECT {col}, count(*) AS effectif, avg(y_reel) AS rate,
              cast(sum(y_reel * y_predit) AS double) AS tp, cast(sum((1 - y_reel) * y_predit) AS double) AS fp,
              cast(sum(y_reel * (1 - y_predit)) AS double) AS fn

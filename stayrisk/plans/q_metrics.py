@@ -29,8 +29,8 @@ def scored_models(spark, sf):
     """Two scorers over every booking: the stand-in score and a rate-by-(deposit, refund) baseline."""
     res = fixture.reservations(spark, sf)
     rates = res.filter(fixture.is_train()).groupBy("type_acompte", "tarif_remboursable").agg(
-        F.avg(TARGET).alias("__rate"))  # one row per level pair: broadcast-sized
-    base = res.join(F.broadcast(rates), ["type_acompte", "tarif_remboursable"], "left").select(
+        F.avg(TARGET).alias("__rate"))
+    base = res.join(rates, ["type_acompte", "tarif_remboursable"], "left").select(
         F.lit(BASELINE_MODEL).alias("model"), "reservation_id", F.col(TARGET).alias("y"),
         F.coalesce(F.col("__rate"), F.lit(0.0)).alias("proba"))
     fx = res.select(F.lit("fixture").alias("model"), "reservation_id", F.col(TARGET).alias("y"), "proba")

@@ -18,7 +18,6 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.joins import bounded_broadcast
 from ..functions.prefix import running_sums
 from ..session import ensure_checkpoint_dir
 from .schema import RESERVATION_SCHEMA, TARGET
@@ -60,13 +59,13 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _geo(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     """nation x region as (<prefix>_nationkey, <prefix>_nation, <prefix>_region)."""
     nation = table(spark, sf_dir, "nation")
-    region = bounded_broadcast(table(spark, sf_dir, "region"), max_rows=10_000)
+    region = table(spark, sf_dir, "region")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias(f"{prefix}_nationkey"),
         F.col("n_name").alias(f"{prefix}_nation"),
         F.col("r_name").alias(f"{prefix}_region"),
     )
-    return bounded_broadcast(geo, max_rows=10_000)
+    return geo
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +117,7 @@ def _permille() -> F.Column:
     return base + adjust
 
 
-FIXTURE_VERSION = "v1"
+FIXTURE_VERSION = "v2"
 
 
 def reservations(spark: SparkSession, sf_dir: str, with_proba: bool = True) -> DataFrame:
@@ -130,7 +129,9 @@ def reservations(spark: SparkSession, sf_dir: str, with_proba: bool = True) -> D
     is cut, so a lost executor does not replay the whole derivation.
     """
     root = ensure_checkpoint_dir(spark)
-    tag = hashlib.sha1(f"{FIXTURE_VERSION}:{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
+    from ..plans.store import identity
+
+    tag = hashlib.sha1(f"{FIXTURE_VERSION}:{identity(spark, sf_dir)}".encode()).hexdigest()[:16]
     path = f"{root.rstrip('/')}/stayrisk-reservations/{tag}"
     if not _written(spark, path):
         derive_reservations(spark, sf_dir).write.mode("overwrite").parquet(path)
