@@ -200,12 +200,8 @@ def linear_preprocessor(numeric, categorical) -> FeatureAssembler:
     return FeatureAssembler(numeric, categorical, linear=True)
 
 
-def tree_preprocessor(numeric, categorical) -> FeatureAssembler:
-    return FeatureAssembler(numeric, categorical, linear=False)
-
-
 __all__ = ["FeatureAssembler", "FeatureAssemblerModel", "NumericScaler", "OneHot", "Pipeline",
-           "column_medians", "column_moments", "linear_preprocessor", "tree_preprocessor"]
+           "column_medians", "column_moments", "linear_preprocessor"]
 
 
 class FoldPrep:

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -39,24 +38,8 @@ LGBM_PARAMS = dict(n_estimators=400, learning_rate=0.03, num_leaves=7, min_child
                    colsample_bytree=0.6, subsample=0.8, reg_lambda=10.0)
 
 
-# Training rows per partition for the fits (this library's sizing, not an original setting).
-ROWS_PER_PARTITION = 25_000
-
-
-@dataclass(frozen=True)
-class Profile:
-    """Tree sizes: ``full`` follows the original settings, ``fast`` is for tests and local checks."""
-    rf_trees: int
-    rf_depth: int
-    hgb_iter: int
-    lgbm_iter: int
-
-
-PROFILES = {
-    "full": Profile(rf_trees=RF_PARAMS["n_estimators"], rf_depth=30, hgb_iter=HGB_PARAMS["max_iter"],
-                    lgbm_iter=LGBM_PARAMS["n_estimators"]),
-    "fast": Profile(rf_trees=20, rf_depth=8, hgb_iter=15, lgbm_iter=15),
-}
+# MLlib's own limits: a tree has at most 30 levels, candidate splits come from at most MAX_BINS bins.
+RF_DEPTH, RF_BINS, BOOST_DEPTH, BOOST_BINS = 30, 256, 3, 255
 
 
 def positive_proba(col: str) -> F.Column:
@@ -111,10 +94,8 @@ class ScoringEstimator(Estimator):
         if cols:
             # deterministic partition contents and row order: seeded row sampling (trees) and
             # floating-point sums (logistic) no longer depend on shuffle fetch order (T19);
-            # partitions sized by rows, capped by the session's shuffle partitions
-            cap = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-            n_parts = max(1, min(cap, -(-n // ROWS_PER_PARTITION)))
-            data = data.repartition(n_parts, ID_COL).sortWithinPartitions(ID_COL).drop(ID_COL)
+            # the shuffle's partitions are the session's, joined by measured size (AQE)
+            data = data.repartition(ID_COL).sortWithinPartitions(ID_COL).drop(ID_COL)
         clf = self.make_clf(n).setFeaturesCol("__features").setLabelCol("__label")
         fitted = clf.fit(data)
         return ScoringModel(prep, fitted, self.name)
@@ -128,56 +109,48 @@ def _logistic(c: float):
     return make
 
 
-def build_baseline(numeric=None, categorical=None, profile: str = "fast") -> ScoringEstimator:
+def build_baseline(numeric=None, categorical=None) -> ScoringEstimator:
     """MOD1: logistic regression, C = 1, raw numerics + categoricals."""
     return ScoringEstimator(MODEL_BASELINE, numeric or RAW_NUMERIC, categorical or CATEGORICAL, True, _logistic(BASELINE_C))
 
 
-def build_logreg(numeric=None, categorical=None, profile: str = "fast") -> ScoringEstimator:
+def build_logreg(numeric=None, categorical=None) -> ScoringEstimator:
     """MOD2: logistic regression, C = 0.05, enriched numerics."""
     return ScoringEstimator(MODEL_LOGREG, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, True, _logistic(LOGREG_C))
 
 
-def build_random_forest(numeric=None, categorical=None, profile: str = "fast") -> ScoringEstimator:
+def build_random_forest(numeric=None, categorical=None, trees: int = RF_PARAMS["n_estimators"], depth: int = RF_DEPTH,
+                        bins: int = RF_BINS) -> ScoringEstimator:
     """MOD3: random forest, min leaf 30, 30 % of the features per split."""
-    p = PROFILES[profile]
-
     def make(n):
-        return RandomForestClassifier(numTrees=p.rf_trees, maxDepth=p.rf_depth,
-                                      minInstancesPerNode=RF_PARAMS["min_samples_leaf"],
-                                      featureSubsetStrategy=str(RF_PARAMS["max_features"]), maxBins=64, seed=SEED)
+        return RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=RF_PARAMS["min_samples_leaf"],
+                                      featureSubsetStrategy=str(RF_PARAMS["max_features"]), maxBins=bins, seed=SEED)
     return ScoringEstimator(MODEL_RF, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, False, make)
 
 
-def build_hgb(numeric=None, categorical=None, profile: str = "fast") -> ScoringEstimator:
+def build_hgb(numeric=None, categorical=None, rounds: int = HGB_PARAMS["max_iter"], bins: int = BOOST_BINS) -> ScoringEstimator:
     """MOD4: gradient boosting (8 leaves ~ depth 3), learning rate .04, min leaf 60."""
-    p = PROFILES[profile]
-
     def make(n):
-        return GBTClassifier(maxIter=p.hgb_iter, stepSize=HGB_PARAMS["learning_rate"], maxDepth=3,
-                             minInstancesPerNode=HGB_PARAMS["min_samples_leaf"], maxBins=64, seed=SEED)
+        return GBTClassifier(maxIter=rounds, stepSize=HGB_PARAMS["learning_rate"], maxDepth=BOOST_DEPTH,
+                             minInstancesPerNode=HGB_PARAMS["min_samples_leaf"], maxBins=bins, seed=SEED)
     return ScoringEstimator(MODEL_HGB, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, False, make)
 
 
-def build_lgbm(numeric=None, categorical=None, profile: str = "fast") -> ScoringEstimator:
+def build_lgbm(numeric=None, categorical=None, rounds: int = LGBM_PARAMS["n_estimators"], bins: int = BOOST_BINS) -> ScoringEstimator:
     """MOD5: boosting with row (0.8) and feature (0.6) subsampling, learning rate .03, min leaf 80."""
-    p = PROFILES[profile]
-
     def make(n):
-        return GBTClassifier(maxIter=p.lgbm_iter, stepSize=LGBM_PARAMS["learning_rate"], maxDepth=3,
+        return GBTClassifier(maxIter=rounds, stepSize=LGBM_PARAMS["learning_rate"], maxDepth=BOOST_DEPTH,
                              minInstancesPerNode=LGBM_PARAMS["min_child_samples"],
                              subsamplingRate=LGBM_PARAMS["subsample"],
-                             featureSubsetStrategy=str(LGBM_PARAMS["colsample_bytree"]), maxBins=64, seed=SEED)
+                             featureSubsetStrategy=str(LGBM_PARAMS["colsample_bytree"]), maxBins=bins, seed=SEED)
     return ScoringEstimator(MODEL_LGBM, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, False, make)
 
 
-def build_all(profile: str = "fast") -> dict[str, ScoringEstimator]:
+def build_all(trees: int = RF_PARAMS["n_estimators"], hgb_rounds: int = HGB_PARAMS["max_iter"],
+              lgbm_rounds: int = LGBM_PARAMS["n_estimators"]) -> dict[str, ScoringEstimator]:
     """MOD6: ordered registry of the compared models."""
-    out = {}
-    for b in (build_baseline, build_logreg, build_random_forest, build_hgb, build_lgbm):
-        est = b(profile=profile)
-        out[est.name] = est
-    return out
+    every = (build_baseline(), build_logreg(), build_random_forest(trees=trees), build_hgb(rounds=hgb_rounds), build_lgbm(rounds=lgbm_rounds))
+    return {est.name: est for est in every}
 
 
 def coefficients(model: ScoringModel, spark) -> DataFrame:

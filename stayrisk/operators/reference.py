@@ -6,8 +6,7 @@ target, and validation or test rows never feed the fit. ``apply_reference`` adds
 the relative prices (left equi joins) and maps unseen levels to ``AUTRE``.
 
 Scale notes: the two lookup tables hold one row per hotel / (region, month);
-they are broadcast only behind a row-count check, otherwise joined by shuffle
-(AQE may still switch to broadcast from measured sizes). Category lists become
+they are joined without hints: Spark and AQE choose the join from measured sizes. Category lists become
 literal ``IN`` lists when their total size is bounded, else anti-join checks.
 """
 
@@ -16,19 +15,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator, Model
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
-from ..functions.joins import fits
 from ..sources.schema import CATEGORICAL, UNSEEN
 from .features import engineer
 from .quantiles import exact_median
 
 PRICE = "prix_moyen_nuit_eur"
-MAX_BROADCAST_ROWS = 2_000_000
 MAX_LITERAL_LEVELS = 20_000
 
 
@@ -39,8 +34,6 @@ class ReferenceStats:
     global_median: float | None
     categories: DataFrame  # colonne, valeur
     known: dict[str, list[str]] | None = field(default=None)
-    hotel_small: bool = True
-    season_small: bool = True
 
 
 def reference_medians(base: DataFrame) -> DataFrame:
@@ -102,11 +95,12 @@ def fit_reference(train: DataFrame, columns: Sequence[str] = CATEGORICAL) -> Ref
     hotel = hotel_medians(base, meds)
     season = season_medians(base, meds)
     gm = global_median(base, meds).first()
-    cats = known_categories(base, columns)
+    cats = known_categories(base, columns).checkpoint(eager=True)
+    levels = cats.limit(MAX_LITERAL_LEVELS + 1).collect()  # at most one more than go into the plan as literals
     known = None
-    if fits(cats, MAX_LITERAL_LEVELS):
+    if len(levels) <= MAX_LITERAL_LEVELS:
         known = {c: [] for c in columns}
-        for row in cats.collect():  # bounded above by MAX_LITERAL_LEVELS
+        for row in levels:
             known[row["colonne"]].append(row["valeur"])
     return ReferenceStats(
         hotel=hotel,
@@ -114,20 +108,14 @@ def fit_reference(train: DataFrame, columns: Sequence[str] = CATEGORICAL) -> Ref
         global_median=None if gm is None else gm["prix_ref_global"],
         categories=cats,
         known=known,
-        hotel_small=fits(hotel, MAX_BROADCAST_ROWS),
-        season_small=fits(season, MAX_BROADCAST_ROWS),
     )
 
 
-def _lookup(df: DataFrame, table: DataFrame, keys: list[str], small: bool) -> DataFrame:
-    return df.join(F.broadcast(table) if small else table, keys, "left")
-
-
 def relative_prices(df: DataFrame, ref: ReferenceStats) -> DataFrame:
     """REF5-6: price / median of its hotel and of its (region, month), global median as fallback."""
     g = F.lit(ref.global_median).cast("double")
-    out = _lookup(df, ref.hotel, ["hotel_id"], ref.hotel_small)
-    out = _lookup(out, ref.season, ["region_hotel", "mois_arrivee"], ref.season_small)
+    out = df.join(ref.hotel, ["hotel_id"], "left")
+    out = out.join(ref.season, ["region_hotel", "mois_arrivee"], "left")
     return out.select(
         *[F.col(c) for c in df.columns],
         safe_div(F.col(PRICE), F.coalesce(F.col("prix_ref_hotel"), g)).alias("prix_relatif_hotel"),
@@ -157,19 +145,3 @@ def apply_reference(df: DataFrame, ref: ReferenceStats, columns: Sequence[str] =
     """REF8 apply: row features (if missing), relative prices, then the unseen remap (in that order)."""
     base = engineer(df) if "mois_arrivee" not in df.columns else df
     return remap_unseen(relative_prices(base, ref), ref, columns)
-
-
-class ReferenceEstimator(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Spark ML wrapper: ``fit`` on a training fold returns a :class:`ReferenceModel`."""
-
-    def _fit(self, dataset: DataFrame) -> "ReferenceModel":
-        return ReferenceModel(fit_reference(dataset))
-
-
-class ReferenceModel(Model):
-    def __init__(self, stats: ReferenceStats | None = None):
-        super().__init__()
-        self.stats = stats
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return apply_reference(dataset, self.stats)

@@ -34,4 +34,4 @@ def fold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build():
         return temporal_folds(fixture.reservations(spark, sf_dir).filter(fixture.is_train()))
-    return store.written(spark, "folds", f"folds-v1:{sf_dir.rstrip('/')}", build)
+    return store.written(spark, "folds", "folds-v2", build, sf_dir)

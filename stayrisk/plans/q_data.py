@@ -233,7 +233,9 @@ def _io_path(spark, sf, name):
 
     from ..session import ensure_checkpoint_dir
 
-    tag = hashlib.sha1(f"io-v1:{sf.rstrip('/')}".encode()).hexdigest()[:16]
+    from .store import identity
+
+    tag = hashlib.sha1(f"io-v2:{identity(spark, sf)}".encode()).hexdigest()[:16]
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stayrisk-io/{tag}/{name}"
 
 

@@ -23,14 +23,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def path_for(spark: SparkSession, kind: str, key: str) -> str:
+def identity(spark: SparkSession, folder: str) -> str:
+    """Path, size and modification time of every file under ``folder``: changed inputs get new stored tables."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
+
+
+def path_for(spark: SparkSession, kind: str, key: str, inputs: str | None = None) -> str:
+    """Where the table ``key`` of this kind is stored; ``inputs`` is the folder it is derived from."""
+    if inputs is not None:
+        key = f"{key}:{identity(spark, inputs)}"
     tag = hashlib.sha1(key.encode()).hexdigest()[:16]
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stayrisk-{kind}/{tag}"
 
 
-def written(spark: SparkSession, kind: str, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Return the table stored under (kind, key), building and writing it on first use."""
-    path = path_for(spark, kind, key)
+def written(spark: SparkSession, kind: str, key: str, build: Callable[[], DataFrame], inputs: str | None = None) -> DataFrame:
+    """Return the table stored under (kind, key, state of the input files), building and writing it on first use."""
+    path = path_for(spark, kind, key, inputs)
     if not exists(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -21,7 +21,7 @@ from ..operators import ensemble as ens
 from ..operators import metrics as M
 from ..operators.encoding import FoldPrep
 from ..operators.folds import stratified_folds, temporal_folds
-from ..operators.models import build_all, build_hgb, build_lgbm, build_logreg
+from ..operators.models import build_all, build_logreg
 from ..operators.reference import apply_reference, fit_reference
 from ..sources.schema import (ABLATION_CONFIGS, CATEGORICAL, ENSEMBLE_RAW_WEIGHTS, ID_COL, MODEL_ENSEMBLE,
                               MODEL_HGB, MODEL_LGBM, MODEL_LOGREG, RAW_NUMERIC, TARGET)
@@ -58,7 +58,7 @@ def _ensemble_rows(parts: list[DataFrame], fold: int) -> DataFrame | None:
     return e.select(F.lit(MODEL_ENSEMBLE).alias("model"), F.lit(fold).cast("int").alias("fold"), ID_COL, "y", "proba")
 
 
-def cross_validate(train: DataFrame, models: dict | None = None, profile: str = "fast",
+def cross_validate(train: DataFrame, models: dict | None = None,
                    with_ensemble: bool = True, checkpoint: bool = True, threads: int = 6) -> DataFrame:
     """ENS4: out-of-fold scores of every model (and the ensemble) on the 4 temporal folds.
 
@@ -67,7 +67,7 @@ def cross_validate(train: DataFrame, models: dict | None = None, profile: str =
     as an independent job from a thread pool. Each score table is checkpointed
     (lineage cut in the shared folder), so reports never refit anything.
     """
-    models = models if models is not None else build_all(profile)
+    models = models if models is not None else build_all()
     assigned = temporal_folds(train).persist(StorageLevel.MEMORY_AND_DISK)  # reused by every fold
     folds = sorted(r["fold"] for r in assigned.select("fold").distinct().collect())  # <= 4 values
     tables = {k: _fold_tables(assigned, k) for k in folds}
@@ -171,12 +171,16 @@ def ablation_table(metrics_by_config: DataFrame) -> DataFrame:
     )
 
 
-def final_model(train: DataFrame, threshold: float, profile: str = "fast"):
+def ensemble_members(models: dict | None = None) -> dict:
+    """The ensemble's members out of a model registry (reference sizes by default)."""
+    return {n: e for n, e in (models if models is not None else build_all()).items() if n in ENSEMBLE_MEMBERS}
+
+
+def final_model(train: DataFrame, threshold: float, models: dict | None = None):
     """SUB1: reference + ensemble refit on the whole training table, frozen out-of-fold threshold."""
     ref = fit_reference(train)
     TR = apply_reference(train, ref).persist(StorageLevel.MEMORY_AND_DISK)
-    members = {MODEL_LOGREG: build_logreg(profile=profile), MODEL_HGB: build_hgb(profile=profile),
-               MODEL_LGBM: build_lgbm(profile=profile)}
+    members = ensemble_members(models)
     prep = FoldPrep(TR, [c for e in members.values() for c in e.numeric], CATEGORICAL)
     members = {n: e.with_prep(prep) for n, e in members.items()}
     model = ens.EnsembleEstimator(members, ENSEMBLE_RAW_WEIGHTS, threshold).fit(TR)
@@ -189,7 +193,7 @@ def score(test: DataFrame, ref, model) -> DataFrame:
     return model.transform(apply_reference(test, ref))
 
 
-def random_cv_f1(train: DataFrame, k: int = 5, profile: str = "fast", threads: int = 3) -> DataFrame:
+def random_cv_f1(train: DataFrame, k: int = 5, threads: int = 3, models: dict | None = None) -> DataFrame:
     """FLD3 counter-check: ensemble on a stratified random k-fold; pooled best F1 (one row)."""
     folded = stratified_folds(train, k=k).persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -200,8 +204,7 @@ def random_cv_f1(train: DataFrame, k: int = 5, profile: str = "fast", threads: i
             ref = fit_reference(tr)
             TR = apply_reference(tr, ref).persist(StorageLevel.MEMORY_AND_DISK)
             VA = apply_reference(va, ref)
-            members = {MODEL_LOGREG: build_logreg(profile=profile), MODEL_HGB: build_hgb(profile=profile),
-                       MODEL_LGBM: build_lgbm(profile=profile)}
+            members = {n: _fresh(e) for n, e in ensemble_members(models).items()}
             prep = FoldPrep(TR, [c for e in members.values() for c in e.numeric], CATEGORICAL)
             members = {n: e.with_prep(prep) for n, e in members.items()}
             m = ens.EnsembleEstimator(members, ENSEMBLE_RAW_WEIGHTS).fit(TR)

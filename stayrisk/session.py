@@ -38,7 +38,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set a scratch one only when unset (tests)."""
+    """Return the cluster's shared checkpoint folder.
+
+    A scratch folder is set only where none is named and the session is local
+    (tests, one machine): on a cluster executors would write to their own disks.
+    """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -46,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
     scratch = tempfile.mkdtemp(prefix="stayrisk-ckpt-", dir=os.environ.get("STAYRISK_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
