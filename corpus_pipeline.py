@@ -67,8 +67,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labelled = mixing.labelled_domains(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return mixing.rates(docs, labelled).select("doc_id", "copies", "n_tokens", "domain", "rate")
+    every = _table(spark, sf_dir, "documents")
+    labels = mixing.domain_labels(every, _table(spark, sf_dir, "labels"))
+    return mixing.rates(docs, labels, labelled=every).select("doc_id", "copies", "n_tokens", "domain", "rate")
 
 
 STAGES = [("quality", quality_filter), ("near_dedup", near_dedup), ("substrings", substrings),

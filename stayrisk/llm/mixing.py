@@ -18,7 +18,7 @@ Rates say how often a document is drawn in expectation: 0 leaves it out, 2
 repeats it.
 
 The classifier is fitted on a bounded sample (``max_docs`` labelled documents
-by a hash of their id) and keeps the ``vocabulary`` most frequent words there,
+of at most ``max_chars`` characters, by a hash of their id) and keeps the ``vocabulary`` most frequent words there,
 so the joined table has a fixed size; a further entry stands for all other
 words. There may be at most ``max_domains`` domains.
 
@@ -39,7 +39,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_DOCS, VOCABULARY, MAX_DOMAINS = 4000, 5000, 64
+MAX_DOCS, MAX_CHARS, VOCABULARY, MAX_DOMAINS = 4000, 50_000, 5000, 64
 STEP, ROUNDS, TOLERANCE = 1.8, 60, 1e-4
 EVIDENCE = 12.0  # words that a document's average log-probability counts for
 SPACES = r"[\x20\x09-\x0D]+"
@@ -49,17 +49,23 @@ def words(text: Column) -> Column:
     return F.split(F.lower(text), SPACES)
 
 
-def classifier(labelled: DataFrame, max_docs: int = MAX_DOCS, vocabulary: int = VOCABULARY, max_domains: int = MAX_DOMAINS,
-               id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> tuple[list[str], DataFrame, list[float], list[float]]:
-    """(domains, table ``word, l_0 ..`` of log-probabilities, those of other words, log-priors)."""
-    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(domain_col).isNotNull()).select(
-        F.col(text_col).cast("string").alias("text"), F.col(domain_col).cast("string").alias("domain"),
-        F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    rows = rows.orderBy("h", "domain", F.xxhash64("text")).limit(max_docs).checkpoint()
-    docs = {r[0]: r[1] for r in rows.groupBy("domain").count().limit(max_domains + 1).collect()}
-    if len(docs) > max_domains:
+def classifier(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, vocabulary: int = VOCABULARY,
+               max_domains: int = MAX_DOMAINS, id_col: str = "doc_id", text_col: str = "text",
+               domain_col: str = "domain") -> tuple[list[str], DataFrame, list[float], list[float]]:
+    """(domains, table ``word, l_0 ..`` of log-probabilities, those of other words, log-priors).
+
+    ``labels`` names the documents' domains by id. The sample's ids are chosen
+    first, on ids alone, and then fetch their texts.
+    """
+    ids = labels.filter(F.col(id_col).isNotNull() & F.col(domain_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(domain_col).cast("string").alias("domain"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
+    ids = ids.orderBy("h", "domain").limit(max_docs)  # so few that they may be broadcast
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.length("text") <= max_chars)
+    rows = texts.join(F.broadcast(ids), "id").checkpoint()
+    found = {r[0]: r[1] for r in rows.groupBy("domain").count().limit(max_domains + 1).collect()}
+    if len(found) > max_domains:
         raise ValueError(f"more than {max_domains} domains")
-    domains = sorted(docs) or ["all"]
+    domains = sorted(found) or ["all"]
     each = rows.select("domain", F.explode(words(F.col("text"))).alias("word")).filter("word != ''")
     per = [F.count_if(F.col("domain") == d).alias(f"n_{k}") for k, d in enumerate(domains)]
     counts = each.groupBy("word").agg(*per, F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(vocabulary).checkpoint()
@@ -68,7 +74,7 @@ def classifier(labelled: DataFrame, max_docs: int = MAX_DOCS, vocabulary: int =
     size = [total.get(d, 0) + known[-1] + 1 for d in domains]  # one more of everything
     table = counts.select("word", *[F.log((F.col(f"n_{k}") + 1) / size[k]).alias(f"l_{k}") for k in range(len(domains))])
     other = [log((total.get(d, 0) - known[k] + 1) / size[k]) for k, d in enumerate(domains)]
-    prior = [log((docs.get(d, 0) + 1) / (sum(docs.values()) + len(domains))) for d in domains]
+    prior = [log((found.get(d, 0) + 1) / (sum(found.values()) + len(domains))) for d in domains]
     return domains, table, other, prior
 
 
@@ -97,15 +103,17 @@ def tempered(shares: list[float], power: float = 0.5) -> list[float]:
     return [x / sum(raised) for x in raised] if sum(raised) else shares
 
 
-def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
+def rates(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None = None, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
           rounds: int = ROUNDS, tolerance: float = TOLERANCE, **fit) -> DataFrame:
     """``doc_id, copies, n_tokens, domain`` (the likeliest), ``posterior`` (map) and ``rate``.
 
+    ``labels``: id and domain; ``labelled``: the documents they stand for (by
+    default ``docs`` itself).
     ``targets``: share of the tokens by domain, summing to the wanted multiple
     of the present total (usually 1); domains not named get 0. By default the
     present shares, tempered by their square roots.
     """
-    model = classifier(labelled, id_col=id_col, text_col=text_col, **fit)
+    model = classifier(docs if labelled is None else labelled, labels, id_col=id_col, text_col=text_col, **fit)
     domains = model[0]
     if targets and (unknown := set(targets) - set(domains)):
         raise ValueError(f"targets name domains that no labelled document has: {sorted(unknown)}")
@@ -137,8 +145,8 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     return table.select("doc_id", "copies", "n_tokens", domain.alias("domain"), posterior.alias("posterior"), "rate")
 
 
-def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, domain`` of the labelled documents: language and quality, such as ``de/1``."""
+def domain_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, domain`` of the labelled documents: language and quality, such as ``de/1``."""
     told = labels.filter("quality IS NOT NULL").select("doc_id", "quality").distinct()
-    return docs.select("doc_id", "text", "lang").join(told, "doc_id").select(
-        "doc_id", "text", F.concat_ws("/", F.coalesce("lang", F.lit("?")), F.col("quality").cast("string")).alias("domain"))
+    return docs.select("doc_id", "lang").join(told, "doc_id").select(
+        "doc_id", F.concat_ws("/", F.coalesce("lang", F.lit("?")), F.col("quality").cast("string")).alias("domain")).distinct()

@@ -92,4 +92,4 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_mix_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return mixing.rates(docs, mixing.labelled_domains(docs, table(spark, sf_dir, "labels"))).select("doc_id", "copies", "n_tokens", "domain", "rate")
+    return mixing.rates(docs, mixing.domain_labels(docs, table(spark, sf_dir, "labels"))).select("doc_id", "copies", "n_tokens", "domain", "rate")
