@@ -38,12 +38,15 @@ _REPLY = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("reply", pa.bi
 _BLOB = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("extra", pa.binary())])
 
 
-def plan(docs: DataFrame, text: str = "text") -> tuple[int, int]:
-    """(blocks, key ranges) for these documents, in proportion to their characters.
+def characters(docs: DataFrame, text: str = "text") -> int:
+    return docs.select(F.sum(F.length(text))).first()[0] or 0
+
+
+def plan(docs: DataFrame, chars: int) -> tuple[int, int]:
+    """(blocks, key ranges) for documents of so many characters.
 
     At least one of each per shuffle partition, so small inputs use all cores too.
     """
-    chars = docs.select(F.sum(F.length(text))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return (max(least, math.ceil(chars / BLOCK_CHARS)),) * 2
 
@@ -58,15 +61,18 @@ def blocked(docs: DataFrame, n_blocks: int, id_col: str, text_col: str, keep: li
     return docs.select(*cols)
 
 
-def pack(keys: np.ndarray) -> bytes:
-    """Sorted distinct uint64 keys as byte planes of their differences (the high planes are zeros and compress)."""
-    d = np.diff(keys, prepend=np.uint64(0))
+def pack(keys: np.ndarray, low: int = 0) -> bytes:
+    """Sorted distinct uint64 keys as byte planes of their differences (the high planes are zeros and compress).
+
+    ``low``: so many low bits of every key are zero and are not sent.
+    """
+    d = np.diff(keys >> np.uint64(low), prepend=np.uint64(0))
     return np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def unpack(blob: bytes) -> np.ndarray:
+def unpack(blob: bytes, low: int = 0) -> np.ndarray:
     planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64) << np.uint64(low)
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -84,22 +90,22 @@ def edges(keys: np.ndarray, n_parts: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, cuts), [len(keys)]])
 
 
-def blob_table(block: int, keys: np.ndarray, n_parts: int, extra: Callable[[int, int], bytes | None]) -> pa.Table:
+def blob_table(block: int, keys: np.ndarray, n_parts: int, extra: Callable[[int, int], bytes | None], low: int = 0) -> pa.Table:
     """Rows of BLOB_SCHEMA for one block's sorted distinct keys; ``extra(a, b)`` packs what goes with ``keys[a:b]``."""
     e = edges(keys, n_parts)
     own = [p for p in range(n_parts) if e[p + 1] > e[p]]
     return pa.table({
         "part": pa.array(own, pa.int32()), "block": pa.array([block] * len(own), pa.int32()),
-        "keys": pa.array([pack(keys[e[p] : e[p + 1]]) for p in own], pa.binary()),
+        "keys": pa.array([pack(keys[e[p] : e[p + 1]], low) for p in own], pa.binary()),
         "extra": pa.array([extra(e[p], e[p + 1]) for p in own], pa.binary()),
     }, schema=_BLOB)
 
 
-def answer(blobs: DataFrame, reduce: Callable[[list[np.ndarray], list[bytes]], list[bytes]]) -> DataFrame:
+def answer(blobs: DataFrame, reduce: Callable[[list[np.ndarray], list[bytes]], list[bytes]], low: int = 0) -> DataFrame:
     """Step 2: ``reduce(keys of each row, extra of each row)`` gives one reply per row."""
 
     def merge(table: pa.Table) -> pa.Table:
-        keys = [unpack(k) for k in table.column("keys").to_pylist()]
+        keys = [unpack(k, low) for k in table.column("keys").to_pylist()]
         replies = reduce(keys, table.column("extra").to_pylist())
         return pa.table({"block": table.column("block").cast(pa.int32()), "part": table.column("part").cast(pa.int32()),
                          "reply": pa.array(replies, pa.binary())}, schema=_REPLY)

@@ -16,7 +16,11 @@ shorter are repeated (else it cannot be), one order per exchange.
 Defined results: null or empty texts have no words, score 0.0 and a null mean;
 rows with a null id are scored but not told apart by id; repeated rows count
 as often as they stand in the table; other columns are ignored. An empty table
-gives an empty result. n-grams are identified by 64-bit hashes.
+gives an empty result.
+
+n-grams are identified by hashes whose width grows with the corpus (22 bits
+more than its characters need, 64 at most), so that fewer than one n-gram in
+2**22 shares its hash with another, at any size below the full width.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks
-from .text import window_hashes
+from .text import mix, window_hashes
 
 TOTAL = np.uint64(0)  # the key under which blocks send their number of words
 
@@ -57,11 +61,13 @@ def _add_up(keys: list[np.ndarray], extra: list[bytes]) -> list[bytes]:
 
 
 class _Model:
-    def __init__(self, order: int, alpha: float, min_count: int, n_parts: int):
-        self.order, self.alpha, self.min_count, self.n_parts = order, alpha, min_count, n_parts
+    def __init__(self, order: int, alpha: float, min_count: int, n_parts: int, low: int):
+        self.order, self.alpha, self.min_count, self.n_parts, self.low = order, alpha, min_count, n_parts, low
 
     def keys(self, b: blocks.Tokens, n: int) -> np.ndarray:
-        return window_hashes(b.h, n) ^ np.uint64(n)
+        """Hashes of the n-grams with ``low`` low bits cleared; never TOTAL."""
+        low = np.uint64(self.low)
+        return np.maximum(mix(window_hashes(b.h, n) + np.uint64(n)) >> low, np.uint64(1)) << low
 
     def counts(self, b: blocks.Tokens, replies: list[list[bytes]]) -> tuple[int, list[np.ndarray]]:
         """N, and by order the corpus count of the n-gram that starts at each word (0: none or not sent)."""
@@ -84,7 +90,7 @@ class _Model:
     def start(self, b: blocks.Tokens):
         """The first exchange's keys: one- and two-word n-grams and the total."""
         first, second = b.fits(1), b.fits(2) if self.order > 1 else np.empty(0, np.int64)
-        keys = np.concatenate([np.maximum(self.keys(b, 1)[first], 1), np.maximum(self.keys(b, 2)[second], 1), [TOTAL]])
+        keys = np.concatenate([self.keys(b, 1)[first], self.keys(b, 2)[second], [TOTAL]])
         uniq, n, place = _ranked(keys)
         return uniq, n, place, first, second
 
@@ -102,7 +108,7 @@ class _Model:
             _, counts = self.counts(b, replies)
             order = len(replies) + 2
             uniq, n, _ = _ranked(self.keys(b, order)[self.candidates(b, counts, order)])
-        return blocks.blob_table(block, uniq, self.n_parts, lambda x, y: blocks.planes(n[x:y]))
+        return blocks.blob_table(block, uniq, self.n_parts, lambda x, y: blocks.planes(n[x:y]), self.low)
 
     def score(self, b: blocks.Tokens, replies: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """By word: natural log of its score, and the order used."""
@@ -128,9 +134,10 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int =
     """One row per input row: ``doc_id, n_words, log_score, mean_log, n_by_order`` (words scored at each order)."""
     if order < 1:
         raise ValueError("order must be at least 1")
-    n_blocks, n_parts = blocks.plan(docs, text_col)
+    chars = blocks.characters(docs, text_col)
+    n_blocks, n_parts = blocks.plan(docs, chars)
     by_block = blocks.blocked(docs, n_blocks, id_col, text_col)
-    model = _Model(order, alpha, min_count, n_parts)
+    model = _Model(order, alpha, min_count, n_parts, max(0, 64 - chars.bit_length() - 22))
 
     def first(table: pa.Table) -> pa.Table:
         return model.send(blocks.block_id(table), blocks.Tokens(table, every=True), [])
@@ -148,7 +155,7 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int =
             sent = by_block.groupBy("block").applyInArrow(first, blocks.BLOB_SCHEMA)
         else:
             sent = by_block.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(later(k), blocks.BLOB_SCHEMA)
-        got = blocks.answer(sent, _add_up).withColumn("level", F.lit(k))
+        got = blocks.answer(sent, _add_up, model.low).withColumn("level", F.lit(k))
         replies = got if replies is None else replies.unionByName(got)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:

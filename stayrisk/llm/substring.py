@@ -26,11 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import blocks
 from .text import window_hashes, words
 
 WINDOW = 13
+OUT = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, text string, kept_sha256 string"
 
 
 def levels(window: int, base: int = 7) -> list[int]:
@@ -151,10 +153,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     by one space; ``spans`` the removed word ranges ``[start, end)``;
     ``kept_sha256`` the digest of the kept words joined by one space.
     """
-    n_blocks, n_parts = blocks.plan(docs, text_col)
+    n_blocks, n_parts = blocks.plan(docs, blocks.characters(docs, text_col))
     by_block = blocks.blocked(docs, n_blocks, id_col, text_col, keep)
     passes = _Passes(levels(window, base), n_parts)
-    schema = by_block.schema["rest"].dataType.simpleString() if keep else None
 
     def first(table: pa.Table) -> pa.Table:
         return passes.blobs(blocks.block_id(table), _Block(table), [])
@@ -193,6 +194,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
             cols["rest"] = left.column("rest")
         return pa.table(cols)
 
-    out = ("doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, text string, "
-           "kept_sha256 string" + (f", rest {schema}" if keep else ""))
+    out = T.StructType.fromDDL(OUT)
+    if keep:
+        out.add(by_block.schema["rest"])
     return by_block.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(cut, out)
