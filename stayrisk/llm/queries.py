@@ -23,6 +23,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Every window as a string, its smallest document, and the words under windows that an earlier document holds.
+ORACLE["op7_substring_dedup"] = rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (SELECT doc_id, i, string_agg(word, ' ') OVER r AS key, count(*) OVER r AS n FROM t
+  WINDOW r AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {substring.WINDOW - 1} FOLLOWING)),
+m AS (SELECT key, min(doc_id) AS first_doc FROM k WHERE n = {substring.WINDOW} GROUP BY key),
+hit AS (SELECT doc_id, i FROM k JOIN m USING (key) WHERE n = {substring.WINDOW} AND first_doc < doc_id),
+g AS (SELECT t.doc_id, t.i, t.word, count(hit.i) OVER (PARTITION BY t.doc_id ORDER BY t.i ROWS BETWEEN {substring.WINDOW - 1} PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM t LEFT JOIN hit ON t.doc_id = hit.doc_id AND t.i = hit.i),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS head FROM g),
+o AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+  string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept, count(*) FILTER (WHERE head) AS n_spans FROM e GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256,
+  coalesce(n_spans, 0) AS n_spans FROM d LEFT JOIN o USING (doc_id)"""
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -89,6 +106,36 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("loss", 256).alias("loss_sha256"), F.col("formatted_chars").cast("long").alias("formatted_chars"), "n_windows")
 
 
+def _escaped(c: str) -> str:
+    for old, new in (("\\", "\\\\"), ("<|", "<\\|"), ("</s>", "<\\/s>"), ("<s>", "<\\s>"), ("[INST]", "[\\INST]"), ("[/INST]", "[\\/INST]"), ("|>", "|\\>")):
+        c = f"replace({c}, '{old}', '{new}')"
+    return c
+
+
+#: The same windows by plain SQL: escaped lengths, prefix sums, windows, and what each window repeats.
+ORACLE["op9_chat_format"] = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{PLANTED}' UNION ALL SELECT -7, 1, 'assistant', '{PLANTED}'),
+p AS (SELECT *, {len(chat.TURN + chat.BODY + chat.END)} + length({_escaped('role')}) + length({_escaped('text')}) AS len FROM c),
+t AS (SELECT *, cast(ceil(len / {chat.CHARS_PER_TOKEN}.0) AS BIGINT) AS tokens,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS seq FROM p),
+u AS (SELECT *, cast(sum(tokens) OVER (PARTITION BY conv_id ORDER BY seq) AS BIGINT) AS upto FROM t),
+s AS (SELECT conv_id, min(seq) AS sseq, arg_min(tokens, seq) AS stok, arg_min(len, seq) AS slen FROM u WHERE role = 'system' GROUP BY conv_id),
+w AS (SELECT u.*, sseq, slen, greatest(cast(floor(({chat.BUDGET - chat.HISTORY} - coalesce(stok, 0)) / 2.0) AS BIGINT), {chat.BUDGET // 8}) AS span
+  FROM u LEFT JOIN s USING (conv_id)),
+x AS (SELECT *, (upto - 1) // span AS win FROM w),
+f AS (SELECT conv_id, win, min(upto - tokens) AS start, min(seq) AS fseq, any_value(sseq) AS sseq, any_value(slen) AS slen FROM x GROUP BY conv_id, win),
+past AS (SELECT x.conv_id, sum(x.len) AS len FROM x JOIN f ON x.conv_id = f.conv_id AND f.win > x.win
+  AND f.win <= greatest((x.upto - x.tokens + {chat.HISTORY}) // x.span + 1, x.win + 1) AND x.tokens <= {chat.HISTORY}
+  AND f.start - x.upto + x.tokens <= {chat.HISTORY} AND x.upto <= f.start AND (x.sseq IS NULL OR x.seq <> x.sseq) GROUP BY x.conv_id),
+kept AS (SELECT conv_id, count(*) AS n_windows, sum(CASE WHEN sseq < fseq THEN slen ELSE 0 END) AS len FROM f GROUP BY conv_id),
+conv AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY seq) AS turns,
+  coalesce(string_agg(text, '' ORDER BY seq) FILTER (WHERE role = 'assistant'), '') AS loss, sum(len) AS len FROM x GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  cast(conv.len + coalesce(past.len, 0) + kept.len AS BIGINT) AS formatted_chars, n_windows
+FROM conv JOIN kept USING (conv_id) LEFT JOIN past USING (conv_id)"""
+
+
 @query
 def op1_mix_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
