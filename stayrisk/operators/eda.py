@@ -126,6 +126,11 @@ def rate_by(df: DataFrame, key: str, target: str = TARGET, digits: int = 3) -> D
     )
 
 
+def ordered(table: DataFrame, *order) -> DataFrame:
+    """A table of one row per level, sorted, with its row number from 1 in ``ordre``."""
+    return table.withColumn("ordre", F.row_number().over(Window.orderBy(*order))).orderBy("ordre")
+
+
 def quarterly_rate(df: DataFrame, date_col: str = "date_reservation", target: str = TARGET) -> DataFrame:
     """EDA15: quarter-end resample of (size, mean) including empty quarters.
 

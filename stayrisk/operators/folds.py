@@ -74,12 +74,12 @@ def fold_dates(assigned: DataFrame, date_col: str = "date_reservation", target:
 
 
 def stratified_folds(df: DataFrame, label: str = TARGET, k: int = 5, seed: int = 42, id_col: str = ID_COL) -> DataFrame:
-    """FLD3: random stratified k-fold: rank within each class by a seeded hash, fold = rank % k.
+    """FLD3: random stratified k-fold: rank within each class by md5("id:seed"), fold = rank % k.
 
     Ranks come from the skew-safe running count per class (a class is a hot group
     by nature: two groups hold every row).
     """
-    hashed = df.withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    hashed = df.withColumn("__h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")).cast("binary")))
     ranked = row_positions(hashed, ["__h", id_col], name="__rank", group_cols=[label])
     return ranked.withColumn("fold", (F.col("__rank") % k + 1).cast("int")).drop("__h", "__rank")
 

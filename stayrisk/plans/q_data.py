@@ -204,17 +204,22 @@ def fld2(spark, sf):
     return fold_dates(temporal_folds(inputs.cleaned(spark, sf)[0]))
 
 
-@query("fld3_stratified_fold_counts", with_fixture("""
-SELECT fold, y, count(*) AS n FROM (
-  SELECT reservation_annulee AS y,
-         cast((row_number() OVER (PARTITION BY reservation_annulee ORDER BY reservation_id) - 1) % 5 + 1 AS int) AS fold
-  FROM train_clean) GROUP BY fold, y"""))
-def fld3(spark, sf):
+_FLD3_SQL = """
+SELECT reservation_id, reservation_annulee AS y,
+       cast((row_number() OVER (PARTITION BY reservation_annulee ORDER BY md5(concat(reservation_id, ':42')), reservation_id) - 1) % 5 + 1 AS int) AS fold
+FROM train_clean"""
+
+
+@query("fld3_stratified_folds", with_fixture(_FLD3_SQL))
+def fld3_rows(spark, sf):
     from ..operators.folds import stratified_folds
 
-    tr = inputs.cleaned(spark, sf)[0]
-    return (stratified_folds(tr).groupBy("fold", F.col("reservation_annulee").alias("y"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    return stratified_folds(inputs.cleaned(spark, sf)[0]).select("reservation_id", F.col("reservation_annulee").alias("y"), "fold")
+
+
+@query("fld3_stratified_fold_counts", with_fixture(f"SELECT fold, y, count(*) AS n FROM ({_FLD3_SQL}) GROUP BY fold, y"))
+def fld3(spark, sf):
+    return fld3_rows(spark, sf).groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("fld4_order_check", with_fixture("""

@@ -116,9 +116,13 @@ def eda10(spark, sf):
     return eda.functional_dependency(inputs.raw(spark, sf)[0])
 
 
-@query("eda11_rate_by_channel", _rate_sql("canal_reservation"))
+@query("eda11_rate_by_channel", with_fixture(f"""
+SELECT *, cast(row_number() OVER (ORDER BY taux_annulation, canal_reservation) AS int) AS ordre FROM (
+SELECT canal_reservation, count(*) AS effectif, {r('avg(reservation_annulee)', 3)} AS taux_annulation
+FROM train_fe WHERE canal_reservation IS NOT NULL GROUP BY canal_reservation)"""))
 def eda11(spark, sf):
-    return eda.rate_by(inputs.engineered(spark, sf)[0], "canal_reservation")
+    rates = eda.rate_by(inputs.engineered(spark, sf)[0], "canal_reservation")
+    return eda.ordered(rates, "taux_annulation", "canal_reservation")
 
 
 @query("eda12_rate_by_modifications", _rate_sql("modifications_reservation"))
@@ -166,13 +170,15 @@ def eda16(spark, sf):
 
 
 @query("eda17_channel_counts_after_remap", with_fixture(
-    "SELECT canal_reservation, count(*) AS effectif FROM test_ref GROUP BY canal_reservation",
+    "SELECT *, cast(row_number() OVER (ORDER BY effectif DESC, canal_reservation) AS int) AS ordre FROM "
+    "(SELECT canal_reservation, count(*) AS effectif FROM test_ref GROUP BY canal_reservation)",
     REF_CTES))
 def eda17(spark, sf):
     from ..operators.reference import apply_reference, fit_reference
 
     tr, te = inputs.engineered(spark, sf)
-    return eda.level_counts(apply_reference(te, fit_reference(tr)), "canal_reservation")
+    counts = eda.level_counts(apply_reference(te, fit_reference(tr)), "canal_reservation")
+    return eda.ordered(counts, F.desc("effectif"), "canal_reservation")
 
 
 _PREVIEW = ["reservation_id", "date_reservation", "region_hotel", "type_acompte", "delai_reservation_jours",
