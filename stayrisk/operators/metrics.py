@@ -270,15 +270,20 @@ def decile_edges(scored: DataFrame, group_cols: Sequence[str] = (), proba: str =
     return exact_quantiles(scored, proba, DECILE_PROBS, group_cols, prefix="e")
 
 
-def deciles(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba: str = "proba") -> DataFrame:
+def deciles(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y", proba: str = "proba",
+            duplicates: str = "drop") -> DataFrame:
     """MET15: qcut-style deciles (right-closed, duplicate edges dropped), n, mean proba, rate, lift, share.
 
-    The edge table has one row per group.
+    The edge table has one row per group. ``duplicates="raise"`` raises on equal edges instead of dropping them.
     """
     group_cols = list(group_cols)
     edges = decile_edges(scored, group_cols, proba)
-    joined = join_groups(scored, edges, group_cols)
     e = [F.col(f"e{j}") for j in range(len(DECILE_PROBS))]
+    if duplicates == "raise":
+        equal = [e[j] == e[j - 1] for j in range(1, len(e))]
+        if not edges.where(F.greatest(*[x.cast("int") for x in equal]) == 1).isEmpty():
+            raise ValueError("decile edges are not unique")
+    joined = join_groups(scored, edges, group_cols)
     # bin = number of distinct edges strictly below proba (sorted edges: a duplicate
     # equals its predecessor), the lowest value falls in bin 1 (include_lowest).
     below = None

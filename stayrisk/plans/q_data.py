@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..oracle_sql import with_fixture
 from ..registry import query
+from ..sources.schema import CATEGORICAL, RAW_NUMERIC
 from . import inputs
 
 
@@ -232,6 +233,13 @@ def fld4(spark, sf):
     return order_violations(inputs.cleaned(spark, sf)[0])
 
 
+@query("fe18_model_matrix", with_fixture(f"SELECT {', '.join([*RAW_NUMERIC, *CATEGORICAL])} FROM train_fe"))
+def fe18(spark, sf):
+    from ..operators.features import build_matrix
+
+    return build_matrix(inputs.engineered(spark, sf)[0], RAW_NUMERIC, CATEGORICAL)
+
+
 # ---------------------------------------------------------------- sources and sinks
 def _io_path(spark, sf, name):
     import hashlib

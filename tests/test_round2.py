@@ -49,3 +49,10 @@ def test_best_metrics_match_metrics_at(spark):
     for r in M.metrics_at(df, best, ["g"]).collect():
         for c in r.asDict():
             assert abs(r[c] - a[r.g][c]) < 1e-9, c
+
+
+def test_equal_decile_edges_raise_on_request(spark):
+    df = spark.createDataFrame([(i % 2, 0.5 if i < 60 else i / 100) for i in range(100)], "y int, proba double")
+    assert M.deciles(df).count() < 10
+    with pytest.raises(ValueError, match="unique"):
+        M.deciles(df, duplicates="raise")
