@@ -86,10 +86,11 @@ def posteriors(docs: DataFrame, model: tuple[list[str], DataFrame, list[float],
     each = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode_outer(words(text)).alias("pos", "word"))
     told = F.col("word") != ""
     each = each.join(F.broadcast(table), "word", "left")
-    sums = [F.sum(F.when(told, F.coalesce(F.col(f"l_{k}"), F.lit(other[k])))).alias(f"s_{k}") for k in range(len(domains))]
-    per = each.groupBy("doc_id", "h").agg(F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("copies"), F.count_if(told).alias("n_tokens"), *sums)
-    n = F.greatest(F.col("n_tokens"), F.lit(1))
-    logit = [F.coalesce(F.col(f"s_{k}") / n, F.lit(0.0)) * EVIDENCE + prior[k] for k in range(len(domains))]
+    sums = [F.sum(f"l_{k}").alias(f"s_{k}") for k in range(len(domains))]  # of known words; the others are counted
+    per = each.groupBy("doc_id", "h").agg(F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("copies"), F.count_if(told).alias("n_tokens"),
+                                          F.count("l_0").alias("known"), *sums)
+    n, unknown = F.greatest(F.col("n_tokens"), F.lit(1)), F.col("n_tokens") - F.col("known")
+    logit = [(F.coalesce(F.col(f"s_{k}"), F.lit(0.0)) + unknown * other[k]) / n * EVIDENCE + prior[k] for k in range(len(domains))]
     per = per.select("doc_id", "copies", "n_tokens", *[x.alias(f"z_{k}") for k, x in enumerate(logit)])
     top = F.greatest(*[F.col(f"z_{k}") for k in range(len(domains))]) if len(domains) > 1 else F.col("z_0")
     per = per.select("doc_id", "copies", "n_tokens", *[F.exp(F.col(f"z_{k}") - top).alias(f"e_{k}") for k in range(len(domains))])
