@@ -74,15 +74,15 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     ``loss`` holds ``[start, end)`` code points of ``formatted``; the first
     ``n_repeated`` turns of a window are repeated from earlier ones.
     """
-    rows = turns(conversations, **columns)
-    system = rows.filter(F.col("role") == "system").groupBy("conv_id").agg(
-        F.min_by(F.struct("seq", "piece", "tokens"), "seq").alias("s"))
-    rows = rows.join(system.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
-    # what the system turn leaves; at least a quarter of the budget even beside a huge one
-    span = F.greatest(F.floor((F.lit(budget - history) - F.coalesce("s.tokens", F.lit(0))) / 2), F.lit(max(1, budget // 8)))
-    rows = rows.withColumn("span", span).withColumn("window", F.floor((F.col("upto") - 1) / F.col("span")))
-    first = rows.groupBy("conv_id", "window").agg(F.min(F.col("upto") - F.col("tokens")).alias("start"), F.min("seq").alias("first_seq"),
-                                                  F.any_value("s").alias("system"))
+    rows = turns(conversations, **columns).checkpoint()  # read by every branch below
+    system = rows.filter(F.col("role") == "system").groupBy(F.col("conv_id").alias("c")).agg(
+        F.min_by(F.struct("seq", "piece", "tokens"), "seq").alias("system"))
+    # what the system turn leaves; at least an eighth of the budget even beside a huge one
+    span = F.greatest(F.floor((F.lit(budget - history) - F.coalesce("t", F.lit(0))) / 2), F.lit(max(1, budget // 8)))
+    rows = rows.join(system.select("c", F.col("system.tokens").alias("t")), F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
+    rows = rows.withColumn("span", span).withColumn("window", F.floor((F.col("upto") - 1) / F.col("span"))).drop("t")
+    first = rows.groupBy("conv_id", "window").agg(F.min(F.col("upto") - F.col("tokens")).alias("start"), F.min("seq").alias("first_seq"))
+    first = first.join(system, F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
     # a turn may be history of the windows that start within `history` tokens after its start
     last = F.floor((F.col("upto") - F.col("tokens") + history) / F.col("span")) + 1
     past = rows.filter(F.col("tokens") <= history).select(
