@@ -18,9 +18,9 @@ rows with a null id are scored but not told apart by id; repeated rows count
 as often as they stand in the table; other columns are ignored. An empty table
 gives an empty result.
 
-n-grams are identified by hashes whose width grows with the corpus (22 bits
-more than its characters need, 64 at most), so that fewer than one n-gram in
-2**22 shares its hash with another, at any size below the full width.
+n-grams are identified by hashes whose width grows with the corpus (``SPARE``
+bits more than its characters need, 64 at most), so that fewer than one n-gram
+in 2**SPARE shares its hash with another, at any size below the full width.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from . import blocks
 from .text import mix, window_hashes
 
+SPARE = 20
 TOTAL = np.uint64(0)  # the key under which blocks send their number of words
 
 
@@ -137,7 +138,7 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int =
     chars = blocks.characters(docs, text_col)
     n_blocks, n_parts = blocks.plan(docs, chars)
     by_block = blocks.blocked(docs, n_blocks, id_col, text_col)
-    model = _Model(order, alpha, min_count, n_parts, max(0, 64 - chars.bit_length() - 22))
+    model = _Model(order, alpha, min_count, n_parts, max(0, 64 - chars.bit_length() - SPARE))
 
     def first(table: pa.Table) -> pa.Table:
         return model.send(blocks.block_id(table), blocks.Tokens(table, every=True), [])
