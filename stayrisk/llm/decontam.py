@@ -3,8 +3,8 @@
 Fixed masks select some of the words of a window and ignore the others, so that
 a window still hashes alike when ignored words were substituted. Windows of the
 test items and of the documents meet in an equi-join on the hash; around each
-hit the two word sequences are compared along the hit's diagonal, and the best
-substitution-tolerant overlap through the hit decides.
+hit the two word sequences are compared along the hit's diagonal, and the
+longest substitution-tolerant overlap on it decides.
 
 Words are lower-cased (A-Z) with ASCII punctuation as white space. Items with
 the same words are one item (the smallest id). An item shorter than the masks
@@ -66,22 +66,31 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
 
 
 def overlap(item: np.ndarray, doc: np.ndarray, diagonal: int, max_subst: float, min_words: int) -> tuple[int, int, int] | None:
-    """Best overlap on one diagonal: (start, end) in the document and matched words, or none.
+    """Longest overlap on one diagonal: (start, end) in the document and matched words, or none.
 
-    The maximal-scoring segment with one point for a match and, for a
-    substitution, the loss that makes a share of ``max_subst`` break even.
+    From every matching word the farthest matching word at which the share of
+    substitutions is still at most ``max_subst``; of those with ``min_words``
+    matches the longest, then the first. No segment that meets both bounds is
+    missed: its substituted ends can be cut off, and from its first word the
+    farthest end has the most matches.
     """
     lo, hi = max(0, diagonal), min(len(doc), diagonal + len(item))
     if hi - lo < min_words:
         return None
     same = item[lo - diagonal : hi - diagonal] == doc[lo:hi]
-    gain = np.where(same, 1.0, -(1 - max_subst) / max_subst)
-    total = np.concatenate([[0.0], np.cumsum(gain)])
-    low = np.minimum.accumulate(total[:-1])
-    end = int(np.argmax(total[1:] - low)) + 1
-    start = int(np.argmin(total[:end]))
-    matched = int(same[start:end].sum())
-    return (lo + start, lo + end, matched) if matched >= min_words else None
+    matched = np.concatenate([[0], np.cumsum(same)])
+    n = np.arange(len(matched))
+    spare = max_subst * n - (n - matched)  # a segment is within the share if this does not fall from its start to its end
+    highest = np.maximum.accumulate(spare[::-1])  # from the end back to each place
+    start = np.flatnonzero(same)
+    far = len(same) - np.searchsorted(highest, spare[start] - 1e-9)
+    last = np.concatenate([[0], np.maximum.accumulate(np.where(same, n[1:], 0))])  # end of the last match up to each place
+    end = last[far]
+    length = np.where(matched[end] - matched[start] >= min_words, end - start, 0)
+    if not length.any():
+        return None
+    k = int(np.argmax(length))
+    return (lo + int(start[k]), lo + int(end[k]), int(matched[end[k]] - matched[start[k]]))
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:

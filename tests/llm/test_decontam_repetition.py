@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from stayrisk.llm import decontam, repetition
 
 
@@ -35,6 +37,50 @@ def test_leaks(sp, documents):
     assert decontam.clean(docs, bench.limit(0)).count() == len(rows)
 
 
+def segments(same, max_subst=0.25, min_words=8):
+    """By trying all: (length, -start, matched) of the longest segment that meets the rule."""
+    every = [(e - s, -s, sum(same[s:e])) for s in range(len(same)) for e in range(s + 1, len(same) + 1)
+             if same[s] and same[e - 1] and sum(same[s:e]) >= min_words and e - s - sum(same[s:e]) <= max_subst * (e - s) + 1e-9]
+    return max(every, default=None)
+
+
+def test_overlap_is_the_longest_within_the_rule():
+    r = random.Random(2)
+    for k in range(600):
+        n, share = r.randrange(8, 61), r.choice([0.25, 0.2, 0.3, 0.0])
+        item = np.arange(1, n + 1, dtype=np.uint64)
+        copy = item.copy()
+        copy[r.sample(range(n), r.randrange(n // 4 + 1 + k % 3))] = 0
+        before, after = np.zeros(r.randrange(5), np.uint64), np.zeros(r.randrange(5), np.uint64)
+        got = decontam.overlap(item, np.concatenate([before, copy, after]), len(before), share, 8)
+        want = segments([bool(x) for x in copy], share)
+        assert got == (want and (len(before) - want[1], len(before) - want[1] + want[0], want[2]))
+
+
+def test_leaks_with_spread_substitutions(sp, documents):
+    """Every copy that a seed hits and whose overlap meets the rule is reported, and no other."""
+    r = random.Random(5)
+    items = {i: sentence(r, r.choice([8, 11, 13, 15, 20, 30, 40, 60])).split() for i in range(60)}
+    copies = {i: list(w) for i, w in items.items()}
+    for i, w in copies.items():
+        for at in r.sample(range(len(w)), r.randrange(len(w) // 4 + 1)):
+            w[at] = f"new{at}"
+    items[100], items[101] = sentence(r, 15).split(), sentence(r, 40).split()
+    copies[100] = [f"new{k}" if k in (2, 8, 11) else w for k, w in enumerate(items[100])]  # 12 matched, 20 % substituted
+    copies[101] = [f"new{k}" if k % 4 == 3 else w for k, w in enumerate(items[101])]  # 25 %
+    want = {}
+    for i, w in items.items():
+        same = [a == b for a, b in zip(w, copies[i])]
+        masks = decontam.MASKS if len(w) >= 13 else ("1" * len(w),)
+        hit = any(all(same[q + j] for j, c in enumerate(m) if c == "1") for m in masks for q in range(len(w) - len(m) + 1))
+        if hit and (best := segments(same)):
+            want[i] = (-best[1], best[0] - best[1], best[2])
+    assert 100 in want and len(want) > 30
+    bench = sp.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = decontam.leaks(documents([(i, " ".join(w)) for i, w in copies.items()]), bench).collect()
+    assert {x.doc_id: (x.start, x.end, x.matched) for x in got} == want and all(x.doc_id == x.item_id for x in got)
+
+
 def brute(text, at_least=5):
     w = (text or "").encode().split()
     n = len(w)
