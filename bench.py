@@ -5,7 +5,7 @@ derived booking table is built first and timed on its own (``fixture``); the
 queries then scan it like a production booking table. ``BENCH_ML=1`` (default)
 adds the ablation (8 feature sets x 4 folds, logistic at its full size) and the
 expanding-window cross-validation of the five model families plus the ensemble,
-with the member sizes of the registered query (``CV_SIZES``).
+at the reference's sizes, as the registered query runs it.
 """
 
 from __future__ import annotations

@@ -18,10 +18,6 @@ from ..registry import query
 from ..sources.schema import CATEGORICAL, MODEL_ENSEMBLE, MODEL_NUMERIC, RELATIVE_PRICE
 from . import inputs, store, validation
 
-# The cross-validation queries fit 20 to 30 tree models each. Their members' sizes are passed here, since at the
-# builders' defaults (the reference's sizes) one of them runs for many minutes on 8 cores; README has the figures.
-# The single fits (mod4, mod5) run at the defaults.
-CV_SIZES = dict(trees=20, hgb_rounds=15, lgbm_rounds=15)
 # numeric columns available without a fitted reference (PRE checks run on row features)
 ROW_NUMERIC = [c for c in MODEL_NUMERIC if c not in RELATIVE_PRICE]
 
@@ -118,7 +114,7 @@ def mod1_6(spark, sf):
     """Every model family of the registry fitted on the last fold, metric row at its best threshold."""
     TR, VA = _last_fold(spark, sf)
     tasks = [(lambda n=n, e=e: validation._long(e.fit(TR).transform(VA), n, 4).checkpoint(eager=True))
-             for n, e in MOD.build_all(**CV_SIZES).items()]
+             for n, e in MOD.build_all().items()]
     scored = validation.parallel(tasks)
     from functools import reduce
 
@@ -132,6 +128,11 @@ def _one_family(spark, sf, est):
     return M.best_metrics(validation._long(est.fit(TR).transform(VA), est.name, 4).checkpoint(eager=True), ["model"]).withColumnRenamed("model", "modele")
 
 
+@query("mod3_random_forest_last_fold")
+def mod3(spark, sf):
+    return _one_family(spark, sf, MOD.build_random_forest())
+
+
 @query("mod4_hgb_last_fold")
 def mod4(spark, sf):
     return _one_family(spark, sf, MOD.build_hgb())
@@ -145,7 +146,7 @@ def mod5(spark, sf):
 @query("ens3_ensemble_scoring")
 def ens3(spark, sf):
     TR, VA = _last_fold(spark, sf)
-    members = {n: e for n, e in MOD.build_all(**CV_SIZES).items() if n in validation.ENSEMBLE_MEMBERS}
+    members = {n: e for n, e in MOD.build_all().items() if n in validation.ENSEMBLE_MEMBERS}
     from ..operators.ensemble import EnsembleEstimator
 
     model = EnsembleEstimator(members, threshold=0.5).fit(TR)
@@ -154,10 +155,16 @@ def ens3(spark, sf):
 
 # ------------------------------------------------------------------ cross-validation (written once)
 def oof_scores(spark, sf):
-    """ENS4: out-of-fold scores of all models + ensemble, written once per checkpoint folder."""
+    """ENS4: out-of-fold scores of all models + ensemble at the reference sizes, written once per checkpoint folder.
+
+    Every (model, fold) is stored as soon as it is scored, so a run that was cut short goes on where it stopped.
+    """
+    def keep(name, fold, scores):
+        return store.written(spark, "oof-part", f"oof-part-v3:{name}:{fold}", scores, sf)
+
     def build():
-        return validation.cross_validate(inputs.cleaned(spark, sf)[0], MOD.build_all(**CV_SIZES))
-    return store.written(spark, "oof", "oof-v2", build, sf)
+        return validation.cross_validate(inputs.cleaned(spark, sf)[0], MOD.build_all(), checkpoint=False, keep=keep)
+    return store.written(spark, "oof", "oof-v3", build, sf)
 
 
 @query("ens4_cv_fold_results")
@@ -198,7 +205,7 @@ def _final(spark, sf):
     oof = oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE)
     t = M.best_threshold(M.sweep(oof)).first()["seuil"]  # frozen pooled threshold (scalar)
     tr, te = inputs.cleaned(spark, sf)
-    ref, model = validation.final_model(tr, t, MOD.build_all(**CV_SIZES))
+    ref, model = validation.final_model(tr, t, MOD.build_all())
     return ref, model, te, t
 
 
@@ -215,8 +222,8 @@ def sub1(spark, sf):
 @query("fld3_random_cv_f1")
 def fld3_random(spark, sf):
     def build():
-        return validation.random_cv_f1(inputs.cleaned(spark, sf)[0], models=MOD.build_all(**CV_SIZES))
-    return store.written(spark, "random-cv", "random-cv-v2", build, sf)
+        return validation.random_cv_f1(inputs.cleaned(spark, sf)[0], models=MOD.build_all())
+    return store.written(spark, "random-cv", "random-cv-v3", build, sf)
 
 
 @query("met19_temporal_minus_random_f1")
@@ -256,7 +263,7 @@ def snk1_reports(spark, sf):
 
     tr, te = inputs.cleaned(spark, sf)
     out_dir = store.path_for(spark, "reports", uuid.uuid4().hex)
-    tables, sub = reports.build_reports(tr, te, oof_scores(spark, sf), ens5(spark, sf), MOD.build_all(**CV_SIZES))
+    tables, sub = reports.build_reports(tr, te, oof_scores(spark, sf), ens5(spark, sf), MOD.build_all())
     reports.write_reports(tables, sub, out_dir)
     names = reports.REPORTS + ["submission"]
     counts = []

@@ -59,14 +59,17 @@ def _ensemble_rows(parts: list[DataFrame], fold: int) -> DataFrame | None:
 
 
 def cross_validate(train: DataFrame, models: dict | None = None,
-                   with_ensemble: bool = True, checkpoint: bool = True, threads: int = 6) -> DataFrame:
+                   with_ensemble: bool = True, checkpoint: bool = True, threads: int = 6,
+                   keep: Callable[[str, int, Callable[[], DataFrame]], DataFrame] | None = None) -> DataFrame:
     """ENS4: out-of-fold scores of every model (and the ensemble) on the 4 temporal folds.
 
     ``train`` is the cleaned training table. Fold tables and their shared
     preprocessing statistics are built first; then every (fold, model) fit runs
     as an independent job from a thread pool. Each score table is checkpointed
-    (lineage cut in the shared folder), so reports never refit anything.
+    (lineage cut in the shared folder), so reports never refit anything;
+    ``keep(model, fold, scores)`` may store it instead and give it back unfitted.
     """
+    keep = keep or (lambda name, fold, scores: scores().checkpoint(eager=True))
     models = models if models is not None else build_all()
     assigned = temporal_folds(train).persist(StorageLevel.MEMORY_AND_DISK)  # reused by every fold
     folds = sorted(r["fold"] for r in assigned.select("fold").distinct().collect())  # <= 4 values
@@ -78,7 +81,7 @@ def cross_validate(train: DataFrame, models: dict | None = None,
     def task(name, k):
         TR, VA = tables[k]
         est = _fresh(models[name]).with_prep(preps[k])
-        return lambda: _long(est.fit(TR).transform(VA), name, k).checkpoint(eager=True)
+        return lambda: keep(name, k, lambda: _long(est.fit(TR).transform(VA), name, k))
 
     jobs = [(k, name) for k in folds for name in models]
     scored = dict(zip(jobs, parallel([task(name, k) for k, name in jobs], threads)))
