@@ -1,26 +1,23 @@
 """Language-model scoring by stupid backoff over n-gram counts of the whole corpus.
 
 The score of a word is ``c(n-gram) / c(context)`` for the longest n-gram ending
-at it that the corpus repeats, times ``alpha`` for each order given up; the
+at it that the corpus holds, times ``alpha`` for each order given up; the
 shortest is ``c(word) / N``. n-grams above one word that occur fewer than
-``min_count`` times count as unseen: with 2, a document's own single occurrence
-does not vouch for itself.
+``min_count`` times count as unseen; with 1, the default, every n-gram counts.
 
 The counts are tables partitioned by n-gram hash. Each block of documents sends
 its distinct n-grams with their local counts to the hash ranges; the ranges add
 them up and answer each block, where the counts meet the exploded n-grams and
 the logs are summed per document (``blocks.py``). One- and two-word n-grams go
 in the first exchange; a longer n-gram is sent only if both n-grams one word
-shorter are repeated (else it cannot be), one order per exchange.
+shorter occur ``min_count`` times (else it cannot), one order per exchange.
 
 Defined results: null or empty texts have no words, score 0.0 and a null mean;
 rows with a null id are scored but not told apart by id; repeated rows count
 as often as they stand in the table; other columns are ignored. An empty table
 gives an empty result.
 
-n-grams are identified by hashes whose width grows with the corpus (``SPARE``
-bits more than its characters need, 64 at most), so that fewer than one n-gram
-in 2**SPARE shares its hash with another, at any size below the full width.
+n-grams are identified by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -33,7 +30,6 @@ from pyspark.sql import functions as F
 from . import blocks
 from .text import mix, window_hashes
 
-SPARE = 20
 TOTAL = np.uint64(0)  # the key under which blocks send their number of words
 
 
@@ -62,13 +58,12 @@ def _add_up(keys: list[np.ndarray], extra: list[bytes]) -> list[bytes]:
 
 
 class _Model:
-    def __init__(self, order: int, alpha: float, min_count: int, n_parts: int, low: int):
-        self.order, self.alpha, self.min_count, self.n_parts, self.low = order, alpha, min_count, n_parts, low
+    def __init__(self, order: int, alpha: float, min_count: int, n_parts: int):
+        self.order, self.alpha, self.min_count, self.n_parts = order, alpha, min_count, n_parts
 
     def keys(self, b: blocks.Tokens, n: int) -> np.ndarray:
-        """Hashes of the n-grams with ``low`` low bits cleared; never TOTAL."""
-        low = np.uint64(self.low)
-        return np.maximum(mix(window_hashes(b.h, n) + np.uint64(n)) >> low, np.uint64(1)) << low
+        """Hashes of the n-grams; never TOTAL."""
+        return np.maximum(mix(window_hashes(b.h, n) + np.uint64(n)), np.uint64(1))
 
     def counts(self, b: blocks.Tokens, replies: list[list[bytes]]) -> tuple[int, list[np.ndarray]]:
         """N, and by order the corpus count of the n-gram that starts at each word (0: none or not sent)."""
@@ -96,7 +91,7 @@ class _Model:
         return uniq, n, place, first, second
 
     def candidates(self, b: blocks.Tokens, counts: list[np.ndarray], n: int) -> np.ndarray:
-        """Starts of n-grams whose two shorter n-grams are both repeated."""
+        """Starts of n-grams whose two shorter n-grams both occur ``min_count`` times."""
         at = b.fits(n)
         c = counts[n - 2]
         return at[(c[at] >= self.min_count) & (c[at + 1] >= self.min_count)]
@@ -109,7 +104,7 @@ class _Model:
             _, counts = self.counts(b, replies)
             order = len(replies) + 2
             uniq, n, _ = _ranked(self.keys(b, order)[self.candidates(b, counts, order)])
-        return blocks.blob_table(block, uniq, self.n_parts, lambda x, y: blocks.planes(n[x:y]), self.low)
+        return blocks.blob_table(block, uniq, self.n_parts, lambda x, y: blocks.planes(n[x:y]))
 
     def score(self, b: blocks.Tokens, replies: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """By word: natural log of its score, and the order used."""
@@ -130,7 +125,7 @@ class _Model:
         return log, used
 
 
-def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int = 2, id_col: str = "doc_id",
+def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int = 1, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_words, log_score, mean_log, n_by_order`` (words scored at each order)."""
     if order < 1:
@@ -138,7 +133,7 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int =
     chars = blocks.characters(docs, text_col)
     n_blocks, n_parts = blocks.plan(docs, chars)
     by_block = blocks.blocked(docs, n_blocks, id_col, text_col)
-    model = _Model(order, alpha, min_count, n_parts, max(0, 64 - chars.bit_length() - SPARE))
+    model = _Model(order, alpha, min_count, n_parts)
 
     def first(table: pa.Table) -> pa.Table:
         return model.send(blocks.block_id(table), blocks.Tokens(table, every=True), [])
@@ -156,7 +151,7 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int =
             sent = by_block.groupBy("block").applyInArrow(first, blocks.BLOB_SCHEMA)
         else:
             sent = by_block.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(later(k), blocks.BLOB_SCHEMA)
-        got = blocks.answer(sent, _add_up, model.low).withColumn("level", F.lit(k))
+        got = blocks.answer(sent, _add_up).withColumn("level", F.lit(k))
         replies = got if replies is None else replies.unionByName(got)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -97,3 +97,10 @@ def test_lm_against_brute_force(documents):
         got = lm.score(documents(rows, extra=True), order=order, min_count=min_count).collect()
         assert key((r.doc_id, r.n_words, round(r.log_score, 6) + 0.0, tuple(r.n_by_order)) for r in got) == key(backoff(rows, order, 0.4, min_count))
         assert all((r.mean_log is None) == (r.n_words == 0) for r in got)
+
+
+def test_lm_scores_with_every_ngram_of_the_corpus(documents):
+    rows = corpus(6) + [(2000 + i, f"rare{i} words{i} that{i} occur{i} once{i}") for i in range(20)]
+    got = lm.score(documents(rows)).collect()
+    assert key((r.doc_id, r.n_words, round(r.log_score, 6) + 0.0, tuple(r.n_by_order)) for r in got) == key(backoff(rows, 3, 0.4, 1))
+    assert all(tuple(r.n_by_order) == (1, 1, 3) for r in got if (r.doc_id or 0) >= 2000)
