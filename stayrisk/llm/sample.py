@@ -12,13 +12,16 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_
     """``text, label`` of at most ``max_docs`` labelled documents, the same ones on every run.
 
     ``learn`` is a condition on the labels' id column. Documents are drawn by a
-    hash of their id, so the sample is bounded by ``max_docs * max_chars``
-    characters at any size; a text longer than ``max_chars`` is not drawn (it is
-    never cut). Null labels, ids and texts are not drawn.
+    hash of their id, each with one text: of rows that repeat an id the least
+    text counts, and rows that repeat (id, label) are one label. So the driver
+    gets at most ``max_docs * max_chars`` characters at any size; a text longer
+    than ``max_chars`` is not drawn (it is never cut). Null labels, ids and
+    texts are not drawn.
     """
     ids = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & learn)
-    ids = ids.select(F.col(id_col).alias("id"), F.col(label).alias("label"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    ids = ids.orderBy("h", "label").limit(max_docs)
+    ids = ids.select(F.col(id_col).alias("id"), F.col(label).alias("label")).distinct()
+    ids = ids.withColumn("h", F.xxhash64(F.col("id").cast("string"))).orderBy("h", "id", "label").limit(max_docs)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.filter(F.length("text") <= max_chars)
-    return texts.join(F.broadcast(ids), "id").toPandas().sort_values(["h", "label", "text"], ignore_index=True)[["text", "label"]]
+    one = texts.join(F.broadcast(ids), "id").groupBy("id", "label", "h").agg(F.min("text").alias("text"))
+    return one.orderBy("h", "id", "label").limit(max_docs).toPandas().sort_values(["h", "label", "text"], ignore_index=True)[["text", "label"]]

@@ -99,6 +99,16 @@ def test_sample_is_bounded_and_stable(sp, documents):
     assert all(int(t.split()[1]) % 3 and int(t.split()[1]) % 2 == y for t, y in zip(a.text, a.label))
 
 
+def test_repeated_ids_do_not_fill_the_sample(sp, documents):
+    rows = [(i, f"text {i}") for i in range(30)] + [(i, f"zz copy {k}") for i in range(0, 30, 3) for k in range(40)]
+    docs = documents(rows)
+    labels = sp.createDataFrame([(i, i % 2) for i in range(30)] * 3, "doc_id long, quality int")
+    got = sample.labelled(docs, labels, "quality", F.lit(True), 20, 40)
+    assert len(got) == 20 and got.text.nunique() == 20 and got.text.str.startswith("text").all()
+    own = sample.labelled(docs, docs, "lang", F.lit(True), 20, 40)
+    assert len(own) == 20 and sorted(own.text) == sorted(got.text)
+
+
 def test_gradients_match_differences():
     r = np.random.default_rng(0)
     model = quality.ByteCNN()
