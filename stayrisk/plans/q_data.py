@@ -282,6 +282,17 @@ def src2(spark, sf):
     return load_train_test(spark, p["train_csv"], p["test_csv"])[0]
 
 
+@query("src2_load_both_sets", with_fixture(
+    "SELECT 'train' AS jeu, * EXCLUDE (n_all) FROM pos_t UNION ALL BY NAME SELECT 'test' AS jeu, *, "
+    "row_number() OVER (ORDER BY date_reservation, reservation_id) - 1 AS pos FROM test_clean", FOLD_CTES))
+def src2_both(spark, sf):
+    from ..sources.readers import load_train_test
+
+    p = _csv_copies(spark, sf)
+    tr, te = load_train_test(spark, p["train_csv"], p["test_csv"])
+    return tr.withColumn("jeu", F.lit("train")).unionByName(te.withColumn("jeu", F.lit("test")), allowMissingColumns=True)
+
+
 @query("src3_template_scan", with_fixture(
     "SELECT reservation_id, 0.5E0 AS probabilite_annulation, 0 AS reservation_annulee FROM test_raw"))
 def src3(spark, sf):

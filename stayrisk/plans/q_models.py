@@ -17,6 +17,7 @@ from ..oracle_sql import r, with_fixture
 from ..registry import query
 from ..sources.schema import CATEGORICAL, MODEL_ENSEMBLE, MODEL_NUMERIC, RELATIVE_PRICE
 from . import inputs, store, validation
+from .q_data import REF_CTES
 
 # numeric columns available without a fitted reference (PRE checks run on row features)
 ROW_NUMERIC = [c for c in MODEL_NUMERIC if c not in RELATIVE_PRICE]
@@ -40,15 +41,58 @@ def _pre2_sql() -> str:
 
 @query("pre2_standardisation", _pre2_sql())
 def pre2(spark, sf):
-    tr = inputs.engineered(spark, sf)[0]
-    model = ENC.NumericScaler(ROW_NUMERIC).fit(tr)
-    rows = [(c, model.means[c], model.scales[c]) for c in ROW_NUMERIC]  # one value pair per column
+    return _scales(spark, inputs.engineered(spark, sf)[0], ROW_NUMERIC)
+
+
+def _scales(spark, tr, columns):
+    model = ENC.NumericScaler(columns).fit(tr)
+    rows = [(c, model.means[c], model.scales[c]) for c in columns]  # one value pair per column
     schema = T.StructType([T.StructField("colonne", T.StringType()), T.StructField("moyenne", T.DoubleType()),
                            T.StructField("echelle", T.DoubleType())])
     df = spark.createDataFrame(rows, schema)
     return df.select("colonne", np_round("moyenne", 9).alias("moyenne"), np_round("echelle", 9).alias("echelle"))
 
 
+# the same over every model column: the relative prices need the reference fitted on the training rows
+TRAIN_REL = REF_CTES + """,
+train_rel AS (
+  SELECT t.*,
+    t.prix_moyen_nuit_eur / nullif(coalesce(h.prix_ref_hotel, g.prix_ref_global), 0) AS prix_relatif_hotel,
+    t.prix_moyen_nuit_eur / nullif(coalesce(s.prix_ref_saison, g.prix_ref_global), 0) AS prix_relatif_saison
+  FROM train_fe t
+  LEFT JOIN ref_hotel h ON t.hotel_id = h.hotel_id
+  LEFT JOIN ref_season s ON t.region_hotel = s.region_hotel AND t.mois_arrivee = s.mois_arrivee
+  CROSS JOIN ref_global g
+)"""
+
+
+def _referenced(spark, sf):
+    """Engineered train and test with the reference of the training rows applied."""
+    tr, te = inputs.engineered(spark, sf)
+    ref = fit_reference(tr)
+    return apply_reference(tr, ref), apply_reference(te, ref)
+
+
+@query("pre1_model_median_imputation", with_fixture(" UNION ALL ".join(
+    f"SELECT '{c}' AS colonne, median(cast({c} AS double)) AS mediane FROM train_rel" for c in MODEL_NUMERIC), TRAIN_REL))
+def pre1_model(spark, sf):
+    return ENC.column_medians(_referenced(spark, sf)[0], MODEL_NUMERIC)
+
+
+def _pre2_model_sql() -> str:
+    parts = []
+    for c in MODEL_NUMERIC:
+        x = f"coalesce(cast({c} AS double), (SELECT median(cast({c} AS double)) FROM train_rel))"
+        parts.append(f"SELECT '{c}' AS colonne, {r(f'avg({x})', 9)} AS moyenne, "
+                     f"{r(f'CASE WHEN stddev_pop({x}) = 0 THEN 1.0E0 ELSE stddev_pop({x}) END', 9)} AS echelle FROM train_rel")
+    return with_fixture(" UNION ALL ".join(parts), TRAIN_REL)
+
+
+@query("pre2_model_standardisation", _pre2_model_sql())
+def pre2_model(spark, sf):
+    return _scales(spark, _referenced(spark, sf)[0], MODEL_NUMERIC)
+
+
 def _layout_sql(drop_first: bool) -> str:
     parts = []
     for c in CATEGORICAL:
@@ -76,8 +120,8 @@ def pre4(spark, sf):
 
 @query("pre5_assembled_features")
 def pre5(spark, sf):
-    tr, te = inputs.engineered(spark, sf)
-    model = ENC.linear_preprocessor(ROW_NUMERIC, CATEGORICAL).fit(tr)
+    tr, te = _referenced(spark, sf)
+    model = ENC.linear_preprocessor(MODEL_NUMERIC, CATEGORICAL).fit(tr)
     out = model.transform(te)
     v = vector_to_array("features")
     return out.select("reservation_id", F.size(v).alias("n_variables"),
@@ -194,6 +238,11 @@ def ens4_deciles(spark, sf):
     return M.deciles(oof)
 
 
+@query("ens4_cv_calibration")
+def ens4_calibration(spark, sf):
+    return M.calibration(oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE))
+
+
 @query("ens5_6_ablation")
 def ens5(spark, sf):
     def build():
