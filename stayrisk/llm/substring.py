@@ -5,8 +5,8 @@ Method: level-wise doubling. Window lengths grow by doubling up to ``window``
 to the next: a window of 13 words can only be repeated if the 7 words at its
 start and the 7 words at its end are. Each level is one key exchange between
 blocks (``blocks.py``), so the first, unselective level ships packed distinct
-keys and the later levels ship survivors only. ``repeat_lengths`` continues the
-doubling past ``window`` until no candidates survive.
+keys and the later levels ship survivors only. The doubling ends at ``window``;
+how far a repeat reaches beyond it is not found out.
 
 Defined results: null or empty text has no words and stays as it is; a row
 with a null id neither removes nor loses words; rows that repeat one id are one
