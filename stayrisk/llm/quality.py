@@ -1,7 +1,7 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
 The bytes of a whole document are cut into overlapping chunks. Learned filters
-slide over each chunk; every filter's largest response in the chunk is kept
+slide over each chunk byte by byte; every filter's largest response in the chunk is kept
 (max-pooling), chunks are combined by the maximum and the mean of what their
 filters kept, and a logistic layer gives one probability. Embeddings, filters
 and the output layer are trained together by Adam on a bounded labelled sample
@@ -10,8 +10,9 @@ scored by all of its bytes.
 
 Defined results: null and empty texts are one chunk of padding and get its
 score; every input row gives one row, ids may be null or repeat; other columns
-are ignored. Without any labelled document the score is 0.0; with one class
-only it is that class. An empty table gives an empty result.
+are ignored. Without any labelled document the score is 0.0 and ``keep`` keeps
+every row; with one class only the score is that class. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 from .sample import labelled
 from .text import slices
 
-CHUNK, OVERLAP, WIDTH, STRIDE = 512, 64, 8, 2
+CHUNK, OVERLAP, WIDTH = 512, 64, 8
 FILTERS, DIM, PAD = 16, 8, 256
-POSITIONS = (CHUNK - WIDTH) // STRIDE + 1
+POSITIONS = CHUNK - WIDTH + 1
 
 
 def chunks(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -55,6 +56,7 @@ class ByteCNN:
         }
         self.p["E"][PAD] = 0
         self.constant: float | None = None
+        self.learned = True
 
     def tables(self) -> np.ndarray:
         """Response of each filter to each byte value at each offset."""
@@ -65,9 +67,9 @@ class ByteCNN:
         best, at = np.empty((len(x), FILTERS), np.float32), np.empty((len(x), FILTERS), np.int64) if where else None
         for s in range(0, len(x), 64):
             part = x[s : s + 64]
-            got = np.take(tables[0], part[:, : POSITIONS * STRIDE : STRIDE], axis=0)
+            got = np.take(tables[0], part[:, :POSITIONS], axis=0)
             for w in range(1, WIDTH):
-                got += np.take(tables[w], part[:, w : w + POSITIONS * STRIDE : STRIDE], axis=0)
+                got += np.take(tables[w], part[:, w : w + POSITIONS], axis=0)
             best[s : s + 64] = got.max(axis=1)
             if where:
                 at[s : s + 64] = got.argmax(axis=1)
@@ -99,7 +101,7 @@ class ByteCNN:
         gt = np.zeros((WIDTH, PAD + 1, FILTERS))
         rows, filters = np.arange(len(x))[:, None], np.arange(FILTERS)
         for w in range(WIDTH):
-            np.add.at(gt[w], (x[rows, at * STRIDE + w], filters), g)
+            np.add.at(gt[w], (x[rows, at + w], filters), g)
         out = {"E": np.einsum("wbf,wdf->bd", gt, self.p["W"]), "W": np.einsum("wbf,bd->wdf", gt, self.p["E"]), "b": g.sum(0),
                "v": f.T @ d + 1e-4 * self.p["v"], "c": d.sum(keepdims=True)}
         out["E"][PAD] = 0
@@ -111,7 +113,7 @@ def fit(sample: pd.DataFrame, epochs: int = 8, batch: int = 32, rate: float = 0.
     model = ByteCNN(seed)
     y = sample["label"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max():
-        model.constant = float(y[0]) if len(y) else 0.0
+        model.constant, model.learned = float(y[0]) if len(y) else 0.0, len(y) > 0
         return model
     r = np.random.default_rng(seed)
     x, of = chunks(sample["text"].tolist())
@@ -155,7 +157,9 @@ def score(docs: DataFrame, model: ByteCNN, id_col: str = "doc_id", text_col: str
 
 
 def keep(docs: DataFrame, model: ByteCNN, at_least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows whose text scores ``at_least``, with all their columns."""
+    """The rows whose text scores ``at_least``, with all their columns; all rows if there was nothing to learn from."""
+    if not model.learned:
+        return docs
     tables = model.tables()
     types = docs.schema
 

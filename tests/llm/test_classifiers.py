@@ -109,6 +109,23 @@ def test_repeated_ids_do_not_fill_the_sample(sp, documents):
     assert len(own) == 20 and sorted(own.text) == sorted(got.text)
 
 
+def test_filters_meet_every_byte_position():
+    model = quality.ByteCNN()
+    x, _ = quality.chunks(["aXbYc " * 60, "odd"])
+    tables = model.tables()
+    at = [sum(tables[w][x[:, s + w]] for w in range(quality.WIDTH)) for s in range(quality.CHUNK - quality.WIDTH + 1)]
+    assert np.allclose(model.pooled(x, tables)[0], np.max(at, axis=0), atol=1e-5)
+
+
+def test_pipeline_keeps_documents_without_labels(sp, documents, tmp_path):
+    from corpus_pipeline import quality_filter
+
+    docs = documents([(1, "one"), (2, None), (None, "three")])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    sp.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert quality_filter(sp, docs, str(tmp_path)).count() == 3
+
+
 def test_gradients_match_differences():
     r = np.random.default_rng(0)
     model = quality.ByteCNN()
