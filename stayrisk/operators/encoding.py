@@ -6,9 +6,9 @@
 * PRE2 standardisation with the population std on the imputed values, zero
   variance scale = 1 (``StandardScaler`` uses the sample std).
 * PRE3 linear one-hot: drop the alphabetically first level, unknown -> zeros:
-  StringIndexer(alphabetDesc, keep) + OneHotEncoder(dropLast) + VectorSlicer.
+  string indexes (alphabetically descending, keep) + OneHotEncoder(dropLast) + VectorSlicer.
 * PRE4 tree one-hot: every known level kept, unknown -> zeros:
-  StringIndexer(alphabetAsc, keep) + OneHotEncoder(dropLast).
+  string indexes (ascending, keep) + OneHotEncoder(dropLast).
 * PRE5 routing: numeric block + categorical blocks -> one ``features`` vector.
 
 Fitted statistics are per column (bounded by the column count) and applied as
@@ -18,10 +18,12 @@ literal expressions: scoring is a narrow projection, batch or streaming.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSlicer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quantiles import exact_quantiles
@@ -99,9 +101,10 @@ class NumericScaler(Estimator):
 
 
 class OneHotModel(Model):
-    def __init__(self, pipeline: PipelineModel | None = None, output_cols=(), slot_names=()):
+    def __init__(self, pipeline: PipelineModel | None = None, output_cols=(), slot_names=(), levels=None):
         super().__init__()
         self.pipeline = pipeline
+        self.levels = levels or {}  # kept levels per column, in slot order
         self.output_cols = list(output_cols)
         self.slot_names = list(slot_names)
 
@@ -119,35 +122,49 @@ class OneHot(Estimator):
         self.prefix = prefix
 
     def _fit(self, dataset: DataFrame) -> OneHotModel:
-        order = "alphabetDesc" if self.drop_first else "alphabetAsc"
-        idx_cols = [f"{self.prefix}i_{c}" for c in self.columns]
-        indexer = StringIndexer(inputCols=[c for c in self.columns], outputCols=idx_cols,
-                                stringOrderType=order, handleInvalid="keep")
-        src = dataset.select(*[F.col(c).cast("string").alias(c) for c in self.columns])
-        fitted = indexer.fit(src)
-        stages = [fitted]
-        oh_cols = [f"{self.prefix}o_{c}" for c in self.columns]
+        levels = column_levels({0: dataset}, self.columns)[0]
+        return one_hot_model(levels, self.drop_first, self.prefix, dataset.sparkSession)
+
+
+def column_levels(tables: dict[int, DataFrame], columns: Sequence[str]) -> dict[int, dict[str, list[str]]]:
+    """Non-null levels of every column per table, alphabetically; one job. Levels are what the one-hot slots are made of."""
+    if not columns:
+        return {k: {} for k in tables}
+    long = reduce(DataFrame.unionByName, [
+        df.select(F.lit(k).alias("task"), F.explode(F.array(*[
+            F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("p")) for k, df in tables.items()])
+    out: dict[int, dict[str, list[str]]] = {k: {c: [] for c in columns} for k in tables}
+    for r in long.select("task", "p.c", "p.v").where("v IS NOT NULL").distinct().collect():
+        out[r["task"]][r["c"]].append(r["v"])
+    return {k: {c: sorted(v) for c, v in own.items()} for k, own in out.items()}
+
+
+def one_hot_model(levels: dict[str, list[str]], drop_first: bool, prefix: str = "c__", spark=None) -> OneHotModel:
+    """PRE3 / PRE4 from known levels; no job."""
+    columns = [c for c in levels if levels[c]]
+    order = {c: levels[c][::-1] if drop_first else levels[c] for c in columns}
+    idx, hot = [f"{prefix}i_{c}" for c in columns], [f"{prefix}o_{c}" for c in columns]
+    stages, outputs, names, kept = [], [], [], {}
+    if columns:
+        indexer = StringIndexerModel.from_arrays_of_labels([order[c] for c in columns], inputCols=columns, outputCols=idx, handleInvalid="keep")
+        spark = spark or SparkSession.active()
+        none = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
         # dropLast removes the unknown slot (index = number of labels)
-        stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=True, handleInvalid="keep")
-                      .fit(fitted.transform(src)))
-        outputs, names = [], []
-        for c, labels, oh in zip(self.columns, fitted.labelsArray, oh_cols):
-            labels = list(labels)
-            if self.drop_first:
-                # desc order: the alphabetically first level sits in the last slot; slice it away
-                keep = list(range(len(labels) - 1))
-                if not keep:
-                    continue
-                out = f"{self.prefix}{c}"
-                stages.append(VectorSlicer(inputCol=oh, outputCol=out, indices=keep))
-                names += [f"{c}_{labels[i]}" for i in keep]
-                outputs.append(out)
-            else:
-                outputs.append(oh)
-                names += [f"{c}_{lv}" for lv in labels]
-        model = PipelineModel(stages)
-        cast_stage = _CastStrings(self.columns)
-        return OneHotModel(PipelineModel([cast_stage, model]), outputs, names)
+        stages = [indexer, OneHotEncoder(inputCols=idx, outputCols=hot, dropLast=True, handleInvalid="keep").fit(indexer.transform(none))]
+    for c, oh in zip(columns, hot):
+        labels = order[c]
+        if drop_first:
+            # desc order: the alphabetically first level sits in the last slot; slice it away
+            if len(labels) < 2:
+                continue
+            stages.append(VectorSlicer(inputCol=oh, outputCol=f"{prefix}{c}", indices=list(range(len(labels) - 1))))
+            outputs.append(f"{prefix}{c}")
+            kept[c] = labels[:-1]
+        else:
+            outputs.append(oh)
+            kept[c] = labels
+        names += [f"{c}_{lv}" for lv in kept[c]]
+    return OneHotModel(PipelineModel([_CastStrings(list(levels)), PipelineModel(stages)]), outputs, names, kept)
 
 
 class _CastStrings(Model):
@@ -205,20 +222,17 @@ __all__ = ["FeatureAssembler", "FeatureAssemblerModel", "NumericScaler", "OneHot
 
 
 class FoldPrep:
-    """Per-fold statistics shared by every model of the fold.
+    """Statistics of one training table shared by every model fitted on it.
 
-    Medians, means, scales and category indexes are per column, so one fit on the
+    Medians, means, scales and category levels are per column, so one fit on the
     union of numeric columns serves every subset (baseline, enriched, ablation
-    configurations, linear or tree branch): one statistics job per fold instead of
-    one per model.
+    configurations, linear or tree branch). ``fold_preps`` fits all folds of a
+    run in the same three jobs.
     """
 
-    def __init__(self, dataset: DataFrame, numeric: Sequence[str], categorical: Sequence[str]):
-        self.numeric = list(dict.fromkeys(numeric))
-        self.scaler = NumericScaler(self.numeric, standardize=True).fit(dataset)
-        self.onehot_linear = OneHot(categorical, drop_first=True).fit(dataset)
-        self.onehot_tree = OneHot(categorical, drop_first=False).fit(dataset)
-        self.categorical = list(categorical)
+    def __init__(self, numeric: Sequence[str], categorical: Sequence[str], scaler: NumericScalerModel, levels: dict[str, list[str]]):
+        self.numeric, self.categorical, self.scaler = list(numeric), list(categorical), scaler
+        self.levels = levels  # per column, alphabetically
 
     def model(self, numeric: Sequence[str], categorical: Sequence[str], linear: bool,
               output_col: str = "features") -> FeatureAssemblerModel:
@@ -226,4 +240,77 @@ class FoldPrep:
             raise ValueError("columns outside the prepared fold statistics")
         s = self.scaler
         num = NumericScalerModel(list(numeric), s.medians, s.means, s.scales, standardize=linear)
-        return FeatureAssemblerModel(num, self.onehot_linear if linear else self.onehot_tree, output_col)
+        return FeatureAssemblerModel(num, one_hot_model(self.levels, drop_first=linear), output_col)
+
+    def layout(self, numeric: Sequence[str], categorical: Sequence[str], linear: bool) -> "FeatureLayout":
+        """The same statistics as plain data; tree families take missing values as they are."""
+        if list(categorical) != self.categorical or not set(numeric) <= set(self.numeric):
+            raise ValueError("columns outside the prepared fold statistics")
+        s = self.scaler
+        levels = {c: v[:0:-1] if linear else v for c, v in self.levels.items()}  # linear: as the one-hot slots, first level dropped
+        if not linear:
+            return FeatureLayout(list(numeric), levels)
+        return FeatureLayout(list(numeric), levels, {c: s.medians.get(c) for c in numeric}, {c: s.means[c] for c in numeric},
+                             {c: s.scales[c] for c in numeric})
+
+
+def fold_preps(tables: dict[int, DataFrame], numeric: Sequence[str], categorical: Sequence[str]) -> dict[int, FoldPrep]:
+    """Shared statistics of several training tables: medians, moments and levels in one job each."""
+    numeric = list(dict.fromkeys(numeric))
+    long = reduce(DataFrame.unionByName, [
+        stacked(df, numeric).select(F.lit(k).cast("int").alias("task"), "colonne", "valeur") for k, df in tables.items()])
+    medians: dict[int, dict[str, float]] = {k: {} for k in tables}
+    for r in exact_quantiles(long, "valeur", [0.5], ["task", "colonne"], mean_at_half=True).collect():
+        medians[r["task"]][r["colonne"]] = r["q0"]
+    moments = reduce(DataFrame.unionByName, [
+        column_moments(df, numeric, medians[k]).select(F.lit(k).cast("int").alias("task"), "*") for k, df in tables.items()])
+    rows = {r["task"]: r for r in moments.collect()}
+    levels = column_levels(tables, categorical)
+    out = {}
+    for k in tables:
+        scale = {c: rows[k][f"s__{c}"] or 1.0 for c in numeric}
+        scaler = NumericScalerModel(numeric, medians[k], {c: rows[k][f"m__{c}"] for c in numeric}, scale)
+        out[k] = FoldPrep(numeric, categorical, scaler, levels[k])
+    return out
+
+
+@dataclass
+class FeatureLayout:
+    """PRE1-5 of one fitted model as plain data: numeric columns, then one slot a kept category level.
+
+    With ``medians`` the numerics are filled, centred and scaled (PRE1-2, a column without any value is 0);
+    without, they stay as they are and a missing value is NULL.
+    """
+
+    numeric: list[str]
+    levels: dict[str, list[str]] = field(default_factory=dict)
+    medians: dict[str, float | None] | None = None
+    means: dict[str, float | None] = field(default_factory=dict)
+    scales: dict[str, float] = field(default_factory=dict)
+
+    @property
+    def names(self) -> list[str]:
+        return self.numeric + [f"{c}_{v}" for c, vs in self.levels.items() for v in vs]
+
+    def columns(self) -> list[F.Column]:
+        out = []
+        for c in self.numeric:
+            x = F.col(c).cast("double")
+            if self.medians is not None:
+                x = (F.coalesce(x, F.lit(self.medians.get(c)).cast("double")) - F.lit(self.means.get(c) or 0.0)) / F.lit(
+                    self.scales.get(c) or 1.0)
+                x = F.coalesce(x, F.lit(0.0))
+            out.append(x)
+        for c, vs in self.levels.items():
+            out += [F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("double"), F.lit(0.0)) for v in vs]
+        return out
+
+    def vector(self) -> F.Column:
+        return F.array(*self.columns())
+
+    def to_dict(self) -> dict:
+        return asdict(self)
+
+    @staticmethod
+    def from_dict(d: dict) -> "FeatureLayout":
+        return FeatureLayout(**d)

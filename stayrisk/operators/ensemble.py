@@ -8,13 +8,15 @@ Weights are renormalised over the members actually present.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.joins import join_groups
 from ..sources.schema import ENSEMBLE_RAW_WEIGHTS, ID_COL
+from .encoding import fold_preps
+from .models import _Kept, fit_all
 
 
 def weights_table(spark: SparkSession, raw: dict[str, float] = ENSEMBLE_RAW_WEIGHTS) -> DataFrame:
@@ -41,7 +43,7 @@ def ensemble_proba(scored: DataFrame, weights: DataFrame, id_col: str = ID_COL,
         (F.sum(F.col("poids") * F.col("proba")) / F.sum("poids")).alias("proba"), *kept)
 
 
-class EnsembleModel(Model):
+class EnsembleModel(_Kept):
     """ENS3 fitted: member models + normalised weights + decision threshold; row-wise scoring.
 
     ``transform`` works on batch and streaming DataFrames alike: every member adds
@@ -55,6 +57,10 @@ class EnsembleModel(Model):
         self.weights = weights or {}
         self.threshold = threshold
 
+    def to_dict(self) -> dict:
+        return {"kind": "ensemble", "name": "ensemble", "members": [m.to_dict() for m in self.members.values()],
+                "weights": self.weights, "threshold": self.threshold}
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         cols = dataset.columns
         d = dataset
@@ -83,12 +89,20 @@ class EnsembleEstimator(Estimator):
         self.threshold = threshold
 
     def _fit(self, dataset: DataFrame) -> EnsembleModel:
-        from concurrent.futures import ThreadPoolExecutor
-
-        names = [n for n in self.members if n in self.raw_weights]
-        with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:  # members are independent jobs
-            models = list(pool.map(lambda n: self.members[n].fit(dataset), names))
-        fitted = dict(zip(names, models))
-        total = sum(self.raw_weights[n] for n in fitted)
-        weights = {n: self.raw_weights[n] / total for n in fitted}
-        return EnsembleModel(fitted, weights, self.threshold)
+        members = [m for n, m in self.members.items() if n in self.raw_weights]
+        prep = fold_preps({0: dataset}, [c for m in members for c in m.numeric], members[0].categorical)
+        return ensembles(fit_all({0: dataset}, prep, members), self.raw_weights, self.threshold)[0]
+
+
+def ensembles(fitted: dict, raw_weights: dict[str, float] = ENSEMBLE_RAW_WEIGHTS, threshold: float = 0.5) -> dict[int, EnsembleModel]:
+    """One ensemble per training table out of the fitted members (name, table) that have a weight."""
+    by_table: dict[int, dict] = {}
+    for (name, k), model in fitted.items():
+        if name in raw_weights:
+            by_table.setdefault(k, {})[name] = model
+    out = {}
+    for k, members in by_table.items():
+        members = {n: members[n] for n in raw_weights if n in members}
+        total = sum(raw_weights[n] for n in members)
+        out[k] = EnsembleModel(members, {n: raw_weights[n] / total for n in members}, threshold)
+    return out

@@ -1,37 +1,47 @@
-"""Model families (MOD1-8) as MLlib pipelines producing a ``proba`` column.
+"""Model families (MOD1-8): fitted models add a ``proba`` column to any batch or streaming DataFrame.
 
-Each builder returns an Estimator whose fitted model adds ``proba`` (the
-positive-class probability) to any batch or streaming DataFrame. Inputs are
-prepared by :mod:`stayrisk.operators.encoding`.
+* Logistic families (MOD1-2): Newton steps on one aggregate (:mod:`.newton`), scored as one JVM expression.
+* Boosted families (MOD4-5): second-order histogram boosting with best-first trees (:mod:`.boosting`); missing
+  values stay missing; scored by an Arrow function over the feature vector.
+* Random forest (MOD3): MLlib, grown in batches whose votes are averaged; inputs are median-filled, since MLlib
+  trees take no missing values (T15).
 
-Deliberate differences (SURVEY 7): the logistic penalty is mapped exactly
-(regParam = 1 / (C * n), no internal standardisation, T8); the boosted models
-are MLlib GBTs (first order, depth-wise, no L2), so they approximate the
-histogram / leaf-wise boosters; trees get median-imputed inputs (T15).
+``fit_all`` trains every family on every training table (fold) of a run: the logistic fits in shared passes, the
+boosters in shared passes, the forests as independent jobs.
 """
 
 from __future__ import annotations
 
+import copy
+import json
 import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from ..sources.schema import (CATEGORICAL, ID_COL, MODEL_BASELINE, MODEL_HGB, MODEL_LGBM, MODEL_LOGREG, MODEL_NUMERIC,
                               MODEL_RF, RAW_NUMERIC, SEED, TARGET)
-from .encoding import FeatureAssembler, FeatureAssemblerModel
+from . import boosting, newton
+from .boosting import BoostedTrees, BoostParams, partitions_for
+from .encoding import FeatureAssemblerModel, FeatureLayout, FoldPrep, fold_preps
 
 # --------------------------------------------------------------------------
 # Hyperparameters of the original model families
 # --------------------------------------------------------------------------
 LOGREG_C = 0.05
 BASELINE_C = 1.0
-LOGREG_MAX_ITER = 5000
 RF_PARAMS = dict(n_estimators=500, min_samples_leaf=30, max_features=0.3)
 HGB_PARAMS = dict(max_iter=300, learning_rate=0.04, max_leaf_nodes=8, min_samples_leaf=60, l2_regularization=5.0)
 LGBM_PARAMS = dict(n_estimators=400, learning_rate=0.03, num_leaves=7, min_child_samples=80,
@@ -39,115 +49,275 @@ LGBM_PARAMS = dict(n_estimators=400, learning_rate=0.03, num_leaves=7, min_child
 
 
 # MLlib's own limits: a tree has at most 30 levels, candidate splits come from at most MAX_BINS bins.
-RF_DEPTH, RF_BINS, BOOST_DEPTH, BOOST_BINS = 30, 256, 3, 255
+RF_DEPTH, RF_BINS, BOOST_BINS = 30, 256, 255
+#: The forest is grown as so many independent batches, with node statistics of at most so many MB a pass.
+RF_BATCHES, RF_NODE_MB = 4, 2048
 
 
-def positive_proba(col: str) -> F.Column:
-    return vector_to_array(F.col(col)).getItem(1)
+def row_key(df: DataFrame) -> F.Column:
+    """A 64-bit key of the row: of its id, or of all columns where there is none."""
+    return F.xxhash64(ID_COL) if ID_COL in df.columns else F.xxhash64(*df.columns)
 
 
-class ScoringModel(Model):
-    """Fitted preprocessing + classifier; ``transform`` adds ``proba`` and keeps the input columns."""
+# ------------------------------------------------------------------ fitted models
+class _Kept(Model, MLWritable, MLReadable):
+    """Models that are plain data: saved as one row of JSON, ``load`` gives equal scores in any session."""
 
-    def __init__(self, prep: FeatureAssemblerModel | None = None, clf=None, name: str = "", out: str = "proba"):
+    def write(self) -> "JsonWriter":
+        return JsonWriter(self)
+
+    @classmethod
+    def read(cls) -> "JsonReader":
+        return JsonReader()
+
+
+class JsonWriter(MLWriter):
+    def __init__(self, instance: Model):
         super().__init__()
-        self.prep, self.clf, self.name, self.out = prep, clf, name, out
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        spark = SparkSession.active()
+        mode = "overwrite" if self.shouldOverwrite else "error"
+        spark.createDataFrame([(json.dumps(self.instance.to_dict()),)], "model string").write.mode(mode).parquet(path)
+
+    def save(self, path: str) -> None:
+        self.saveImpl(path)
+
+
+class JsonReader(MLReader):
+    def load(self, path: str) -> Model:
+        return model_from_dict(json.loads(SparkSession.active().read.parquet(path).first()["model"]))
+
+
+class LinearModel(_Kept):
+    """Fitted logistic family: ``proba`` is one projection."""
+
+    def __init__(self, layout: FeatureLayout | None = None, weights=(), name: str = "", out: str = "proba"):
+        super().__init__()
+        self.layout, self.weights, self.name, self.out = layout, [float(w) for w in weights], name, out
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        cols = dataset.columns
-        tag = zlib.crc32(self.name.encode()) % 100_000
-        feat, prob, raw, pred = (f"__f{tag}", f"__p{tag}", f"__r{tag}", f"__y{tag}")
-        self.prep.output_col = feat
-        self.clf.setFeaturesCol(feat).setProbabilityCol(prob).setRawPredictionCol(raw).setPredictionCol(pred)
-        scored = self.clf.transform(self.prep.transform(dataset))
-        return scored.select(*cols, positive_proba(prob).alias(self.out))
+        z = F.lit(self.weights[0])
+        for w, x in zip(self.weights[1:], self.layout.columns()):
+            z = z + F.lit(w) * x
+        return dataset.select("*", (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias(self.out))
 
     @property
     def feature_names(self) -> list[str]:
-        return self.prep.feature_names
+        return self.layout.names
+
+    def to_dict(self) -> dict:
+        return {"kind": "linear", "name": self.name, "layout": self.layout.to_dict(), "weights": self.weights}
+
+
+class BoostedModel(_Kept):
+    """Fitted boosted family: the trees walk Arrow batches of the feature vector."""
+
+    def __init__(self, layout: FeatureLayout | None = None, trees: BoostedTrees | None = None, name: str = "", out: str = "proba"):
+        super().__init__()
+        self.layout, self.trees, self.name, self.out = layout, trees, name, out
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        ship_package(dataset.sparkSession)
+        trees, width = self.trees, len(self.layout.names)
 
+        @F.pandas_udf("double")
+        def walk(x: pd.Series) -> pd.Series:
+            if not len(x):
+                return pd.Series([], dtype="float64")
+            return pd.Series(trees.probability(np.concatenate(x.to_numpy()).astype(float).reshape(len(x), width)))
 
-class ScoringEstimator(Estimator):
-    """Preprocessor + classifier factory; the classifier may depend on the training size (logistic C)."""
+        return dataset.select("*", walk(self.layout.vector()).alias(self.out))
 
-    def __init__(self, name: str, numeric: Sequence[str], categorical: Sequence[str], linear: bool, make_clf,
-                 label: str = TARGET):
+    @property
+    def feature_names(self) -> list[str]:
+        return self.layout.names
+
+    def to_dict(self) -> dict:
+        return {"kind": "boosted", "name": self.name, "layout": self.layout.to_dict(), "trees": self.trees.to_dict()}
+
+
+class ForestModel(Model):
+    """Fitted forest: the mean probability of its equal batches."""
+
+    def __init__(self, prep: FeatureAssemblerModel | None = None, batches=(), name: str = "", out: str = "proba"):
         super().__init__()
-        self.name, self.numeric, self.categorical = name, list(numeric), list(categorical)
-        self.linear, self.make_clf, self.label = linear, make_clf, label
+        self.prep, self.batches, self.name, self.out = prep, list(batches), name, out
 
-    prepared = None  # optional encoding.FoldPrep shared by the models of one fold
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        cols, tag = dataset.columns, zlib.crc32(self.name.encode()) % 100_000
+        self.prep.output_col = f"__f{tag}"
+        scored, votes = self.prep.transform(dataset), []
+        for i, m in enumerate(self.batches):
+            prob, raw, pred = (f"__{k}{tag}_{i}" for k in "pry")
+            m.setFeaturesCol(f"__f{tag}").setProbabilityCol(prob).setRawPredictionCol(raw).setPredictionCol(pred)
+            scored = m.transform(scored)
+            votes.append(vector_to_array(F.col(prob)).getItem(1) * F.lit(m.getNumTrees))
+        total = sum(m.getNumTrees for m in self.batches)
+        return scored.select(*cols, (reduce(lambda a, b: a + b, votes) / F.lit(total)).alias(self.out))
 
-    def with_prep(self, prepared) -> "ScoringEstimator":
-        self.prepared = prepared
-        return self
+    @property
+    def feature_names(self) -> list[str]:
+        return self.prep.feature_names
 
-    def _fit(self, dataset: DataFrame) -> ScoringModel:
-        if self.prepared is not None:
-            prep = self.prepared.model(self.numeric, self.categorical, self.linear, output_col="__features")
+
+def model_from_dict(d: dict) -> Model:
+    if d["kind"] == "ensemble":
+        from .ensemble import EnsembleModel
+
+        return EnsembleModel({m["name"]: model_from_dict(m) for m in d["members"]}, d["weights"], d["threshold"])
+    layout = FeatureLayout.from_dict(d["layout"])
+    if d["kind"] == "linear":
+        return LinearModel(layout, d["weights"], d["name"])
+    return BoostedModel(layout, BoostedTrees.from_dict(d["trees"]), d["name"])
+
+
+# ------------------------------------------------------------------ estimators
+class Family(Estimator):
+    """A model family: columns and sizes; ``fit`` trains it on one table."""
+
+    linear = False
+    prepared: FoldPrep | None = None  # statistics of the training table, where several families share them
+
+    def __init__(self, name: str, numeric: Sequence[str], categorical: Sequence[str], label: str = TARGET):
+        super().__init__()
+        self.name, self.numeric, self.categorical, self.label = name, list(numeric), list(categorical), label
+
+    def with_prep(self, prepared: FoldPrep) -> "Family":
+        other = copy.copy(self)
+        other.prepared = prepared
+        return other
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        prep = self.prepared or fold_preps({0: dataset}, self.numeric, self.categorical)[0]
+        return fit_all({0: dataset}, {0: prep}, [self])[self.name, 0]
+
+
+class LogisticFamily(Family):
+    linear = True
+
+    def __init__(self, name: str, numeric: Sequence[str], categorical: Sequence[str], c: float, label: str = TARGET):
+        super().__init__(name, numeric, categorical, label)
+        self.c = c
+
+
+class BoostedFamily(Family):
+    def __init__(self, name: str, numeric: Sequence[str], categorical: Sequence[str], params: BoostParams, label: str = TARGET):
+        super().__init__(name, numeric, categorical, label)
+        self.boost = params
+
+
+class ForestFamily(Family):
+    def __init__(self, name: str, numeric: Sequence[str], categorical: Sequence[str], trees: int, depth: int, bins: int, label: str = TARGET):
+        super().__init__(name, numeric, categorical, label)
+        self.trees, self.depth, self.bins = trees, depth, bins
+
+    def batches(self) -> list[RandomForestClassifier]:
+        """Equal shares of the trees, each with a seed of its own."""
+        n = min(RF_BATCHES, self.trees)
+        sizes = [self.trees // n + (i < self.trees % n) for i in range(n)]
+        return [RandomForestClassifier(
+            numTrees=k, maxDepth=self.depth, minInstancesPerNode=RF_PARAMS["min_samples_leaf"], maxBins=self.bins,
+            featureSubsetStrategy=str(RF_PARAMS["max_features"]), maxMemoryInMB=RF_NODE_MB, seed=SEED + i,
+            featuresCol="__features", labelCol="__label") for i, k in enumerate(sizes)]
+
+
+def _stacked(tables: dict[int, DataFrame], layouts: dict[int, FeatureLayout], label: str) -> DataFrame:
+    """The training rows of all tasks: (task, key, y, x)."""
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(t).cast("int").alias("task"), row_key(df).alias("key"), F.col(label).cast("double").alias("y"),
+                  layouts[t].vector().alias("x")) for t, df in tables.items()])
+
+
+def _fit_logistic(tables, preps, families: list[LogisticFamily]) -> dict:
+    """All fits read the union of their numeric columns, each takes its own."""
+    numeric = list(dict.fromkeys(c for f in families for c in f.numeric))
+    union = {t: preps[t].layout(numeric, families[0].categorical, linear=True) for t in tables}
+    fits = []
+    for t in tables:
+        levels = range(len(numeric), len(union[t].names))
+        fits += [newton.LogisticFit(f.name, t, f.c, (*(numeric.index(c) for c in f.numeric), *levels)) for f in families]
+    weights = newton.solve(_stacked(tables, union, families[0].label), fits)
+    return {(f.name, t): LinearModel(preps[t].layout(f.numeric, f.categorical, linear=True), weights[f.name, t], f.name)
+            for f in families for t in tables}
+
+
+def _fit_boosted(tables, preps, families: list[BoostedFamily]) -> dict:
+    layouts = {t: preps[t].layout(families[0].numeric, families[0].categorical, linear=False) for t in tables}
+    trees = boosting.train(_stacked(tables, layouts, families[0].label), {f.name: f.boost for f in families})
+    return {k: BoostedModel(layouts[k[1]], t, k[0]) for k, t in trees.items()}
+
+
+def _fit_forest(table: DataFrame, prep: FoldPrep, family: ForestFamily) -> ForestModel:
+    assembler = prep.model(family.numeric, family.categorical, False, output_col="__features")
+    data = assembler.transform(table).select(row_key(table).alias("__key"), "__features", F.col(family.label).cast("double").alias("__label"))
+    # a named number of partitions: AQE would join a small table's to one, and every pass would be one task; sorted
+    # by key, so seeded row sampling does not depend on the order in which a shuffle arrives (T19)
+    parts = max(partitions_for(data.count(), table.sparkSession.sparkContext.defaultParallelism), 4)
+    data = data.repartition(parts, "__key").sortWithinPartitions("__key").drop("__key").persist(StorageLevel.MEMORY_AND_DISK)
+    data.count()
+    fitted = run_parallel([lambda b=b: b.fit(data) for b in family.batches()], RF_BATCHES)
+    data.unpersist()
+    return ForestModel(assembler, fitted, family.name)
+
+
+def run_parallel(tasks: Sequence[Callable], threads: int = 4) -> list:
+    """Run independent jobs concurrently (Spark schedules them; order kept)."""
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        return list(pool.map(lambda f: f(), tasks))
+
+
+def fit_all(tables: dict[int, DataFrame], preps: dict[int, FoldPrep], families: Sequence[Family]) -> dict[tuple[str, int], Model]:
+    """Every family on every training table (persisted by the caller): (family name, table) -> fitted model."""
+    jobs: list[Callable[[], dict]] = []
+    groups: dict[tuple, list[Family]] = {}
+    for f in families:
+        # boosters share passes over one feature vector, logistic fits over the union of theirs
+        key = (type(f), tuple(f.categorical), f.label, tuple(f.numeric) if isinstance(f, BoostedFamily) else ())
+        groups.setdefault(key, []).append(f)
+    for (kind, *_), members in groups.items():
+        if kind is ForestFamily:
+            jobs += [lambda f=f, t=t: {(f.name, t): _fit_forest(tables[t], preps[t], f)} for f in members for t in tables]
         else:
-            prep = FeatureAssembler(self.numeric, self.categorical, linear=self.linear,
-                                    output_col="__features").fit(dataset)
-        cols = [F.col(ID_COL)] if ID_COL in dataset.columns else []
-        data = prep.transform(dataset).select(*cols, "__features", F.col(self.label).cast("double").alias("__label"))
-        n = data.count()
-        if cols:
-            # deterministic partition contents and row order: seeded row sampling (trees) and
-            # floating-point sums (logistic) no longer depend on shuffle fetch order (T19);
-            # the shuffle's partitions are the session's, joined by measured size (AQE)
-            data = data.repartition(ID_COL).sortWithinPartitions(ID_COL).drop(ID_COL)
-        clf = self.make_clf(n).setFeaturesCol("__features").setLabelCol("__label")
-        fitted = clf.fit(data)
-        return ScoringModel(prep, fitted, self.name)
-
-
-def _logistic(c: float):
-    def make(n: int):
-        # sklearn: 0.5|w|^2 + C * sum(loss)  ==  Spark: mean(loss) + regParam/2 |w|^2 with regParam = 1/(C n)
-        return LogisticRegression(regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False,
-                                  maxIter=LOGREG_MAX_ITER, tol=1e-6, fitIntercept=True)
-    return make
-
-
-def build_baseline(numeric=None, categorical=None) -> ScoringEstimator:
+            fit = _fit_logistic if kind is LogisticFamily else _fit_boosted
+            jobs.append(lambda fit=fit, members=members: fit(tables, preps, members))
+    # boosting first: its many short passes run beside the forests' long ones
+    return {k: m for part in run_parallel(jobs, 4) for k, m in part.items()}
+
+
+def build_baseline(numeric=None, categorical=None) -> LogisticFamily:
     """MOD1: logistic regression, C = 1, raw numerics + categoricals."""
-    return ScoringEstimator(MODEL_BASELINE, numeric or RAW_NUMERIC, categorical or CATEGORICAL, True, _logistic(BASELINE_C))
+    return LogisticFamily(MODEL_BASELINE, numeric or RAW_NUMERIC, categorical or CATEGORICAL, BASELINE_C)
 
 
-def build_logreg(numeric=None, categorical=None) -> ScoringEstimator:
+def build_logreg(numeric=None, categorical=None, name: str = MODEL_LOGREG) -> LogisticFamily:
     """MOD2: logistic regression, C = 0.05, enriched numerics."""
-    return ScoringEstimator(MODEL_LOGREG, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, True, _logistic(LOGREG_C))
+    return LogisticFamily(name, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, LOGREG_C)
 
 
 def build_random_forest(numeric=None, categorical=None, trees: int = RF_PARAMS["n_estimators"], depth: int = RF_DEPTH,
-                        bins: int = RF_BINS) -> ScoringEstimator:
+                        bins: int = RF_BINS) -> ForestFamily:
     """MOD3: random forest, min leaf 30, 30 % of the features per split."""
-    def make(n):
-        return RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=RF_PARAMS["min_samples_leaf"],
-                                      featureSubsetStrategy=str(RF_PARAMS["max_features"]), maxBins=bins, seed=SEED)
-    return ScoringEstimator(MODEL_RF, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, False, make)
+    return ForestFamily(MODEL_RF, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, trees, depth, bins)
 
 
-def build_hgb(numeric=None, categorical=None, rounds: int = HGB_PARAMS["max_iter"], bins: int = BOOST_BINS) -> ScoringEstimator:
-    """MOD4: gradient boosting (8 leaves ~ depth 3), learning rate .04, min leaf 60."""
-    def make(n):
-        return GBTClassifier(maxIter=rounds, stepSize=HGB_PARAMS["learning_rate"], maxDepth=BOOST_DEPTH,
-                             minInstancesPerNode=HGB_PARAMS["min_samples_leaf"], maxBins=bins, seed=SEED)
-    return ScoringEstimator(MODEL_HGB, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, False, make)
+def build_hgb(numeric=None, categorical=None, rounds: int = HGB_PARAMS["max_iter"], bins: int = BOOST_BINS) -> BoostedFamily:
+    """MOD4: histogram boosting, best-first trees of 8 leaves, learning rate .04, min leaf 60, L2 5."""
+    p = BoostParams(rounds, HGB_PARAMS["learning_rate"], HGB_PARAMS["max_leaf_nodes"], HGB_PARAMS["min_samples_leaf"],
+                    HGB_PARAMS["l2_regularization"], bins=bins, seed=SEED)
+    return BoostedFamily(MODEL_HGB, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, p)
 
 
-def build_lgbm(numeric=None, categorical=None, rounds: int = LGBM_PARAMS["n_estimators"], bins: int = BOOST_BINS) -> ScoringEstimator:
-    """MOD5: boosting with row (0.8) and feature (0.6) subsampling, learning rate .03, min leaf 80."""
-    def make(n):
-        return GBTClassifier(maxIter=rounds, stepSize=LGBM_PARAMS["learning_rate"], maxDepth=BOOST_DEPTH,
-                             minInstancesPerNode=LGBM_PARAMS["min_child_samples"],
-                             subsamplingRate=LGBM_PARAMS["subsample"],
-                             featureSubsetStrategy=str(LGBM_PARAMS["colsample_bytree"]), maxBins=bins, seed=SEED)
-    return ScoringEstimator(MODEL_LGBM, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, False, make)
+def build_lgbm(numeric=None, categorical=None, rounds: int = LGBM_PARAMS["n_estimators"], bins: int = BOOST_BINS) -> BoostedFamily:
+    """MOD5: leaf-wise boosting, 7 leaves, rows (0.8) and columns (0.6) drawn per tree, learning rate .03, min child 80, L2 10."""
+    p = BoostParams(rounds, LGBM_PARAMS["learning_rate"], LGBM_PARAMS["num_leaves"], LGBM_PARAMS["min_child_samples"],
+                    LGBM_PARAMS["reg_lambda"], LGBM_PARAMS["subsample"], LGBM_PARAMS["colsample_bytree"], bins=bins, seed=SEED)
+    return BoostedFamily(MODEL_LGBM, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, p)
 
 
 def build_all(trees: int = RF_PARAMS["n_estimators"], hgb_rounds: int = HGB_PARAMS["max_iter"],
-              lgbm_rounds: int = LGBM_PARAMS["n_estimators"]) -> dict[str, ScoringEstimator]:
+              lgbm_rounds: int = LGBM_PARAMS["n_estimators"]) -> dict[str, Family]:
     """MOD6: ordered registry of the compared models."""
     every = (build_baseline(), build_logreg(), build_random_forest(trees=trees), build_hgb(rounds=hgb_rounds), build_lgbm(rounds=lgbm_rounds))
     return {est.name: est for est in every}
@@ -156,7 +326,7 @@ def build_all(trees: int = RF_PARAMS["n_estimators"], hgb_rounds: int = HGB_PARA
 def coefficients(model: ScoringModel, spark) -> DataFrame:
     """MOD7: (variable, coefficient, odds_ratio) sorted by |coefficient| desc (name as tie-break)."""
     names = model.feature_names
-    coefs = [float(x) for x in model.clf.coefficients.toArray()]  # one value per feature column
+    coefs = model.weights[1:]  # one value per feature column
     schema = T.StructType([T.StructField("variable", T.StringType()), T.StructField("coefficient", T.DoubleType())])
     df = spark.createDataFrame(list(zip(names, coefs)), schema)
     return df.select("variable", "coefficient", F.exp("coefficient").alias("odds_ratio")).orderBy(

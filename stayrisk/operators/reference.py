@@ -12,10 +12,12 @@ literal ``IN`` lists when their total size is bounded, else anti-join checks.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
@@ -35,9 +37,22 @@ class ReferenceStats:
     categories: DataFrame  # colonne, valeur
     known: dict[str, list[str]] | None = field(default=None)
 
+    def save(self, path: str) -> None:
+        """Three tables and one row of scalars under ``path``."""
+        for name in ("hotel", "season", "categories"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        facts = json.dumps({"global_median": self.global_median, "known": self.known})
+        self.hotel.sparkSession.createDataFrame([(facts,)], "facts string").write.mode("overwrite").parquet(f"{path}/facts")
 
-def reference_medians(base: DataFrame) -> DataFrame:
-    """REF1-3 in one distributed job: exact median price per hotel, per (region, month) and overall.
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ReferenceStats:
+        facts = json.loads(spark.read.parquet(f"{path}/facts").first()["facts"])
+        return ReferenceStats(*[spark.read.parquet(f"{path}/{n}") for n in ("hotel", "season")], facts["global_median"],
+                              spark.read.parquet(f"{path}/categories"), facts["known"])
+
+
+def reference_medians(base: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """REF1-3 in one distributed job: exact median price per hotel, per (region, month) and overall (within each ``by``).
 
     The three groupings are stacked as (kind, k1, k2) keys and ranked with the
     skew-safe running sums, so a hotel holding a third of the rows is split over
@@ -54,9 +69,9 @@ def reference_medians(base: DataFrame) -> DataFrame:
                                    F.col("mois_arrivee").cast("int").alias("k2"))),
         F.struct(F.lit("global").alias("kind"), F.lit("").alias("k1"), F.lit(0).alias("k2")),
     )
-    stacked = base.select(price.alias(PRICE), F.explode(F.filter(keys, lambda x: x.isNotNull())).alias("g")).select(
-        "g.kind", "g.k1", "g.k2", PRICE)
-    return exact_median(stacked, PRICE, ["kind", "k1", "k2"], name="mediane")
+    stacked = base.select(*by, price.alias(PRICE), F.explode(F.filter(keys, lambda x: x.isNotNull())).alias("g")).select(
+        *by, "g.kind", "g.k1", "g.k2", PRICE)
+    return exact_median(stacked, PRICE, [*by, "kind", "k1", "k2"], name="mediane")
 
 
 def hotel_medians(base: DataFrame, meds: DataFrame | None = None) -> DataFrame:
@@ -79,36 +94,42 @@ def global_median(base: DataFrame, meds: DataFrame | None = None) -> DataFrame:
     return meds.where(F.col("kind") == "global").select(F.col("mediane").alias("prix_ref_global"))
 
 
-def known_categories(base: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """REF4: distinct levels of every categorical column in one pass (stack + distinct)."""
+def known_categories(base: DataFrame, columns: Sequence[str] = CATEGORICAL, by: Sequence[str] = ()) -> DataFrame:
+    """REF4: distinct levels of every categorical column in one pass (stack + distinct), within each ``by``."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("colonne"), F.col(c).cast("string").alias("valeur")) for c in columns
     ])).alias("p")
-    return base.select(pairs).select("p.colonne", "p.valeur").distinct()
+    return base.select(*by, pairs).select(*by, "p.colonne", "p.valeur").distinct()
+
+
+def fit_references(trains: dict[int, DataFrame], columns: Sequence[str] = CATEGORICAL) -> dict[int, ReferenceStats]:
+    """REF8 fit of several cleaned training folds in the jobs of one (row features are derived first)."""
+    parts = []
+    for k, train in trains.items():
+        base = engineer(train) if "mois_arrivee" not in train.columns else train
+        parts.append(base.select(F.lit(k).cast("int").alias("__task"), PRICE, "hotel_id", "region_hotel", "mois_arrivee",
+                                 *[c for c in columns if c not in ("hotel_id", "region_hotel")]))
+    base = reduce(DataFrame.unionByName, parts)
+    # one job for the median tables; the small results are checkpointed (lineage cut)
+    meds = reference_medians(base, ["__task"]).checkpoint(eager=True)
+    cats = known_categories(base, columns, ["__task"]).checkpoint(eager=True)
+    overall = {r["__task"]: r["mediane"] for r in meds.where(F.col("kind") == "global").collect()}
+    sizes = {r["__task"]: r["count"] for r in cats.groupBy("__task").count().collect()}
+    small = [k for k in trains if sizes.get(k, 0) <= MAX_LITERAL_LEVELS]
+    known: dict[int, dict[str, list]] = {k: {c: [] for c in columns} for k in small}
+    for row in cats.where(F.col("__task").isin(small)).collect():  # at most MAX_LITERAL_LEVELS a fold
+        known[row["__task"]][row["colonne"]].append(row["valeur"])
+    out = {}
+    for k in trains:
+        own = meds.where(F.col("__task") == k).drop("__task")
+        out[k] = ReferenceStats(hotel=hotel_medians(own, own), season=season_medians(own, own), global_median=overall.get(k),
+                                categories=cats.where(F.col("__task") == k).drop("__task"), known=known.get(k))
+    return out
 
 
 def fit_reference(train: DataFrame, columns: Sequence[str] = CATEGORICAL) -> ReferenceStats:
-    """REF8 fit: statistics of a cleaned training fold (row features are derived first)."""
-    base = engineer(train) if "mois_arrivee" not in train.columns else train
-    # one job for the three median tables; the small result is checkpointed (lineage cut)
-    meds = reference_medians(base).checkpoint(eager=True)
-    hotel = hotel_medians(base, meds)
-    season = season_medians(base, meds)
-    gm = global_median(base, meds).first()
-    cats = known_categories(base, columns).checkpoint(eager=True)
-    levels = cats.limit(MAX_LITERAL_LEVELS + 1).collect()  # at most one more than go into the plan as literals
-    known = None
-    if len(levels) <= MAX_LITERAL_LEVELS:
-        known = {c: [] for c in columns}
-        for row in levels:
-            known[row["colonne"]].append(row["valeur"])
-    return ReferenceStats(
-        hotel=hotel,
-        season=season,
-        global_median=None if gm is None else gm["prix_ref_global"],
-        categories=cats,
-        known=known,
-    )
+    """REF8 fit: statistics of one cleaned training fold."""
+    return fit_references({0: train}, columns)[0]
 
 
 def relative_prices(df: DataFrame, ref: ReferenceStats) -> DataFrame:

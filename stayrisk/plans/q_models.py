@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from ..operators import models as MOD
 from ..operators.reference import apply_reference, fit_reference
 from ..oracle_sql import r, with_fixture
 from ..registry import query
-from ..sources.schema import CATEGORICAL, MODEL_ENSEMBLE, MODEL_NUMERIC, RELATIVE_PRICE
+from ..sources.schema import CATEGORICAL, MODEL_ENSEMBLE, MODEL_LOGREG, MODEL_NUMERIC, RELATIVE_PRICE
 from . import inputs, store, validation
 from .q_data import REF_CTES
 
@@ -140,75 +141,83 @@ def _last_fold(spark, sf):
     return apply_reference(trn, ref), apply_reference(val, ref)
 
 
+def _fitted_last(spark, sf, families):
+    """Families fitted on the last fold: (fitted models by name, validation rows)."""
+    TR, VA = _last_fold(spark, sf)
+    TR = TR.persist()
+    fitted = MOD.fit_all({4: TR}, ENC.fold_preps({4: TR}, [c for f in families for c in f.numeric], CATEGORICAL), families)
+    TR.unpersist()
+    return {name: m for (name, _), m in fitted.items()}, VA
+
+
 @query("mod7_logreg_coefficients")
 def mod7(spark, sf):
-    TR, _ = _last_fold(spark, sf)
-    model = MOD.build_logreg().fit(TR)
-    return MOD.coefficients(model, spark)
+    return MOD.coefficients(_fitted_last(spark, sf, [MOD.build_logreg()])[0][MODEL_LOGREG], spark)
 
 
 @query("mod8_top12_coefficients")
 def mod8(spark, sf):
-    TR, _ = _last_fold(spark, sf)
-    return MOD.top_coefficients(MOD.coefficients(MOD.build_logreg().fit(TR), spark), 12)
+    return MOD.top_coefficients(mod7(spark, sf), 12)
 
 
-@query("mod1_6_last_fold_model_metrics")
-def mod1_6(spark, sf):
-    """Every model family of the registry fitted on the last fold, metric row at its best threshold."""
-    TR, VA = _last_fold(spark, sf)
-    tasks = [(lambda n=n, e=e: validation._long(e.fit(TR).transform(VA), n, 4).checkpoint(eager=True))
-             for n, e in MOD.build_all().items()]
-    scored = validation.parallel(tasks)
-    from functools import reduce
-
-    oof = reduce(lambda a, b: a.unionByName(b), scored)
-    return M.best_metrics(oof, ["model"]).withColumnRenamed("model", "modele")
+def _last_fold_metrics(spark, sf, families):
+    """Model families at their reference sizes, fitted on the last fold: metric row at the best threshold."""
+    fitted, VA = _fitted_last(spark, sf, families)
+    oof = reduce(lambda a, b: a.unionByName(b), [validation._long(m.transform(VA), n, 4) for n, m in fitted.items()])
+    return M.best_metrics(oof.checkpoint(eager=True), ["model"]).withColumnRenamed("model", "modele")
 
 
-def _one_family(spark, sf, est):
-    """One model family at its reference size, fitted on the last fold: metric row at its best threshold."""
-    TR, VA = _last_fold(spark, sf)
-    return M.best_metrics(validation._long(est.fit(TR).transform(VA), est.name, 4).checkpoint(eager=True), ["model"]).withColumnRenamed("model", "modele")
+@query("mod1_6_last_fold_model_metrics")
+def mod1_6(spark, sf):
+    """Every model family of the registry."""
+    return _last_fold_metrics(spark, sf, list(MOD.build_all().values()))
 
 
 @query("mod3_random_forest_last_fold")
 def mod3(spark, sf):
-    return _one_family(spark, sf, MOD.build_random_forest())
+    return _last_fold_metrics(spark, sf, [MOD.build_random_forest()])
 
 
 @query("mod4_hgb_last_fold")
 def mod4(spark, sf):
-    return _one_family(spark, sf, MOD.build_hgb())
+    return _last_fold_metrics(spark, sf, [MOD.build_hgb()])
 
 
 @query("mod5_lgbm_last_fold")
 def mod5(spark, sf):
-    return _one_family(spark, sf, MOD.build_lgbm())
+    return _last_fold_metrics(spark, sf, [MOD.build_lgbm()])
 
 
 @query("ens3_ensemble_scoring")
 def ens3(spark, sf):
-    TR, VA = _last_fold(spark, sf)
-    members = {n: e for n, e in MOD.build_all().items() if n in validation.ENSEMBLE_MEMBERS}
     from ..operators.ensemble import EnsembleEstimator
 
-    model = EnsembleEstimator(members, threshold=0.5).fit(TR)
+    TR, VA = _last_fold(spark, sf)
+    model = EnsembleEstimator(validation.ensemble_members(), threshold=0.5).fit(TR.persist())
     return model.transform(VA).select("reservation_id", "proba", "prediction")
 
 
 # ------------------------------------------------------------------ cross-validation (written once)
-def oof_scores(spark, sf):
-    """ENS4: out-of-fold scores of all models + ensemble at the reference sizes, written once per checkpoint folder.
+def oof_scores(spark, sf, names=None):
+    """ENS4: out-of-fold scores at the reference sizes, one stored table a family, and the ensemble's rows.
 
-    Every (model, fold) is stored as soon as it is scored, so a run that was cut short goes on where it stopped.
+    ``names`` are the families that are read (default: all); only those that no table holds yet are fitted,
+    together. A run that was cut short goes on with the families that it had not stored.
     """
-    def keep(name, fold, scores):
-        return store.written(spark, "oof-part", f"oof-part-v3:{name}:{fold}", scores, sf)
+    every = MOD.build_all()
+    names = list(names or every)
+    paths = {n: store.path_for(spark, "oof", f"oof-v4:{n}", sf) for n in names}
+    missing = {n: every[n] for n in names if not store.exists(spark, paths[n])}
+    if missing:
+        validation.cross_validate(inputs.cleaned(spark, sf)[0], missing, with_ensemble=False,
+                                  keep=lambda n, scores: store.stored(spark, paths[n], lambda: scores))
+    oof = reduce(lambda a, b: a.unionByName(b), [spark.read.parquet(paths[n]) for n in names])
+    return oof.unionByName(validation.ensemble_rows(oof))
 
-    def build():
-        return validation.cross_validate(inputs.cleaned(spark, sf)[0], MOD.build_all(), checkpoint=False, keep=keep)
-    return store.written(spark, "oof", "oof-v3", build, sf)
+
+def ensemble_oof(spark, sf):
+    """The ensemble's out-of-fold rows: its three members are read, nothing else is fitted."""
+    return oof_scores(spark, sf, validation.ENSEMBLE_MEMBERS).where(F.col("model") == MODEL_ENSEMBLE)
 
 
 @query("ens4_cv_fold_results")
@@ -228,51 +237,55 @@ def ens4_pooled(spark, sf):
 
 @query("ens4_cv_cost_curve")
 def ens4_cost(spark, sf):
-    oof = oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE)
+    oof = ensemble_oof(spark, sf)
     return M.cost_curve(M.sweep(oof))
 
 
 @query("ens4_cv_calibration_deciles")
 def ens4_deciles(spark, sf):
-    oof = oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE)
+    oof = ensemble_oof(spark, sf)
     return M.deciles(oof)
 
 
 @query("ens4_cv_calibration")
 def ens4_calibration(spark, sf):
-    return M.calibration(oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE))
+    return M.calibration(ensemble_oof(spark, sf))
 
 
 @query("ens5_6_ablation")
 def ens5(spark, sf):
     def build():
         return validation.ablation(inputs.cleaned(spark, sf)[0])
-    return store.written(spark, "ablation", "ablation-v2", build, sf)
+    return store.written(spark, "ablation", "ablation-v3", build, sf)
 
 
 def _final(spark, sf):
-    oof = oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE)
-    t = M.best_threshold(M.sweep(oof)).first()["seuil"]  # frozen pooled threshold (scalar)
-    tr, te = inputs.cleaned(spark, sf)
-    ref, model = validation.final_model(tr, t, MOD.build_all())
-    return ref, model, te, t
+    """SUB1: the final ensemble with its frozen threshold, fitted and saved once, then loaded."""
+    from ..operators.ensemble import EnsembleModel
+    from ..operators.reference import ReferenceStats
+
+    path = store.path_for(spark, "final-model", "final-v1", sf)
+    if not store.exists(spark, f"{path}/model"):
+        t = M.best_threshold(M.sweep(ensemble_oof(spark, sf))).first()["seuil"]  # frozen pooled threshold (scalar)
+        ref, model = validation.final_model(inputs.cleaned(spark, sf)[0], t)
+        ref.save(f"{path}/reference")
+        model.write().overwrite().save(f"{path}/model")  # last: its _SUCCESS file marks the whole
+    return ReferenceStats.load(spark, f"{path}/reference"), EnsembleModel.load(f"{path}/model")
 
 
 @query("sub1_final_submission")
 def sub1(spark, sf):
-    from ..functions.prefix import row_positions
     from ..operators.submission import submission
 
-    ref, model, te, t = _final(spark, sf)
-    scored = validation.score(row_positions(te, ["date_reservation", "reservation_id"]), ref, model)
-    return submission(scored, t).drop("pos")
+    ref, model = _final(spark, sf)
+    return submission(validation.score(inputs.cleaned(spark, sf)[1], ref, model), model.threshold)
 
 
 @query("fld3_random_cv_f1")
 def fld3_random(spark, sf):
     def build():
-        return validation.random_cv_f1(inputs.cleaned(spark, sf)[0], models=MOD.build_all())
-    return store.written(spark, "random-cv", "random-cv-v3", build, sf)
+        return validation.random_cv_f1(inputs.cleaned(spark, sf)[0])
+    return store.written(spark, "random-cv", "random-cv-v4", build, sf)
 
 
 @query("met19_temporal_minus_random_f1")
@@ -280,7 +293,7 @@ def met19_random(spark, sf):
     """MET19: pooled out-of-fold F1 of the ensemble (temporal folds) vs the random stratified 5-fold check."""
     from ..functions.joins import join_groups
 
-    temporal = M.best_threshold(M.sweep(oof_scores(spark, sf).where(F.col("model") == MODEL_ENSEMBLE))).select(
+    temporal = M.best_threshold(M.sweep(ensemble_oof(spark, sf))).select(
         F.col("f1").alias("f1_temporel"))
     rnd = fld3_random(spark, sf).select(F.col("f1").alias("f1_aleatoire"))
     return join_groups(temporal, rnd, []).select(
@@ -292,7 +305,7 @@ def ens3_stream(spark, sf):
     """The final ensemble scoring the test bookings as a stream (availableNow), read back from the sink."""
     from ..streaming.scoring import run_scoring
 
-    ref, model, _, _ = _final(spark, sf)
+    ref, model = _final(spark, sf)
     raw_test = inputs.raw(spark, sf)[1]
     run = uuid.uuid4().hex  # a stream's own source, sink and checkpoint: nothing of an earlier run is taken over
     src = store.path_for(spark, "stream-src", run)
@@ -305,14 +318,12 @@ def ens3_stream(spark, sf):
 @query("snk1_report_tables")
 def snk1_reports(spark, sf):
     """Every report table of a run written as CSV (SNK1) plus the ordered submission (SNK2), read back."""
-    from functools import reduce
-
     from ..sources.schema import SUBMISSION_SCHEMA
     from . import reports
 
     tr, te = inputs.cleaned(spark, sf)
     out_dir = store.path_for(spark, "reports", uuid.uuid4().hex)
-    tables, sub = reports.build_reports(tr, te, oof_scores(spark, sf), ens5(spark, sf), MOD.build_all())
+    tables, sub = reports.build_reports(tr, te, oof_scores(spark, sf), ens5(spark, sf), _final(spark, sf))
     reports.write_reports(tables, sub, out_dir)
     names = reports.REPORTS + ["submission"]
     counts = []

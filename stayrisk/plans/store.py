@@ -9,6 +9,7 @@ the read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +44,17 @@ def path_for(spark: SparkSession, kind: str, key: str, inputs: str | None = None
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stayrisk-{kind}/{tag}"
 
 
-def written(spark: SparkSession, kind: str, key: str, build: Callable[[], DataFrame], inputs: str | None = None) -> DataFrame:
-    """Return the table stored under (kind, key, state of the input files), building and writing it on first use."""
-    path = path_for(spark, kind, key, inputs)
+def stored(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``; if there is none, it is written beside it first and renamed, so a reader never sees half."""
     if not exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
+        part = f"{path}.{uuid.uuid4().hex}"
+        build().write.parquet(part)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        target = hadoop(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(hadoop(part), target)
     return spark.read.parquet(path)
+
+
+def written(spark: SparkSession, kind: str, key: str, build: Callable[[], DataFrame], inputs: str | None = None) -> DataFrame:
+    """Return the table stored under (kind, key, state of the input files), building and writing it on first use."""
+    return stored(spark, path_for(spark, kind, key, inputs), build)

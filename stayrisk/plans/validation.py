@@ -1,16 +1,14 @@
 """Validation jobs: expanding-window CV (ENS4), ablation (ENS5-7), final refit (SUB1), random CV (FLD3).
 
-The fold loop runs on the driver (4 folds, a bounded count); every step inside
-is a Spark job. Per fold, the training and validation tables are built once
-(reference fitted on the training rows only), persisted for the repeated model
-passes, and unpersisted afterwards. Scores are collected in long format
-``(model, fold, reservation_id, y, proba)`` and unioned.
+All folds of a run are fitted together: references, preprocessing statistics and
+bins of every fold come from shared jobs, and every family trains its folds in
+shared passes (:func:`..operators.models.fit_all`). Scores are long tables
+``(model, fold, reservation_id, y, proba)``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -19,91 +17,78 @@ from pyspark.sql import functions as F
 
 from ..operators import ensemble as ens
 from ..operators import metrics as M
-from ..operators.encoding import FoldPrep
+from ..operators.encoding import FoldPrep, fold_preps
 from ..operators.folds import stratified_folds, temporal_folds
-from ..operators.models import build_all, build_logreg
-from ..operators.reference import apply_reference, fit_reference
+from ..operators.models import Family, build_all, build_logreg, fit_all, run_parallel
+from ..operators.reference import apply_reference, fit_reference, fit_references
 from ..sources.schema import (ABLATION_CONFIGS, CATEGORICAL, ENSEMBLE_RAW_WEIGHTS, ID_COL, MODEL_ENSEMBLE,
                               MODEL_HGB, MODEL_LGBM, MODEL_LOGREG, RAW_NUMERIC, TARGET)
 
 ENSEMBLE_MEMBERS = (MODEL_LOGREG, MODEL_HGB, MODEL_LGBM)
 
 
-def parallel(tasks: Sequence[Callable[[], DataFrame]], threads: int = 4) -> list[DataFrame]:
-    """Run independent fit/score jobs concurrently (Spark schedules the concurrent jobs; order kept)."""
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        return list(pool.map(lambda f: f(), tasks))
-
-
 def _long(scored: DataFrame, model: str, fold: int) -> DataFrame:
     return scored.select(F.lit(model).alias("model"), F.lit(fold).cast("int").alias("fold"), ID_COL,
                          F.col(TARGET).cast("int").alias("y"), "proba")
 
 
-def _fold_tables(assigned: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
-    tr = assigned.where((F.col("fold") == fold) & (F.col("role") == "train")).drop("fold", "role")
-    va = assigned.where((F.col("fold") == fold) & (F.col("role") == "val")).drop("fold", "role")
-    ref = fit_reference(tr)
-    TR = apply_reference(tr, ref).persist(StorageLevel.MEMORY_AND_DISK)
-    VA = apply_reference(va, ref).persist(StorageLevel.MEMORY_AND_DISK)
-    return TR, VA
+class FoldTables:
+    """Training and validation rows of every fold with the fold's own reference, and their shared statistics."""
 
+    def __init__(self, parts: dict[int, tuple[DataFrame, DataFrame]], numeric: Sequence[str], categorical: Sequence[str] = CATEGORICAL):
+        refs = fit_references({k: tr for k, (tr, _) in parts.items()}, categorical)
+        self.train = {k: apply_reference(tr, refs[k]).persist(StorageLevel.MEMORY_AND_DISK) for k, (tr, _) in parts.items()}
+        self.val = {k: apply_reference(va, refs[k]) for k, (_, va) in parts.items()}
+        self.preps: dict[int, FoldPrep] = fold_preps(self.train, numeric, categorical)
 
-def _ensemble_rows(parts: list[DataFrame], fold: int) -> DataFrame | None:
-    if not parts:
-        return None
-    long = reduce(DataFrame.unionByName, parts)
-    w = ens.ensemble_weights(long.select("model").distinct(), ENSEMBLE_RAW_WEIGHTS)
-    e = ens.ensemble_proba(long, w, keep=("y",))
-    return e.select(F.lit(MODEL_ENSEMBLE).alias("model"), F.lit(fold).cast("int").alias("fold"), ID_COL, "y", "proba")
+    def fit(self, families: Sequence[Family]) -> dict:
+        return fit_all(self.train, self.preps, families)
 
+    def scores(self, models: dict[int, object], name: str) -> DataFrame:
+        """Validation rows of every fold scored by the fold's model."""
+        return reduce(DataFrame.unionByName, [_long(m.transform(self.val[k]), name, k) for k, m in models.items()])
 
-def cross_validate(train: DataFrame, models: dict | None = None,
-                   with_ensemble: bool = True, checkpoint: bool = True, threads: int = 6,
-                   keep: Callable[[str, int, Callable[[], DataFrame]], DataFrame] | None = None) -> DataFrame:
-    """ENS4: out-of-fold scores of every model (and the ensemble) on the 4 temporal folds.
+    def release(self) -> None:
+        for t in self.train.values():
+            t.unpersist()
 
-    ``train`` is the cleaned training table. Fold tables and their shared
-    preprocessing statistics are built first; then every (fold, model) fit runs
-    as an independent job from a thread pool. Each score table is checkpointed
-    (lineage cut in the shared folder), so reports never refit anything;
-    ``keep(model, fold, scores)`` may store it instead and give it back unfitted.
-    """
-    keep = keep or (lambda name, fold, scores: scores().checkpoint(eager=True))
-    models = models if models is not None else build_all()
-    assigned = temporal_folds(train).persist(StorageLevel.MEMORY_AND_DISK)  # reused by every fold
+
+def _temporal(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[DataFrame, FoldTables]:
+    assigned = temporal_folds(train).persist(StorageLevel.MEMORY_AND_DISK)  # read by every fold
     folds = sorted(r["fold"] for r in assigned.select("fold").distinct().collect())  # <= 4 values
-    tables = {k: _fold_tables(assigned, k) for k in folds}
-    numeric = [c for e in models.values() for c in e.numeric]
-    categorical = next(iter(models.values())).categorical
-    preps = {k: FoldPrep(tables[k][0], numeric, categorical) for k in folds}
-
-    def task(name, k):
-        TR, VA = tables[k]
-        est = _fresh(models[name]).with_prep(preps[k])
-        return lambda: keep(name, k, lambda: _long(est.fit(TR).transform(VA), name, k))
-
-    jobs = [(k, name) for k in folds for name in models]
-    scored = dict(zip(jobs, parallel([task(name, k) for k, name in jobs], threads)))
-    out = [scored[j] for j in jobs]
-    if with_ensemble:
-        for k in folds:
-            e = _ensemble_rows([scored[(k, n)] for n in models if n in ENSEMBLE_MEMBERS], k)
-            if e is not None:
-                out.append(e.checkpoint(eager=True))
-    for TR, VA in tables.values():
-        TR.unpersist()
-        VA.unpersist()
-    assigned.unpersist()
-    result = reduce(DataFrame.unionByName, out)
-    return result.checkpoint(eager=True) if checkpoint else result
 
+    def part(k, role):
+        return assigned.where((F.col("fold") == k) & (F.col("role") == role)).drop("fold", "role")
+    return assigned, FoldTables({k: (part(k, "train"), part(k, "val")) for k in folds}, numeric, categorical)
 
-def _fresh(est):
-    """A copy of a model builder, so concurrent fits of different folds never share state."""
-    import copy
 
-    return copy.copy(est)
+def ensemble_rows(oof: DataFrame) -> DataFrame:
+    """The ensemble's rows from its members' out-of-fold rows."""
+    members = oof.where(F.col("model").isin(list(ENSEMBLE_MEMBERS)))
+    w = ens.ensemble_weights(members.select("model").distinct(), ENSEMBLE_RAW_WEIGHTS)
+    e = ens.ensemble_proba(members.withColumn("__key", F.struct("fold", ID_COL)), w, id_col="__key", keep=("y",))
+    return e.select(F.lit(MODEL_ENSEMBLE).alias("model"), F.col("__key.fold").alias("fold"), F.col(f"__key.{ID_COL}").alias(ID_COL), "y", "proba")
+
+
+def cross_validate(train: DataFrame, models: dict | None = None, with_ensemble: bool = True,
+                   keep: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """ENS4: out-of-fold scores of every model (and the ensemble) on the 4 temporal folds.
+
+    ``train`` is the cleaned training table. Every family's scores are checkpointed (lineage cut in the shared
+    folder), so reports never refit anything; ``keep(model, scores)`` may store them instead.
+    """
+    keep = keep or (lambda name, scores: scores.checkpoint(eager=True))
+    models = models if models is not None else build_all()
+    families = list(models.values())
+    assigned, tables = _temporal(train, [c for e in families for c in e.numeric], families[0].categorical)
+    fitted = tables.fit(families)
+    parts = run_parallel([lambda n=e.name: keep(n, tables.scores({k: m for (name, k), m in fitted.items() if name == n}, n)) for e in families])
+    tables.release()
+    assigned.unpersist()
+    out = reduce(DataFrame.unionByName, parts)
+    if with_ensemble and any(n in ENSEMBLE_MEMBERS for n in models):
+        out = out.unionByName(ensemble_rows(out).checkpoint(eager=True))
+    return out
 
 
 def fold_report(oof: DataFrame) -> DataFrame:
@@ -118,37 +103,21 @@ def pooled_report(oof: DataFrame) -> DataFrame:
 
 
 def ablation(train: DataFrame, configs: Sequence[tuple[str, list[str]]] = ABLATION_CONFIGS,
-             categorical: Sequence[str] = CATEGORICAL, threads: int = 4) -> DataFrame:
+             categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
     """ENS5-7: logistic model on cumulative feature sets, pooled threshold metrics, gains.
 
-    Folds and per-fold reference tables are built once and reused by all configurations.
+    All configurations and folds are fitted in the same passes.
     """
-    assigned = temporal_folds(train).persist(StorageLevel.MEMORY_AND_DISK)
-    folds = sorted(r["fold"] for r in assigned.select("fold").distinct().collect())
-    tables = {k: _fold_tables(assigned, k) for k in folds}
-    every = [c for _, numeric in configs for c in numeric]
-    preps = {k: FoldPrep(tables[k][0], every, categorical) for k in folds}
-
-    def task(name, numeric, k):
-        TR, VA = tables[k]
-        est = build_logreg(list(numeric), list(categorical)).with_prep(preps[k])
-        return lambda: _long(est.fit(TR).transform(VA), name, k).checkpoint(eager=True)
-
-    jobs = [(order, name, numeric, k) for order, (name, numeric) in enumerate(configs) for k in folds]
-    scored = parallel([task(name, numeric, k) for _, name, numeric, k in jobs], threads)
-    rows = []
-    for order, (name, numeric) in enumerate(configs):
-        parts = [s for (o, *_), s in zip(jobs, scored) if o == order]
-        oof = reduce(DataFrame.unionByName, parts)
-        m = M.best_metrics(oof, ["model"]).withColumn("ordre", F.lit(order)).withColumn(
-            "n_variables", F.lit(len(numeric)))
-        rows.append(m.checkpoint(eager=True))
-    for TR, VA in tables.values():
-        TR.unpersist()
-        VA.unpersist()
+    families = [build_logreg(list(numeric), list(categorical), name) for name, numeric in configs]
+    assigned, tables = _temporal(train, [c for f in families for c in f.numeric], categorical)
+    fitted = tables.fit(families)
+    oof = reduce(DataFrame.unionByName, [
+        tables.scores({k: m for (name, k), m in fitted.items() if name == f.name}, f.name) for f in families]).checkpoint(eager=True)
+    tables.release()
     assigned.unpersist()
-    table = reduce(DataFrame.unionByName, rows)
-    return ablation_table(table)
+    order = F.create_map(*[x for i, (name, numeric) in enumerate(configs) for x in (F.lit(name), F.struct(F.lit(i).alias("ordre"), F.lit(len(numeric)).alias("n")))])
+    return ablation_table(M.best_metrics(oof, ["model"]).withColumn("__c", order[F.col("model")]).withColumn(
+        "ordre", F.col("__c.ordre")).withColumn("n_variables", F.col("__c.n")).drop("__c"))
 
 
 def ablation_table(metrics_by_config: DataFrame) -> DataFrame:
@@ -183,10 +152,7 @@ def final_model(train: DataFrame, threshold: float, models: dict | None = None):
     """SUB1: reference + ensemble refit on the whole training table, frozen out-of-fold threshold."""
     ref = fit_reference(train)
     TR = apply_reference(train, ref).persist(StorageLevel.MEMORY_AND_DISK)
-    members = ensemble_members(models)
-    prep = FoldPrep(TR, [c for e in members.values() for c in e.numeric], CATEGORICAL)
-    members = {n: e.with_prep(prep) for n, e in members.items()}
-    model = ens.EnsembleEstimator(members, ENSEMBLE_RAW_WEIGHTS, threshold).fit(TR)
+    model = ens.EnsembleEstimator(ensemble_members(models), ENSEMBLE_RAW_WEIGHTS, threshold).fit(TR)
     TR.unpersist()
     return ref, model
 
@@ -196,29 +162,15 @@ def score(test: DataFrame, ref, model) -> DataFrame:
     return model.transform(apply_reference(test, ref))
 
 
-def random_cv_f1(train: DataFrame, k: int = 5, threads: int = 3, models: dict | None = None) -> DataFrame:
+def random_cv_f1(train: DataFrame, k: int = 5, models: dict | None = None) -> DataFrame:
     """FLD3 counter-check: ensemble on a stratified random k-fold; pooled best F1 (one row)."""
     folded = stratified_folds(train, k=k).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def task(fold):
-        def run():
-            tr = folded.where(F.col("fold") != fold).drop("fold")
-            va = folded.where(F.col("fold") == fold).drop("fold")
-            ref = fit_reference(tr)
-            TR = apply_reference(tr, ref).persist(StorageLevel.MEMORY_AND_DISK)
-            VA = apply_reference(va, ref)
-            members = {n: _fresh(e) for n, e in ensemble_members(models).items()}
-            prep = FoldPrep(TR, [c for e in members.values() for c in e.numeric], CATEGORICAL)
-            members = {n: e.with_prep(prep) for n, e in members.items()}
-            m = ens.EnsembleEstimator(members, ENSEMBLE_RAW_WEIGHTS).fit(TR)
-            scored = _long(m.transform(VA), MODEL_ENSEMBLE, fold).checkpoint(eager=True)
-            TR.unpersist()
-            return scored
-        return run
-
-    parts = parallel([task(f) for f in range(1, k + 1)], threads)
+    members = list(ensemble_members(models).values())
+    tables = FoldTables({f: (folded.where(F.col("fold") != f).drop("fold"), folded.where(F.col("fold") == f).drop("fold"))
+                         for f in range(1, k + 1)}, [c for e in members for c in e.numeric], members[0].categorical)
+    oof = tables.scores(ens.ensembles(tables.fit(members)), MODEL_ENSEMBLE).checkpoint(eager=True)
+    tables.release()
     folded.unpersist()
-    oof = reduce(DataFrame.unionByName, parts)
     return M.best_threshold(M.sweep(oof)).select("seuil", "f1")
 
 
