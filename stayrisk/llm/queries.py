@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, lm, mixing, quality, repetition, simhash, substring, toxicity
+from . import ann, chat, decontam, langid, lm, merkle, mixing, quality, repetition, simhash, substring, toxicity, whitening
 from .text import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,21 @@ FROM conv JOIN kept USING (conv_id) LEFT JOIN past USING (conv_id)"""
 def op1_mix_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.rates(docs, mixing.domain_labels(docs, table(spark, sf_dir, "labels"))).select("doc_id", "copies", "n_tokens", "domain", "rate")
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(docs, "doc_id", "lang", ["doc_id", "source", "lang", "n_chars", "text"],
+                           tampered={"n_chars": F.col("n_chars").cast("long") + 1}, where=hit).drop("proof")
