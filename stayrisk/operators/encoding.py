@@ -146,11 +146,11 @@ def one_hot_model(levels: dict[str, list[str]], drop_first: bool, prefix: str =
     idx, hot = [f"{prefix}i_{c}" for c in columns], [f"{prefix}o_{c}" for c in columns]
     stages, outputs, names, kept = [], [], [], {}
     if columns:
-        indexer = StringIndexerModel.from_arrays_of_labels([order[c] for c in columns], inputCols=columns, outputCols=idx, handleInvalid="keep")
+        indexer = PipelineModel([StringIndexerModel.from_labels(order[c], inputCol=c, outputCol=i, handleInvalid="keep") for c, i in zip(columns, idx)])
         spark = spark or SparkSession.active()
-        none = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+        one = spark.createDataFrame([tuple(order[c][0] for c in columns)], ", ".join(f"`{c}` string" for c in columns))
         # dropLast removes the unknown slot (index = number of labels)
-        stages = [indexer, OneHotEncoder(inputCols=idx, outputCols=hot, dropLast=True, handleInvalid="keep").fit(indexer.transform(none))]
+        stages = [indexer, OneHotEncoder(inputCols=idx, outputCols=hot, dropLast=True, handleInvalid="keep").fit(indexer.transform(one))]
     for c, oh in zip(columns, hot):
         labels = order[c]
         if drop_first:

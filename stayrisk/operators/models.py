@@ -3,28 +3,23 @@
 * Logistic families (MOD1-2): Newton steps on one aggregate (:mod:`.newton`), scored as one JVM expression.
 * Boosted families (MOD4-5): second-order histogram boosting with best-first trees (:mod:`.boosting`); missing
   values stay missing; scored by an Arrow function over the feature vector.
-* Random forest (MOD3): MLlib, grown in batches whose votes are averaged; inputs are median-filled, since MLlib
-  trees take no missing values (T15).
+* Random forest (MOD3): all trees grown level by level together (:mod:`.forest`), scored like the boosted families.
 
 ``fit_all`` trains every family on every training table (fold) of a run: the logistic fits in shared passes, the
-boosters in shared passes, the forests as independent jobs.
+boosters in shared passes, the forests level by level.
 """
 
 from __future__ import annotations
 
 import copy
 import json
-import zlib
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +28,10 @@ from pyspark.sql import types as T
 from ..session import ship_package
 from ..sources.schema import (CATEGORICAL, ID_COL, MODEL_BASELINE, MODEL_HGB, MODEL_LGBM, MODEL_LOGREG, MODEL_NUMERIC,
                               MODEL_RF, RAW_NUMERIC, SEED, TARGET)
-from . import boosting, newton
-from .boosting import BoostedTrees, BoostParams, partitions_for
-from .encoding import FeatureAssemblerModel, FeatureLayout, FoldPrep, fold_preps
+from . import boosting, forest, newton
+from .boosting import BoostedTrees, BoostParams
+from .encoding import FeatureLayout, FoldPrep, fold_preps
+from .forest import ForestParams, ForestTrees
 
 # --------------------------------------------------------------------------
 # Hyperparameters of the original model families
@@ -48,10 +44,7 @@ LGBM_PARAMS = dict(n_estimators=400, learning_rate=0.03, num_leaves=7, min_child
                    colsample_bytree=0.6, subsample=0.8, reg_lambda=10.0)
 
 
-# MLlib's own limits: a tree has at most 30 levels, candidate splits come from at most MAX_BINS bins.
-RF_DEPTH, RF_BINS, BOOST_BINS = 30, 256, 255
-#: The forest is grown as so many independent batches, with node statistics of at most so many MB a pass.
-RF_BATCHES, RF_NODE_MB = 4, 2048
+BOOST_BINS = 255
 
 
 def row_key(df: DataFrame) -> F.Column:
@@ -112,9 +105,9 @@ class LinearModel(_Kept):
 
 
 class BoostedModel(_Kept):
-    """Fitted boosted family: the trees walk Arrow batches of the feature vector."""
+    """Fitted trees: they walk Arrow batches of the feature vector."""
 
-    def __init__(self, layout: FeatureLayout | None = None, trees: BoostedTrees | None = None, name: str = "", out: str = "proba"):
+    def __init__(self, layout: FeatureLayout | None = None, trees: BoostedTrees | ForestTrees | None = None, name: str = "", out: str = "proba"):
         super().__init__()
         self.layout, self.trees, self.name, self.out = layout, trees, name, out
 
@@ -138,28 +131,11 @@ class BoostedModel(_Kept):
         return {"kind": "boosted", "name": self.name, "layout": self.layout.to_dict(), "trees": self.trees.to_dict()}
 
 
-class ForestModel(Model):
-    """Fitted forest: the mean probability of its equal batches."""
+class ForestModel(BoostedModel):
+    """Fitted forest: the mean over trees of the leaf's share of cancellations."""
 
-    def __init__(self, prep: FeatureAssemblerModel | None = None, batches=(), name: str = "", out: str = "proba"):
-        super().__init__()
-        self.prep, self.batches, self.name, self.out = prep, list(batches), name, out
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        cols, tag = dataset.columns, zlib.crc32(self.name.encode()) % 100_000
-        self.prep.output_col = f"__f{tag}"
-        scored, votes = self.prep.transform(dataset), []
-        for i, m in enumerate(self.batches):
-            prob, raw, pred = (f"__{k}{tag}_{i}" for k in "pry")
-            m.setFeaturesCol(f"__f{tag}").setProbabilityCol(prob).setRawPredictionCol(raw).setPredictionCol(pred)
-            scored = m.transform(scored)
-            votes.append(vector_to_array(F.col(prob)).getItem(1) * F.lit(m.getNumTrees))
-        total = sum(m.getNumTrees for m in self.batches)
-        return scored.select(*cols, (reduce(lambda a, b: a + b, votes) / F.lit(total)).alias(self.out))
-
-    @property
-    def feature_names(self) -> list[str]:
-        return self.prep.feature_names
+    def to_dict(self) -> dict:
+        return super().to_dict() | {"kind": "forest"}
 
 
 def model_from_dict(d: dict) -> Model:
@@ -170,6 +146,8 @@ def model_from_dict(d: dict) -> Model:
     layout = FeatureLayout.from_dict(d["layout"])
     if d["kind"] == "linear":
         return LinearModel(layout, d["weights"], d["name"])
+    if d["kind"] == "forest":
+        return ForestModel(layout, ForestTrees.from_dict(d["trees"]), d["name"])
     return BoostedModel(layout, BoostedTrees.from_dict(d["trees"]), d["name"])
 
 
@@ -209,18 +187,9 @@ class BoostedFamily(Family):
 
 
 class ForestFamily(Family):
-    def __init__(self, name: str, numeric: Sequence[str], categorical: Sequence[str], trees: int, depth: int, bins: int, label: str = TARGET):
+    def __init__(self, name: str, numeric: Sequence[str], categorical: Sequence[str], params: ForestParams, label: str = TARGET):
         super().__init__(name, numeric, categorical, label)
-        self.trees, self.depth, self.bins = trees, depth, bins
-
-    def batches(self) -> list[RandomForestClassifier]:
-        """Equal shares of the trees, each with a seed of its own."""
-        n = min(RF_BATCHES, self.trees)
-        sizes = [self.trees // n + (i < self.trees % n) for i in range(n)]
-        return [RandomForestClassifier(
-            numTrees=k, maxDepth=self.depth, minInstancesPerNode=RF_PARAMS["min_samples_leaf"], maxBins=self.bins,
-            featureSubsetStrategy=str(RF_PARAMS["max_features"]), maxMemoryInMB=RF_NODE_MB, seed=SEED + i,
-            featuresCol="__features", labelCol="__label") for i, k in enumerate(sizes)]
+        self.forest = params
 
 
 def _stacked(tables: dict[int, DataFrame], layouts: dict[int, FeatureLayout], label: str) -> DataFrame:
@@ -249,17 +218,12 @@ def _fit_boosted(tables, preps, families: list[BoostedFamily]) -> dict:
     return {k: BoostedModel(layouts[k[1]], t, k[0]) for k, t in trees.items()}
 
 
-def _fit_forest(table: DataFrame, prep: FoldPrep, family: ForestFamily) -> ForestModel:
-    assembler = prep.model(family.numeric, family.categorical, False, output_col="__features")
-    data = assembler.transform(table).select(row_key(table).alias("__key"), "__features", F.col(family.label).cast("double").alias("__label"))
-    # a named number of partitions: AQE would join a small table's to one, and every pass would be one task; sorted
-    # by key, so seeded row sampling does not depend on the order in which a shuffle arrives (T19)
-    parts = max(partitions_for(data.count(), table.sparkSession.sparkContext.defaultParallelism), 4)
-    data = data.repartition(parts, "__key").sortWithinPartitions("__key").drop("__key").persist(StorageLevel.MEMORY_AND_DISK)
-    data.count()
-    fitted = run_parallel([lambda b=b: b.fit(data) for b in family.batches()], RF_BATCHES)
-    data.unpersist()
-    return ForestModel(assembler, fitted, family.name)
+def _fit_forest(tables, preps, families: list[ForestFamily]) -> dict:
+    out = {}
+    for f in families:
+        layouts = {t: preps[t].layout(f.numeric, f.categorical, linear=False) for t in tables}
+        out |= {(f.name, t): ForestModel(layouts[t], trees, f.name) for t, trees in forest.train(_stacked(tables, layouts, f.label), f.forest).items()}
+    return out
 
 
 def run_parallel(tasks: Sequence[Callable], threads: int = 4) -> list:
@@ -270,19 +234,13 @@ def run_parallel(tasks: Sequence[Callable], threads: int = 4) -> list:
 
 def fit_all(tables: dict[int, DataFrame], preps: dict[int, FoldPrep], families: Sequence[Family]) -> dict[tuple[str, int], Model]:
     """Every family on every training table (persisted by the caller): (family name, table) -> fitted model."""
-    jobs: list[Callable[[], dict]] = []
     groups: dict[tuple, list[Family]] = {}
     for f in families:
         # boosters share passes over one feature vector, logistic fits over the union of theirs
         key = (type(f), tuple(f.categorical), f.label, tuple(f.numeric) if isinstance(f, BoostedFamily) else ())
         groups.setdefault(key, []).append(f)
-    for (kind, *_), members in groups.items():
-        if kind is ForestFamily:
-            jobs += [lambda f=f, t=t: {(f.name, t): _fit_forest(tables[t], preps[t], f)} for f in members for t in tables]
-        else:
-            fit = _fit_logistic if kind is LogisticFamily else _fit_boosted
-            jobs.append(lambda fit=fit, members=members: fit(tables, preps, members))
-    # boosting first: its many short passes run beside the forests' long ones
+    fits = {LogisticFamily: _fit_logistic, BoostedFamily: _fit_boosted, ForestFamily: _fit_forest}
+    jobs = [lambda fit=fits[kind], members=members: fit(tables, preps, members) for (kind, *_), members in groups.items()]
     return {k: m for part in run_parallel(jobs, 4) for k, m in part.items()}
 
 
@@ -296,10 +254,10 @@ def build_logreg(numeric=None, categorical=None, name: str = MODEL_LOGREG) -> Lo
     return LogisticFamily(name, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, LOGREG_C)
 
 
-def build_random_forest(numeric=None, categorical=None, trees: int = RF_PARAMS["n_estimators"], depth: int = RF_DEPTH,
-                        bins: int = RF_BINS) -> ForestFamily:
+def build_random_forest(numeric=None, categorical=None, trees: int = RF_PARAMS["n_estimators"], bins: int = BOOST_BINS) -> ForestFamily:
     """MOD3: random forest, min leaf 30, 30 % of the features per split."""
-    return ForestFamily(MODEL_RF, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, trees, depth, bins)
+    p = ForestParams(trees, RF_PARAMS["min_samples_leaf"], RF_PARAMS["max_features"], bins=bins, seed=SEED)
+    return ForestFamily(MODEL_RF, numeric or MODEL_NUMERIC, categorical or CATEGORICAL, p)
 
 
 def build_hgb(numeric=None, categorical=None, rounds: int = HGB_PARAMS["max_iter"], bins: int = BOOST_BINS) -> BoostedFamily:
