@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stayrisk.operators.encoding import FeatureAssembler, OneHot
-from stayrisk.operators.models import ScoringEstimator, _logistic
+from stayrisk.operators.models import LogisticFamily
 
 
 def test_onehot_drop_first_and_unknown(spark):
@@ -37,12 +37,11 @@ def test_logistic_matches_independent_newton_solve(spark):
     y = (rng.random(n) < 1 / (1 + np.exp(-(0.8 * x1 - 0.5 * x2)))).astype(int)
     pdf = pd.DataFrame({"x1": x1, "x2": x2, "reservation_annulee": y, "k": rng.choice(["u", "v"], n)})
     df = spark.createDataFrame(pdf)
-    est = ScoringEstimator("lr", ["x1", "x2"], [], True, _logistic(0.05))
+    est = LogisticFamily("lr", ["x1", "x2"], [], 0.05)
     model = est.fit(df)
     Xs = np.c_[(x1 - x1.mean()) / x1.std(), (x2 - x2.mean()) / x2.std()]
     w = _newton(Xs, y, 0.05)
-    assert np.allclose(model.clf.coefficients.toArray(), w[1:], atol=1e-5)
-    assert np.isclose(model.clf.intercept, w[0], atol=1e-5)
+    assert np.allclose(model.weights, w, atol=1e-10)
 
 
 def test_stream_scoring_equals_batch(spark, tmp_path):
