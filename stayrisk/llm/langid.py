@@ -133,7 +133,7 @@ def fit(sample: pd.DataFrame, epochs: int = 15, batch: int = 32, rate: float = 2
 def train(docs: DataFrame, learn: Column, lang_col: str = "lang", max_docs: int = 2500, max_chars: int = 50_000,
           id_col: str = "doc_id", text_col: str = "text", **how) -> Model:
     """Fit on at most ``max_docs`` of the documents that have a language and that ``learn`` (a condition on their id) allows."""
-    return fit(labelled(docs, docs, lang_col, learn, max_docs, max_chars, id_col, text_col), **how)
+    return fit(labelled(docs, None, lang_col, learn, max_docs, max_chars, id_col, text_col), **how)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,8 +1,10 @@
 """Mixing sources to target weights with soft membership, in DataFrame functions only.
 
 A classifier learned from a labelled table gives every document a posterior
-over the domains (naive Bayes on words: log-probability tables joined to the
-documents' words and summed per document). The rates then solve a nonnegative
+over the domains: multinomial naive Bayes on the counts of known words, tempered.
+The sum of a document's log-probabilities grows with its length and would make
+nearly every posterior 0 or 1, so their mean is taken and counts for ``EVIDENCE``
+words (counts are divided by their sum and multiplied by it). The rates then solve a nonnegative
 least-squares problem: with tokens n_d, posteriors p_dk and N tokens in all,
 the expected share of domain k is ``m_k = sum_d n_d p_dk r_d / N`` and
 
@@ -18,13 +20,14 @@ Rates say how often a document is drawn in expectation: 0 leaves it out, 2
 repeats it.
 
 The classifier is fitted on a bounded sample (``max_docs`` labelled documents
-of at most ``max_chars`` characters, by a hash of their id) and keeps the ``vocabulary`` most frequent words there,
-so the joined table has a fixed size; a further entry stands for all other
-words. There may be at most ``max_domains`` domains.
+of at most ``max_chars`` characters, by a hash of their id; of rows that repeat
+an id the least text with its own domain) and knows the ``vocabulary`` most
+frequent words there; other words carry no evidence. There may be at most
+``max_domains`` domains.
 
 Defined results: one row per distinct (id, text), ``copies`` says how many rows
 it stands for and ``n_tokens`` counts them all; null and empty texts have no
-tokens, the prior as posterior and weight 0 in the sums; null ids are ids like
+tokens, the prior as posterior and weight 0 in the sums; a document without a known word has the prior, too; null ids are ids like
 others; rows of the labelled table with a null text or domain are left out;
 ties between domains go to the alphabetically first; other columns are ignored.
 Without any labelled document there is one domain ``all``; without tokens all
@@ -33,69 +36,80 @@ rates are 1. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
-from math import log
 
+from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_DOCS, MAX_CHARS, VOCABULARY, MAX_DOMAINS = 4000, 50_000, 5000, 64
 STEP, ROUNDS, TOLERANCE = 1.8, 60, 1e-4
 EVIDENCE = 12.0  # words that a document's average log-probability counts for
-SPACES = r"[\x20\x09-\x0D]+"
+#: The five spaces besides the blank, turned into blanks: a split at one character needs no regular expression.
+OTHER_SPACES = "\t\n\x0b\x0c\r"
 
 
 def words(text: Column) -> Column:
-    return F.split(F.lower(text), SPACES)
+    return F.filter(F.split(F.translate(F.lower(text), OTHER_SPACES, " " * len(OTHER_SPACES)), " "), lambda w: w != "")
 
 
-def classifier(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, vocabulary: int = VOCABULARY,
-               max_domains: int = MAX_DOMAINS, id_col: str = "doc_id", text_col: str = "text",
-               domain_col: str = "domain") -> tuple[list[str], DataFrame, list[float], list[float]]:
-    """(domains, table ``word, l_0 ..`` of log-probabilities, those of other words, log-priors).
+@dataclass
+class Classifier:
+    """Without a model (one domain, or no word) everything has the prior."""
 
-    ``labels`` names the documents' domains by id. The sample's ids are chosen
-    first, on ids alone, and then fetch their texts.
-    """
-    ids = labels.filter(F.col(id_col).isNotNull() & F.col(domain_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(domain_col).cast("string").alias("domain"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    ids = ids.orderBy("h", "domain").limit(max_docs)  # so few that they may be broadcast
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.length("text") <= max_chars)
-    rows = texts.join(F.broadcast(ids), "id").checkpoint()
+    domains: list[str]
+    prior: list[float]
+    counter: CountVectorizerModel | None = None
+    model: NaiveBayesModel | None = None
+
+
+def classifier(labelled: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, vocabulary: int = VOCABULARY,
+               max_domains: int = MAX_DOMAINS, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> Classifier:
+    """Fit on ``labelled`` (id, text, domain). The sample's ids are chosen first, on ids alone, and then fetch their texts."""
+    told = labelled.filter(F.col(id_col).isNotNull() & F.col(domain_col).isNotNull())
+    ids = told.select(F.col(id_col).alias("id")).distinct().withColumn("h", F.xxhash64(F.col("id").cast("string"))).orderBy("h", "id").limit(max_docs)
+    texts = told.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(domain_col).cast("string").alias("domain"))
+    texts = texts.filter(F.length("text") <= max_chars).join(F.broadcast(ids.select("id")), "id")  # ``max_docs`` ids at most
+    rows = texts.groupBy("id").agg(F.min(F.struct("text", "domain")).alias("one")).select("id", "one.text", "one.domain").checkpoint()
     found = {r[0]: r[1] for r in rows.groupBy("domain").count().limit(max_domains + 1).collect()}
     if len(found) > max_domains:
         raise ValueError(f"more than {max_domains} domains")
     domains = sorted(found) or ["all"]
-    each = rows.select("domain", F.explode(words(F.col("text"))).alias("word")).filter("word != ''")
-    per = [F.count_if(F.col("domain") == d).alias(f"n_{k}") for k, d in enumerate(domains)]
-    counts = each.groupBy("word").agg(*per, F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(vocabulary).checkpoint()
-    total = {r[0]: r[1] for r in each.groupBy("domain").count().collect()}
-    known = counts.agg(*[F.coalesce(F.sum(f"n_{k}"), F.lit(0)) for k in range(len(domains))], F.count("*")).first()
-    size = [total.get(d, 0) + known[-1] + 1 for d in domains]  # one more of everything
-    table = counts.select("word", *[F.log((F.col(f"n_{k}") + 1) / size[k]).alias(f"l_{k}") for k in range(len(domains))])
-    other = [log((total.get(d, 0) - known[k] + 1) / size[k]) for k, d in enumerate(domains)]
-    prior = [log((found.get(d, 0) + 1) / (sum(found.values()) + len(domains))) for d in domains]
-    return domains, table, other, prior
-
-
-def posteriors(docs: DataFrame, model: tuple[list[str], DataFrame, list[float], list[float]], id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+    prior = [(found.get(d, 0) + 1) / (sum(found.values()) + len(domains)) for d in domains]
+    each = rows.select(F.explode(words(F.col("text"))).alias("word"))
+    known = [r[0] for r in each.groupBy("word").count().orderBy(F.desc("count"), "word").limit(vocabulary).collect()]
+    if len(domains) == 1 or not known:
+        return Classifier(domains, prior)
+    counter = CountVectorizerModel.from_vocabulary(known, inputCol="words", outputCol="counts")
+    number = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
+    sample = counter.transform(rows.select(words(F.col("text")).alias("words"), number.cast("double").alias("label")))
+    return Classifier(domains, prior, counter, NaiveBayes(smoothing=1.0, featuresCol="counts").fit(sample))
+
+
+def posteriors(docs: DataFrame, fitted: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, copies, n_tokens, p_0 ..``: one row per distinct (id, text)."""
-    domains, table, other, prior = model
-    text = F.col(text_col).cast("string")
-    each = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode_outer(words(text)).alias("pos", "word"))
-    told = F.col("word") != ""
-    each = each.join(F.broadcast(table), "word", "left")
-    sums = [F.sum(f"l_{k}").alias(f"s_{k}") for k in range(len(domains))]  # of known words; the others are counted
-    per = each.groupBy("doc_id", "h").agg(F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("copies"), F.count_if(told).alias("n_tokens"),
-                                          F.count("l_0").alias("known"), *sums)
-    n, unknown = F.greatest(F.col("n_tokens"), F.lit(1)), F.col("n_tokens") - F.col("known")
-    logit = [(F.coalesce(F.col(f"s_{k}"), F.lit(0.0)) + unknown * other[k]) / n * EVIDENCE + prior[k] for k in range(len(domains))]
-    per = per.select("doc_id", "copies", "n_tokens", *[x.alias(f"z_{k}") for k, x in enumerate(logit)])
-    top = F.greatest(*[F.col(f"z_{k}") for k in range(len(domains))]) if len(domains) > 1 else F.col("z_0")
-    per = per.select("doc_id", "copies", "n_tokens", *[F.exp(F.col(f"z_{k}") - top).alias(f"e_{k}") for k in range(len(domains))])
-    norm = reduce(lambda a, b: a + b, [F.col(f"e_{k}") for k in range(len(domains))])
-    return per.select("doc_id", "copies", "n_tokens", *[(F.col(f"e_{k}") / norm).alias(f"p_{k}") for k in range(len(domains))])
+    text, ks = F.col(text_col).cast("string"), range(len(fitted.domains))
+    each = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.coalesce(words(text), F.array()).alias("words"))
+    if fitted.model is None:
+        told = each.select("doc_id", "h", F.size("words").alias("n"), *[F.lit(p).alias(f"z_{k}") for k, p in enumerate(fitted.prior)])
+    else:
+        size = len(fitted.counter.vocabulary)
+        mean = Normalizer(p=1.0, inputCol="counts", outputCol="mean")
+        weigh = ElementwiseProduct(scalingVec=Vectors.dense([EVIDENCE] * size), inputCol="mean", outputCol="evidence")
+        model = fitted.model.copy().setFeaturesCol("evidence").setRawPredictionCol("raw").setProbabilityCol("").setPredictionCol("")
+        scored = model.transform(weigh.transform(mean.transform(fitted.counter.transform(each))))
+        told = scored.select("doc_id", "h", F.size("words").alias("n"), vector_to_array("raw").alias("z"))
+        told = told.select("doc_id", "h", "n", *[F.col("z")[k].alias(f"z_{k}") for k in ks])
+        top = F.greatest(*[F.col(f"z_{k}") for k in ks])
+        told = told.select("doc_id", "h", "n", *[F.exp(F.col(f"z_{k}") - top).alias(f"z_{k}") for k in ks])
+    # rows of one (id, text) have one posterior: any of them
+    per = told.groupBy("doc_id", "h").agg(F.count("*").alias("copies"), F.sum("n").cast("long").alias("n_tokens"), *[F.max(f"z_{k}").alias(f"z_{k}") for k in ks])
+    norm = reduce(lambda a, b: a + b, [F.col(f"z_{k}") for k in ks])
+    return per.select("doc_id", "copies", "n_tokens", *[(F.col(f"z_{k}") / norm).alias(f"p_{k}") for k in ks])
 
 
 def tempered(shares: list[float], power: float = 0.5) -> list[float]:
@@ -104,18 +118,17 @@ def tempered(shares: list[float], power: float = 0.5) -> list[float]:
     return [x / sum(raised) for x in raised] if sum(raised) else shares
 
 
-def rates(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None = None, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
+def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
           rounds: int = ROUNDS, tolerance: float = TOLERANCE, **fit) -> DataFrame:
     """``doc_id, copies, n_tokens, domain`` (the likeliest), ``posterior`` (map) and ``rate``.
 
-    ``labels``: id and domain; ``labelled``: the documents they stand for (by
-    default ``docs`` itself).
+    ``labelled``: id, text and domain of the documents to learn from.
     ``targets``: share of the tokens by domain, summing to the wanted multiple
     of the present total (usually 1); domains not named get 0. By default the
     present shares, tempered by their square roots.
     """
-    model = classifier(docs if labelled is None else labelled, labels, id_col=id_col, text_col=text_col, **fit)
-    domains = model[0]
+    model = classifier(labelled, id_col=id_col, text_col=text_col, **fit)
+    domains = model.domains
     if targets and (unknown := set(targets) - set(domains)):
         raise ValueError(f"targets name domains that no labelled document has: {sorted(unknown)}")
     ks = range(len(domains))
@@ -147,7 +160,7 @@ def rates(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None = None,
 
 
 def domain_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, domain`` of the labelled documents: language and quality, such as ``de/1``."""
+    """``doc_id, text, domain`` of the labelled documents: the row's language and its id's quality, such as ``de/1``."""
     told = labels.filter("quality IS NOT NULL").select("doc_id", "quality").distinct()
-    return docs.select("doc_id", "lang").join(told, "doc_id").select(
-        "doc_id", F.concat_ws("/", F.coalesce("lang", F.lit("?")), F.col("quality").cast("string")).alias("domain")).distinct()
+    return docs.select("doc_id", "text", "lang").join(told, "doc_id").select(
+        "doc_id", "text", F.concat_ws("/", F.coalesce("lang", F.lit("?")), F.col("quality").cast("string")).alias("domain"))

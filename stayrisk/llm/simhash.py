@@ -19,9 +19,12 @@ pairs. Components come from min-label propagation with pointer jumping, each
 round checkpointed in the shared folder.
 
 Defined results: null and empty texts have fingerprint zero and are linked
-like any other; rows that repeat an id are one document; a row with a null id
-makes no links and takes the component of its fingerprint (null if no row with
-an id has it). Other columns are ignored. An empty table gives an empty result.
+like any other; rows that repeat an id are one document, so all their
+fingerprints are linked; a row with a null id makes no links and takes the
+component of its fingerprint (null if no row with an id has it). Other columns
+are ignored. An empty table gives an empty result. ``keep_one`` judges rows by
+their own text instead: one row of every group of near texts stays, so no text is
+lost unless a kept row holds it or a near copy; rows with a null id all stay.
 """
 
 from __future__ import annotations
@@ -59,15 +62,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * count > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long) and, if ``row_col`` names a long column, that as ``row``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", "row"][: b.num_columns])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, fp long")
+    more = [F.col(row_col).cast("long")] if row_col else []
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *more).mapInArrow(
+        run, "doc_id long, fp long" + (", row long" if row_col else ""))
 
 
 def _syndromes() -> tuple[np.ndarray, np.ndarray]:
@@ -229,10 +234,54 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _same_document(fps: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Links ``a, b`` between the nodes of ids that have several fingerprints; None if no id has."""
+    told = fps.filter("doc_id is not null")
+    several = told.groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo != hi").select("doc_id").checkpoint()
+    if several.isEmpty():
+        return None
+    of = told.join(several, "doc_id").select("doc_id", "fp").distinct().join(nodes, "fp").select("doc_id", "node").distinct().checkpoint()
+    least = of.groupBy("doc_id").agg(F.min("node").alias("b"))
+    return of.join(least, "doc_id").filter("node != b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def near_dedup(docs: DataFrame, shingle: int = 3, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, fp, fingerprint`` (16 hex digits) and ``component_id`` (smallest doc_id reachable)."""
     fps = fingerprints(docs, shingle, id_col, text_col).checkpoint()
     nodes = fps.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")).checkpoint()
-    labels = components(links(nodes, bits))
+    edges = links(nodes, bits)
+    if (own := _same_document(fps, nodes)) is not None:
+        edges = edges.unionByName(own)
+    labels = components(edges)
     of = nodes.join(labels, "node", "left").select("fp", F.coalesce("label", "node").alias("component_id")).checkpoint()
     return fps.join(of, "fp", "left").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each group of near texts the row with the smallest id.
+
+    Of rows with that id and several near texts the one with the least hash stays, of repeated rows the least by
+    their other columns.
+    """
+    def key(df: DataFrame) -> F.Column:
+        return F.xxhash64(df[id_col].cast("long"), df[text_col].cast("string"))
+
+    rows = docs.select(F.col(id_col), F.col(text_col), key(docs).alias("row"))
+    fps = fingerprints(rows, shingle, id_col, text_col, row_col="row").checkpoint()
+    told = fps.filter("doc_id is not null")
+    nodes = told.groupBy("fp").agg(F.min(F.struct("doc_id", "row")).alias("best")).withColumn("node", F.xxhash64("fp")).checkpoint()
+    labels = components(links(nodes, bits))
+    of = nodes.join(labels, "node", "left").select("fp", "best", F.coalesce("label", "node").alias("label")).checkpoint()
+    least = of.groupBy("label").agg(F.min("best").alias("kept"))
+    of = of.join(least, "label").select("fp", "kept").checkpoint()
+    gone = told.join(of, "fp").filter((F.col("kept.doc_id") != F.col("doc_id")) | (F.col("kept.row") != F.col("row")))
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row")).distinct()
+    kept = docs.join(gone, (key(docs) == gone["gone_row"]) & (docs[id_col].cast("long") == gone["gone_id"]), "left_anti")
+    # repeated rows: only ids and texts that occur again are grouped
+    again = told.groupBy(F.col("doc_id").alias("again_id"), F.col("row").alias("again_row")).count().filter("count > 1").drop("count").checkpoint()
+    if again.isEmpty():
+        return kept
+    same = (key(kept) == again["again_row"]) & (kept[id_col].cast("long") == again["again_id"])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.join(again, same).groupBy(again["again_id"], again["again_row"]).agg(F.min(whole).alias("whole"))
+    return kept.join(again, same, "left_anti").unionByName(one.select("whole.*"))

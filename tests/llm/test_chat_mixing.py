@@ -85,14 +85,13 @@ def corpus(sp, documents):
         rows.append((i, " ".join(r.choice(mixed) for _ in range(r.randrange(5, 60)))))
         if i < 200:
             labels.append((i, rows[-1][1], d))
-    table = sp.createDataFrame(labels, "doc_id long, text string, domain string")
-    return rows, table.select("doc_id", "domain"), table.drop("domain")
+    return rows, sp.createDataFrame(labels, "doc_id long, text string, domain string")
 
 
 def test_rates_reach_the_targets(sp, documents):
-    rows, labels, texts = corpus(sp, documents)
+    rows, labelled = corpus(sp, documents)
     target = {"a": 0.2, "b": 0.3, "c": 0.5}
-    got = mixing.rates(documents(rows, extra=True), labels, texts, target).collect()
+    got = mixing.rates(documents(rows, extra=True), labelled, target).collect()
     total = sum(r.n_tokens for r in got)
     for d, t in target.items():
         assert abs(sum(r.n_tokens * r.posterior[d] * r.rate for r in got) / total - t) < 0.01
@@ -103,9 +102,9 @@ def test_rates_reach_the_targets(sp, documents):
 def test_rates_against_a_dense_solver(sp, documents):
     import numpy as np
 
-    rows, labels, texts = corpus(sp, documents)
+    rows, labelled = corpus(sp, documents)
     target = {"a": 0.0, "b": 0.9, "c": 0.1}
-    got = sorted(mixing.rates(documents(rows), labels, texts, target, rounds=60, tolerance=1e-9).collect(), key=lambda r: r.doc_id)
+    got = sorted(mixing.rates(documents(rows), labelled, target, rounds=60, tolerance=1e-9).collect(), key=lambda r: r.doc_id)
     w = np.array([r.n_tokens for r in got]) / sum(r.n_tokens for r in got)
     p = np.array([[r.posterior[k] for k in "abc"] for r in got])
     t, s = np.array([0.0, 0.9, 0.1]), w @ p
@@ -120,16 +119,32 @@ def test_rates_against_a_dense_solver(sp, documents):
 
 
 def test_odd_rows(sp, documents):
-    rows, labels, texts = corpus(sp, documents)
+    rows, labelled = corpus(sp, documents)
     odd = [(1, "cat dog cat"), (1, "cat dog cat"), (1, "red"), (2, None), (2, None), (3, ""), (None, "one two"), (4, "unknown words only")]
-    got = {(r.doc_id, r.n_tokens): r for r in mixing.rates(documents(odd, extra=True), labels, texts).collect()}
+    got = {(r.doc_id, r.n_tokens): r for r in mixing.rates(documents(odd, extra=True), labelled).collect()}
     assert {k: r.copies for k, r in got.items()} == {(1, 6): 2, (1, 1): 1, (2, 0): 2, (3, 0): 1, (None, 2): 1, (4, 3): 1}
     assert got[1, 6].domain == "c" and got[None, 2].domain == "b"
-    none = mixing.rates(documents(odd), labels.limit(0), texts).collect()
+    none = mixing.rates(documents(odd), labelled.limit(0)).collect()
     assert {r.domain for r in none} == {"all"} and all(abs(r.rate - 1) < 1e-6 for r in none)
-    assert mixing.rates(documents([]), labels, texts).count() == 0
-    assert {r.rate for r in mixing.rates(documents([(2, None)]), labels, texts).collect()} == {1.0}
+    assert mixing.rates(documents([]), labelled).count() == 0
+    assert {r.rate for r in mixing.rates(documents([(2, None)]), labelled).collect()} == {1.0}
     with pytest.raises(ValueError):
-        mixing.rates(documents(odd), labels, texts, {"zzz": 1.0})
+        mixing.rates(documents(odd), labelled, {"zzz": 1.0})
     with pytest.raises(ValueError):
-        mixing.rates(documents(odd), labels, texts, max_domains=2)
+        mixing.rates(documents(odd), labelled, max_domains=2)
+
+
+def test_repeated_ids_keep_text_and_domain_together(sp, documents):
+    docs = sp.createDataFrame([(1, "bonjour mon ami", "fr"), (1, "hello there my friend", "en"), (2, "guten tag", None), (2, "adieu", "fr")] * 2,
+                              "doc_id long, text string, lang string")
+    labels = sp.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {(r.text, r.domain) for r in mixing.domain_labels(docs, labels).collect()}
+    assert got == {("bonjour mon ami", "fr/1"), ("hello there my friend", "en/1"), ("guten tag", "?/1"), ("adieu", "fr/1")}
+    fitted = mixing.classifier(mixing.domain_labels(docs, labels))
+    assert fitted.domains == ["fr/1"]  # one row an id: the least text with its own language
+
+
+def test_long_text(sp, documents):
+    rows, labelled = corpus(sp, documents)
+    got = {r.doc_id: r for r in mixing.rates(documents([(1, "cat dog " * 200_000), (2, "red")]), labelled).collect()}
+    assert got[1].n_tokens == 400_000 and got[1].domain == "c"

@@ -105,7 +105,7 @@ def test_repeated_ids_do_not_fill_the_sample(sp, documents):
     labels = sp.createDataFrame([(i, i % 2) for i in range(30)] * 3, "doc_id long, quality int")
     got = sample.labelled(docs, labels, "quality", F.lit(True), 20, 40)
     assert len(got) == 20 and got.text.nunique() == 20 and got.text.str.startswith("text").all()
-    own = sample.labelled(docs, docs, "lang", F.lit(True), 20, 40)
+    own = sample.labelled(docs, None, "lang", F.lit(True), 20, 40)
     assert len(own) == 20 and sorted(own.text) == sorted(got.text)
 
 
@@ -148,3 +148,12 @@ def test_gradients_match_differences():
             down = loss()
             model.p[k][i] += 1e-3
             assert abs((up - down) / 2e-3 - g[k][i]) < 2e-3
+
+
+def test_a_text_goes_with_the_label_of_its_row(sp):
+    rows = [(1, "hello there my friend", "en"), (1, "bonjour mon ami", "fr"), (2, "aaa without a language", None), (2, "guten tag", "de"), (3, "x" * 60, "en"), (4, "yes", "en")]
+    docs = sp.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sample.labelled(docs, None, "lang", F.lit(True), 20, 40)
+    assert sorted(zip(got["text"], got["label"])) == [("bonjour mon ami", "fr"), ("guten tag", "de"), ("yes", "en")]
+    few = sample.labelled(docs, None, "lang", F.lit(True), 20, 40, max_total=20)
+    assert 0 < few["text"].str.len().sum() <= 20

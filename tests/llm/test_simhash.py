@@ -88,3 +88,39 @@ def test_documents(documents):
     assert sorted((r.component_id for r in got if r.doc_id is None), key=str) == [4, None]
     assert all(r.fingerprint == format(brute(dict(rows).get(r.doc_id)), "016x") for r in got if r.doc_id)
     assert simhash.near_dedup(documents([])).count() == 0
+
+
+A, B = "the quick brown fox jumps over the lazy dog and runs far away", "something else entirely different from all of that and more"
+
+
+def test_repeated_ids_link_their_fingerprints(documents):
+    got = simhash.near_dedup(documents([(5, A), (5, B), (3, B), (9, A), (7, "quite another thing")], extra=True)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(3, 3), (5, 3), (5, 3), (7, 7), (9, 3)]
+
+
+def test_components_with_repeated_ids_against_all_pairs(sp, documents):
+    r = random.Random(11)
+    texts = [" ".join(r.choice("alpha beta gamma delta eps zeta eta theta".split()) for _ in range(14)) for _ in range(25)]
+    rows = [(r.randrange(30), r.choice(texts)) for _ in range(60)]
+    near = {i: {i} for i, _ in rows}
+    for i, t in rows:
+        for j, u in rows:
+            if (brute(t) ^ brute(u)).bit_count() <= 3:
+                near[i].add(j)
+    label = dict.fromkeys(near)
+    for i in sorted(near):
+        todo = [i]
+        while todo:
+            if label[k := todo.pop()] is None:
+                label[k] = i
+                todo += near[k]
+    got = simhash.near_dedup(documents(rows)).collect()
+    assert len(got) == len(rows) and all(x.component_id == label[x.doc_id] for x in got)
+
+
+def test_keep_one_loses_no_text(documents):
+    rows = [(5, A), (5, B), (3, B), (9, A), (None, A), (None, A), (5, A), (8, None), (6, "")]
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(documents(rows, extra=True)).collect()), key=str)
+    assert got == sorted([(5, A), (3, B), (None, A), (None, A), (6, "")], key=str)
+    out = simhash.keep_one(documents([], extra=True))
+    assert out.count() == 0 and out.columns == documents([], extra=True).columns
