@@ -1,7 +1,7 @@
 """Corpus preparation: five stages over ``documents``, each written as Parquet and read again.
 
 1. quality: documents that the byte CNN rejects (score below 0.5) go;
-2. near_dedup: of each group of SimHash near-duplicates the smallest id stays;
+2. near_dedup: of each group of SimHash near-duplicate texts the row with the smallest id stays;
 3. substrings: windows of 13 words that an earlier document holds are cut out;
 4. decontaminate: documents with a leaked benchmark passage go;
 5. mix: the rest gets rates that bring the domains to their target weights.
@@ -10,8 +10,9 @@ Stages 1 to 4 return the columns of their input, in order and with other
 columns untouched, so the next stage reads ``documents`` again. Defined results:
 rows with a null id are judged by their own text in stages 1 and 4, stage 2
 drops none of them and stage 3 cuts nothing in them; rows that repeat an id are
-one document to stage 2, which keeps the first by text (nulls last); a document that stage 3 empties stays
-with an empty text; empty tables pass through.
+judged each by its own text in stages 1, 2 and 4, so no text is lost unless a
+kept row holds it or a near copy; a document that stage 3 empties stays with an
+empty text; empty tables pass through.
 """
 
 from __future__ import annotations
@@ -42,16 +43,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    groups = simhash.near_dedup(docs, shingle=3, bits=3)
-    copies = groups.filter("doc_id != component_id").select(F.col("doc_id").alias("copy_id")).distinct()
-    kept = docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
-    # of rows that repeat an id one stays; only such rows are grouped
-    repeated = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("again_id")).count().filter("count > 1").select("again_id").checkpoint()
-    again = kept["doc_id"] == repeated["again_id"]
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = kept.join(repeated, again, "left_semi").groupBy(F.col("doc_id").alias("again_id")).agg(
-        F.min_by(row, F.struct(F.col("text").isNull(), "text")).alias("row"))
-    return kept.join(repeated, again, "left_anti").unionByName(one.select("row.*"))
+    return simhash.keep_one(docs, shingle=3, bits=3)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +60,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     every = _table(spark, sf_dir, "documents")
-    labels = mixing.domain_labels(every, _table(spark, sf_dir, "labels"))
-    return mixing.rates(docs, labels, labelled=every).select("doc_id", "copies", "n_tokens", "domain", "rate")
+    labelled = mixing.domain_labels(every, _table(spark, sf_dir, "labels"))
+    return mixing.rates(docs, labelled).select("doc_id", "copies", "n_tokens", "domain", "rate")
 
 
 STAGES = [("quality", quality_filter), ("near_dedup", near_dedup), ("substrings", substrings),
