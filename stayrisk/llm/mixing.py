@@ -73,7 +73,8 @@ def classifier(labelled: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = M
     told = labelled.filter(F.col(id_col).isNotNull() & F.col(domain_col).isNotNull())
     ids = told.select(F.col(id_col).alias("id")).distinct().withColumn("h", F.xxhash64(F.col("id").cast("string"))).orderBy("h", "id").limit(max_docs)
     texts = told.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(domain_col).cast("string").alias("domain"))
-    texts = texts.filter(F.length("text") <= max_chars).join(F.broadcast(ids.select("id")), "id")  # ``max_docs`` ids at most
+    # ``max_docs`` ids at most: as a condition they go below whatever joins ``labelled`` is made of, so only their texts are shuffled
+    texts = texts.filter(F.col("id").isin([r["id"] for r in ids.collect()]) & (F.length("text") <= max_chars))
     rows = texts.groupBy("id").agg(F.min(F.struct("text", "domain")).alias("one")).select("id", "one.text", "one.domain").checkpoint()
     found = {r[0]: r[1] for r in rows.groupBy("domain").count().limit(max_domains + 1).collect()}
     if len(found) > max_domains:
