@@ -282,6 +282,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = BITS, id_col: str =
     if again.isEmpty():
         return kept
     same = (key(kept) == again["again_row"]) & (kept[id_col].cast("long") == again["again_id"])
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = kept.join(again, same).groupBy(again["again_id"], again["again_row"]).agg(F.min(whole).alias("whole"))
+    # packed before the join: the columns of ``docs`` may have any names
+    packed = kept.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), key(kept).alias("row"), kept[id_col].cast("long").alias("id"))
+    one = packed.join(again, (packed["row"] == again["again_row"]) & (packed["id"] == again["again_id"]))
+    one = one.groupBy("again_id", "again_row").agg(F.min("whole").alias("whole"))
     return kept.join(again, same, "left_anti").unionByName(one.select("whole.*"))
