@@ -86,3 +86,21 @@ def row_positions(df: DataFrame, order_cols: Sequence[str], name: str = "pos",
     out = running_sums(with_one, order_cols, ["__one"], group_cols=group_cols, out_cols=["__cnt"],
                        num_partitions=num_partitions)
     return out.withColumn(name, (F.col("__cnt") - 1).cast("long")).drop("__one", "__cnt")
+
+
+def previous_value(df: DataFrame, order_cols: Sequence[str], value: str, name: str) -> DataFrame:
+    """Add ``value`` of the row before in ``order_cols`` order (null for the first row).
+
+    The same scan as the running sums, carrying a row instead of a sum: a lag inside each
+    range partition, and for its first row the last value of the nearest earlier partition that has rows.
+    """
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(*order).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    local = Window.partitionBy(_PID).orderBy(*order)
+    rows = ranged.select("*", F.row_number().over(local).alias("__rn"), F.lag(value).over(local).alias(name))
+    last = ranged.groupBy(_PID).agg(F.max_by(F.struct(value), F.struct(*order_cols)).alias("__last"))
+    carry = last.select(F.col(_PID).alias("__cpid"), F.lag(F.col("__last")[value]).over(Window.orderBy(_PID)).alias("__before"))
+    joined = rows.join(F.broadcast(carry), F.col(_PID) == F.col("__cpid"), "left")  # a row a partition
+    return joined.select(*[F.col(c) for c in df.columns],
+                         F.when(F.col("__rn") == 1, F.col("__before")).otherwise(F.col(name)).alias(name))

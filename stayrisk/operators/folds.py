@@ -1,20 +1,23 @@
 """Temporal expanding-window folds and fold checks (FLD1-4).
 
-Row position is time. Positions come from the skew-safe running count (range
-partitioned, no single-task window); fold membership is then a narrow
-projection: each row explodes into the (fold, role) pairs it belongs to, so no
-join with a fold table is needed at all.
+Row position is time, but membership needs no position: a fold's bounds are
+ranks, and the (date, id) keys at these ranks split the rows as well. The keys
+are found by counting rows by date and ranking the ids of the boundary dates
+only; membership is then a comparison of (date, id) in the scan, with no sort
+of the table. ``with_positions`` gives the positions themselves where a report
+asks for them (range partitioned, no single-task window).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import np_round
-from ..functions.prefix import row_positions
+from ..functions.prefix import previous_value, row_positions, running_sums
 from ..sources.schema import ID_COL, N_FOLDS, TARGET, VAL_FRACTION
 
 ORDER = ("date_reservation", ID_COL)
@@ -31,13 +34,13 @@ def fold_bounds(n: int, n_folds: int = N_FOLDS, val_fraction: float = VAL_FRACTI
 
 
 def with_positions(df: DataFrame, order_cols: Sequence[str] = ORDER, name: str = "pos") -> DataFrame:
-    """FLD1 step 1: 0-based position in time order (date, id as tie-break)."""
+    """FLD1 by position: 0-based position in time order (date, id as tie-break)."""
     return row_positions(df, list(order_cols), name=name)
 
 
 def assign_folds(positioned: DataFrame, n: int, n_folds: int = N_FOLDS, val_fraction: float = VAL_FRACTION,
                  pos_col: str = "pos") -> DataFrame:
-    """FLD1 step 2: one output row per (row, fold, role) it belongs to; role is 'train' or 'val'."""
+    """FLD1 by position: one output row per (row, fold, role) it belongs to; role is 'train' or 'val'."""
     pos = F.col(pos_col)
     pairs = []
     for fold, start, end in fold_bounds(n, n_folds, val_fraction):
@@ -48,12 +51,60 @@ def assign_folds(positioned: DataFrame, n: int, n_folds: int = N_FOLDS, val_frac
         *[F.col(c) for c in positioned.columns], F.col("__m.fold").alias("fold"), F.col("__m.role").alias("role"))
 
 
+def boundary_keys(df: DataFrame, ranks: Sequence[int], order_cols: Sequence[str] = ORDER) -> dict[int, tuple]:
+    """The ``order_cols`` values of the rows at the 0-based ``ranks``; ranks outside the table have none.
+
+    Rows are counted by the first column; only rows that share its value with a wanted rank are ranked by
+    the others. At most ``len(ranks)`` rows reach the driver in either step.
+    """
+    first, *rest = order_cols
+    counts = df.groupBy(first).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = running_sums(counts, [first], ["__n"], out_cols=["__upto"])
+    before = (F.col("__upto") - F.col("__n")).cast("long")
+    wanted = reduce(lambda a, b: a | b, [(before <= r) & (F.col("__upto") > r) for r in ranks], F.lit(False))
+    held = [(r[0], r[1], r[2]) for r in ranked.where(wanted).select(first, before, F.col("__upto").cast("long")).collect()]
+    if not held:
+        return {}
+    inside = df.where(reduce(lambda a, b: a | b, [F.col(first).eqNullSafe(F.lit(v)) for v, _, _ in held])).select(*order_cols)
+    places = {(v, r - low): r for v, low, high in held for r in ranks if low <= r < high}
+    positioned = row_positions(inside, rest, name="__p", group_cols=[first])
+    hit = reduce(lambda a, b: a | b, [F.col(first).eqNullSafe(F.lit(v)) & (F.col("__p") == p) for v, p in places])
+    return {places[row[first], row["__p"]]: tuple(row[c] for c in order_cols) for row in positioned.where(hit).collect()}
+
+
+def before_key(key: tuple, order_cols: Sequence[str] = ORDER) -> Column:
+    """Whether a row comes before ``key`` in ``order_cols`` order (nulls first); never null."""
+    out = F.lit(False)
+    for c, v in reversed(list(zip(order_cols, key))):
+        less = F.lit(False) if v is None else F.col(c).isNull() | (F.col(c) < F.lit(v))
+        out = less | (F.col(c).eqNullSafe(F.lit(v)) & out)
+    return out
+
+
+def fold_members(df: DataFrame, n_folds: int = N_FOLDS, val_fraction: float = VAL_FRACTION,
+                 order_cols: Sequence[str] = ORDER) -> dict[int, dict[str, Column]]:
+    """Per fold the conditions on a row that put it into 'train' and 'val'.
+
+    Rows equal in all ``order_cols`` stay together: those equal to a bound's key fall behind it.
+    """
+    n = df.count()
+    bounds = fold_bounds(n, n_folds, val_fraction)
+    keys = boundary_keys(df, sorted({r for _, start, end in bounds for r in (start, end) if 0 <= r < n}), order_cols)
+
+    def upto(rank: int) -> Column:
+        return F.lit(rank >= n) if rank not in keys else before_key(keys[rank], order_cols)
+
+    return {k: {"train": upto(start), "val": ~upto(start) & upto(end)} for k, start, end in bounds}
+
+
 def temporal_folds(df: DataFrame, n_folds: int = N_FOLDS, val_fraction: float = VAL_FRACTION,
                    order_cols: Sequence[str] = ORDER) -> DataFrame:
-    """FLD1: positions + fold membership. ``n`` is one count action (a scalar on the driver)."""
-    positioned = with_positions(df, order_cols)
-    n = df.count()
-    return assign_folds(positioned, n, n_folds, val_fraction)
+    """FLD1: one output row per (row, fold, role) it belongs to, by comparison with the folds' boundary keys."""
+    members = fold_members(df, n_folds, val_fraction, order_cols)
+    pairs = [F.struct(F.lit(k).alias("fold"), F.when(c["train"], F.lit("train")).when(c["val"], F.lit("val")).alias("role"))
+             for k, c in members.items()]
+    member = F.explode(F.filter(F.array(*pairs), lambda x: x["role"].isNotNull())).alias("__m")
+    return df.select("*", member).select(*[F.col(c) for c in df.columns], F.col("__m.fold").alias("fold"), F.col("__m.role").alias("role"))
 
 
 def fold_dates(assigned: DataFrame, date_col: str = "date_reservation", target: str = TARGET) -> DataFrame:
@@ -87,12 +138,9 @@ def stratified_folds(df: DataFrame, label: str = TARGET, k: int = 5, seed: int =
 def order_violations(df: DataFrame, order_col: str = ID_COL, date_col: str = "date_reservation") -> DataFrame:
     """FLD4: rows whose date is earlier than the previous row's date in ``order_col`` order.
 
-    Previous-row access is an equi join on position (shuffle on a unique key),
-    not a global lag window.
+    The previous row's date is carried from one range partition to the next: no join on positions, no global window.
     """
-    positioned = row_positions(df.select(order_col, date_col), [order_col], name="__p")
-    prev = positioned.select((F.col("__p") + 1).alias("__p"), F.col(date_col).alias("__prev"))
-    joined = positioned.join(prev, "__p", "left")
+    joined = previous_value(df.select(order_col, date_col), [order_col], date_col, "__prev")
     return joined.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(F.when(F.col(date_col) < F.col("__prev"), 1)).alias("n_violations"),

@@ -184,9 +184,18 @@ assigned AS (
 @query("fld1_temporal_folds", with_fixture(
     "SELECT reservation_id, pos, fold, role FROM assigned", FOLD_CTES))
 def fld1(spark, sf):
+    from ..operators.folds import ORDER, assign_folds, with_positions
+
+    positioned = with_positions(inputs.cleaned(spark, sf)[0].select(*ORDER)).checkpoint()  # counted, then assigned
+    return assign_folds(positioned, positioned.count()).select("reservation_id", "pos", "fold", "role")
+
+
+@query("fld1_folds_by_boundary_keys", with_fixture(
+    "SELECT reservation_id, fold, role, reservation_annulee AS y FROM assigned", FOLD_CTES))
+def fld1_keys(spark, sf):
     from ..operators.folds import temporal_folds
 
-    return temporal_folds(inputs.cleaned(spark, sf)[0]).select("reservation_id", "pos", "fold", "role")
+    return temporal_folds(inputs.cleaned(spark, sf)[0]).select("reservation_id", "fold", "role", F.col("reservation_annulee").alias("y"))
 
 
 @query("fld2_fold_bounds", with_fixture("""
