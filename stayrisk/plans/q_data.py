@@ -257,21 +257,30 @@ def _io_path(spark, sf, name):
 
     from .store import identity
 
-    tag = hashlib.sha1(f"io-v2:{identity(spark, sf)}".encode()).hexdigest()[:16]
+    tag = hashlib.sha1(f"io-v3:{identity(spark, sf)}".encode()).hexdigest()[:16]
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stayrisk-io/{tag}/{name}"
 
 
-def _csv_copies(spark, sf):
-    """Raw train/test written as CSV (SNK1) once per checkpoint folder; returns their paths."""
+#: Order of the test file and its template: not that of time, so that only the files tell it.
+TEST_FILE_ORDER = "md5(reservation_id)"
+
+
+def csv_copies(spark, sf):
+    """Raw train/test and the template as CSV (SNK2), once per checkpoint folder; returns their paths.
+
+    The train file is in time order, the test file and the template in an order of their own.
+    """
     from ..sources.fixture import _written
-    from ..sources.sinks import write_table
+    from ..sources.sinks import write_ordered
 
     tr, te = inputs.raw(spark, sf)
+    template = te.select("reservation_id", F.lit(0.5).alias("probabilite_annulation"), F.lit(0).alias("reservation_annulee"))
+    by_time, own = F.struct("date_reservation", "reservation_id"), F.expr(TEST_FILE_ORDER)
     paths = {}
-    for name, df in (("train_csv", tr), ("test_csv", te)):
+    for name, df, order in (("train_csv", tr, by_time), ("test_csv", te, own), ("template_csv", template, own)):
         p = _io_path(spark, sf, name)
         if not _written(spark, p):
-            write_table(df, p, fmt="csv")
+            write_ordered(df.withColumn("pos", order), p)
         paths[name] = p
     return paths
 
@@ -280,41 +289,54 @@ def _csv_copies(spark, sf):
 def src1_csv(spark, sf):
     from ..sources.readers import read_csv
 
-    return read_csv(spark, _csv_copies(spark, sf)["train_csv"])
+    return read_csv(spark, csv_copies(spark, sf)["train_csv"])
 
 
 @query("src2_load_train_test", with_fixture("SELECT * EXCLUDE (n_all) FROM pos_t", FOLD_CTES))
 def src2(spark, sf):
     from ..sources.readers import load_train_test
 
-    p = _csv_copies(spark, sf)
+    p = csv_copies(spark, sf)
     return load_train_test(spark, p["train_csv"], p["test_csv"])[0]
 
 
 @query("src2_load_both_sets", with_fixture(
     "SELECT 'train' AS jeu, * EXCLUDE (n_all) FROM pos_t UNION ALL BY NAME SELECT 'test' AS jeu, *, "
-    "row_number() OVER (ORDER BY date_reservation, reservation_id) - 1 AS pos FROM test_clean", FOLD_CTES))
+    f"row_number() OVER (ORDER BY {TEST_FILE_ORDER}) - 1 AS pos FROM test_clean", FOLD_CTES))
 def src2_both(spark, sf):
     from ..sources.readers import load_train_test
 
-    p = _csv_copies(spark, sf)
+    p = csv_copies(spark, sf)
     tr, te = load_train_test(spark, p["train_csv"], p["test_csv"])
     return tr.withColumn("jeu", F.lit("train")).unionByName(te.withColumn("jeu", F.lit("test")), allowMissingColumns=True)
 
 
+@query("src2_parquet_file_order", with_fixture(
+    f"SELECT reservation_id, row_number() OVER (ORDER BY {TEST_FILE_ORDER}) - 1 AS pos FROM test_raw"))
+def src2_parquet(spark, sf):
+    """File order of a Parquet copy, from the row numbers its files carry."""
+    from ..sources.fixture import _written
+    from ..sources.readers import read_parquet
+    from ..sources.schema import TEST_SCHEMA
+    from ..sources.sinks import write_ordered
+
+    p = _io_path(spark, sf, "test_parquet")
+    if not _written(spark, p):
+        write_ordered(inputs.raw(spark, sf)[1].withColumn("pos", F.expr(TEST_FILE_ORDER)), p, fmt="parquet")
+    return read_parquet(spark, p, TEST_SCHEMA, position="pos").select("reservation_id", "pos")
+
+
 @query("src3_template_scan", with_fixture(
     "SELECT reservation_id, 0.5E0 AS probabilite_annulation, 0 AS reservation_annulee FROM test_raw"))
 def src3(spark, sf):
-    from ..sources.fixture import _written
     from ..sources.readers import read_template
-    from ..sources.sinks import write_ordered
 
-    p = _io_path(spark, sf, "template_csv")
-    if not _written(spark, p):
-        te = inputs.raw(spark, sf)[1]
-        from ..functions.prefix import row_positions
+    return read_template(spark, csv_copies(spark, sf)["template_csv"])
+
+
+@query("src3_template_file_order", with_fixture(
+    f"SELECT reservation_id, row_number() OVER (ORDER BY {TEST_FILE_ORDER}) - 1 AS pos FROM test_raw"))
+def src3_order(spark, sf):
+    from ..sources.readers import read_template
 
-        tpl = row_positions(te, ["date_reservation", "reservation_id"]).select(
-            "reservation_id", F.lit(0.5).alias("probabilite_annulation"), F.lit(0).alias("reservation_annulee"), "pos")
-        write_ordered(tpl, p)
-    return read_template(spark, p)
+    return read_template(spark, csv_copies(spark, sf)["template_csv"], position="pos").select("reservation_id", "pos")

@@ -32,7 +32,7 @@ def error_rows(spark, sf):
 
 
 def scored_test(spark, sf):
-    """Test-period bookings with the stand-in probability and their file position."""
+    """Test-period bookings with the stand-in probability and their position in time."""
     te = fixture.reservations(spark, sf).filter(~fixture.is_train())
     return row_positions(te, ["date_reservation", "reservation_id"], name="pos")
 
@@ -183,8 +183,37 @@ SELECT count(s.reservation_id) AS n_lignes, count(t.reservation_id) AS n_attendu
 FROM sub s FULL OUTER JOIN (SELECT reservation_id, pos FROM test_sc) t ON s.reservation_id = t.reservation_id""",
     _ctes(ERR_CTES)))
 def sub3(spark, sf):
-    te = scored_test(spark, sf)
-    return S.contract_checks(S.submission(te, pooled_threshold(spark, sf)), S.template_from(te))
+    """The submission as written (SNK2) and read again, against the template file: the order is that of two files."""
+    from ..sources.readers import read_template
+    from .q_data import csv_copies
+
+    written = read_template(spark, _submission_file(spark, sf), position="pos")
+    return S.contract_checks(written, S.template_from(read_template(spark, csv_copies(spark, sf)["template_csv"], position="pos")))
+
+
+def _submission_file(spark, sf) -> str:
+    """The stand-in scores of the test file's bookings, submitted in that file's order (SNK2); returns the path."""
+    from ..sources.readers import read_csv
+    from ..sources.schema import ID_COL, TEST_SCHEMA
+    from ..sources.sinks import write_ordered
+    from . import store
+    from .q_data import csv_copies
+
+    path = store.path_for(spark, "submission", "submission-v1", sf)
+    if not store.exists(spark, path):
+        test = read_csv(spark, csv_copies(spark, sf)["test_csv"], TEST_SCHEMA, position="pos").select(ID_COL, "pos")
+        proba = fixture.reservations(spark, sf).filter(~fixture.is_train()).select(ID_COL, "proba")
+        write_ordered(S.submission(test.join(proba, ID_COL), pooled_threshold(spark, sf)), path)
+    return path
+
+
+@query("snk2_submission_in_file_order", with_fixture(
+    "SELECT s.reservation_id, s.probabilite_annulation, s.reservation_annulee, "
+    "row_number() OVER (ORDER BY md5(s.reservation_id)) - 1 AS pos FROM sub s", _ctes(ERR_CTES)))
+def snk2(spark, sf):
+    from ..sources.readers import read_template
+
+    return read_template(spark, _submission_file(spark, sf), position="pos")
 
 
 @query("sub4_test_alert_rate", with_fixture(
