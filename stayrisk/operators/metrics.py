@@ -230,8 +230,18 @@ def best_metrics(scored: DataFrame, group_cols: Sequence[str] = (), y: str = "y"
 
 
 def summarize_folds(per_fold: DataFrame, model_col: str = "modele",
-                    metrics: Sequence[str] = ("f1", "precision", "rappel", "roc_auc", "pr_auc")) -> DataFrame:
-    """MET12: mean and sample std (ddof 1) of each metric by model, rounded to 4."""
+                    metrics: Sequence[str] = ("f1", "precision", "rappel", "roc_auc", "pr_auc"),
+                    first_seen: Sequence[str] = ()) -> DataFrame:
+    """MET12: mean and sample std (ddof 1) of each metric by model, rounded to 4.
+
+    ``first_seen`` names the columns that order the rows of ``per_fold``; models then carry ``ordre``, from 1,
+    by their first row in that order.
+    """
+    if first_seen:
+        first = per_fold.groupBy(model_col).agg(F.min(F.struct(*first_seen)).alias("__first"))  # a row a model
+        order = first.select(F.col(model_col).alias("__model"), F.row_number().over(Window.orderBy("__first")).alias("ordre"))
+        summary = summarize_folds(per_fold, model_col, metrics)
+        return summary.join(order, F.col(model_col) == F.col("__model")).drop("__model")
     aggs = []
     for m in metrics:
         aggs += [np_round(F.avg(m), 4).alias(f"{m}_mean"), np_round(F.stddev_samp(m), 4).alias(f"{m}_std")]

@@ -217,6 +217,22 @@ def met12(spark, sf):
     return M.summarize_folds(per_fold)
 
 
+@query("met12_fold_summary_in_order", with_fixture(
+    "SELECT model AS modele, " + ", ".join(
+        f"{r(f'avg({m})', 4)} AS {m}_mean, {r(f'stddev_samp({m})', 4)} AS {m}_std" for m in _SUMMARY_METRICS)
+    + ", cast(row_number() OVER (ORDER BY min(fold), min(ligne)) AS int) AS ordre FROM (SELECT *, "
+    "CASE model WHEN 'taux' THEN 1 ELSE 2 END AS ligne FROM mx_) GROUP BY model",
+    _ctes("duo AS (SELECT 'taux' AS model, fold, y, least(1.0E0, proba * 0.5E0 + 0.25E0) AS proba FROM oof UNION ALL "
+          "SELECT model, fold, y, proba FROM oof), " + metrics_sql("duo", ["model", "fold"]))))
+def met12_order(spark, sf):
+    """Two scorers, the later name first in the report: models keep the order of their first rows."""
+    oof = scored_oof(spark, sf)
+    squeezed = oof.withColumn("model", F.lit("taux")).withColumn("proba", F.least(F.lit(1.0), F.col("proba") * 0.5 + 0.25))
+    per_fold = M.best_metrics(squeezed.unionByName(oof), ["model", "fold"]).withColumnRenamed("model", "modele")
+    rows = per_fold.withColumn("ligne", F.when(F.col("modele") == "taux", 1).otherwise(2))
+    return M.summarize_folds(rows, first_seen=["fold", "ligne"])
+
+
 @query("met13_pooled_comparison", with_fixture(
     "SELECT model AS modele, seuil, " + ", ".join(
         f"{r(c, 4)} AS {c}" for c in ["f1", "precision", "rappel", "roc_auc", "pr_auc", "brier"])

@@ -129,6 +129,32 @@ def pre5(spark, sf):
                       F.size(F.filter(v, lambda x: x != 0)).alias("n_non_nuls"))
 
 
+def _cells_sql() -> str:
+    """Every scaled numeric cell and every one-hot cell that is set, of the test rows."""
+    med = ", ".join(f"median(cast({c} AS double)) AS m_{c}" for c in MODEL_NUMERIC)
+    x = {c: f"coalesce(cast({c} AS double), m_{c})" for c in MODEL_NUMERIC}
+    stats = ", ".join(f"avg({x[c]}) AS a_{c}, CASE WHEN stddev_pop({x[c]}) = 0 THEN 1.0E0 ELSE stddev_pop({x[c]}) END AS s_{c}" for c in MODEL_NUMERIC)
+    ctes = REF_CTES + "," + TRAIN_REL[len(REF_CTES) + 1:] + f""",
+meds AS (SELECT {med} FROM train_rel),
+scales AS (SELECT {stats} FROM train_rel CROSS JOIN meds)"""
+    parts = [f"SELECT reservation_id, '{c}' AS variable, {r(f'({x[c]} - a_{c}) / s_{c}', 6)} + 0.0E0 AS valeur "
+             "FROM test_ref CROSS JOIN meds CROSS JOIN scales" for c in MODEL_NUMERIC]
+    parts += [f"SELECT reservation_id, concat('{c}_', {c}), 1.0E0 FROM test_ref WHERE {c} IN (SELECT cast({c} AS varchar) FROM train_fe) "
+              f"AND {c} <> (SELECT min(cast({c} AS varchar)) FROM train_fe)" for c in CATEGORICAL]
+    return with_fixture(" UNION ALL ".join(parts), ctes)
+
+
+@query("pre5_feature_cells", _cells_sql())
+def pre5_cells(spark, sf):
+    """The assembled vectors themselves, a row per numeric slot and per one-hot slot that is set."""
+    tr, te = _referenced(spark, sf)
+    model = ENC.linear_preprocessor(MODEL_NUMERIC, CATEGORICAL).fit(tr)
+    names = F.array(*[F.lit(n) for n in model.feature_names])
+    cells = model.transform(te).select("reservation_id", F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    return cells.where((F.col("slot") < len(MODEL_NUMERIC)) | (F.col("x") != 0)).select(
+        "reservation_id", F.element_at(names, F.col("slot") + 1).alias("variable"), (np_round("x", 6) + 0.0).alias("valeur"))
+
+
 # ------------------------------------------------------------------ last-fold fits (rows-only)
 def _last_fold(spark, sf):
     from ..operators.cleaning import clean

@@ -1,9 +1,13 @@
-"""Golden identity: the per-fold summary (mean, sample std, rounded to 4) of published per-fold metrics.
+"""Golden identities: published tables that follow from other published figures.
 
 Fixed values: the published per-fold metric rows (fold, model, f1, precision, recall, roc_auc, pr_auc)
-and the published per-model summary they must reproduce exactly.
+and the published per-model summary they must reproduce exactly; rows of the published cost curve, pooled
+comparison, risk deciles, region table, ablation and coefficients.
 """
 
+import pytest
+from stayrisk.operators import metrics as M
+from stayrisk.operators.errors import rate_f1_correlation
 from stayrisk.operators.metrics import summarize_folds
 
 # --------------------------------------------------------------------------- fixed values
@@ -41,6 +45,38 @@ SUMMARY = {
     "LightGBM": (0.4741, 0.0157, 0.3506, 0.0208, 0.7379, 0.062, 0.6656, 0.0263, 0.3933, 0.0299),
     "Ensemble (final)": (0.4769, 0.0128, 0.3487, 0.0213, 0.7594, 0.047, 0.6738, 0.0227, 0.3989, 0.0301),
 }
+#: seuil, fp, fn, cout, f1
+COST_CURVE = [(0.05, 3554, 2, 890.5, 0.40831946755407655), (0.055, 3534, 3, 886.5, 0.4094172649858073),
+              (0.06, 3498, 3, 877.5, 0.41189316311103646), (0.14, 2616, 110, 764.0, 0.4508460918614021),
+              (0.245, 1614, 350, 753.5, 0.4723267060720043), (0.34, 771, 699, 891.75, 0.4189723320158103),
+              (0.54, 58, 1165, 1179.5, 0.09474463360473723), (0.79, 1, 1226, 1226.25, 0.004866180048661801)]
+#: model, f1, precision, recall, tp, fp, fn, tn, alert rate
+COMPARISON = [("Régression logistique — baseline", 0.4693, 0.3331, 0.7941, 976, 1954, 253, 1617, 0.6104),
+              ("Régression logistique + FE", 0.4724, 0.3421, 0.7632, 938, 1804, 291, 1767, 0.5712),
+              ("Forêt aléatoire", 0.47, 0.3366, 0.7787, 957, 1886, 272, 1685, 0.5923),
+              ("HistGradientBoosting", 0.4733, 0.3456, 0.751, 923, 1748, 306, 1823, 0.5565),
+              ("LightGBM", 0.4689, 0.3376, 0.7673, 943, 1850, 286, 1721, 0.5819),
+              ("Ensemble (final)", 0.4744, 0.3512, 0.7307, 898, 1659, 331, 1912, 0.5327)]
+#: decile, n, mean probability, observed rate, lift, share of cancellations
+DECILES = [(1, 480, 0.076, 0.071, 0.28, 0.028), (2, 480, 0.114, 0.125, 0.49, 0.049), (3, 480, 0.151, 0.167, 0.65, 0.065),
+           (4, 480, 0.191, 0.179, 0.7, 0.07), (5, 480, 0.232, 0.246, 0.96, 0.096), (6, 480, 0.272, 0.277, 1.08, 0.108),
+           (7, 480, 0.309, 0.3, 1.17, 0.117), (8, 480, 0.351, 0.383, 1.5, 0.15), (9, 480, 0.403, 0.392, 1.53, 0.153),
+           (10, 480, 0.51, 0.421, 1.64, 0.164)]
+#: observed rate, f1 of the published regions
+REGIONS = [(0.315, 0.547), (0.364, 0.545), (0.268, 0.504), (0.235, 0.483), (0.252, 0.473), (0.219, 0.462), (0.242, 0.439),
+           (0.283, 0.416), (0.223, 0.34)]
+#: f1, gain over the first, gain over the one before
+ABLATION = [(0.4691, 0.0, None), (0.4686, -0.0004, -0.0005), (0.4696, 0.0005, 0.001), (0.4691, 0.0, -0.0005), (0.4693, 0.0002, 0.0002),
+            (0.4704, 0.0014, 0.0011), (0.4724, 0.0034, 0.002), (0.4704, 0.0014, -0.002)]
+#: variable, coefficient, odds ratio: the published top 12 in order
+COEFFICIENTS = [("score_engagement", -0.4755980946653674, 0.6215132215376042), ("canal_reservation_entreprise", -0.3719263301919359, 0.689405028989649),
+                ("taux_annulation_passe", 0.26599718417357954, 1.3047313847846504), ("annulations_passees", -0.24542713624689005, 0.7823702881532257),
+                ("delai_reservation_jours", 0.23016225366011422, 1.2588042389557141), ("type_acompte_total", -0.22407755158903875, 0.79925314861413),
+                ("reservation_directe", -0.21014189197475625, 0.8104692387303152), ("region_hotel_Liguria", -0.205061200180484, 0.8145974613742035),
+                ("modifications_reservation", 0.1882934484565228, 1.2071877107484694), ("region_hotel_Trentino-Alto_Adige", -0.17460601365136183, 0.8397878205366761),
+                ("canal_reservation_telephone", 0.14664815541095716, 1.15794647414635), ("demandes_speciales", -0.14261826227607127, 0.8670850047822924)]
+#: coefficients published further down
+SMALL = [("log_delai", -0.0031143182685204264, 0.9968905261902513), ("marche_origine_Europe_Ouest", 2.8349146886664503e-06, 1.0000028349187071)]
 # ---------------------------------------------------------------------------------------
 
 
@@ -52,3 +88,62 @@ def test_fold_summary_reproduces_published_table(spark):
             "roc_auc_mean", "roc_auc_std", "pr_auc_mean", "pr_auc_std"]
     for model, expected in SUMMARY.items():
         assert tuple(out[model][c] for c in cols) == expected, model
+
+
+def test_models_keep_the_order_of_the_published_summary(spark):
+    rows = [(*x, i) for i, x in enumerate(PER_FOLD)]
+    df = spark.createDataFrame(rows, "pli int, modele string, f1 double, precision double, rappel double, roc_auc double, pr_auc double, ligne int")
+    out = summarize_folds(df, first_seen=["ligne"]).orderBy("ordre").collect()
+    assert [(r["ordre"], r["modele"]) for r in out] == list(enumerate(SUMMARY, 1))
+
+
+def test_cost_curve(spark):
+    swept = spark.createDataFrame([(s, fp, fn, f1) for s, fp, fn, _, f1 in COST_CURVE], "seuil double, fp long, fn long, f1 double")
+    assert [tuple(r) for r in M.cost_curve(swept).orderBy("seuil").collect()] == COST_CURVE
+    positives = 1229  # 976 + 253 of any model of the comparison
+    for _, fp, fn, _, f1 in COST_CURVE:
+        assert 2 * (positives - fn) / (2 * (positives - fn) + fp + fn) == pytest.approx(f1, abs=1e-15)
+
+
+def test_pooled_comparison_from_its_confusion_counts(spark):
+    """Scores that split the rows as published give the published figures at the best threshold, for every model at once."""
+    rows = [(m, y, p) for m, *_, vp, fp, fn, vn, _ in COMPARISON for y, p, n in ((1, 0.9, vp), (0, 0.9, fp), (1, 0.01, fn), (0, 0.01, vn)) for _ in range(n)]
+    out = {r["model"]: r for r in M.round_report(M.best_metrics(spark.createDataFrame(rows, "model string, y int, proba double"), ["model"]), 4, keep=["seuil"]).collect()}
+    for m, *want in COMPARISON:
+        assert [out[m][c] for c in ("f1", "precision", "rappel", "vp", "fp", "fn", "vn", "taux_alerte")] == want, m
+
+
+def test_risk_deciles(spark):
+    rows = [(int(i < round(rate * n)), p) for _, n, p, rate, _, _ in DECILES for i in range(n)]
+    assert sum(y for y, _ in rows) == 1229
+    out = M.deciles(spark.createDataFrame(rows, "y int, proba double")).orderBy("decile").collect()
+    assert [(r["decile"], r["n"], r["proba_moyenne"], r["taux_reel"], r["lift"], r["part_annulations"]) for r in out] == DECILES
+
+
+def test_rate_and_f1_of_the_regions_correlate(spark):
+    perf = spark.createDataFrame(REGIONS, "taux_annulation_reel double, f1 double")
+    assert round(rate_f1_correlation(perf).first()[0], 2) == 0.67
+
+
+def test_ablation_gains(spark):
+    """Marginal gains are those of the rounded F1; gains over the first were taken before rounding, so within one unit."""
+    from stayrisk.plans.validation import ablation_table
+
+    rows = [(i, f"C{i}", 1, f1, 0.0, 0.0, 0.0, 0.2) for i, (f1, _, _) in enumerate(ABLATION)]
+    got = ablation_table(spark.createDataFrame(rows, "ordre int, model string, n_variables int, f1 double, precision double, rappel double, roc_auc double, seuil double")).orderBy("ordre").collect()
+    assert [r["gain_marginal"] for r in got] == [g for _, _, g in ABLATION]
+    assert all(abs(r["gain_vs_baseline"] - g) < 1.5e-4 for r, (_, g, _) in zip(got, ABLATION))
+
+
+def test_coefficients_by_size_with_odds_ratios(spark):
+    from types import SimpleNamespace
+
+    from stayrisk.operators.models import coefficients, top_coefficients
+
+    every = [*SMALL, *reversed(COEFFICIENTS)]
+    model = SimpleNamespace(feature_names=[v for v, _, _ in every], weights=[0.0, *(c for _, c, _ in every)])
+    got = coefficients(model, spark)
+    assert [r["variable"] for r in got.collect()] == [v for v, _, _ in [*COEFFICIENTS, *SMALL]]
+    top = top_coefficients(got).collect()
+    assert [(r["variable"], r["coefficient"]) for r in top] == [(v, c) for v, c, _ in COEFFICIENTS]
+    assert [r["odds_ratio"] for r in got.collect()] == pytest.approx([o for _, _, o in [*COEFFICIENTS, *SMALL]], rel=1e-14)
