@@ -7,21 +7,28 @@ hit the two word sequences are compared along the hit's diagonal, and the
 longest substitution-tolerant overlap on it decides.
 
 Words are lower-cased (A-Z) with ASCII punctuation as white space. Items with
-the same words are one item (the smallest id). An item shorter than the masks
-is searched by all its words, an item with fewer than ``min_words`` words not
-at all. An overlap counts if it matches at least ``min_words`` words and at
-most ``max_subst`` of its words are substituted.
+the same words are one item (the smallest id); items with fewer than
+``min_words`` words are not searched. An overlap counts if it matches at least
+``min_words`` words and at most ``max_subst`` of its words are substituted.
+
+The twelve masks select 6 of up to 10 words each and were chosen together, so
+that the shortest overlaps within the rule are hit as well: every placing of 0,
+1, 1 or 2, 2, 3, 3 substitutions in 8, 9, 10, 11, 12, 13 words and every one
+tried in longer overlaps with a quarter substituted.
 
 Documents send only hashes that a bitmap of the test hashes lets pass. The
 bitmap has a fixed size (``BITS``), whatever the tables' sizes; where it fills
-up it lets more through and the join still decides. Text meets hits in a join
-by id that only hits' documents survive.
+up it lets more through and the join still decides. Up to ``BROADCAST_KEYS``
+test hashes (counted first) are handed to every task, so that hits of one
+diagonal are made one before they are shuffled; more are joined by shuffle. A
+row's hits meet its text in groups of about ``GROUP`` items, however many items
+it holds.
 
 Defined results: null and empty texts and items have no words and no leaks; a
 row with a null id is reported with a null id; rows that repeat an id are
-judged each by its own text; ties between overlaps of one item go to the
-longest, then to the first; other columns are ignored. Empty tables give an
-empty result.
+judged each by its own text; of several overlaps with one item the one with the
+most matched words is reported, then the first; other columns are ignored.
+Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -37,11 +44,15 @@ from pyspark.sql import functions as F
 
 from .text import MULT, hashes, mix, slices
 
-#: Which words of a window count: 8 of 12, 13 and 11 words.
-MASKS = ("110110110101", "1101010011011", "11101110110")
+#: Which words of a window count.
+MASKS = ("1111011", "110010111", "1101000111", "11011101", "11101011", "1100110011",
+         "1010010111", "1110001011", "1101101001", "101010111", "111111", "11111001")
 MIN_WORDS = 8
 MAX_SUBST = 0.25
 BITS = 1 << 25
+#: 16 bytes and a row's overhead each: some 20 MB at most in a task.
+BROADCAST_KEYS = 400_000
+GROUP = 1_000
 _CLEAN = bytes.maketrans(string.ascii_uppercase.encode() + string.punctuation.encode(),
                          string.ascii_lowercase.encode() + b" " * len(string.punctuation))
 
@@ -55,13 +66,11 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
     m = len(h) - len(mask) + 1
     if m <= 0:
         return np.empty(0, np.uint64)
-    out = np.full(m, len(mask), np.uint64)
+    out = np.full(m, int(mask, 2), np.uint64)
     for j, c in enumerate(mask):
         if c == "1":
             out *= MULT
             out += h[j : j + m]
-        else:
-            out *= np.uint64(31)
     return mix(out)
 
 
@@ -94,7 +103,7 @@ def overlap(item: np.ndarray, doc: np.ndarray, diagonal: int, max_subst: float,
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``item_id, words`` (packed hashes), one row per distinct word sequence of enough words."""
+    """``item, item_id, words`` (packed hashes), one row per distinct word sequence of enough words; ``item`` is its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -102,30 +111,21 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, min_words: int) ->
 
     rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("t"))
     packed = rows.mapInArrow(run, "item_id long, words binary").filter(F.length("words") >= 8 * min_words)
-    return packed.groupBy("words").agg(F.min("item_id").alias("item_id"))
+    return packed.groupBy("words").agg(F.min("item_id").alias("item_id")).select(F.xxhash64("words").alias("item"), "item_id", "words")
 
 
 def _test_hashes(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """``key, words, q``: every masked window of every item."""
-    least = max(map(len, masks))
+    """``key, item, q``: every masked window of every item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key, item, q = [], [], []
-            for i, w in enumerate(b.column(0)):
+            for i, w in zip(b.column(0), b.column(1)):
                 h = np.frombuffer(w.as_py(), np.uint64)
-                for m in masks if len(h) >= least else ("1" * len(h),):
-                    s = seeds(h, m)
-                    key.append(s)
-                    item.append(np.full(len(s), i))
-                    q.append(np.arange(len(s)))
-            if key:
-                item = pa.array(np.concatenate(item))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(key).view(np.int64)), b.column(0).take(item), b.column(1).take(item), pa.array(np.concatenate(q).astype(np.int32))],
-                    names=["key", "words", "item_id", "q"])
+                keys = [seeds(h, m) for m in masks]
+                key, q = np.concatenate(keys).view(np.int64), np.concatenate([np.arange(len(k)) for k in keys]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), i.as_py(), np.int64)), pa.array(q)], names=["key", "item", "q"])
 
-    return items.select("words", "item_id").mapInArrow(run, "key long, words binary, item_id long, q int")
+    return items.select("item", "words").mapInArrow(run, "key long, item long, q int")
 
 
 def _bitmap(test: DataFrame, bits: int) -> np.ndarray:
@@ -165,12 +165,13 @@ def _row(id_col: str, text_col: str) -> Column:
 
 def _leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], min_words: int, max_subst: float, id_col: str, text_col: str,
            item_col: str, item_text_col: str, bits: int) -> DataFrame:
+    if min(map(len, masks)) > min_words:
+        raise ValueError("a mask must fit into min_words words")
     spark = docs.sparkSession
-    items = _items(benchmark, item_col, item_text_col, min_words)
+    items = _items(benchmark, item_col, item_text_col, min_words).checkpoint()
     test = _test_hashes(items, masks).checkpoint()
     bitmap = spark.sparkContext.broadcast(_bitmap(test, bits))
-    lengths = [r[0] for r in test.select((F.length("words") / 8).cast("int").alias("n")).filter(F.col("n") < max(map(len, masks))).distinct().collect()]  # below the masks' length
-    search = (*masks, *("1" * n for n in sorted(lengths)))
+    groups = -(-items.count() // GROUP) or 1
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = bitmap.value
@@ -183,7 +184,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], min_wo
                 ends = np.cumsum(n)
                 of, end_of = np.repeat(np.arange(len(per)), n), np.repeat(ends, n)
                 out = []
-                for m in search:
+                for m in masks:
                     keys = seeds(h, m)
                     low = keys & np.uint64(bits - 1)
                     at = np.flatnonzero(filled[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1))
@@ -192,9 +193,11 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], min_wo
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["row", "key", "p"])
 
     rows = docs.select(_row(id_col, text_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = rows.select("row", "text").mapInArrow(candidates, "row long, key long, p long").distinct()
-    hits = found.join(test, "key").select("row", "item_id", "words", (F.col("p") - F.col("q")).alias("diagonal")).distinct()
-    by_row = hits.groupBy("row").agg(F.collect_list(F.struct("item_id", "words", "diagonal")).alias("hits"))
+    found = rows.select("row", "text").mapInArrow(candidates, "row long, key long, p long")
+    hits = found.join(F.broadcast(test) if test.count() <= BROADCAST_KEYS else test, "key")
+    pairs = hits.groupBy("row", "item").agg(F.collect_set(F.col("p") - F.col("q")).alias("diagonals")).join(items, "item")
+    by_row = pairs.groupBy("row", F.pmod(F.xxhash64("item_id"), F.lit(groups)).alias("part")).agg(
+        F.collect_list(F.struct("item_id", "words", "diagonals")).alias("hits"))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -203,10 +206,11 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], min_wo
                 doc, best = tokens(text), {}
                 for hit in hits:
                     item = np.frombuffer(hit["words"], np.uint64)
-                    if got := overlap(item, doc, int(hit["diagonal"]), max_subst, min_words):
-                        rank = (got[2], -got[0])
-                        if hit["item_id"] not in best or rank > best[hit["item_id"]][0]:
-                            best[hit["item_id"]] = (rank, got)
+                    for diagonal in hit["diagonals"]:
+                        if got := overlap(item, doc, int(diagonal), max_subst, min_words):
+                            rank = (got[2], -got[0])
+                            if hit["item_id"] not in best or rank > best[hit["item_id"]][0]:
+                                best[hit["item_id"]] = (rank, got)
                 out += [(doc_id, row, i, s, e, m, e - s - m) for i, (_, (s, e, m)) in sorted(best.items())]
             yield pd.DataFrame(out, columns=["doc_id", "row", "item_id", "start", "end", "matched", "substituted"]).astype({"doc_id": "Int64"})
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import Counter
 
@@ -57,30 +58,67 @@ def test_overlap_is_the_longest_within_the_rule():
         assert got == (want and (len(before) - want[1], len(before) - want[1] + want[0], want[2]))
 
 
+def test_every_short_overlap_within_the_rule_is_hit():
+    """All placings of the most substitutions the rule allows between two matching ends, 0.25 of the words."""
+    def hit(same):
+        return any(all(same[q + j] for j, c in enumerate(m) if c == "1") for m in decontam.MASKS for q in range(len(same) - len(m) + 1))
+
+    for n in range(8, 14):
+        k = min(n // 4, n - 8)
+        for at in itertools.combinations(range(1, n - 1), k):
+            assert hit([i not in at for i in range(n)]), (n, at)
+    r = random.Random(8)
+    for n in (14, 15, 16, 20, 25, 30, 40, 60):
+        for _ in range(400):
+            at = set(r.sample(range(1, n - 1), n // 4))
+            assert hit([i not in at for i in range(n)]), (n, sorted(at))
+
+
 def test_leaks_with_spread_substitutions(sp, documents):
-    """Every copy that a seed hits and whose overlap meets the rule is reported, and no other."""
+    """Every copy whose overlap meets the rule is reported, and no other."""
     r = random.Random(5)
-    items = {i: sentence(r, r.choice([8, 11, 13, 15, 20, 30, 40, 60])).split() for i in range(60)}
+    items = {i: sentence(r, r.choice([8, 10, 11, 12, 13, 15, 20, 30, 40, 60])).split() for i in range(120)}
     copies = {i: list(w) for i, w in items.items()}
-    for i, w in copies.items():
+    for w in copies.values():
         for at in r.sample(range(len(w)), r.randrange(len(w) // 4 + 1)):
             w[at] = f"new{at}"
-    items[100], items[101] = sentence(r, 15).split(), sentence(r, 40).split()
-    copies[100] = [f"new{k}" if k in (2, 8, 11) else w for k, w in enumerate(items[100])]  # 12 matched, 20 % substituted
-    copies[101] = [f"new{k}" if k % 4 == 3 else w for k, w in enumerate(items[101])]  # 25 %
+    items[200], items[201], items[202] = sentence(r, 15).split(), sentence(r, 40).split(), sentence(r, 12).split()
+    copies[200] = [f"new{k}" if k in (2, 8, 11) else w for k, w in enumerate(items[200])]  # 12 matched, 20 % substituted
+    copies[201] = [f"new{k}" if k % 4 == 3 else w for k, w in enumerate(items[201])]  # 25 %
+    copies[202] = [f"new{k}" if k == 6 else w for k, w in enumerate(items[202])]
     want = {}
     for i, w in items.items():
-        same = [a == b for a, b in zip(w, copies[i])]
-        masks = decontam.MASKS if len(w) >= 13 else ("1" * len(w),)
-        hit = any(all(same[q + j] for j, c in enumerate(m) if c == "1") for m in masks for q in range(len(w) - len(m) + 1))
-        if hit and (best := segments(same)):
+        if best := segments([a == b for a, b in zip(w, copies[i])]):
             want[i] = (-best[1], best[0] - best[1], best[2])
-    assert 100 in want and len(want) > 30
+    assert {200, 201, 202} <= set(want) and len(want) > 80
     bench = sp.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
-    got = decontam.leaks(documents([(i, " ".join(w)) for i, w in copies.items()]), bench).collect()
+    docs = documents([(i, " ".join(w)) for i, w in copies.items()])
+    got = decontam.leaks(docs, bench).collect()
     assert {x.doc_id: (x.start, x.end, x.matched) for x in got} == want and all(x.doc_id == x.item_id for x in got)
 
 
+def test_shuffled_join_many_items_and_long_texts(sp, documents, monkeypatch):
+    """The same leaks when the test hashes are joined by shuffle and a row's items come in many groups; a text of 300,000 characters or more."""
+    r = random.Random(9)
+    items = {i: sentence(r, 12) for i in range(150)}
+    bench = sp.createDataFrame([*items.items(), (3, items[3] + " " + sentence(r, 5))], "item_id long, text string")
+    long = " ".join(f"{sentence(r, 400)} {items[i]}" for i in items)
+    assert len(long) >= 300_000
+    docs = documents([(1, long), (2, sentence(r, 3000)), (3, items[7]), (3, items[8]), (4, " ".join(items.values()))])
+
+    def found():
+        rows = [tuple(x) for x in decontam.leaks(docs, bench).select("doc_id", "item_id", "start", "end", "matched", "substituted").collect()]
+        assert len(rows) == len(set(rows))
+        return set(rows)
+
+    whole = found()
+    assert {(d, i) for d, i, *_ in whole} == {(d, i) for d in (1, 4) for i in items} | {(3, 7), (3, 8)}
+    assert all(e - s >= 12 and m >= 12 for _, _, s, e, m, _ in whole)
+    monkeypatch.setattr(decontam, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(decontam, "GROUP", 10)
+    assert found() == whole
+
+
 def brute(text, at_least=5):
     w = (text or "").encode().split()
     n = len(w)
