@@ -4,8 +4,8 @@ Window and n-gram operators need facts about every key of the corpus (how many
 occurrences, is it repeated, which is its smallest document) at every place
 where the key occurs. One shuffled row per occurrence would be several times
 the input, and a key that a third of all documents hold would land in one task.
-Instead documents are dealt to blocks of a bounded size by a hash of their id,
-and
+Instead documents are dealt to blocks of a bounded size, row by row, so that an
+id or a text on a third of all rows spreads over all blocks, and
 
 1. each block sends its *distinct* keys, sorted and packed, one row per
    (block, key range): a hot key costs one entry per block;
@@ -16,6 +16,11 @@ and
 All three steps are ordinary grouped operations (``groupBy(...).applyInArrow``
 and ``cogroup``), so Spark places, spills and recomputes them; the exchange of
 the documents by block is planned once and reused by every pass of a query.
+
+Rows are dealt by a hash of id, text and the row's number in its input
+partition. A task that is run again reads the same file split in the same order
+and deals it alike; documents that no table or checkpoint holds, and whose order
+may change from one run of a task to the next, must be checkpointed before.
 """
 
 from __future__ import annotations
@@ -31,7 +36,8 @@ from pyspark.sql import functions as F
 
 from .text import hashes, words
 
-BLOCK_CHARS = 4_000_000
+#: Characters of a block, and characters whose keys a range merges.
+BLOCK_CHARS, RANGE_CHARS = 8_000_000, 16_000_000
 BLOB_SCHEMA = "part int, block int, keys binary, extra binary"
 REPLY_SCHEMA = "block int, part int, reply binary"
 _REPLY = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("reply", pa.binary())])
@@ -48,12 +54,12 @@ def plan(docs: DataFrame, chars: int) -> tuple[int, int]:
     At least one of each per shuffle partition, so small inputs use all cores too.
     """
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return (max(least, math.ceil(chars / BLOCK_CHARS)),) * 2
+    return max(least, math.ceil(chars / BLOCK_CHARS)), max(least, math.ceil(chars / RANGE_CHARS))
 
 
 def blocked(docs: DataFrame, n_blocks: int, id_col: str, text_col: str, keep: list[str] = ()) -> DataFrame:
-    """``block, doc_id, text[, rest struct]``; a null id gets a block by its text."""
-    key = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(F.col(id_col).cast("long")))
+    """``block, doc_id, text[, rest struct]``; rows that repeat an id or a text get blocks of their own."""
+    key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.monotonically_increasing_id())
     cols = [F.pmod(key, F.lit(n_blocks)).cast("int").alias("block"), F.col(id_col).cast("long").alias("doc_id"),
             F.col(text_col).cast("string").alias("text")]
     if keep:

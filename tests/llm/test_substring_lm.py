@@ -32,6 +32,16 @@ def cut(rows, window):
     return out
 
 
+def hot(seed):
+    """One id on a third of the rows, with texts of its own and repeated ones; a null id with one text as well."""
+    r = random.Random(seed)
+    text = lambda: " ".join(r.choice("abcdef") for _ in range(30))
+    same = text()
+    rows = [(i + 10, text()) for i in range(150)] + [(7, text()) for _ in range(50)] + [(7, same)] * 100 + [(None, same)] * 60
+    r.shuffle(rows)
+    return rows
+
+
 def key(rows):
     return sorted(rows, key=repr)
 
@@ -59,6 +69,28 @@ def test_against_brute_force(documents):
             assert hashlib.sha256(" ".join((r.text or "").split()).encode()).hexdigest() == r.kept_sha256
 
 
+def test_hot_ids_and_repeated_rows(documents):
+    rows = hot(3)
+    got = substring.dedup(documents(rows), window=5).collect()
+    assert key((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == key(cut(rows, 5))
+    got = lm.score(documents(rows)).collect()
+    assert key((r.doc_id, r.n_words, round(r.log_score, 6) + 0.0, tuple(r.n_by_order)) for r in got) == key(backoff(rows, 3, 0.4, 1))
+
+
+def test_no_block_holds_a_hot_id(documents):
+    rows = [(7, "one text")] * 2000 + [(None, "one text")] * 2000 + [(i, f"text {i}") for i in range(2000)]
+    sizes = [r["count"] for r in blocks.blocked(documents(rows), 16, "doc_id", "text").groupBy("block").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * len(rows) / 16
+
+
+def test_rows_exchanged_shrink_with_larger_ranges(documents, monkeypatch):
+    docs = documents([(1, "a")])
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(blocks, "BLOCK_CHARS", 10)
+    monkeypatch.setattr(blocks, "RANGE_CHARS", 40)
+    assert blocks.plan(docs, 10_000) == (1000, 250) and blocks.plan(docs, 1) == (least, least)
+
+
 def test_untouched_text_is_kept_as_it_is(documents):
     rows = [(1, "  one\n two\tthree "), (2, "é\xa0x  y"), (3, None)]
     assert {r.doc_id: r.text for r in substring.dedup(documents(rows)).collect()} == dict(rows)
@@ -93,7 +125,7 @@ def backoff(rows, order, alpha, min_count):
 
 def test_lm_against_brute_force(documents):
     rows = corpus(5)
-    for order, min_count in ((1, 2), (2, 2), (3, 2), (4, 3)):
+    for order, min_count in ((1, 2), (2, 2), (3, 2), (4, 3), (2, 1), (4, 1), (5, 1)):
         got = lm.score(documents(rows, extra=True), order=order, min_count=min_count).collect()
         assert key((r.doc_id, r.n_words, round(r.log_score, 6) + 0.0, tuple(r.n_by_order)) for r in got) == key(backoff(rows, order, 0.4, min_count))
         assert all((r.mean_log is None) == (r.n_words == 0) for r in got)
