@@ -9,8 +9,10 @@ The counts are tables partitioned by n-gram hash. Each block of documents sends
 its distinct n-grams with their local counts to the hash ranges; the ranges add
 them up and answer each block, where the counts meet the exploded n-grams and
 the logs are summed per document (``blocks.py``). One- and two-word n-grams go
-in the first exchange; a longer n-gram is sent only if both n-grams one word
-shorter occur ``min_count`` times (else it cannot), one order per exchange.
+in the first exchange, then one order per exchange. A longer n-gram is sent only
+if its count is still open: where one of the two n-grams one word shorter occurs
+once, it occurs once as well, and where one of them occurs fewer than
+``min_count`` times, so does it. Neither changes a score.
 
 Defined results: null or empty texts have no words, score 0.0 and a null mean;
 rows with a null id are scored but not told apart by id; repeated rows count
@@ -66,7 +68,7 @@ class _Model:
         return np.maximum(mix(window_hashes(b.h, n) + np.uint64(n)), np.uint64(1))
 
     def counts(self, b: blocks.Tokens, replies: list[list[bytes]]) -> tuple[int, list[np.ndarray]]:
-        """N, and by order the corpus count of the n-gram that starts at each word (0: none or not sent)."""
+        """N, and by order the corpus count of the n-gram that starts at each word (0: none, or fewer than ``min_count``)."""
         if not replies:
             return 0, []
         got = [np.concatenate([blocks.unplanes(x) for x in r]) if r else np.empty(0, np.int64) for r in replies]
@@ -79,6 +81,8 @@ class _Model:
             at = self.candidates(b, out, n)
             _, _, place = _ranked(self.keys(b, n)[at])
             own = np.zeros(len(b.h), np.int64)
+            if self.min_count <= 1:
+                own[b.fits(n)] = 1  # what was not sent holds a shorter n-gram that occurs once
             own[at] = got[n - 2][place]
             out.append(own)
         return total, out
@@ -91,10 +95,10 @@ class _Model:
         return uniq, n, place, first, second
 
     def candidates(self, b: blocks.Tokens, counts: list[np.ndarray], n: int) -> np.ndarray:
-        """Starts of n-grams whose two shorter n-grams both occur ``min_count`` times."""
-        at = b.fits(n)
+        """Starts of n-grams whose two shorter n-grams both occur ``min_count`` times, and twice at least."""
+        at, least = b.fits(n), max(self.min_count, 2)
         c = counts[n - 2]
-        return at[(c[at] >= self.min_count) & (c[at + 1] >= self.min_count)]
+        return at[(c[at] >= least) & (c[at + 1] >= least)]
 
     def send(self, block: int, b: blocks.Tokens, replies: list[list[bytes]]) -> pa.Table:
         if not replies:
