@@ -39,8 +39,8 @@ from .text import hashes, words
 #: Characters of a block, and characters whose keys a range merges.
 BLOCK_CHARS, RANGE_CHARS = 8_000_000, 16_000_000
 BLOB_SCHEMA = "part int, block int, keys binary, extra binary"
-REPLY_SCHEMA = "block int, part int, reply binary"
-_REPLY = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("reply", pa.binary())])
+REPLY_SCHEMA = "block int, part int, reply binary, level int"
+_REPLY = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("reply", pa.binary()), ("level", pa.int32())])
 _BLOB = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("extra", pa.binary())])
 
 
@@ -104,16 +104,21 @@ def blob_table(block: int, keys: np.ndarray, n_parts: int, extra: Callable[[int,
     }, schema=_BLOB)
 
 
-def answer(blobs: DataFrame, reduce: Callable[[list[np.ndarray], list[bytes]], list[bytes]]) -> DataFrame:
-    """Step 2: ``reduce(keys of each row, extra of each row)`` gives one reply per row."""
+def answer(blobs: DataFrame, reduce: Callable[[list[np.ndarray], list[bytes]], list[bytes]], level: int) -> DataFrame:
+    """Step 2: ``reduce(keys of each row, extra of each row)`` gives one reply per row.
+
+    ``block, part, reply, level``, dealt by block into a set number of partitions:
+    the later passes read this one exchange, alone or in a union with other levels.
+    """
+    n = int(blobs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
     def merge(table: pa.Table) -> pa.Table:
         keys = [unpack(k) for k in table.column("keys").to_pylist()]
         replies = reduce(keys, table.column("extra").to_pylist())
         return pa.table({"block": table.column("block").cast(pa.int32()), "part": table.column("part").cast(pa.int32()),
-                         "reply": pa.array(replies, pa.binary())}, schema=_REPLY)
+                         "reply": pa.array(replies, pa.binary()), "level": pa.array([level] * len(replies), pa.int32())}, schema=_REPLY)
 
-    return blobs.groupBy("part").applyInArrow(merge, REPLY_SCHEMA)
+    return blobs.groupBy("part").applyInArrow(merge, REPLY_SCHEMA).repartition(n, "block")
 
 
 def union_reply(table: pa.Table) -> list[bytes]:

@@ -155,7 +155,7 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int =
             sent = by_block.groupBy("block").applyInArrow(first, blocks.BLOB_SCHEMA)
         else:
             sent = by_block.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(later(k), blocks.BLOB_SCHEMA)
-        got = blocks.answer(sent, _add_up).withColumn("level", F.lit(k))
+        got = blocks.answer(sent, _add_up, k)
         replies = got if replies is None else replies.unionByName(got)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -167,7 +167,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
         else:
             sent = by_block.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
                 _later(passes, k), blocks.BLOB_SCHEMA)
-        got = blocks.answer(sent, _repeated if k < len(passes.lens) - 1 else _earlier).withColumn("level", F.lit(k))
+        got = blocks.answer(sent, _repeated if k < len(passes.lens) - 1 else _earlier, k)
         replies = got if replies is None else replies.unionByName(got)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
