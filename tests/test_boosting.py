@@ -127,3 +127,33 @@ def test_many_values_share_bins(spark):
     assert len(cuts) == 254 and (np.diff(cuts) > 0).all()
     share = np.diff(np.searchsorted(np.sort(v), cuts, side="right"), prepend=0)
     assert share.min() >= 19 and share.max() <= 20
+
+
+@pytest.mark.parametrize("bag", [False, True])
+def test_joint_sums_equal_one_sum_a_column(bag):
+    """Columns that share a byte give every column's own sums, and one pass over the rows serves a whole group."""
+    rng = np.random.default_rng(1)
+    sizes = [2] * 40 + [255, 3, 17, 90, 256]
+    drawn = np.stack([rng.integers(0, s, 700) for s in sizes]).astype(np.uint8)
+    widths = np.array(sizes) + 1
+    begin = np.concatenate([[0], np.cumsum(widths)[:-1]])
+    g, h = rng.normal(size=700), rng.random(700)
+    rows = np.flatnonzero(rng.random(700) < 0.7) if bag else None
+    slot = None if rows is None else rng.integers(0, 3, len(rows))
+    nodes = 1 if slot is None else 3
+    got, want = np.zeros((nodes, 3, widths.sum())), np.zeros((nodes, 3, widths.sum()))
+    boosting._add_sums(got, drawn, begin, rows, slot, g, h)
+    for i, r in enumerate(range(700) if rows is None else rows):
+        for c in range(len(sizes)):
+            want[0 if slot is None else slot[i], :, begin[c] + drawn[c, r]] += (g[r], h[r], 1)
+    assert np.allclose(got, want, atol=1e-11)
+    groups = boosting._joint(drawn.max(axis=1))
+    assert sorted(c for v in groups for c in v) == list(range(len(sizes))) and len(groups) <= 10
+
+
+def test_equal_columns_split_at_the_first(spark):
+    x, y = _data()
+    twin = np.column_stack([x[:, 0], x[:, 3], x[:, 0], 1 - x[:, 1], x[:, 1]])
+    for alone in (10**6, 0):
+        trees = boosting.train(_rows(spark, twin, y), {"m": SMALL}, alone_rows=alone)["m", 0].trees
+        assert not {2, 4} & {f for t in trees for f in t.feature}
