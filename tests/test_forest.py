@@ -92,3 +92,24 @@ def test_odd_tables(spark):
         gap[y == 1, 2] = np.nan
         got = forest.train(_rows(spark, gap, y, key), ForestParams(20, 5, 1.0), alone_rows=alone)[0]
         assert (got.probability(gap)[y == 1] > 0.7).all() and (got.probability(gap)[y == 0] < 0.3).all()
+
+
+def test_sums_of_a_level_in_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, 7, (500, 6)).astype(np.uint8)
+    y, w, at = rng.integers(0, 2, 500), rng.integers(0, 3, 500).astype(np.uint8), rng.integers(-1, 4, 500)
+    columns, sizes = np.sort(np.argsort(rng.random((4, 6)), axis=1)[:, :3], axis=1), np.full(6, 7)
+    want = np.zeros((4, 3, 7, 2))
+    for r in np.flatnonzero(at >= 0):
+        for j, c in enumerate(columns[at[r]]):
+            want[at[r], j, bins[r, c], y[r]] += w[r]
+    for block in (30, 4096):
+        monkeypatch.setattr(forest, "BLOCK_ROWS", block)
+        assert np.array_equal(forest._node_sums(bins, y, w, at, columns, sizes), want.reshape(-1, 2))
+
+
+def test_tables_of_a_usual_partition_are_grown_by_tasks():
+    from stayrisk.operators.boosting import ALONE_BYTES, fits_alone
+
+    assert fits_alone(600_000, 90, None) and not fits_alone(ALONE_BYTES, 2, None)
+    assert fits_alone(10, 90, 10) and not fits_alone(11, 90, 10) and not fits_alone(1, 1, 0)
