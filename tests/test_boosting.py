@@ -157,3 +157,26 @@ def test_equal_columns_split_at_the_first(spark):
     for alone in (10**6, 0):
         trees = boosting.train(_rows(spark, twin, y), {"m": SMALL}, alone_rows=alone)["m", 0].trees
         assert not {2, 4} & {f for t in trees for f in t.feature}
+
+
+def test_table_held_whole_is_summed_in_few_groups_and_computed_once_a_tree(monkeypatch):
+    """A tree grown alone: gradients and joint bins are made once, wide and narrow columns share sums, the trees are those of the passes."""
+    rng = np.random.default_rng(3)
+    n, tops = boosting.CHUNK_ROWS + 9, [255, 200, 90] + [2] * 12
+    bins = np.stack([rng.integers(0, t, n) for t in tops]).astype(np.uint8)
+    y = (rng.random(n) < 0.2 + 0.3 * (bins[0] > 99) + 0.2 * bins[4]).astype(np.uint8)
+    key, n_cuts, p = rng.integers(-2**62, 2**62, n), [t - 1 for t in tops], BoostParams(3, 0.1, 6, 30, 5.0, row_share=0.8, column_share=0.8)
+    made = []
+    real = boosting._codes
+    monkeypatch.setattr(boosting, "_codes", lambda drawn: made.append(real(drawn)) or made[-1])
+    start = float(np.log(y.mean() / (1 - y.mean())))
+    alone, passes = (boosting._Growth(0, 0, p, n_cuts, False, start, ahead=ahead) for ahead in (False, True))
+    chunk = (0, n, bins.tobytes(), y.tobytes(), key.tobytes(), np.full(n, start).tobytes())
+    ((_, trees),) = boosting._alone({0: alone})([(0, chunk)])
+    assert len(made) == p.rounds and all(len(groups) <= 4 for groups in made)
+    while not passes.done:
+        (got,) = boosting._sums({0: [(0, passes.request())]}, {0: n_cuts})([chunk])
+        passes.receive(got[0])
+    for a, b in zip(trees, passes.trees):
+        assert [sorted(zip(t.feature, t.cut)) for t in (a,)] == [sorted(zip(t.feature, t.cut)) for t in (b,)]
+        assert np.allclose(sorted(a.value.values()), sorted(b.value.values()), atol=1e-12)
