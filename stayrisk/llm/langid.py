@@ -44,6 +44,43 @@ def subwords(w: bytes) -> list[int]:
     return [crc32(w[i : i + k]) % BUCKETS for k in SIZES for i in range(max(1, len(w) - k + 1))]
 
 
+def _crc_table() -> np.ndarray:
+    c = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        c = np.where(c & 1, (c >> 1) ^ np.uint32(0xEDB88320), c >> 1)
+    return c
+
+
+_CRC = _crc_table()
+
+
+def subwords_of(ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of every word's n-grams, one word after the other as :func:`subwords` has them, and their number in each word."""
+    text = np.frombuffer(b"".join(b"<" + w + b">" for w in ws), np.uint8)
+    size = np.fromiter(map(len, ws), np.int64, len(ws)) + 2
+    per = [np.maximum(1, size - k + 1) for k in SIZES]
+    n = sum(per)
+    first, at = np.cumsum(size) - size, np.cumsum(n) - n
+    flat = np.empty(int(n.sum()), np.int64)
+    crc = np.full(len(text), 0xFFFFFFFF, np.uint32)  # of the bytes from each position on; the last one ends early
+    for k in range(1, max(SIZES) + 1):
+        m = len(text) - k + 1
+        if m > 0:
+            crc[:m] = _CRC[(crc[:m] ^ text[k - 1:]) & np.uint32(0xFF)] ^ (crc[:m] >> np.uint32(8))
+        if k == 1:
+            short = np.where(size == 1, crc[first], 0)
+        else:
+            short = np.where(size == k, crc[first], short)  # a word shorter than the next n-grams is one of them whole
+        if k in SIZES:
+            own = per[SIZES.index(k)]
+            place = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)  # in the word
+            got = crc[np.repeat(first, own) + place]
+            got[np.cumsum(own) - own] = np.where(size < k, short, got[np.cumsum(own) - own])
+            flat[np.repeat(at, own) + place] = (got ^ np.uint32(0xFFFFFFFF)) % np.uint32(BUCKETS)
+            at = at + own
+    return flat, n
+
+
 class Model:
     def __init__(self, languages: list[str]):
         self.languages = languages
@@ -62,7 +99,7 @@ class Vectors:
     """Sum of a word's embeddings and their number, remembered for the words seen last."""
 
     def __init__(self, model: Model):
-        self.model, self.place, self.sums = model, {}, np.empty((0, DIM + 1), np.float32)
+        self.model, self.place, self.sums = model, {}, np.empty((0, DIM + 1))
 
     def mean(self, texts: list[str | None]) -> np.ndarray:
         """Average embedding of each text."""
@@ -71,16 +108,14 @@ class Vectors:
             self.place, self.sums = {}, self.sums[:0]
         new = list({w for ws in per for w in ws}.difference(self.place))
         if new:
-            ids = [subwords(w) for w in new]
-            n = np.array([len(x) for x in ids])
-            flat = np.fromiter((i for x in ids for i in x), np.int64, n.sum())
+            flat, n = subwords_of(new)
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
             sums = np.add.reduceat(self.model.E[flat], np.cumsum(n) - n)
-            self.sums = np.concatenate([self.sums, np.column_stack([sums, n]).astype(np.float32)])
+            self.sums = np.concatenate([self.sums, np.column_stack([sums, n]).astype(np.float32)])  # added in double precision
         out = np.zeros((len(texts), DIM), np.float32)
         for i, ws in enumerate(per):
             if ws:
-                got = self.sums[np.fromiter(map(self.place.__getitem__, ws), np.int64, len(ws))].sum(axis=0, dtype=np.float64)
+                got = self.sums[np.fromiter(map(self.place.__getitem__, ws), np.int64, len(ws))].sum(axis=0)
                 out[i] = got[:DIM] / got[DIM]
         return out
 

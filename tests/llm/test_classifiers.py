@@ -157,3 +157,11 @@ def test_a_text_goes_with_the_label_of_its_row(sp):
     assert sorted(zip(got["text"], got["label"])) == [("bonjour mon ami", "fr"), ("guten tag", "de"), ("yes", "en")]
     few = sample.labelled(docs, None, "lang", F.lit(True), 20, 40, max_total=20)
     assert 0 < few["text"].str.len().sum() <= 20
+
+
+def test_buckets_of_many_words_are_those_of_each():
+    ws = [b"a", b"ab", b"abc", b"abcd", "été".encode(), b"x" * 40, b"\xff", b"a"]
+    for some in (ws, ws[:1], ws[1:2]):
+        flat, n = langid.subwords_of(some)
+        own = [langid.subwords(w) for w in some]
+        assert flat.tolist() == [i for x in own for i in x] and n.tolist() == [len(x) for x in own]
