@@ -265,8 +265,8 @@ def _io_path(spark, sf, name):
 TEST_FILE_ORDER = "md5(reservation_id)"
 
 
-def csv_copies(spark, sf):
-    """Raw train/test and the template as CSV (SNK2), once per checkpoint folder; returns their paths.
+def csv_copies(spark, sf, names=("train_csv", "test_csv", "template_csv")):
+    """Those of raw train/test and the template that are named as CSV (SNK2), once per checkpoint folder; returns their paths.
 
     The train file is in time order, the test file and the template in an order of their own.
     """
@@ -278,6 +278,8 @@ def csv_copies(spark, sf):
     by_time, own = F.struct("date_reservation", "reservation_id"), F.expr(TEST_FILE_ORDER)
     paths = {}
     for name, df, order in (("train_csv", tr, by_time), ("test_csv", te, own), ("template_csv", template, own)):
+        if name not in names:
+            continue
         p = _io_path(spark, sf, name)
         if not _written(spark, p):
             write_ordered(df.withColumn("pos", order), p)
@@ -289,14 +291,14 @@ def csv_copies(spark, sf):
 def src1_csv(spark, sf):
     from ..sources.readers import read_csv
 
-    return read_csv(spark, csv_copies(spark, sf)["train_csv"])
+    return read_csv(spark, csv_copies(spark, sf, ["train_csv"])["train_csv"])
 
 
 @query("src2_load_train_test", with_fixture("SELECT * EXCLUDE (n_all) FROM pos_t", FOLD_CTES))
 def src2(spark, sf):
     from ..sources.readers import load_train_test
 
-    p = csv_copies(spark, sf)
+    p = csv_copies(spark, sf, ["train_csv", "test_csv"])
     return load_train_test(spark, p["train_csv"], p["test_csv"])[0]
 
 
@@ -306,7 +308,7 @@ def src2(spark, sf):
 def src2_both(spark, sf):
     from ..sources.readers import load_train_test
 
-    p = csv_copies(spark, sf)
+    p = csv_copies(spark, sf, ["train_csv", "test_csv"])
     tr, te = load_train_test(spark, p["train_csv"], p["test_csv"])
     return tr.withColumn("jeu", F.lit("train")).unionByName(te.withColumn("jeu", F.lit("test")), allowMissingColumns=True)
 
@@ -331,7 +333,7 @@ def src2_parquet(spark, sf):
 def src3(spark, sf):
     from ..sources.readers import read_template
 
-    return read_template(spark, csv_copies(spark, sf)["template_csv"])
+    return read_template(spark, csv_copies(spark, sf, ["template_csv"])["template_csv"])
 
 
 @query("src3_template_file_order", with_fixture(
@@ -339,4 +341,4 @@ def src3(spark, sf):
 def src3_order(spark, sf):
     from ..sources.readers import read_template
 
-    return read_template(spark, csv_copies(spark, sf)["template_csv"], position="pos").select("reservation_id", "pos")
+    return read_template(spark, csv_copies(spark, sf, ["template_csv"])["template_csv"], position="pos").select("reservation_id", "pos")

@@ -188,7 +188,7 @@ def sub3(spark, sf):
     from .q_data import csv_copies
 
     written = read_template(spark, _submission_file(spark, sf), position="pos")
-    return S.contract_checks(written, S.template_from(read_template(spark, csv_copies(spark, sf)["template_csv"], position="pos")))
+    return S.contract_checks(written, S.template_from(read_template(spark, csv_copies(spark, sf, ["template_csv"])["template_csv"], position="pos")))
 
 
 def _submission_file(spark, sf) -> str:
@@ -201,7 +201,7 @@ def _submission_file(spark, sf) -> str:
 
     path = store.path_for(spark, "submission", "submission-v1", sf)
     if not store.exists(spark, path):
-        test = read_csv(spark, csv_copies(spark, sf)["test_csv"], TEST_SCHEMA, position="pos").select(ID_COL, "pos")
+        test = read_csv(spark, csv_copies(spark, sf, ["test_csv"])["test_csv"], TEST_SCHEMA, position="pos").select(ID_COL, "pos")
         proba = fixture.reservations(spark, sf).filter(~fixture.is_train()).select(ID_COL, "proba")
         write_ordered(S.submission(test.join(proba, ID_COL), pooled_threshold(spark, sf)), path)
     return path
