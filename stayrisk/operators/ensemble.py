@@ -35,12 +35,16 @@ def ensemble_weights(available: DataFrame, raw: dict[str, float] = ENSEMBLE_RAW_
 
 def ensemble_proba(scored: DataFrame, weights: DataFrame, id_col: str = ID_COL, model_col: str = "model",
                    keep: tuple[str, ...] = ("y",)) -> DataFrame:
-    """ENS2: per row, sum(poids * proba) / sum(poids) over the members that scored it."""
+    """ENS2: per row, sum(poids * proba) / sum(poids) over the members that scored it.
+
+    The weights (a row a model) are broadcast: a shuffle on the model would make one task a model. A row has a few scores
+    in all, so summing ahead of the shuffle would hold every id of a split and merge hardly any: rows go to their id's partition first.
+    """
     w = weights.select(F.col("model").alias(model_col), "poids")
-    j = scored.join(w, model_col)  # one row per member model
-    kept = [F.first(c).alias(c) for c in keep if c in scored.columns]
-    return j.groupBy(id_col).agg(
-        (F.sum(F.col("poids") * F.col("proba")) / F.sum("poids")).alias("proba"), *kept)
+    j = scored.join(F.broadcast(w), model_col)
+    kept = [c for c in keep if c in scored.columns]
+    return j.select(id_col, "poids", "proba", *kept).repartition(id_col).groupBy(id_col).agg(
+        (F.sum(F.col("poids") * F.col("proba")) / F.sum("poids")).alias("proba"), *[F.first(c).alias(c) for c in kept])
 
 
 class EnsembleModel(_Kept):
