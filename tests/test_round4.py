@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayrisk.plans import inputs, store
 from stayrisk.sources import fixture
 
 SF = "/root/testdata/sf0.001"
@@ -41,3 +42,9 @@ def test_hot_customers_are_found_in_the_orders(spark, monkeypatch):
     monkeypatch.setattr(fixture, "HOT_ORDERS", 10**9)
     assert fixture._hot_customers(spark, SF) == []
     assert sorted(map(str, few.collect())) == sorted(map(str, fixture.derive_reservations(spark, SF).collect()))
+
+
+def test_fold_copies_are_not_stored(spark, monkeypatch):
+    monkeypatch.setattr(store, "written", lambda *a, **k: pytest.fail("copies of rows are written"))
+    folds = inputs.fold_table(spark, SF)
+    assert {(r["fold"], r["role"]) for r in folds.select("fold", "role").distinct().collect()} == {(k, r) for k in range(1, 5) for r in ("train", "val")}
