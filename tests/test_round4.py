@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from stayrisk.plans import inputs, store
 from stayrisk.sources import fixture
+from stayrisk.sources.readers import read_csv
+from stayrisk.sources.schema import SUBMISSION_SCHEMA
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,3 +50,16 @@ def test_fold_copies_are_not_stored(spark, monkeypatch):
     monkeypatch.setattr(store, "written", lambda *a, **k: pytest.fail("copies of rows are written"))
     folds = inputs.fold_table(spark, SF)
     assert {(r["fold"], r["role"]) for r in folds.select("fold", "role").distinct().collect()} == {(k, r) for k in range(1, 5) for r in ("train", "val")}
+
+
+def test_numbered_csv_rows_are_neither_checkpointed_nor_shuffled(spark, tmp_path):
+    want = [(f"R{i}", None if i % 7 == 0 else i / 100, i % 2) for i in range(500)]
+    for part in range(3):
+        lines = ["reservation_id,probabilite_annulation,reservation_annulee"]
+        lines += [f"{a},{'' if b is None else b},{c}" for a, b, c in want[part * 200:part * 200 + 200]]
+        (tmp_path / f"part-{part}.csv").write_text("\n".join(lines) + "\n")
+    got = read_csv(spark, str(tmp_path), SUBMISSION_SCHEMA, position="pos")
+    plan = _plan(got)
+    assert "hashpartitioning(__path" not in plan and "Scan ExistingRDD[reservation_id" not in plan
+    assert [tuple(r)[:3] for r in sorted(got.collect(), key=lambda r: r["pos"])] == want
+    assert sorted(r["pos"] for r in got.collect()) == list(range(500))
