@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayrisk.operators import newton
 from stayrisk.plans import inputs, store
 from stayrisk.sources import fixture
 from stayrisk.sources.readers import read_csv
@@ -63,3 +64,10 @@ def test_numbered_csv_rows_are_neither_checkpointed_nor_shuffled(spark, tmp_path
     assert "hashpartitioning(__path" not in plan and "Scan ExistingRDD[reservation_id" not in plan
     assert [tuple(r)[:3] for r in sorted(got.collect(), key=lambda r: r["pos"])] == want
     assert sorted(r["pos"] for r in got.collect()) == list(range(500))
+
+
+def test_logistic_rows_are_counted_without_their_vectors(spark, monkeypatch):
+    rows = spark.range(400).select(F.lit(0).alias("task"), F.col("id").alias("key"), (F.col("id") % 2).cast("double").alias("y"),
+                                   F.array(F.col("id") / 400).alias("x"))
+    monkeypatch.setattr(newton.F, "size", lambda c: pytest.fail("every vector is built to be counted"))
+    assert len(newton.solve(rows, [newton.LogisticFit("m", 0, 1.0, (0,))])["m", 0]) == 2
