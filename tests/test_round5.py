@@ -1,0 +1,23 @@
+
+
+
+def test_a_tree_does_not_depend_on_the_groups_of_nodes(monkeypatch):
+    """A level's nodes are summed a few at a time, and numbered in one call a side."""
+    rng = np.random.default_rng(5)
+    bins = np.stack([rng.integers(0, 200, 6000), rng.integers(0, 5, 6000), rng.integers(0, 2, 6000)], 1).astype(np.uint8)
+    y = (rng.random(6000) < 0.2 + 0.001 * bins[:, 0] + 0.2 * bins[:, 2]).astype(np.int64)
+    key, sizes, p = rng.integers(-2**62, 2**62, 6000), np.array([201, 6, 3]), forest.ForestParams(1, 5, 0.7)
+    calls, largest = [], []
+    child, best = forest.child, forest.best_splits
+    monkeypatch.setattr(forest, "child", lambda path, side: calls.append(len(path)) or child(path, side))
+    monkeypatch.setattr(forest, "best_splits", lambda sums, wide, least: largest.append(len(sums)) or best(sums, wide, least))
+
+    def grown(cells):
+        monkeypatch.setattr(forest, "GROUP_CELLS", cells)
+        calls.clear(), largest.clear()
+        t = forest._grown(bins, y, key, 0, p, sizes)
+        return t.feature, t.cut, t.left, t.right, [c.tolist() for c in t.counts]
+
+    whole = grown(10**9)
+    assert len(whole[0]) > 100 and len(calls) < 2 * 64 and sum(calls) == len(whole[0]) - 1
+    assert grown(500) == whole and max(largest) <= 500 + 207
