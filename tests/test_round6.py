@@ -1,8 +1,14 @@
-"""Round 4: joint bins of the boosting passes are made once."""
+"""Round 4: joint bins of the boosting passes, forests in few bytes, rows of the Newton passes compressed, folds not stored."""
+
+import datetime as dt
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
-from stayrisk.operators import boosting
+from stayrisk.operators import boosting, forest, newton
+from stayrisk.operators.folds import temporal_folds
+from stayrisk.plans import validation
 
 
 def _chunk(rng, sizes, n, start=-1.1):
@@ -45,3 +51,53 @@ def test_trees_of_the_passes_do_not_depend_on_when_scores_are_refreshed():
         for a, b in zip(want, m.trees):
             assert sorted(zip(a.feature, a.cut)) == sorted(zip(b.feature, b.cut))
             assert np.allclose(sorted(a.value.values()), sorted(b.value.values()), atol=1e-12)
+
+
+def test_forests_take_few_bytes_a_node(monkeypatch):
+    """A task sends 15 bytes a node, the driver keeps 14; no Python number is made of a node."""
+    rng = np.random.default_rng(5)
+    bins = np.stack([rng.integers(0, 200, 6000), rng.integers(0, 5, 6000), rng.integers(0, 2, 6000)], 1).astype(np.uint8)
+    y = (rng.random(6000) < 0.2 + 0.001 * bins[:, 0] + 0.2 * bins[:, 2]).astype(np.uint8)
+    chunk = (0, 6000, bins.T.tobytes(), y.tobytes(), rng.integers(-2**62, 2**62, 6000).tobytes(), b"")
+    sizes, p = {0: np.array([201, 6, 3])}, forest.ForestParams(2, 5, 0.7)
+    sent = {index: tree for _, index, tree in forest._alone(sizes, p)([((0, 0), chunk)])}
+    nodes = [len(t[1]) for t in sent.values()]
+    assert min(nodes) > 100 and all(isinstance(v, bytes) for t in sent.values() for v in t)
+    assert [sum(map(len, t)) for t in sent.values()] == [15 * n for n in nodes]
+    cuts = [np.arange(199) + 0.5, np.arange(4) + 0.5, np.array([0.5])]
+    trees = forest._flat([sent[0], sent[1]], cuts)
+    assert trees.feature.nbytes + trees.left.nbytes + trees.value.nbytes == 14 * (sum(nodes) + 1)
+    # joint bins give the same trees as a sum a column
+    monkeypatch.setattr(forest, "JOINT_ROWS", 10**9)
+    assert {index: tree for _, index, tree in forest._alone(sizes, p)([((0, 0), chunk)])} == sent
+    share = trees.probability(bins.astype(float))
+    assert abs(share.mean() - y.mean()) < 0.02 and share[y == 1].mean() > share[y == 0].mean() + 0.1
+
+
+def test_rows_of_the_newton_passes_are_compressed_where_they_are_read():
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.integers(0, 9, 5000) / 7, rng.normal(size=5000), *(rng.integers(0, 2, (30, 5000)) * 1.0)])
+    y = (rng.random(5000) < 0.3) * 1.0
+    rows = pa.RecordBatch.from_pydict({"task": pa.array(np.zeros(5000, np.int32)), "y": y, "x": pa.array(list(x))})
+    chunks = [tuple(c.column(i)[0].as_py() for i in range(5)) for c in newton._pack(iter([rows]))]
+    assert sum(c[1] for c in chunks) == 5000 and sum(len(c[4]) for c in chunks) < x.nbytes / 5
+    w = rng.normal(size=33) / 9
+    (got,) = newton._moments({0: [(0, np.arange(33), w)]})(chunks)
+    one = np.column_stack([np.ones(5000), x])
+    q = 1 / (1 + np.exp(-one @ w))
+    assert np.allclose(got[0][1], one.T @ (q - y)) and np.allclose(got[0][2], (one.T * (q * (1 - q))) @ one)
+
+
+@pytest.mark.parametrize("n", [200, 3])
+def test_temporal_folds_are_conditions_and_not_stored(spark, monkeypatch, n):
+    """The rows of every fold are those of temporal_folds; folds without rows are left out; nothing is cached for them."""
+    df = spark.createDataFrame([(f"R{i}", dt.date(1999, 1, 1) + dt.timedelta(days=i // 3), i) for i in range(n)], "reservation_id string, date_reservation date, v int")
+    kept = []
+    monkeypatch.setattr(validation, "FoldTables", lambda parts, *a: parts)
+    monkeypatch.setattr(type(df), "persist", lambda self, *a: kept.append(self) or self)
+    parts = validation._temporal(df, [], [])
+    want = {}
+    for r in temporal_folds(df).collect():
+        want.setdefault((r["fold"], r["role"]), set()).add(r["v"])
+    got = {(k, role): {r["v"] for r in t.collect()} for k, both in parts.items() for role, t in zip(("train", "val"), both)}
+    assert not kept and {k: v for k, v in got.items() if v} == want and set(parts) == {k for k, _ in want}
